@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,12 +150,12 @@ SCORE_BIGS = ["n_clusters", "n_samples", "n_noise", "min_cluster_size", "max_clu
 def comparison(spark, sf_dir) -> DataFrame:
     def build():
         P.register(spark, sf_dir)
-        base = spark.table("embeddings").withColumn("x", F.col("embedding").cast("array<double>"))
-        scored = [
-            metrics.evaluate(base.select("x", F.expr(label).alias("cluster")), name)
-            for name, label in LABELLINGS.items()
-        ]
-        return reduce(DataFrame.unionByName, scored)
+        columns = {name: f"m{i}" for i, name in enumerate(LABELLINGS)}
+        rows = spark.table("embeddings").select(
+            F.col("embedding").cast("array<double>").alias("x"),
+            *[F.expr(LABELLINGS[name]).alias(c) for name, c in columns.items()],
+        )
+        return metrics.evaluate(rows, columns)
 
     return stored(spark, sf_dir, "comparison", build)
 
@@ -191,12 +189,12 @@ def _(spark, sf_dir):
     "calinski_harabasz", rounded(with_(ONE_MODEL, "SELECT * FROM ch"), "", ["calinski_harabasz"])
 )
 def _(spark, sf_dir):
-    return metrics.calinski_harabasz(vectors(spark, sf_dir))
+    return metrics.calinski_harabasz(vectors(spark, sf_dir)).select("calinski_harabasz")
 
 
 @query("davies_bouldin", rounded(with_(ONE_MODEL, "SELECT * FROM db"), "", ["davies_bouldin"]))
 def _(spark, sf_dir):
-    return metrics.davies_bouldin(vectors(spark, sf_dir))
+    return metrics.davies_bouldin(vectors(spark, sf_dir)).select("davies_bouldin")
 
 
 @query(
@@ -204,7 +202,7 @@ def _(spark, sf_dir):
     rounded(with_(ONE_MODEL, "SELECT * FROM scores"), "algorithm", SCORE_DOUBLES, SCORE_BIGS),
 )
 def _(spark, sf_dir):
-    return metrics.evaluate(vectors(spark, sf_dir), "DBSCAN")
+    return metrics.evaluate(vectors(spark, sf_dir), {"DBSCAN": "cluster"})
 
 
 @query(

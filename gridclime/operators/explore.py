@@ -14,7 +14,7 @@ from gridclime.functions.quantiles import quantiles
 from gridclime.operators.rollup import season_of, to_monthly, to_seasonal, to_yearly
 from gridclime.registry import NOISE_LABEL, PLACE, SEASONS, UNASSIGNED_LABEL
 
-QUARTERS = (0.25, 0.5, 0.75)
+QUARTERS = {"q25": 0.25, "median": 0.5, "q75": 0.75}
 
 
 def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -25,6 +25,20 @@ def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> Data
     return df.select(*by, F.inline(cells))
 
 
+def _quantile_rows(
+    df: DataFrame, columns: Sequence[str], probs: Mapping[str, float], by: Sequence[str] = ()
+) -> DataFrame:
+    """(by, column, one column per quantile)."""
+    found = quantiles(df, columns, list(probs.values()), by)
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"), *[F.col(c)[i].alias(name) for i, name in enumerate(probs)]
+        )
+        for c in columns
+    ]
+    return found.select(*by, F.inline(F.array(*cells)))
+
+
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, std, extremes, quartiles, P1, P99 and IQR, one row per column."""
     columns = list(columns)
@@ -35,17 +49,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    cuts = quantiles(df, columns, (0.01, *QUARTERS, 0.99)).unpivot([], columns, "column", "q")
-    q = F.col("q")
-    return moments.join(cuts, "column").select(
-        *moments.columns,
-        q[0].alias("p1"),
-        q[1].alias("q25"),
-        q[2].alias("median"),
-        q[3].alias("q75"),
-        q[4].alias("p99"),
-        (q[3] - q[1]).alias("iqr"),
-    )
+    cuts = _quantile_rows(df, columns, {"p1": 0.01, **QUARTERS, "p99": 0.99})
+    return moments.join(cuts, "column").withColumn("iqr", F.col("q75") - F.col("q25"))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -162,10 +167,7 @@ def box_statistics(df: DataFrame, columns: Sequence[str], by: str = "cluster") -
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    cuts = quantiles(df, columns, QUARTERS, by=[by]).unpivot([by], columns, "column", "q")
-    return moments.join(cuts, [by, "column"]).select(
-        *moments.columns, *[F.col("q")[i].alias(n) for i, n in enumerate(("q25", "median", "q75"))]
-    )
+    return moments.join(_quantile_rows(df, columns, QUARTERS, [by]), [by, "column"])
 
 
 def label_shares(df: DataFrame, label: str = "cluster_label") -> DataFrame:

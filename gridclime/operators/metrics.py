@@ -1,11 +1,14 @@
-"""Quality of a labelling, comparison of models, choice of one.
+"""Quality of labellings, comparison of models, choice of one.
 
-Tables have ``x`` (array of doubles) and ``cluster``; a negative cluster is
-noise and takes no part in the scores.
+Tables have ``x`` (array of doubles) and one label column per model. A negative
+label is noise and takes no part in the scores. All models are scored together,
+so distances and scans are shared.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
@@ -19,57 +22,85 @@ from gridclime.operators.pairs import (
     distinct_points,
 )
 
-# Fixed values of the model choice.
+# Fixed values of the model choice: prefixes, then per tier the cluster counts,
+# the noise share and the largest cluster share allowed.
 MODEL_PREFIXES = ("K-Means", "Hierarchical(Ward", "Hierarchical(Average", "GMM")
 TIERS = ((6, 8, 0.0, 0.45), (6, 8, 0.0, 0.55), (5, 9, 0.05, 0.60))
 
+ONE = {"cluster": "cluster"}
+
 
-def clustered(df: DataFrame) -> DataFrame:
-    return df.filter("cluster >= 0")
+def long_labels(df: DataFrame, models: Mapping[str, str]) -> DataFrame:
+    """(algorithm, cluster, x): the rows once per model."""
+    cells = F.array(
+        *[
+            F.struct(F.lit(name).alias("algorithm"), F.col(c).cast("int").alias("cluster"))
+            for name, c in models.items()
+        ]
+    )
+    return df.select("x", F.inline(cells))
 
 
-def silhouette_samples(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(x, cluster, silhouette) per distinct vector and cluster, with its weight in rows.
+def silhouette_samples(
+    df: DataFrame, models: Mapping[str, str] = ONE, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(algorithm, x, cluster, w, silhouette) per distinct vector, w being its rows.
 
     Exact with Euclidean distances, so the work grows with the square of the
     distinct points; it is spread over block pairs. ``silhouette_squared`` is
     the linear-time score.
     """
-    points = blocked(distinct_points(clustered(df), by=("cluster",)), block_rows)
-    sizes = points.groupBy("cluster").agg(F.sum("w").alias("size"))
-    sums = cluster_distance_sums(points)
-    with_size = sums.join(sizes.withColumnRenamed("cluster", "other"), "other")
-    scored = with_size.join(points.select("pid", "cluster", "w", "x"), "pid")
-    own = F.col("other") == F.col("cluster")
-    per_point = scored.groupBy("pid", "cluster", "w", "x").agg(
-        F.max(F.when(own, F.col("size"))).alias("size"),
-        F.max(F.when(own & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
-        F.min(F.when(~own, F.col("total") / F.col("size"))).alias("b"),
+    names = F.array(*[F.lit(name) for name in models])
+    labels = F.array(*[F.coalesce(F.col(c).cast("int"), F.lit(-1)) for c in models.values()])
+    points = blocked(
+        distinct_points(df.select("x", labels.alias("labels")), by=["labels"]), block_rows
+    )
+    own = points.select(
+        "pid", "x", "w", F.posexplode("labels").alias("model", "cluster")
+    ).filter("cluster >= 0")
+    sizes = own.groupBy("model", F.col("cluster").alias("other")).agg(F.sum("w").alias("size"))
+    sums = cluster_distance_sums(points).join(sizes, ["model", "other"])
+    scored = sums.join(own.select("pid", "model", "cluster"), ["pid", "model"])
+    mine = F.col("other") == F.col("cluster")
+    sides = scored.groupBy("pid", "model").agg(
+        F.max(F.when(mine, F.col("size"))).alias("size"),
+        F.max(F.when(mine & (F.col("size") > 1), F.col("total") / (F.col("size") - 1))).alias("a"),
+        F.min(F.when(~mine, F.col("total") / F.col("size"))).alias("b"),
     )
     widest = F.greatest("a", "b")
     score = F.when(F.col("size") == 1, F.lit(0.0)).otherwise(
         F.when(widest > 0, (F.col("b") - F.col("a")) / widest).otherwise(F.lit(0.0))
     )
-    return per_point.filter("b IS NOT NULL").select("x", "cluster", "w", score.alias("silhouette"))
+    return (
+        sides.filter("b IS NOT NULL")
+        .join(own, ["pid", "model"])
+        .select(
+            names[F.col("model")].alias("algorithm"), "x", "cluster", "w", score.alias("silhouette")
+        )
+    )
 
 
 def silhouette_rows(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Clustered input rows with their silhouette."""
-    scores = silhouette_samples(df, block_rows).drop("w")
-    return clustered(df).join(scores, ["x", "cluster"])
+    scores = silhouette_samples(df, block_rows=block_rows).drop("w", "algorithm")
+    return df.filter("cluster >= 0").join(scores, ["x", "cluster"])
 
 
-def silhouette(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row: mean silhouette, NULL with fewer than two clusters."""
-    return silhouette_samples(df, block_rows).agg(
-        (F.sum(F.col("silhouette") * F.col("w")) / F.sum("w")).alias("silhouette")
+def silhouettes(
+    df: DataFrame, models: Mapping[str, str] = ONE, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """(algorithm, silhouette): the mean over rows; no row with fewer than two clusters."""
+    return (
+        silhouette_samples(df, models, block_rows)
+        .groupBy("algorithm")
+        .agg((F.sum(F.col("silhouette") * F.col("w")) / F.sum("w")).alias("silhouette"))
     )
 
 
 def silhouette_by_cluster(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Mean, population deviation, minimum and size per cluster."""
     s, w = F.col("silhouette"), F.col("w")
-    sums = silhouette_samples(df, block_rows).groupBy("cluster").agg(
+    sums = silhouette_samples(df, block_rows=block_rows).groupBy("cluster").agg(
         F.sum("w").alias("size"),
         (F.sum(s * w) / F.sum(w)).alias("mean"),
         (F.sum(s * s * w) / F.sum(w)).alias("_square"),
@@ -81,65 +112,73 @@ def silhouette_by_cluster(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFr
 
 def silhouette_squared(df: DataFrame) -> float:
     """Mean silhouette with squared distances, in linear time."""
-    rows = clustered(df).select(array_to_vector("x").alias("features"), "cluster")
+    rows = df.filter("cluster >= 0").select(array_to_vector("x").alias("features"), "cluster")
     return ClusteringEvaluator(predictionCol="cluster").evaluate(rows)
 
 
-def cluster_dimensions(df: DataFrame) -> DataFrame:
-    """(cluster, pos, n, mean, ss): mean and sum of squares per coordinate."""
-    cells = clustered(df).select("cluster", F.posexplode("x").alias("pos", "value"))
+def cluster_dimensions(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFrame:
+    """(algorithm, cluster, pos, n, mean, ss): mean and sum of squares per coordinate."""
+    cells = (
+        long_labels(df, models)
+        .filter("cluster >= 0")
+        .select("algorithm", "cluster", F.posexplode("x").alias("pos", "value"))
+    )
     n = F.count("value")
-    return cells.groupBy("cluster", "pos").agg(
+    return cells.groupBy("algorithm", "cluster", "pos").agg(
         n.alias("n"), F.avg("value").alias("mean"), (F.var_pop("value") * n).alias("ss")
     )
 
 
-def centroids(df: DataFrame) -> DataFrame:
-    """(cluster, size, centroid) of the clusters."""
+def centroids(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFrame:
+    """(algorithm, cluster, size, centroid) of the clusters."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "mean")))
-    return cluster_dimensions(df).groupBy("cluster").agg(
+    return cluster_dimensions(df, models).groupBy("algorithm", "cluster").agg(
         F.max("n").alias("size"), ordered["mean"].alias("centroid")
     )
 
 
-def calinski_harabasz(df: DataFrame) -> DataFrame:
-    """One row: between-cluster against within-cluster variance."""
-    pos = Window.partitionBy("pos")
+def calinski_harabasz(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFrame:
+    """(algorithm, score): between-cluster against within-cluster variance."""
+    pos = Window.partitionBy("algorithm", "pos")
     n, mean = F.col("n"), F.col("mean")
-    dims = cluster_dimensions(df).withColumn(
+    dims = cluster_dimensions(df, models).withColumn(
         "_grand", F.sum(n * mean).over(pos) / F.sum(n).over(pos)
     )
     gap = mean - F.col("_grand")
-    sums = dims.agg(
+    sums = dims.groupBy("algorithm").agg(
         F.sum(n * gap * gap).alias("between"),
         F.sum("ss").alias("within"),
-        F.count_distinct("cluster").alias("k"),
+        F.count_if(F.col("pos") == 0).alias("k"),
         F.sum(F.when(F.col("pos") == 0, n)).alias("n"),
     )
     score = (F.col("between") / (F.col("k") - 1)) / (F.col("within") / (F.col("n") - F.col("k")))
     flat = F.when(F.col("within") > 0, score).otherwise(F.lit(1.0))
-    return sums.select(F.when(F.col("k") > 1, flat).alias("calinski_harabasz"))
-
-
-def davies_bouldin(df: DataFrame) -> DataFrame:
-    """One row: mean over clusters of the worst spread-to-separation ratio."""
-    middle = centroids(df)
-    located = with_one_row(clustered(df), as_lookup(middle, "cluster", "centroid"), "_c")
-    spread = located.groupBy("cluster").agg(
-        F.avg(euclidean(F.col("x"), F.col("_c.lookup")[F.col("cluster")])).alias("spread")
+    return sums.filter("k > 1").select("algorithm", flat.alias("calinski_harabasz"))
+
+
+def davies_bouldin(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFrame:
+    """(algorithm, score): mean over clusters of the worst spread-to-separation ratio."""
+    key = F.struct("algorithm", "cluster")
+    middle = centroids(df, models).withColumn("key", key)
+    rows = long_labels(df, models).filter("cluster >= 0")
+    located = with_one_row(rows, as_lookup(middle, "key", "centroid"), "_c")
+    gap = euclidean(F.col("x"), F.col("_c.lookup")[key])
+    spread = located.groupBy("algorithm", "cluster").agg(F.avg(gap).alias("spread"))
+    table = middle.join(spread, ["algorithm", "cluster"])
+    others = table.groupBy("algorithm").agg(
+        F.collect_list(F.struct("cluster", "spread", "centroid")).alias("others")
     )
-    table = middle.join(spread, "cluster")
-    paired = with_one_row(
-        table, as_lookup(table, "cluster", F.struct("spread", "centroid").alias("v")), "_all"
+    paired = with_one_row(table, as_lookup(others, "algorithm", "others"), "_all")
+    rest = F.filter(
+        F.col("_all.lookup")[F.col("algorithm")], lambda o: o["cluster"] != F.col("cluster")
     )
-    others = F.map_values(F.map_filter("_all.lookup", lambda c, _: c != F.col("cluster")))
 
     def ratio(other):
-        gap = euclidean(F.col("centroid"), other["centroid"])
-        return F.when(gap > 0, (F.col("spread") + other["spread"]) / gap).otherwise(F.lit(0.0))
+        apart = euclidean(F.col("centroid"), other["centroid"])
+        return F.when(apart > 0, (F.col("spread") + other["spread"]) / apart).otherwise(F.lit(0.0))
 
-    worst = paired.select(F.array_max(F.transform(others, ratio)).alias("worst"))
-    return worst.agg(F.avg("worst").alias("davies_bouldin"))
+    worst = paired.select("algorithm", F.array_max(F.transform(rest, ratio)).alias("worst"))
+    return worst.groupBy("algorithm").agg(F.avg("worst").alias("davies_bouldin"))
 
 
 def sizes(df: DataFrame) -> DataFrame:
@@ -147,12 +186,17 @@ def sizes(df: DataFrame) -> DataFrame:
     return df.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
 
 
-def balance(df: DataFrame) -> DataFrame:
-    """One row: counts, noise share, size statistics and balance of the clusters."""
+def balance(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFrame:
+    """Per model: counts, noise share, size statistics and balance of the clusters."""
+    counted = (
+        long_labels(df, models)
+        .groupBy("algorithm", "cluster")
+        .agg(F.count(F.lit(1)).alias("size"))
+    )
     real = F.when(F.col("cluster") >= 0, F.col("size"))
     noise = F.coalesce(F.sum(F.when(F.col("cluster") < 0, F.col("size"))), F.lit(0))
     total, valid = F.sum("size"), F.sum(real)
-    return sizes(df).agg(
+    return counted.groupBy("algorithm").agg(
         F.count(real).alias("n_clusters"),
         total.alias("n_samples"),
         noise.alias("n_noise"),
@@ -166,21 +210,23 @@ def balance(df: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(df: DataFrame, algorithm: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row with every score; scores are NULL with fewer than two clusters."""
-    out = balance(df)
+def evaluate(
+    df: DataFrame, models: Mapping[str, str] = ONE, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """One row per model with every score; NULL with fewer than two clusters."""
+    out = balance(df, models)
     for table, digits in (
-        (silhouette(df, block_rows), 4),
-        (calinski_harabasz(df), 2),
-        (davies_bouldin(df), 4),
+        (silhouettes(df, models, block_rows), 4),
+        (calinski_harabasz(df, models), 2),
+        (davies_bouldin(df, models), 4),
     ):
-        name = table.columns[0]
-        out = out.withColumn(name, F.bround(table.scalar(), digits))
+        score = table.columns[1]
+        rounded = table.select("algorithm", F.bround(score, digits).alias(score))
+        out = out.join(rounded, "algorithm", "left")
     several = F.col("n_clusters") > 1
-    keep = ("n_clusters", "n_samples", "n_noise")
+    keep = ("algorithm", "n_clusters", "n_samples", "n_noise")
     return out.select(
-        F.lit(algorithm).alias("algorithm"),
-        *[F.col(c) if c in keep else F.when(several, F.col(c)).alias(c) for c in out.columns],
+        *[F.col(c) if c in keep else F.when(several, F.col(c)).alias(c) for c in out.columns]
     )
 
 

@@ -225,22 +225,37 @@ def k_distance_rows(
 
 
 def cluster_distance_sums(points: DataFrame) -> DataFrame:
-    """(pid, other, total): summed distances of each point to the rows of each cluster."""
+    """(pid, model, other, total): summed distances of a point to each cluster's rows.
+
+    ``labels`` holds a point's cluster under every model; all models share one
+    computation of the distances. Negative labels take no part.
+    """
 
     def sums(rows, others, same):
         d = distances(matrix(rows), matrix(others))
         parts = []
         for mine, theirs, gap in [(rows, others, d)] + ([] if same else [(others, rows, d.T)]):
-            weights, labels = theirs["w"].to_numpy(), theirs["cluster"].to_numpy()
-            for label in np.unique(labels):
-                at = labels == label
-                total = gap[:, at] @ weights[at]
-                parts.append(
-                    pd.DataFrame({"pid": mine["pid"], "other": int(label), "total": total})
-                )
-        return pd.concat(parts)
-
-    summed = over_pairs(
-        points, points, all_pairs(points), sums, "pid long, other int, total double"
-    )
-    return summed.groupBy("pid", "other").agg(F.sum("total").alias("total"))
+            weights = theirs["w"].to_numpy()
+            their_labels = np.stack(theirs["labels"].to_numpy())
+            my_labels = np.stack(mine["labels"].to_numpy())
+            pids = mine["pid"].to_numpy()
+            for model in range(their_labels.shape[1]):
+                label, valid = their_labels[:, model], my_labels[:, model] >= 0
+                for cluster in np.unique(label[label >= 0]):
+                    at = label == cluster
+                    total = gap[valid][:, at] @ weights[at]
+                    parts.append(
+                        pd.DataFrame(
+                            {
+                                "pid": pids[valid],
+                                "model": model,
+                                "other": int(cluster),
+                                "total": total,
+                            }
+                        )
+                    )
+        return pd.concat(parts) if parts else pd.DataFrame(columns=["pid", "model", "other", "total"])
+
+    schema = "pid long, model int, other int, total double"
+    summed = over_pairs(points, points, all_pairs(points), sums, schema)
+    return summed.groupBy("pid", "model", "other").agg(F.sum("total").alias("total"))

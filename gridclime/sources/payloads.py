@@ -11,7 +11,7 @@ from gridclime.functions.columns import known
 from gridclime.registry import PLACE, RAW_CODES
 
 PAYLOAD_SCHEMA = "properties struct<parameter: map<string, map<string, double>>>"
-FILE_PATTERN = r"nasa_power_(PT_\d+)_(-?[0-9.]+)_(-?[0-9.]+)\.csv$"
+FILE_PATTERN = r"nasa_power_(PT_\d+)_(-?[0-9.]+)_(-?[0-9.]+)\.csv(/|$)"
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
