@@ -1,0 +1,158 @@
+"""Bottom-up clustering in two stages.
+
+Spark first makes at most ``MICRO`` micro-clusters; their centers and weights
+are merged on the driver, which holds at most ``MICRO`` of them however many
+rows there are. With no more distinct rows than that, every row is its own
+micro-cluster and the merges are those of all rows.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gridclime.operators.models import Fitted, fit_kmeans
+from gridclime.operators.pairs import distances
+
+MICRO = 2000
+
+
+@dataclass(frozen=True)
+class MergeTree:
+    """Merges (left, right, height, rows) in order of height; leaves come first."""
+
+    merges: list[tuple[int, int, float, int]]
+    leaves: np.ndarray
+    weights: np.ndarray
+    micro: Fitted | None
+
+    def cut(self, k: int) -> list[int]:
+        """Cluster of every leaf: k clusters, most rows first, ties by smallest leaf."""
+        n = len(self.leaves)
+        parent = list(range(n + len(self.merges)))
+        for i, (a, b, _, _) in enumerate(self.merges[: max(0, n - k)]):
+            parent[a] = parent[b] = n + i
+        top = []
+        for leaf in range(n):
+            at = leaf
+            while parent[at] != at:
+                at = parent[at]
+            top.append(at)
+        groups: dict[int, list[int]] = {}
+        for leaf, at in enumerate(top):
+            groups.setdefault(at, []).append(leaf)
+        first = {at: min(tuple(self.leaves[i]) for i in g) for at, g in groups.items()}
+        rows = {at: self.weights[g].sum() for at, g in groups.items()}
+        ordered = sorted(groups, key=lambda at: (-rows[at], first[at]))
+        number = {at: i for i, at in enumerate(ordered)}
+        return [number[at] for at in top]
+
+    def labels(self, df: DataFrame, k: int, name: str = "cluster") -> DataFrame:
+        """Rows with their cluster."""
+        spark = df.sparkSession
+        numbers = self.cut(k)
+        if self.micro is None:
+            rows = [(leaf.tolist(), number) for leaf, number in zip(self.leaves, numbers)]
+            found = spark.createDataFrame(rows, f"x array<double>, {name} int")
+            return df.join(found, "x")
+        lookup = F.array(*[F.lit(n) for n in numbers])
+        placed = self.micro.labels(df, "_micro")
+        return placed.withColumn(name, lookup[F.col("_micro")]).drop("_micro")
+
+    def table(self, df: DataFrame) -> DataFrame:
+        """The merges as a table: step, left, right, height, rows."""
+        rows = [(i, int(a), int(b), float(h), int(n)) for i, (a, b, h, n) in enumerate(self.merges)]
+        return df.sparkSession.createDataFrame(
+            rows, "step int, left int, right int, height double, rows long"
+        )
+
+
+def merge_order(
+    centers: np.ndarray, weights: np.ndarray, linkage: str
+) -> list[tuple[int, int, float, int]]:
+    """All merges of weighted points, nearest neighbours first along chains.
+
+    Ward heights of single rows are their distances; average is the mean
+    distance between all rows of two clusters.
+    """
+    n = len(centers)
+    d = distances(centers, centers)
+    if linkage == "ward":
+        d = d * d * (2 * weights[:, None] * weights[None, :]) / (weights[:, None] + weights[None, :])
+    elif linkage != "average":
+        raise ValueError(f"unknown linkage {linkage!r}")
+    np.fill_diagonal(d, np.inf)
+    size = weights.astype(float).copy()
+    alive = np.ones(n, dtype=bool)
+    found, chain = [], []
+    for _ in range(n - 1):
+        if not chain:
+            chain.append(int(np.flatnonzero(alive)[0]))
+        while True:
+            at = chain[-1]
+            near = int(d[at].argmin())
+            if len(chain) > 1 and d[at, chain[-2]] <= d[at, near]:
+                near = chain[-2]
+            if len(chain) > 1 and near == chain[-2]:
+                break
+            chain.append(near)
+        a, b = sorted((chain.pop(), chain.pop()))
+        height, wa, wb = d[a, b], size[a], size[b]
+        if linkage == "ward":
+            new = ((size + wa) * d[a] + (size + wb) * d[b] - size * height) / (size + wa + wb)
+        else:
+            new = (wa * d[a] + wb * d[b]) / (wa + wb)
+        alive[a] = False
+        size[b] = wa + wb
+        d[b], d[:, b] = new, new
+        d[a], d[:, a] = np.inf, np.inf
+        d[b, b] = np.inf
+        d[b, ~alive] = np.inf
+        d[~alive, b] = np.inf
+        found.append((a, b, float(np.sqrt(height)) if linkage == "ward" else float(height)))
+    return _numbered(found, weights)
+
+
+def _numbered(found, weights) -> list[tuple[int, int, float, int]]:
+    """Merges sorted by height, with new clusters numbered after the leaves."""
+    n = len(weights)
+    parent, name, rows = list(range(n)), list(range(n)), list(weights)
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    out = []
+    for step, (a, b, height) in enumerate(sorted(found, key=lambda m: m[2])):
+        ra, rb = root(a), root(b)
+        total = rows[ra] + rows[rb]
+        out.append((name[ra], name[rb], height, int(total)))
+        parent[ra] = rb
+        rows[rb], name[rb] = total, n + step
+    return out
+
+
+def agglomerate(df: DataFrame, linkage: str = "ward", micro: int = MICRO) -> MergeTree:
+    """The merge tree of rows with ``x``."""
+    distinct = df.groupBy("x").agg(F.count(F.lit(1)).alias("w")).orderBy("x")
+    few = distinct.limit(micro + 1).collect()
+    if len(few) <= micro:
+        leaves = np.array([r["x"] for r in few])
+        weights = np.array([r["w"] for r in few], dtype=float)
+        return MergeTree(merge_order(leaves, weights, linkage), leaves, weights, None)
+    fitted = fit_kmeans(df, micro, restarts=1, max_iter=20)
+    sizes = {
+        r["_micro"]: r["n"]
+        for r in fitted.labels(df.select("x"), "_micro")
+        .groupBy("_micro")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    }
+    leaves = np.array(fitted.centers())[: len(sizes)]
+    weights = np.array([sizes[i] for i in range(len(leaves))], dtype=float)
+    return MergeTree(merge_order(leaves, weights, linkage), leaves, weights, fitted)
