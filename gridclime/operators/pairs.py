@@ -14,6 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridclime.functions.columns import as_lookup, with_one_row
 from gridclime.functions.lineage import materialize
@@ -125,7 +126,11 @@ def over_pairs(
     # Both sides may be one table: fresh columns keep them apart.
     two = two.select(*[F.col(c).alias(c) for c in two.columns])
 
+    names = StructType.fromDDL(schema).names
+
     def run(key, rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        if rows.empty or others.empty:
+            return pd.DataFrame(columns=names)
         return work(rows, others, key[0] == key[1])
 
     return one.groupBy("a", "b").cogroup(two.groupBy("a", "b")).applyInPandas(run, schema)
