@@ -18,7 +18,7 @@ OFFSET = 0.00000031
 
 
 def query(name: str, sql: str | None = None):
-    """Register a query; its doubles are rounded and its integers are bigint."""
+    """Register a query; doubles are rounded, integers are bigint, dates are text."""
 
     def register(build):
         QUERIES[name] = lambda spark, sf_dir: tidy(build(spark, sf_dir))
@@ -36,6 +36,8 @@ def tidy(df: DataFrame) -> DataFrame:
             return (F.round(c + OFFSET, 4) + 0.0).alias(field.name)
         if isinstance(field.dataType, T.IntegralType):
             return c.cast("bigint").alias(field.name)
+        if isinstance(field.dataType, T.DateType):
+            return c.cast("string").alias(field.name)
         return c
 
     return df.select(*[column(f) for f in df.schema.fields])
@@ -52,11 +54,20 @@ def big(expression: str, name: str | None = None) -> str:
 
 def rounded(sql: str, keys: str, doubles, bigs=()) -> str:
     """Final projection of a query over an inner one."""
-    columns = [keys] if keys else []
+    names = [k.strip() for k in keys.split(",")] if keys else []
+    columns = [day(k) if k in DATES else k for k in names]
     columns += [r(c) for c in doubles] + [big(c) for c in bigs]
     return f"SELECT {', '.join(columns)} FROM ({sql}) answer"
 
 
+DATES = ("date", "start")
+
+
+def day(expression: str, name: str | None = None) -> str:
+    """SQL for a date as text, as on the Spark side."""
+    return f"CAST({expression} AS VARCHAR) AS {name or expression}"
+
+
 def with_(ctes: dict[str, str], final: str) -> str:
     return "WITH " + ", ".join(f"{k} AS ({v})" for k, v in ctes.items()) + " " + final
 

@@ -13,6 +13,7 @@ from catalog.common import (
     RAW_NAMES,
     RENAMED_SQL,
     big,
+    day,
     hourly,
     normalized,
     query,
@@ -75,7 +76,8 @@ def _(spark, sf_dir):
             "days": f"SELECT {PLACE}, CAST(UNNEST(GENERATE_SERIES(MIN(date), MAX(date), "
             f"INTERVAL 1 DAY)) AS DATE) AS date FROM raw GROUP BY {PLACE}",
         },
-        f"SELECT d.* FROM days d ANTI JOIN raw w USING ({KEYS})",
+        f"SELECT d.latitude, d.longitude, {day('d.date', 'date')} FROM days d "
+        f"ANTI JOIN raw w USING ({KEYS})",
     ),
 )
 def _(spark, sf_dir):
@@ -288,7 +290,8 @@ def _(spark, sf_dir):
                 big("COUNT(*)", "total_rows"),
                 big("21", "total_columns"),
                 big("COUNT(DISTINCT (latitude, longitude))", "unique_places"),
-                "MIN(date) AS first_date, MAX(date) AS last_date",
+                day("MIN(date)", "first_date"),
+                day("MAX(date)", "last_date"),
                 big("6", "first_source_columns"),
                 big("15", "second_source_columns"),
                 r("COUNT(nasa_solar_irradiance_allsky)*100.0E0/COUNT(*)", "match_pct"),

@@ -20,13 +20,14 @@ NULL_THRESHOLD = 0.5
 def drop_duplicates(
     df: DataFrame, order_by: Sequence[str] = (), key: Sequence[str] = DAILY_KEY
 ) -> DataFrame:
-    """Keep the first row of every key by ``order_by`` (all other columns if not given).
+    """Keep the first row of every key by ``order_by`` (a hash of the row if not given).
 
     Spark limits each group to its first row before the shuffle as well, so a
     heavily repeated key does not arrive whole in one task.
     """
-    order = list(order_by) or [c for c in df.columns if c not in key]
-    first = Window.partitionBy(*key).orderBy(*[F.asc_nulls_last(c) for c in order])
+    rest = [c for c in df.columns if c not in key]
+    order = [F.asc_nulls_last(c) for c in order_by] or [F.xxhash64(*rest)] if rest else [*key]
+    first = Window.partitionBy(*key).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
@@ -76,25 +77,29 @@ def interpolate(
     growing frames; the second needs a sort but no shuffle.
     """
     position = Window.partitionBy(*place).orderBy("date")
-    behind = Window.partitionBy(*place).orderBy("_rn").rowsBetween(Window.unboundedPreceding, 0)
+    behind = position.rowsBetween(Window.unboundedPreceding, 0)
     ahead = (
-        Window.partitionBy(*place).orderBy(F.desc("_rn")).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*place).orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, 0)
     )
-    seen = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), "_rn"))
+    row = lambda c: F.when(F.col(c).isNotNull(), F.col("_rn"))
     out = df.withColumn("_rn", F.row_number().over(position))
-    out = out.withColumns({f"_p_{c}": F.last(seen(c), True).over(behind) for c in columns})
-    out = out.withColumns({f"_n_{c}": F.last(seen(c), True).over(ahead) for c in columns})
+    for side, window in (("p", behind), ("n", ahead)):
+        out = out.withColumns(
+            {f"_{side}v_{c}": F.last(c, True).over(window) for c in columns}
+            | {f"_{side}r_{c}": F.last(row(c), True).over(window) for c in columns}
+        )
 
     def filled(c: str):
-        before, after = F.col(f"_p_{c}"), F.col(f"_n_{c}")
-        from_left, from_right = F.col("_rn") - before["_rn"], after["_rn"] - F.col("_rn")
+        before, after = F.col(f"_pv_{c}").cast("double"), F.col(f"_nv_{c}").cast("double")
+        left, right = F.col(f"_pr_{c}"), F.col(f"_nr_{c}")
+        from_left, from_right = F.col("_rn") - left, right - F.col("_rn")
         near = (from_left <= limit) | (from_right <= limit)
-        line = before["v"] + (after["v"] - before["v"]) * from_left / (after["_rn"] - before["_rn"])
+        line = before + (after - before) * from_left / (right - left)
         return (
             F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
             .when(before.isNotNull() & after.isNotNull(), F.when(near, line))
-            .when(from_left <= limit, before["v"])
-            .when(from_right <= limit, after["v"])
+            .when(from_left <= limit, before)
+            .when(from_right <= limit, after)
         )
 
     return out.withColumns({c: filled(c) for c in columns}).select(*df.columns)
@@ -239,12 +244,19 @@ def summary(df: DataFrame, place: Sequence[str] = PLACE) -> DataFrame:
 
 
 def fill_missing(
-    df: DataFrame, scope: str = "table", place: Sequence[str] = PLACE
+    df: DataFrame,
+    scope: str = "table",
+    place: Sequence[str] = PLACE,
+    gaps: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All three fills, each only for columns that still hold NULLs."""
-    numbers = numeric_columns(df, exclude=place)
-    nulls = null_counts(df.select(*numbers)).first()
-    gaps = [c for c in numbers if nulls[c] > 0]
+    """All three fills, each only for columns that still hold NULLs.
+
+    ``gaps`` names the columns with NULLs, if they are known already.
+    """
+    if gaps is None:
+        numbers = numeric_columns(df, exclude=place)
+        nulls = null_counts(df.select(*numbers)).first()
+        gaps = [c for c in numbers if nulls[c] > 0]
     if not gaps:
         return df
     filled = materialize(fill_month_median(interpolate(df, gaps, place=place), gaps, place))
@@ -259,12 +271,24 @@ def clean(
     null_threshold: float = NULL_THRESHOLD,
     scope: str = "table",
     order_by: Sequence[str] = (),
+    ranges: Mapping[str, tuple] = CLIP_RANGES,
+    key: Sequence[str] = DAILY_KEY,
+    place: Sequence[str] = PLACE,
 ) -> DataFrame:
     """Duplicates, sparse columns, gaps, outliers, physical limits, in that order.
 
     ``scope`` says whether statistics come from the whole table or from each
-    place on its own.
+    place on its own. The rows are stored twice, without duplicates and without
+    gaps, because what follows reads them several times.
     """
-    unique = drop_duplicates(df, order_by)
-    dense = drop_sparse_columns(unique, null_threshold, scope)
-    return clip_physical(cap_outliers(fill_missing(dense, scope), method, factor, scope))
+    unique = materialize(drop_duplicates(df, order_by, key))
+    nulls = null_counts(unique).first()
+    values = [c for c in unique.columns if c not in key]
+    if scope == "place":
+        dense = drop_sparse_columns(unique, null_threshold, scope, key, place)
+    else:
+        dense = unique.drop(*[c for c in values if nulls[c] > null_threshold * nulls["_total"]])
+    numbers = numeric_columns(dense, exclude=key)
+    filled = fill_missing(dense, scope, place, [c for c in numbers if nulls[c] > 0])
+    capped = cap_outliers(filled, method, factor, scope, place=place)
+    return clip_physical(capped, ranges)

@@ -105,7 +105,7 @@ def dbscan(
     adopted = adopted.groupBy("pid").agg(F.min("component").alias("component"))
     labels = marked.join(owned.unionByName(adopted), "pid", "left")
     numbered = renumber(labels).select(F.col("x").alias(x), "cluster", "is_core")
-    return df.join(numbered, x)
+    return df.drop("cluster", "is_core").join(numbered, x)
 
 
 def _local_tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -305,7 +305,7 @@ def _read_tree(df, x, points, member, rows, heights) -> DataFrame:
         F.when(F.col("cluster") >= 0, F.col("probability")).otherwise(0.0).alias("probability"),
         F.coalesce("outlier_score", F.lit(1.0)).alias("outlier_score"),
     )
-    return df.join(answer, x)
+    return df.drop(*answer.columns[1:]).join(answer, x)
 
 
 def _outlier_scores(member: DataFrame, points: DataFrame, density: list[float]) -> DataFrame:

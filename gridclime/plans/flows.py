@@ -7,15 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from gridclime.functions.lineage import materialize
-from gridclime.operators.clean import clean
+from gridclime.operators.clean import clean, clip_physical
 from gridclime.operators.features import add_features
-from gridclime.operators.normalize import normalize
+from gridclime.operators.normalize import add_aliases, fill_from_mean, rename_codes
 from gridclime.operators.rollup import normals
 
 
 def daily_features(raw: DataFrame, scope: str = "table", order_by: Sequence[str] = ()) -> DataFrame:
-    """Raw daily rows, normalized, cleaned and with features."""
-    return add_features(clean(normalize(raw), scope=scope, order_by=order_by), scope=scope)
+    """Raw daily rows, normalized, cleaned and with features.
+
+    Aliases are copies, and all of cleaning but the physical limits treats each
+    column on its own whatever its name. So raw columns are cleaned once and
+    copied after that, with the limits of every name applied last.
+    """
+    values = clean(rename_codes(raw), scope=scope, order_by=order_by, ranges={})
+    return add_features(clip_physical(fill_from_mean(add_aliases(values))), scope=scope)
 
 
 def place_normals(

@@ -132,11 +132,14 @@ def sample_stratified(places: DataFrame, limit: int) -> DataFrame:
         # Right-closed bins: the number of edges below the value, at least 1.
         below = F.size(F.filter(inner, lambda edge: edge < F.col(axis)))
         cells = cells.withColumn(f"_{axis}_bin", F.greatest(below, F.lit(1)))
-    rank = F.row_number().over(
-        Window.partitionBy("_latitude_bin", "_longitude_bin").orderBy(point_number())
-    )
+    cell = ["_latitude_bin", "_longitude_bin"]
+    # Only the first ``limit`` of a cell matter: they are found in parts first,
+    # so a crowded cell is not ranked whole in one task.
+    part = Window.partitionBy(*cell, point_number() % 64).orderBy(point_number())
+    whole = Window.partitionBy(*cell).orderBy(point_number())
+    few = cells.withColumn("_rank", F.row_number().over(part)).filter(F.col("_rank") <= limit)
     return (
-        cells.withColumn("_rank", rank)
+        few.withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= limit)
         .orderBy("_rank", "latitude", "longitude")
         .limit(limit)
