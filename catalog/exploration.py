@@ -9,6 +9,7 @@ from catalog.common import KEYS, NORMALIZED_CTES, big, normalized, query, r, raw
 from catalog.daily import CLEAN_CTES, cleaned
 from catalog.rollups import MONTH, PLACE, SEASON_SQL, SEASON_YEAR, YEAR
 from gridclime.operators import explore, profile
+from gridclime.sources import projections as P
 
 MAIN = [
     "temperature_2m_mean",
@@ -190,6 +191,21 @@ def _(spark, sf_dir):
     return picked
 
 
+@query(
+    "sample_region_sizes",
+    with_(
+        {"raw": P.NASA_RAW},
+        f"SELECT {REGION} AS region, {big('LEAST(COUNT(*), 5000)', 'n')} FROM raw GROUP BY {REGION}",
+    ),
+)
+def _(spark, sf_dir):
+    rows = raw(spark, sf_dir).withColumn(
+        "region", explore.compass_region(F.col("latitude"), F.col("longitude"))
+    )
+    picked = explore.sample_per_group(rows, "region", 5000, ["latitude", "longitude", "date"])
+    return picked.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("sample_rows")
 def _(spark, sf_dir):
     rows = raw(spark, sf_dir).select("latitude", "longitude", "date", "T2M")

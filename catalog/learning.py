@@ -104,6 +104,56 @@ def projected(spark, sf_dir):
     return regions.reduced(rows.drop("cluster"))
 
 
+# Of two standardized features the components are known: their sum and their
+# difference over √2, with shares (1 ± |r|)/2.
+PAIR = ["temperature_2m_mean", "precipitation_sum"]
+PAIR_CTES = {
+    **LABELLED_CTES,
+    "zed": f"SELECT {PLACE}, (temperature_2m_mean - AVG(temperature_2m_mean) OVER ())/"
+    "(STDDEV_POP(temperature_2m_mean) OVER ()) AS a, (precipitation_sum - "
+    "AVG(precipitation_sum) OVER ())/(STDDEV_POP(precipitation_sum) OVER ()) AS b FROM lab",
+    "rho": "SELECT CORR(a, b) AS r FROM zed",
+}
+
+
+def pair_projection(spark, sf_dir):
+    rows = labelled(spark, sf_dir)
+    scaling = reduce.fit_scaling(rows, PAIR)
+    return rows, scaling, reduce.fit_projection(scaling.transform(rows), variance=2)
+
+
+@query(
+    "explained_variance_of_a_pair",
+    with_(
+        PAIR_CTES,
+        f"SELECT {big('1', 'component')}, {r('(1 + ABS(r))/2', 'ratio')}, "
+        f"{r('(1 + ABS(r))/2', 'cumulative')} FROM rho UNION ALL SELECT {big('2', 'component')}, "
+        f"{r('(1 - ABS(r))/2', 'ratio')}, {r('1E0', 'cumulative')} FROM rho",
+    ),
+)
+def _(spark, sf_dir):
+    return reduce.explained_variance(spark, pair_projection(spark, sf_dir)[2])
+
+
+@query(
+    "projection_of_a_pair",
+    rounded(
+        with_(
+            PAIR_CTES,
+            f"SELECT {PLACE}, (a + SIGN(r)*b)/SQRT(2) AS pc1, (a - SIGN(r)*b)/SQRT(2) AS pc2 "
+            "FROM zed, rho",
+        ),
+        PLACE,
+        ["pc1", "pc2"],
+    ),
+)
+def _(spark, sf_dir):
+    rows, scaling, projection = pair_projection(spark, sf_dir)
+    return reduce.projection_table(rows, scaling, projection).select(
+        "latitude", "longitude", "pc1", "pc2"
+    )
+
+
 @query("explained_variance")
 def _(spark, sf_dir):
     return reduce.explained_variance(spark, projected(spark, sf_dir)[1])

@@ -70,7 +70,7 @@ def fit_kmeans(
     restarts: int = 10,
     max_iter: int = 300,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Fitted:
     """K-Means with the least inertia of several seeds."""
     rows = with_vector(df).select("x", "features").persist()
@@ -91,7 +91,7 @@ def fit_mixture(
     restarts: int = 5,
     max_iter: int = 200,
     seed: int = SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> Fitted:
     """Gaussian mixture, full covariance, with the best likelihood of several seeds.
 

@@ -137,7 +137,9 @@ def fit_projection(
     else:
         keep = min(int(variance), size)
     loadings = pca.pc.toArray().T[:keep]
-    signs = np.sign(loadings[np.arange(keep), np.abs(loadings).argmax(axis=1)])
+    # Rounded, so that equal loadings go to the first feature on any machine.
+    largest = np.abs(loadings).round(9).argmax(axis=1)
+    signs = np.sign(loadings[np.arange(keep), largest])
     signs[signs == 0] = 1.0
     slicer = VectorSlicer(inputCol="_projected", outputCol="_sliced", indices=list(range(keep)))
     flip = ElementwiseProduct(
