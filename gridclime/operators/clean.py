@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridclime.functions.columns import clip, numeric_columns, with_one_row
+from gridclime.functions.columns import clip, numeric_columns
 from gridclime.functions.lineage import materialize
 from gridclime.functions.quantiles import quantiles
 from gridclime.registry import CLIP_RANGES, DAILY_KEY, PLACE, UNCAPPED_COLUMNS
@@ -126,16 +126,26 @@ def fill_median(
         return df.withColumns(
             {c: F.coalesce(F.col(c), F.percentile(c, 0.5).over(whole)) for c in columns}
         )
-    out = with_one_row(df, quantiles(df, columns, [0.5]), "_median")
-    return out.withColumns(
-        {c: F.coalesce(F.col(c), F.col(f"_median.{c}")[0]) for c in columns}
-    ).drop("_median")
+    medians = quantiles(df, columns, [0.5]).first()
+    return df.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c][0])) for c in columns})
 
 
 def cap_columns(df: DataFrame) -> list[str]:
     return numeric_columns(df, exclude=UNCAPPED_COLUMNS)
 
 
+Limits = dict[str, tuple[Column, Column]]
+
+
+def _limits(first: Column, second: Column, method: str, factor: float) -> tuple[Column, Column]:
+    """(lo, hi) from quartiles, or from mean and deviation; NULL where nothing is capped."""
+    if method == "iqr":
+        spread = factor * (second - first)
+        return first - spread, second + spread
+    spread = F.when(second > 0, factor * second)
+    return first - spread, first + spread
+
+
 def _with_limits(
     df: DataFrame,
     columns: Sequence[str],
@@ -143,34 +153,29 @@ def _with_limits(
     factor: float,
     scope: str,
     place: Sequence[str],
-) -> DataFrame:
-    """Add ``_limits``: a struct of (lo, hi) per column; NULL where nothing is capped."""
+) -> tuple[DataFrame, Limits]:
+    """Rows and the limits of each column.
+
+    Limits of the whole table are two numbers per column, computed here and put
+    into the plan, so later steps do not compute them again.
+    """
+    pair = lambda c: (F.avg(c), F.stddev_samp(c))
+    if scope == "table":
+        if method == "iqr":
+            row = quantiles(df, columns, [0.25, 0.75]).first()
+        else:
+            row = df.agg(*[F.array(*pair(c)).alias(c) for c in columns]).first()
+        found = {c: [F.lit(v).cast("double") for v in row[c]] for c in columns}
+        return df, {c: _limits(*found[c], method, factor) for c in columns}
     whole = Window.partitionBy(*place)
-    if method == "iqr" and scope == "table":
-        out = with_one_row(df, quantiles(df, columns, [0.25, 0.75]), "_s")
-    elif method == "iqr":
+    if method == "iqr":
         quarters = F.array(F.lit(0.25), F.lit(0.75))
-        out = df.withColumn(
-            "_s", F.struct(*[F.percentile(c, quarters).over(whole).alias(c) for c in columns])
-        )
+        stats = {f"_s_{c}": F.percentile(c, quarters).over(whole) for c in columns}
     else:
-        pair = lambda c, over: F.array(over(F.avg(c)), over(F.stddev_samp(c))).alias(c)
-        if scope == "table":
-            out = with_one_row(df, df.agg(*[pair(c, lambda x: x) for c in columns]), "_s")
-        else:
-            out = df.withColumn(
-                "_s", F.struct(*[pair(c, lambda x: x.over(whole)) for c in columns])
-            )
-
-    def limits(c: str):
-        first, second = F.col(f"_s.{c}")[0], F.col(f"_s.{c}")[1]
-        if method == "iqr":
-            spread = factor * (second - first)
-            return F.struct((first - spread).alias("lo"), (second + spread).alias("hi"))
-        spread = F.when(second > 0, factor * second)
-        return F.struct((first - spread).alias("lo"), (first + spread).alias("hi"))
-
-    return out.withColumn("_limits", F.struct(*[limits(c).alias(c) for c in columns])).drop("_s")
+        stats = {f"_s_{c}": F.array(*[f.over(whole) for f in pair(c)]) for c in columns}
+    out = df.withColumns(stats)
+    found = {c: (F.col(f"_s_{c}")[0], F.col(f"_s_{c}")[1]) for c in columns}
+    return out, {c: _limits(*found[c], method, factor) for c in columns}
 
 
 def cap_outliers(
@@ -190,13 +195,8 @@ def cap_outliers(
     columns = cap_columns(df) if columns is None else list(columns)
     if method == "physical" or not columns:
         return df
-    out = _with_limits(df, columns, method, factor, scope, place)
-    return out.withColumns(
-        {
-            c: clip(F.col(c), F.col(f"_limits.{c}.lo"), F.col(f"_limits.{c}.hi"))
-            for c in columns
-        }
-    ).drop("_limits")
+    out, limits = _with_limits(df, columns, method, factor, scope, place)
+    return out.withColumns({c: clip(F.col(c), *limits[c]) for c in columns}).select(*df.columns)
 
 
 def capped_counts(
@@ -204,9 +204,8 @@ def capped_counts(
 ) -> DataFrame:
     """(column, capped): values that ``cap_outliers`` would change."""
     columns = cap_columns(df)
-    out = _with_limits(df, columns, method, factor, scope, PLACE)
-    limit = lambda c, side: F.col(f"_limits.{c}.{side}")
-    beyond = lambda c: (F.col(c) < limit(c, "lo")) | (F.col(c) > limit(c, "hi"))
+    out, limits = _with_limits(df, columns, method, factor, scope, PLACE)
+    beyond = lambda c: (F.col(c) < limits[c][0]) | (F.col(c) > limits[c][1])
     wide = out.agg(*[F.count_if(beyond(c)).alias(c) for c in columns])
     return wide.unpivot([], columns, "column", "capped")
 

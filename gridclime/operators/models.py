@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
+MIXTURE_TOLERANCE = 1e-3
 
 
 @dataclass(frozen=True)
@@ -64,6 +66,33 @@ def _best(fit: Callable[[int], object], seeds: Sequence[int], cost, parallelism:
     return min(fits, key=cost)
 
 
+def prepared(df: DataFrame) -> DataFrame:
+    """The columns a fit reads, kept in memory; pass it to several fits and unpersist it."""
+    return with_vector(df).select("x", "features").persist()
+
+
+@contextmanager
+def _rows(df: DataFrame):
+    """Prepared rows; those prepared here are released afterwards."""
+    if df.columns == ["x", "features"]:
+        yield df
+        return
+    rows = prepared(df)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
+def fit_each(
+    fit: Callable, df: DataFrame, ks: Sequence[int], restarts: int, parallelism: int = 8
+) -> dict[int, Fitted]:
+    """Fits for several k side by side, over one prepared copy of the rows."""
+    with _rows(df) as rows, ThreadPoolExecutor(max_workers=parallelism) as pool:
+        found = pool.map(lambda k: fit(rows, k, restarts, parallelism=1), ks)
+        return dict(zip(ks, found))
+
+
 def fit_kmeans(
     df: DataFrame,
     k: int,
@@ -73,16 +102,15 @@ def fit_kmeans(
     parallelism: int = 8,
 ) -> Fitted:
     """K-Means with the least inertia of several seeds."""
-    rows = with_vector(df).select("x", "features").persist()
+    with _rows(df) as rows:
 
-    def fit(s: int):
-        return KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=s, tol=1e-4).fit(rows)
+        def fit(s: int):
+            return KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=s, tol=1e-4).fit(rows)
 
-    seeds = range(seed, seed + restarts)
-    best = _best(fit, seeds, lambda m: m.summary.trainingCost, parallelism)
-    out = Fitted(best, _ordered(best, rows), best.summary.trainingCost, best.summary.numIter)
-    rows.unpersist()
-    return out
+        seeds = range(seed, seed + restarts)
+        best = _best(fit, seeds, lambda m: m.summary.trainingCost, parallelism)
+        summary = best.summary
+        return Fitted(best, _ordered(best, rows), summary.trainingCost, summary.numIter)
 
 
 def fit_mixture(
@@ -95,27 +123,28 @@ def fit_mixture(
 ) -> Fitted:
     """Gaussian mixture, full covariance, with the best likelihood of several seeds.
 
-    ``cost`` is the negative total log-likelihood.
+    ``cost`` is the negative total log-likelihood. Iteration ends when the mean
+    log-likelihood of a row gains less than ``MIXTURE_TOLERANCE``; MLlib's own
+    tolerance is on the total.
     """
-    rows = with_vector(df).select("x", "features").persist()
+    with _rows(df) as rows:
+        tol = MIXTURE_TOLERANCE * rows.count()
 
-    def fit(s: int):
-        return GaussianMixture(k=k, maxIter=max_iter, seed=s).fit(rows)
+        def fit(s: int):
+            return GaussianMixture(k=k, maxIter=max_iter, seed=s, tol=tol).fit(rows)
 
-    seeds = range(seed, seed + restarts)
-    best = _best(fit, seeds, lambda m: -m.summary.logLikelihood, parallelism)
-    out = Fitted(best, _ordered(best, rows), -best.summary.logLikelihood, best.summary.numIter)
-    rows.unpersist()
-    return out
+        seeds = range(seed, seed + restarts)
+        best = _best(fit, seeds, lambda m: -m.summary.logLikelihood, parallelism)
+        summary = best.summary
+        return Fitted(best, _ordered(best, rows), -summary.logLikelihood, summary.numIter)
 
 
 def fit_bisecting(df: DataFrame, k: int, max_iter: int = 20, seed: int = SEED) -> Fitted:
     """Top-down K-Means."""
-    rows = with_vector(df).select("x", "features").persist()
-    best = BisectingKMeans(k=k, maxIter=max_iter, seed=seed).fit(rows)
-    out = Fitted(best, _ordered(best, rows), best.summary.trainingCost, best.summary.numIter)
-    rows.unpersist()
-    return out
+    with _rows(df) as rows:
+        best = BisectingKMeans(k=k, maxIter=max_iter, seed=seed).fit(rows)
+        summary = best.summary
+        return Fitted(best, _ordered(best, rows), summary.trainingCost, summary.numIter)
 
 
 def memberships(df: DataFrame, mixture: Fitted) -> DataFrame:

@@ -18,8 +18,8 @@ CLIMATE_KS = (6, 7, 8)
 def elbow(df: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = 10) -> DataFrame:
     """(k, inertia, n_iter, inertia_diff, inertia_diff2)."""
     n = df.count()
-    fits = [(k, models.fit_kmeans(df, k, restarts)) for k in ks if 2 <= k < n]
-    rows = [(k, float(f.cost), int(f.iterations)) for k, f in fits]
+    fits = models.fit_each(models.fit_kmeans, df, [k for k in ks if 2 <= k < n], restarts)
+    rows = [(k, float(f.cost), int(f.iterations)) for k, f in fits.items()]
     return with_differences(
         df.sparkSession.createDataFrame(rows, "k int, inertia double, n_iter int")
     )
@@ -39,11 +39,11 @@ def silhouette_by_k(
 ) -> DataFrame:
     """(k, silhouette); the labels of all k are scored on one set of distances."""
     n = df.count()
+    fits = models.fit_each(models.fit_kmeans, df, [k for k in ks if 2 <= k < n], restarts)
     labelled, columns = df.select("x"), {}
-    for k in ks:
-        if 2 <= k < n:
-            columns[str(k)] = f"k{k}"
-            labelled = models.fit_kmeans(df, k, restarts).labels(labelled, f"k{k}")
+    for k, fitted in fits.items():
+        columns[str(k)] = f"k{k}"
+        labelled = fitted.labels(labelled, f"k{k}")
     scores = metrics.silhouettes(labelled, columns)
     return scores.select(F.col("algorithm").cast("int").alias("k"), "silhouette")
 
@@ -53,11 +53,11 @@ def information_by_k(
 ) -> DataFrame:
     """(k, bic, aic, converged) of mixtures."""
     n = df.count()
+    fits = models.fit_each(models.fit_mixture, df, [k for k in ks if 1 <= k <= n], restarts)
     rows = []
-    for k in ks:
-        if 1 <= k <= n:
-            found = models.information(models.fit_mixture(df, k, restarts), n)
-            rows.append((k, found["bic"], found["aic"], found["converged"]))
+    for k, fitted in fits.items():
+        found = models.information(fitted, n)
+        rows.append((k, found["bic"], found["aic"], found["converged"]))
     return df.sparkSession.createDataFrame(
         rows, "k int, bic double, aic double, converged boolean"
     )

@@ -81,16 +81,18 @@ def label_all(
         "ward": ("Ward", agglomerative.agglomerate(points, "ward")),
         "avg": ("Average", agglomerative.agglomerate(points, "average")),
     }
+    means = models.fit_each(models.fit_kmeans, points, ks, restarts)
+    mixtures = models.fit_each(models.fit_mixture, points, ks, mixture_restarts)
     out = rows
     for i, k in enumerate(ks):
         name, column = names("K-Means", "kmeans", i, k)
-        fitted[name] = models.fit_kmeans(points, k, restarts)
+        fitted[name] = means[k]
         out, columns[name] = fitted[name].labels(out, column), column
         for key, (word, tree) in trees.items():
             name, column = names("Hierarchical", f"hierarchical_{key}", i, k, word)
             out, columns[name] = tree.labels(out, k, column), column
         name, column = names("GMM", "gmm", i, k)
-        fitted[name] = models.fit_mixture(points, k, mixture_restarts)
+        fitted[name] = mixtures[k]
         out, columns[name] = fitted[name].labels(out, column), column
     out = materialize(out)
     noisy = density.dbscan(points, eps, min_samples)
