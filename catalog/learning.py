@@ -245,20 +245,20 @@ def _(spark, sf_dir):
     return sweeps.silhouette_by_k(points(spark, sf_dir), range(3, 9), 3)
 
 
-# Two-dimensional points with many copies, from the parts.
-PART_POINTS = (
-    "SELECT p_partkey, CAST(p_size AS DOUBLE) AS x1, FLOOR(p_retailprice/40.0E0) AS x2 FROM part"
+# Points in columns, with copies, gaps and stray rows, from the customers.
+SPREAD = (
+    "SELECT c_custkey, 10.0E0*c_nationkey AS x1, CAST(FLOOR(c_acctbal/50.0E0) AS DOUBLE) AS x2 "
+    "FROM customer"
 )
-EPS, MIN_SAMPLES = 1.5, 14
+EPS, MIN_SAMPLES = 4.0, 6
 
 
-def part_points(spark, sf_dir):
-    rows = P.view(spark, sf_dir, PART_POINTS)
-    return rows.select("p_partkey", F.array("x1", F.col("x2").cast("double")).alias("x"))
+def spread_points(spark, sf_dir):
+    return P.view(spark, sf_dir, SPREAD).select("c_custkey", F.array("x1", "x2").alias("x"))
 
 
 DBSCAN_CTES = {
-    "rows_": PART_POINTS,
+    "rows_": SPREAD,
     "spots": "SELECT x1, x2, COUNT(*) AS w, ROW_NUMBER() OVER (ORDER BY x1, x2) AS id "
     "FROM rows_ GROUP BY x1, x2",
     "near": "SELECT a.id AS a, b.id AS b, b.w FROM spots a JOIN spots b "
@@ -276,14 +276,14 @@ DBSCAN_CTES = {
     "dbscan_core_rows",
     with_(
         {k: DBSCAN_CTES[k] for k in ("rows_", "spots", "near", "cores")},
-        f"SELECT {big('p_partkey')}, s.id IN (SELECT id FROM cores) AS is_core, "
+        f"SELECT {big('c_custkey')}, s.id IN (SELECT id FROM cores) AS is_core, "
         "CASE WHEN EXISTS (SELECT 1 FROM near n JOIN cores c ON n.b = c.id WHERE n.a = s.id) "
         "THEN FALSE ELSE TRUE END AS is_noise FROM rows_ JOIN spots s USING (x1, x2)",
     ),
 )
 def _(spark, sf_dir):
-    found = density.dbscan(part_points(spark, sf_dir), EPS, MIN_SAMPLES)
-    return found.select("p_partkey", "is_core", (F.col("cluster") < 0).alias("is_noise"))
+    found = density.dbscan(spread_points(spark, sf_dir), EPS, MIN_SAMPLES)
+    return found.select("c_custkey", "is_core", (F.col("cluster") < 0).alias("is_noise"))
 
 
 @query(
@@ -295,22 +295,28 @@ def _(spark, sf_dir):
     + r("MIN(x1)", "x1_min")
     + ", "
     + r("MAX(x1)", "x1_max")
+    + ", "
+    + r("MIN(x2)", "x2_min")
+    + ", "
+    + r("MAX(x2)", "x2_max")
     + " FROM core_rows GROUP BY part",
 )
 def _(spark, sf_dir):
-    found = density.dbscan(part_points(spark, sf_dir), EPS, MIN_SAMPLES).filter("is_core")
+    found = density.dbscan(spread_points(spark, sf_dir), EPS, MIN_SAMPLES).filter("is_core")
     return found.groupBy("cluster").agg(
         F.count(F.lit(1)).alias("core_rows"),
         F.count_distinct("x").alias("core_spots"),
         F.min(F.col("x")[0]).alias("x1_min"),
         F.max(F.col("x")[0]).alias("x1_max"),
+        F.min(F.col("x")[1]).alias("x2_min"),
+        F.max(F.col("x")[1]).alias("x2_max"),
     ).drop("cluster")
 
 
 @query("dbscan")
 def _(spark, sf_dir):
-    found = density.dbscan(part_points(spark, sf_dir), EPS, MIN_SAMPLES)
-    return found.select("p_partkey", "cluster", "is_core")
+    found = density.dbscan(spread_points(spark, sf_dir), EPS, MIN_SAMPLES)
+    return found.select("c_custkey", "cluster", "is_core")
 
 
 @query("dbscan_noise")
@@ -344,17 +350,17 @@ def _(spark, sf_dir):
     "k_distance_quantile",
     with_(
         {
-            "spots": PART_POINTS,
-            "d": "SELECT a.p_partkey, SQRT((a.x1 - b.x1)*(a.x1 - b.x1) + "
+            "spots": SPREAD,
+            "d": "SELECT a.c_custkey, SQRT((a.x1 - b.x1)*(a.x1 - b.x1) + "
             "(a.x2 - b.x2)*(a.x2 - b.x2)) AS d FROM spots a, spots b",
-            "k": "SELECT p_partkey, d FROM d QUALIFY ROW_NUMBER() OVER "
-            "(PARTITION BY p_partkey ORDER BY d) = 5",
+            "k": "SELECT c_custkey, d FROM d QUALIFY ROW_NUMBER() OVER "
+            "(PARTITION BY c_custkey ORDER BY d) = 5",
         },
         f"SELECT {r('QUANTILE_CONT(d, 0.9)', 'eps')} FROM k",
     ),
 )
 def _(spark, sf_dir):
-    rows = part_points(spark, sf_dir)
+    rows = spread_points(spark, sf_dir)
     eps = sweeps.estimate_eps(rows, 5)
     return rows.limit(1).select(F.lit(eps).alias("eps"))
 
