@@ -84,21 +84,21 @@ def removed_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
 
     Hashes that occur at two places or more are few; only chunks with such a
     hash are compared. Counting combines before the shuffle, and the joins are
-    plain ones whose hot keys Spark splits.
+    sorted merges at every size, whose hot keys Spark splits.
     """
     rows = _chunk_rows(docs, divisor)
     place = F.struct("id", "text_key", "chunk")
     found = rows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash")
-    suspects = stage(rows.join(stage(found), "hash"))
+    suspects = stage(rows.join(stage(found).hint("merge"), "hash"))
     firsts = stage(suspects.groupBy("hash", "text").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high"))
-    return suspects.join(firsts, ["hash", "text"]).where(place > F.col("low")).select("id", "text_key", "chunk").distinct()
+    return suspects.join(firsts.hint("merge"), ["hash", "text"]).where(place > F.col("low")).select("id", "text_key", "chunk").distinct()
 
 
 def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """All columns of ``docs`` in `row`, and n_lines, n_chunks, removed (chunk numbers), lines_removed, kept_text."""
     gone = stage(removed_chunks(docs, divisor).groupBy("id", "text_key").agg(F.sort_array(F.collect_set("chunk")).alias("removed")))
     rows = docs.select(F.struct("*").alias("row"), id_key().alias("id"), text_key().alias("text_key"))
-    joined = rows.join(gone, ["id", "text_key"], "left").select("row", "id", "removed")
+    joined = rows.join(gone.hint("merge"), ["id", "text_key"], "left").select("row", "id", "removed")
 
     def kept(a: Column) -> Column:
         lines, removed = a.getField("lines"), a.getField("removed")
