@@ -152,7 +152,7 @@ def dedup(history: DataFrame, batch: DataFrame) -> DataFrame:
     asked = stage(distinct_digests(rows.where("NOT old"), "newest"))
     buckets = max(1, max(known.count(), asked.count()) // BUCKET_KEYS)
     groups = stage(settle(build_table(known, buckets), asked, buckets))
-    grouped = stage(rows.drop("old").join(groups, "digest"))
+    grouped = stage(rows.drop("old").join(groups.hint("merge"), "digest"))
     repeats = texts_of_repeats(history, batch, grouped)
     clashes = stage(
         repeats.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high")).where("low <> high").select("digest")
@@ -185,4 +185,4 @@ def texts_of_repeats(history: DataFrame, batch: DataFrame, grouped: DataFrame) -
     repeats = grouped.where("group_size > 1").select("id", "text_key", "digest").distinct()
     columns = [id_key().alias("id"), text_key().alias("text_key"), normalized().alias("text")]
     texts = history.select(*columns).unionByName(batch.select(*columns))
-    return repeats.join(texts, ["id", "text_key"])
+    return texts.join(repeats.hint("merge"), ["id", "text_key"])

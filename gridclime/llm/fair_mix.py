@@ -76,14 +76,14 @@ def queue(sizes: DataFrame, goals: DataFrame, buckets: int) -> DataFrame:
         dealt.groupBy("source_key", "range")
         .agg(F.sum("size").alias("words"))
         .select("source_key", "range", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("start"))
-        .join(goals, "source_key")
+        .join(goals.hint("merge"), "source_key")
     )
     inside = Window.partitionBy("source_key", "range").orderBy("shuffle", "doc_id", "size", "text_key")
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
         dealt.withColumn("upto", upto)
         .withColumn("place", F.row_number().over(inside))
-        .join(starts.drop("source"), ["source_key", "range"])
+        .join(starts.drop("source").hint("merge"), ["source_key", "range"])
         .withColumn("words", F.col("start") + F.col("upto"))
     )
 
@@ -185,7 +185,7 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     copies = F.expr("copies div rows + CASE WHEN twin <= copies % rows THEN 1 ELSE 0 END")
     return (
         rows.withColumn("twin", twin)
-        .join(chosen, keys)
+        .join(chosen.hint("merge"), keys)
         .withColumn("copies", copies)
         .where("copies > 0")
         .select("row", "id", "text_key", "finish", "round", F.explode(F.expr("sequence(0L, copies - 1)")).alias("epoch"))

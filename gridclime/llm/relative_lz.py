@@ -115,7 +115,7 @@ def entries_by_document(docs: DataFrame) -> DataFrame:
         .where("first.id < last")
         .select("hash", F.col("first.id").alias("source"), F.col("first.place").alias("source_place"))
     )
-    shared = anchors.select("hash", "id").join(index, "hash")
+    shared = anchors.select("hash", "id").join(index.hint("merge"), "hash")
     listed = shared.groupBy("id").agg(F.collect_list(F.struct("hash", "source", "source_place")).alias("found"))
     return listed.select(
         "id", F.col("found.hash").alias("hashes"), F.col("found.source").alias("sources"), F.col("found.source_place").alias("places")
@@ -192,7 +192,7 @@ def parse(docs: DataFrame) -> DataFrame:
                     names=[f.split()[0] for f in schema.split(", ")],
                 )
 
-    return texts.join(entries, "id").mapInArrow(work, schema)
+    return texts.join(entries.hint("merge"), "id").mapInArrow(work, schema)
 
 
 def duplicate_spans(docs: DataFrame) -> DataFrame:
@@ -201,11 +201,11 @@ def duplicate_spans(docs: DataFrame) -> DataFrame:
     asked = parsed.select("id", "text_key", F.inline(F.arrays_zip("open", "h1", "h2")))
     key = ["h1", "h2"]
     held = stage(asked.groupBy(*key).agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select(*key, "least"))
-    found = asked.join(held, key).where("id > least").groupBy("id", "text_key").agg(F.collect_set("open").alias("windows"))
+    found = asked.join(held.hint("merge"), key).where("id > least").groupBy("id", "text_key").agg(F.collect_set("open").alias("windows"))
     none = F.array().cast("array<int>")
     return (
         parsed.select("id", "text_key", "starts", "stops")
-        .join(stage(found), ["id", "text_key"], "left")
+        .join(stage(found).hint("merge"), ["id", "text_key"], "left")
         .where("size(starts) > 0 OR windows IS NOT NULL")
         .select("id", "text_key", "starts", "stops", F.coalesce("windows", none).alias("windows"))
         .dropDuplicates(["id", "text_key"])
@@ -257,5 +257,5 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
                 )
 
     none = F.array().cast("array<int>")
-    joined = texts.join(spans, ["id", "text_key"], "left")
+    joined = texts.join(spans.hint("merge"), ["id", "text_key"], "left")
     return joined.select("doc_id", "text", *[F.coalesce(c, none).alias(c) for c in ("starts", "stops", "windows")]).mapInArrow(work, schema)

@@ -115,7 +115,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, distance: int = 2, hot: int
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component"))
     of = stage(rooted.join(lowest, "root").select("fp", "component"))
-    return marked.join(of, "fp")
+    return marked.join(of.hint("merge"), "fp")
 
 
 def keep_one(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
@@ -126,4 +126,4 @@ def keep_one(docs: DataFrame, width: int = 3, distance: int = 2) -> DataFrame:
     )
     rows = docs.select(F.struct("*").alias("row"), id_key().alias("id"), text_key().alias("text_key"))
     first = F.row_number().over(Window.partitionBy("id", "text_key").orderBy("id"))
-    return rows.join(chosen, ["id", "text_key"]).withColumn("n", first).where("n = 1").select("row.*")
+    return rows.join(chosen.hint("merge"), ["id", "text_key"]).withColumn("n", first).where("n = 1").select("row.*")
