@@ -155,7 +155,7 @@ def gram_hashes(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
 class Memory:
     """Codes of byte strings seen before, bounded; it saves work and has no influence on results."""
 
-    def __init__(self, most: int = 400_000, longest: int = 24):
+    def __init__(self, most: int = 300_000, longest: int = 24):
         self.most, self.longest, self.known = most, longest, {}
 
     def codes(self, strings: list[bytes], missing) -> list[bytes]:

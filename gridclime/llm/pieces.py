@@ -32,7 +32,7 @@ from gridclime.llm.common import Memory, encode_segments, slices, text_bytes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Segments kept in memory by a worker, and characters of segments that are matched at once.
-MEMORY, CHARS = 400_000, 600_000
+MEMORY, CHARS = 300_000, 400_000
 NONE = -1
 #: Code points are moved up by one, so that 0 is free
 _SHIFT = 1
@@ -262,7 +262,7 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", name: str = "
     def of(column: pa.Array) -> pa.Array:
         pieces = held(shipped.value)
         data, ends = text_bytes(column)
-        done = [pieces.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i]) for i, j in slices(ends, 1 << 22)]
+        done = [pieces.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i]) for i, j in slices(ends, 1 << 21)]
         values = np.concatenate([d[0] for d in done]) if done else np.zeros(0, np.int32)
         shift = np.cumsum([0] + [len(d[0]) for d in done])
         bounds = np.concatenate([[0]] + [d[1][1:] + s for d, s in zip(done, shift, strict=False)]).astype(np.int32)

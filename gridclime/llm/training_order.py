@@ -53,12 +53,27 @@ class Tokens:
         table = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line)}
         self.coder = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
         self.end = len(table)
+        self.widths = np.zeros(self.end, dtype=np.int64)
+        self.widths[list(table.values())] = [len(k) for k in table]
         self.kind = np.dtype("<u2") if self.end < 2**16 else np.dtype("<u4")
         self.memory = Memory()
 
     def _missing(self, segments: list[bytes]) -> list[bytes]:
-        code = self.coder.encode_ordinary
-        return [np.array(code(s.decode("utf-8", "replace")), dtype=self.kind).tobytes() for s in segments]
+        """Ids of segments. Those of one blank and a word are coded together: the pattern cuts before each blank."""
+        out = [b""] * len(segments)
+        plain = [k for k, s in enumerate(segments) if len(s) > 1 and s[0] == 0x20 and len(s.split()) == 1 and s[1] > 0x20 and s[-1] > 0x20]
+        alone = set(range(len(segments))).difference(plain)
+        for at in range(0, len(plain), 20_000):
+            part = plain[at : at + 20_000]
+            ids = np.array(self.coder.encode_ordinary(b"".join([segments[k] for k in part]).decode("utf-8", "replace")), dtype=self.kind)
+            ends = np.cumsum([len(segments[k]) for k in part])
+            bounds = np.concatenate([[0], np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1])
+            packed, size = ids.tobytes(), self.kind.itemsize
+            for k, a, b in zip(part, (bounds[:-1] * size).tolist(), (bounds[1:] * size).tolist(), strict=True):
+                out[k] = packed[a:b]
+        for k in alone:
+            out[k] = np.array(self.coder.encode_ordinary(segments[k].decode("utf-8", "replace")), dtype=self.kind).tobytes()
+        return out
 
     def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of UTF-8 texts that lie end to end, and where the ids of each text begin and end.
@@ -120,7 +135,7 @@ def sequences(docs: DataFrame, ranks: str = RANKS, length: int = LENGTH, buckets
 
         for batch in batches:
             data, ends = text_bytes(batch.column("text"))
-            for i, j in slices(ends, 1 << 22):
+            for i, j in slices(ends, 1 << 20):
                 codes, bounds = coder.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i])
                 cut = []
                 part = zip(batch.column("bucket").slice(i, j - i).to_pylist(), batch.column("doc_id").slice(i, j - i).to_pylist(), strict=True)
