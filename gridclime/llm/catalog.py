@@ -125,7 +125,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index of all records, with checksums of what the shards hold."""
     path = f"{stage_folder(spark)}/shards-{uuid.uuid4().hex}"
     index = training_order.write_shards(table(spark, sf_dir, "documents"), path)
-    stored = training_order.read_shards(spark, path).select("slot", "tokens_crc32")
+    stored = training_order.read_shards(spark, path, tokens=False)
     return index.join(stored, "slot").select("slot", "shard", "record", "byte_offset", "doc_ids", "n_tokens", "tokens_crc32")
 
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +40,7 @@ RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BUCKETS = 16_384
-LENGTH, RECORDS, PASSES = 1024, 4096, 4
+LENGTH, RECORDS, PASSES = 1024, 2048, 4
 #: White space beyond ASCII; a text that has it is split as a whole.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 _ASCII_SPACE = np.zeros(256, dtype=bool)
@@ -56,7 +57,7 @@ class Tokens:
         self.widths = np.zeros(self.end, dtype=np.int64)
         self.widths[list(table.values())] = [len(k) for k in table]
         self.kind = np.dtype("<u2") if self.end < 2**16 else np.dtype("<u4")
-        self.memory = Memory()
+        self.memory = Memory(100_000)
 
     def _missing(self, segments: list[bytes]) -> list[bytes]:
         """Ids of segments. Those of one blank and a word are coded together: the pattern cuts before each blank."""
@@ -215,12 +216,22 @@ def _written(spark, path: str) -> bool:
     return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
 
 
-def read_shards(spark, path: str, length: int = LENGTH, records: int = RECORDS, kind: str = "<u2") -> DataFrame:
-    """(slot, tokens, tokens_crc32) of the records in all shards, in order within a shard."""
-    stride = length * np.dtype(kind).itemsize + 1
+def read_shards(spark, path: str, length: int = LENGTH, records: int = RECORDS, kind: str = "<u2", tokens: bool = True) -> DataFrame:
+    """(slot, tokens_crc32 and, if wanted, tokens) of the records in all shards, in order within a shard."""
+    width = length * np.dtype(kind).itemsize
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     shard = F.regexp_extract("path", r"shard=(\d+)/", 1).cast("int")
-    starts = F.sequence(F.lit(0), F.floor(F.length("content") / stride) - 1)
-    return files.select(shard.alias("shard"), F.col("content")).select(
-        "shard", F.inline(F.transform(starts, lambda i: F.struct(i.alias("record"), F.col("content").substr(i * stride + 1, F.lit(stride - 1)).alias("tokens"))))
-    ).select((F.col("shard").cast("long") * records + F.col("record")).alias("slot"), "tokens", F.crc32("tokens").alias("tokens_crc32"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, content in zip(batch.column("shard").to_pylist(), batch.column("content"), strict=True):
+                view = memoryview(content.as_buffer())
+                held_records = [view[at : at + width] for at in range(0, len(view), width + 1)]
+                slots = number * records + np.arange(len(held_records))
+                columns = {"slot": pa.array(slots), "tokens_crc32": pa.array([zlib.crc32(r) for r in held_records], pa.int64())}
+                if tokens:
+                    columns["tokens"] = pa.array(held_records, pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    # A file, of `records` records, is one row; it is cut up in the task that reads it.
+    return files.select(shard.alias("shard"), "content").mapInArrow(work, "slot long, tokens_crc32 long" + ", tokens binary" * tokens)
