@@ -32,7 +32,7 @@ from gridclime.llm.common import Memory, encode_segments, slices, text_bytes
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Segments kept in memory by a worker, and characters of segments that are matched at once.
-MEMORY, CHARS = 300_000, 400_000
+MEMORY, CHARS = 300_000, 1_000_000
 NONE = -1
 #: Code points are moved up by one, so that 0 is free
 _SHIFT = 1
@@ -117,15 +117,20 @@ class Pieces:
 
     # Relaxing
 
-    def match(self, segments: list[str]) -> list[np.ndarray]:
-        """Ids of distinct segments."""
-        lengths = np.array([len(s) for s in segments], dtype=np.int64)
+    def match(self, segments: list[bytes]) -> list[bytes]:
+        """Ids, as bytes, of distinct segments."""
+        joined = b"".join(segments)
+        flat = np.frombuffer(joined, dtype=np.uint8)
+        sizes = np.fromiter(map(len, segments), np.int64, len(segments))
+        lengths = np.add.reduceat(flat & 0xC0 != 0x80, np.cumsum(sizes) - sizes, dtype=np.int64)  # in characters
         starts = np.cumsum(lengths + 1) - lengths - 1
         text = np.zeros(int((lengths + 1).sum()), dtype=np.int64)
         own = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-        text[own] = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64) + _SHIFT
+        codes = np.frombuffer(joined.decode().encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+        codes[codes == 0x20] = ord(MARK)
+        text[own] = codes + _SHIFT
         table = self.edges(text)
-        out: list[np.ndarray] = [None] * len(segments)  # type: ignore[list-item]
+        out = [b""] * len(segments)
         width = np.where(lengths <= 32, -(-lengths // 4) * 4, 1 << np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64))
         for w in np.unique(width):
             group = np.flatnonzero(width == w)
@@ -137,8 +142,9 @@ class Pieces:
         """Join pairs in segments of one width, the best pair of every segment in each step."""
         n, limit = len(starts), self.longest
         size = (np.arange(width + 1) < lengths[:, None]).astype(np.int32)  # characters of the symbol that starts here
-        after = np.minimum(np.arange(width + 1) + 1, lengths[:, None])  # start of the next symbol
-        before = np.tile(np.arange(width + 1) - 1, (n, 1))
+        steps = np.arange(width + 1, dtype=np.int32)
+        after = np.minimum(steps + 1, lengths[:, None].astype(np.int32))  # start of the next symbol
+        before = np.tile(steps - 1, (n, 1))
         gain = np.zeros((n, width + 1), dtype=np.int32)
         at = starts[:, None] + np.arange(width + 1)
         pair = np.arange(width + 1) + 2 <= lengths[:, None]
@@ -172,13 +178,14 @@ class Pieces:
         bounds = np.searchsorted(row, np.arange(n + 1))
         unknown = np.flatnonzero(ids == NONE)
         bad = set(row[unknown].tolist())
-        for k in range(n):
-            own = ids[bounds[k] : bounds[k + 1]]
-            if k in bad:
-                codes = text[starts[row[bounds[k] : bounds[k + 1]]] + column[bounds[k] : bounds[k + 1]]]
-                parts = [[i] if i != NONE else self.byte_ids[list(chr(c - _SHIFT).encode())] for i, c in zip(own.tolist(), codes.tolist(), strict=True)]
-                own = np.concatenate(parts).astype(np.int32)
-            out[numbers[k]] = own
+        packed, edges = ids.tobytes(), (bounds * ids.itemsize).tolist()
+        for k, number in enumerate(numbers.tolist()):
+            out[number] = packed[edges[k] : edges[k + 1]]
+        for k in bad:
+            own = slice(bounds[k], bounds[k + 1])
+            codes = text[starts[row[own]] + column[own]]
+            parts = [[i] if i != NONE else self.byte_ids[list(chr(c - _SHIFT).encode())] for i, c in zip(ids[own].tolist(), codes.tolist(), strict=True)]
+            out[numbers[k]] = np.concatenate(parts).astype(np.int32).tobytes()
 
     # Texts
 
@@ -205,10 +212,10 @@ class Pieces:
         """Ids of distinct segments, in groups of bounded size."""
         out, group, size = [], [], 0
         for k, s in enumerate(segments):
-            group.append(s.decode("utf-8", "replace").replace(" ", MARK))
+            group.append(s)
             size += len(s) + 1
             if size >= CHARS or k == len(segments) - 1:
-                out += [ids.tobytes() for ids in self.match(group)]
+                out += self.match(group)
                 group, size = [], 0
         return out
 
@@ -262,7 +269,7 @@ def encode(docs: DataFrame, path: str = MODEL, text: str = "text", name: str = "
     def of(column: pa.Array) -> pa.Array:
         pieces = held(shipped.value)
         data, ends = text_bytes(column)
-        done = [pieces.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i]) for i, j in slices(ends, 1 << 21)]
+        done = [pieces.encode(data[ends[i] : ends[j]], ends[i : j + 1] - ends[i]) for i, j in slices(ends, 3 << 20)]
         values = np.concatenate([d[0] for d in done]) if done else np.zeros(0, np.int32)
         shift = np.cumsum([0] + [len(d[0]) for d in done])
         bounds = np.concatenate([[0]] + [d[1][1:] + s for d, s in zip(done, shift, strict=False)]).astype(np.int32)
@@ -278,9 +285,9 @@ def decode(df: DataFrame, path: str = MODEL, ids: str = "piece_ids", name: str =
     @F.arrow_udf("string")
     def of(column: pa.Array) -> pa.Array:
         pieces = held(shipped.value)
-        out = []
-        for x in column:
-            out.append(None if not x.is_valid else pieces.decode(x.values.to_numpy()))
-        return pa.array(out, pa.string())
+        values, bounds = column.values.to_numpy(), column.offsets.to_numpy().tolist()
+        valid = column.is_valid().to_pylist()
+        spans = zip(bounds, bounds[1:], valid, strict=False)
+        return pa.array([pieces.decode(values[a:b]) if v else None for a, b, v in spans], pa.string())
 
     return df.withColumn(name, of(ids))

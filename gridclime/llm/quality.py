@@ -33,7 +33,7 @@ from gridclime.llm.common import mix64, slices, span_hashes, text_bytes, words_o
 
 SLOTS, DIMENSIONS, ENTRIES, REACH = 16_384, 64, 4, 2
 #: The most labelled documents that the network is fitted on, chosen by a hash of the id.
-SAMPLE = 40_000
+SAMPLE = 15_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 60, 256, 3e-3, 1e-4
 THRESHOLD = 0.7
 
@@ -194,10 +194,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
     )
     shipped = spark.sparkContext.broadcast(vectors)
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf("array<float>")
     def pool(column: pd.Series) -> pd.Series:
         data, ends = text_bytes(pa.array(column, pa.string()))
-        return pd.Series(list(pooled(data, ends, shipped.value)))
+        return pd.Series(list(pooled(data, ends, shipped.value).astype(np.float32)))
 
     # The sample is bounded by its parameter, so it goes to every task.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.nd
         share = float(y.mean()) if len(y) else 0.5
         zero, flat = np.zeros(2 * DIMENSIONS), np.clip(share, 1e-6, 1 - 1e-6)
         return vectors, Network(zero, zero + 1, np.zeros((2 * DIMENSIONS, HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), float(np.log(flat / (1 - flat))))
-    x = np.stack(found["x"].to_numpy())
+    x = np.stack(found["x"].to_numpy()).astype(np.float64)
     apart = np.arange(len(y)) % 5 == 4  # these calibrate
     if len(np.unique(y[~apart])) < 2 or len(np.unique(y[apart])) < 2:
         return vectors, fit_network(x, y)
