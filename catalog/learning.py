@@ -8,7 +8,6 @@ from catalog.clusters import LABELLED_CTES, VEC, labelled, stored, vectors
 from catalog.common import big, query, r, raw, rounded, with_
 from catalog.rollups import NORMALS_ADDED, PLACE, VALUES
 from gridclime.operators import (
-    agglomerative,
     assign,
     density,
     explore,
@@ -215,12 +214,6 @@ def _(spark, sf_dir):
     )
 
 
-@query("bisecting_kmeans")
-def _(spark, sf_dir):
-    rows = points(spark, sf_dir)
-    return models.fit_bisecting(rows, 8).labels(rows).select("vec_id", "cluster")
-
-
 @query("mixture_memberships")
 def _(spark, sf_dir):
     rows = points(spark, sf_dir)
@@ -313,7 +306,23 @@ def _(spark, sf_dir):
     ).drop("cluster")
 
 
-@query("dbscan")
+DBSCAN_LABELS = {
+    # The smallest spot of a cluster's core is its part; a border spot joins the smallest part near it.
+    "parts": "SELECT n.a AS id, MIN(p.part) AS part FROM near n JOIN core_parts p ON p.id = n.b "
+    "WHERE n.a NOT IN (SELECT id FROM cores) GROUP BY n.a UNION ALL SELECT id, part FROM core_parts",
+    "sizes": "SELECT part, SUM(s.w) AS n, MIN(s.id) AS first FROM parts p JOIN spots s ON s.id = p.id GROUP BY part",
+    "numbers": "SELECT part, ROW_NUMBER() OVER (ORDER BY n DESC, first) - 1 AS number FROM sizes",
+}
+
+
+@query(
+    "dbscan",
+    "WITH RECURSIVE "
+    + ", ".join(f"{k} AS ({v})" for k, v in (DBSCAN_CTES | DBSCAN_LABELS).items())
+    + f" SELECT {big('c_custkey')}, CAST(COALESCE(number, -1) AS INT) AS cluster, "
+    "s.id IN (SELECT id FROM cores) AS is_core FROM rows_ JOIN spots s USING (x1, x2) "
+    "LEFT JOIN parts p ON p.id = s.id LEFT JOIN numbers m ON m.part = p.part",
+)
 def _(spark, sf_dir):
     found = density.dbscan(spread_points(spark, sf_dir), EPS, MIN_SAMPLES)
     return found.select("c_custkey", "cluster", "is_core")
@@ -325,27 +334,6 @@ def _(spark, sf_dir):
     return density.noise_share(density.dbscan(rows, sweeps.estimate_eps(rows), 5))
 
 
-@query("hdbscan")
-def _(spark, sf_dir):
-    found = density.hdbscan(points(spark, sf_dir), 10)
-    return found.select("vec_id", "cluster", "probability", "outlier_score")
-
-
-for _linkage in ("ward", "average"):
-
-    def _tree(spark, sf_dir, linkage=_linkage):
-        rows = points(spark, sf_dir)
-        return agglomerative.agglomerate(rows, linkage).labels(rows, 8).select("vec_id", "cluster")
-
-    query(f"agglomerate_{_linkage}")(_tree)
-
-
-@query("merge_table")
-def _(spark, sf_dir):
-    rows = points(spark, sf_dir)
-    return agglomerative.agglomerate(rows).table(rows)
-
-
 @query(
     "k_distance_quantile",
     with_(

@@ -14,14 +14,14 @@ from gridclime.operators import features
 from gridclime.sources import grid, payloads, tables
 from gridclime.sources import projections as P
 
-# A place per customer; many share coordinates.
+# A place per customer.
 PLACES = (
     "SELECT 'PT_' || LPAD(CAST(c_custkey AS VARCHAR(20)), 5, '0') AS point_id, "
-    "8.0E0 + 0.5E0*(c_custkey % 59) AS latitude, 68.0E0 + 0.5E0*((c_custkey*7) % 60) AS longitude "
+    "8.0E0 + 0.5E0*(c_custkey % 59) + 0.005E0*FLOOR(c_custkey/3540) AS latitude, 68.0E0 + 0.5E0*((c_custkey*7) % 60) AS longitude "
     "FROM customer"
 )
 SPOTS = (
-    "SELECT DISTINCT 8.0E0 + 0.5E0*(l_suppkey % 59) AS latitude, "
+    "SELECT DISTINCT 8.0E0 + 0.5E0*(l_suppkey % 59) + 0.005E0*FLOOR(l_suppkey/3540) AS latitude, "
     "68.0E0 + 0.5E0*((l_suppkey*7) % 60) AS longitude FROM lineitem"
 )
 SPACING = 0.5

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from gridclime.functions.columns import with_one_row
 
+#: Parts of equal width that a bracket is ranked in.
+PARTS = 256
+
 
 def quantiles(
     df: DataFrame,
@@ -22,79 +25,84 @@ def quantiles(
     Each column becomes ``array<double>`` in the order of ``probs``. The values
     equal ``percentile(column, p)``, but that aggregate keeps every distinct
     value of a group in one buffer. Here a sketch first brackets each quantile;
-    then values outside the bracket are only counted, on the map side, and the
-    few inside are ranked exactly. A group's ranked share is about
-    ``8 / accuracy`` of its rows, or all of them up to ``accuracy`` rows.
+    values below a bracket are counted in place, and only those inside, about
+    ``8 / accuracy`` of the rows, become rows of their own. A bracket is ranked
+    in ``PARTS`` parts, so a task sorts a part of a bracket. The bracket of a
+    group of up to ``accuracy`` values is all of them.
 
-    Reads ``df`` twice: materialize it first if it is costly.
+    Reads ``df`` three times: materialize it first if it is costly.
     """
     by, probs = list(by), [float(p) for p in probs]
+    if not columns:
+        return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(*by)
     slack = 4.0 / accuracy
     edges = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
+    slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
+    names = [f"_v{i}" for i in range(len(columns))]
 
-    values = df.select(*by, F.array(*[F.col(c).cast("double") for c in columns]).alias("_values"))
-    cells = values.select(*by, F.posexplode("_values").alias("i", "v")).filter("v IS NOT NULL")
-    sketch = cells.groupBy(*by, "i").agg(
-        F.count("v").alias("n"), F.percentile_approx("v", edges, accuracy).alias("e")
-    )
-    keyed = sketch.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct("i", F.struct("n", "e")))).alias("m")
-    )
-    positions = F.array(*[F.lit(i) for i in range(len(columns))])
-    bounds = keyed.select(
-        *by, F.transform(positions, lambda i: F.try_element_at("m", i)).alias("_b")
+    values = df.select(*by, *[F.col(c).cast("double").alias(v) for c, v in zip(columns, names)])
+    sketch = values.groupBy(*by).agg(
+        *[F.count(v).alias(f"n{i}") for i, v in enumerate(names)],
+        *[F.percentile_approx(v, edges, accuracy).alias(f"e{i}") for i, v in enumerate(names)],
     )
+    below, above = F.lit(float("-inf")), F.lit(float("inf"))
+
+    def bracket(i: int, j: int):
+        few, found = F.col(f"n{i}") <= accuracy, F.col(f"e{i}")
+        low, high = F.when(few, below).otherwise(found[j]), F.when(few, above).otherwise(found[j + len(probs)])
+        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"n{i}").alias("n"), low.alias("low"), high.alias("high"))
+
+    bounds = sketch.select(*by, F.array(*[bracket(i, j) for i, j in slots]).alias("_b"))
     if by:
         bracketed = values.join(bounds, on=by)
     else:
-        bracketed = with_one_row(values, bounds, "_row").withColumn("_b", F.col("_row._b"))
-    bracketed = bracketed.select(*by, "_b", F.posexplode("_values").alias("i", "v"))
-    bracketed = bracketed.filter("v IS NOT NULL").withColumn("_e", F.col("_b")[F.col("i")])
-
-    below, above = F.lit(float("-inf")), F.lit(float("inf"))
+        bracketed = with_one_row(values, bounds, "_row").select(*names, F.col("_row._b").alias("_b"))
 
-    def placed(j: int):
-        low, high = F.col("_e.e")[j], F.col("_e.e")[j + len(probs)]
-        inside = (F.col("_e.n") <= accuracy) | F.col("v").between(low, high)
-        return F.when(inside, F.col("v")).when(F.col("v") < low, below).otherwise(above)
+    def smaller(s: int):
+        return F.count_if(F.col(names[slots[s][0]]) < F.col("_b")[s]["low"])
 
-    counted = (
-        bracketed.select(
-            *by, "i", F.posexplode(F.array(*[placed(j) for j in range(len(probs))])).alias("j", "v")
+    def inside(s: int):
+        v, b = F.col(names[slots[s][0]]), F.col("_b")[s]
+        whole = b["low"] == below
+        part = F.when(whole | (b["high"] <= b["low"]), 0).otherwise(
+            F.floor((v - b["low"]) / (b["high"] - b["low"]) * PARTS)
         )
-        .groupBy(*by, "i", "j", "v")
-        .agg(F.count(F.lit(1)).alias("n"))
+        found = F.struct(b["i"].alias("i"), b["j"].alias("j"), part.cast("int").alias("part"), v.alias("v"))
+        # NaN is greater than any number and lies in a bracket that has no end.
+        return F.when(v.isNotNull() & (whole | v.between(b["low"], b["high"])), found)
+
+    counts = bracketed.groupBy(*by).agg(F.array(*[smaller(s) for s in range(len(slots))]).alias("_less"))
+    info = bounds.join(counts, on=by) if by else with_one_row(bounds, counts, "_c").select("_b", F.col("_c._less").alias("_less"))
+    info = info.select(*by, F.explode(F.arrays_zip("_b", "_less")).alias("s")).select(
+        *by, F.col("s._b.i").alias("i"), F.col("s._b.j").alias("j"), F.col("s._b.n").alias("n"), F.col("s._less").alias("less")
     )
-    group = Window.partitionBy(*by, "i", "j")
-    upto = group.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cells = bracketed.select(*by, F.explode(F.array_compact(F.array(*[inside(s) for s in range(len(slots))]))).alias("s"))
+    counted = cells.groupBy(*by, "s.i", "s.j", "s.part", "s.v").agg(F.count(F.lit(1)).alias("m"))
+
+    cell = [*by, "i", "j"]
+    parts = counted.groupBy(*cell, "part").agg(F.sum("m").alias("in_part"))
+    earlier = Window.partitionBy(*cell).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)))
     prob = F.array(*[F.lit(p) for p in probs])[F.col("j")]
-    ranked = (
-        counted.withColumn("upto", F.sum("n").over(upto))
-        .withColumn("at", prob * (F.sum("n").over(group) - 1))
-        .withColumn("lower", F.col("upto") > F.floor("at"))
-        .withColumn("upper", F.col("upto") > F.ceil("at"))
+    starts = parts.join(info, cell).withColumn("at", prob * (F.col("n") - 1))
+    upto = Window.partitionBy(*cell, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counted.join(starts.drop("in_part", "n"), [*cell, "part"]).withColumn(
+        "upto", F.col("less") + F.col("before") + F.sum("m").over(upto)
     )
-    # A rank outside its bracket would give a wrong value: stop instead.
-    missed = ((F.col("v") == below) & F.col("lower")) | (
-        (F.col("v") == above) & (F.col("upto") - F.col("n") <= F.ceil("at"))
-    )
-    checked = F.when(missed, F.raise_error(F.lit("quantile bracket missed"))).otherwise(F.col("v"))
-    found = (
-        ranked.withColumn("v", checked)
-        .groupBy(*by, "i", "j")
-        .agg(
-            F.min(F.when(F.col("lower"), F.col("v"))).alias("x"),
-            F.min(F.when(F.col("upper"), F.col("v"))).alias("y"),
-            F.max(F.col("at") - F.floor("at")).alias("part"),
-        )
-        .withColumn("q", F.col("x") + (F.col("y") - F.col("x")) * F.col("part"))
+    found = ranked.groupBy(*cell).agg(
+        F.min(F.when(F.col("upto") > F.floor("at"), F.col("v"))).alias("x"),
+        F.min(F.when(F.col("upto") > F.ceil("at"), F.col("v"))).alias("y"),
+        F.max("at").alias("at"),
+        F.max("less").alias("less"),
     )
+    # A rank outside its bracket would give a wrong value: stop instead.
+    missed = (F.col("less") > F.floor("at")) | F.col("y").isNull()
+    q = F.col("x") + (F.col("y") - F.col("x")) * (F.col("at") - F.floor("at"))
+    q = F.when(missed, F.raise_error(F.lit("quantile bracket missed"))).otherwise(q)
     slot = F.col("i") * len(probs) + F.col("j")
-    answers = found.groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct(slot, "q"))).alias("m")
-    )
-    pick = lambda k, j: F.try_element_at("m", F.lit(k * len(probs) + j))
+    answers = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(slot, q))).alias("m"))
+    pick = lambda s: F.try_element_at("m", F.lit(s))
     return answers.select(
         *by,
-        *[F.array(*[pick(k, j) for j in range(len(probs))]).alias(c) for k, c in enumerate(columns)],
+        *[F.array(*[pick(k * len(probs) + j) for j in range(len(probs))]).alias(c) for k, c in enumerate(columns)],
     )

@@ -79,7 +79,9 @@ def describe_assignments(
     ``training`` has the features, coordinates and ``cluster``.
     """
     labels = profile.cluster_labels(training)
-    named = with_one_row(assigned, as_lookup(labels, "cluster", "cluster_label"), "_l")
+    own = labels.select("cluster", F.col("cluster_label").alias("_label"))
+    other = labels.select(F.col("cluster").alias("alternative"), F.col("cluster_label").alias("_other"))
+    named = assigned.join(own, "cluster", "left").join(other, "alternative", "left")
     traits = (
         profile.characteristics(training, features)
         .filter(F.col("rank") <= TOP_CHARACTERISTICS)
@@ -90,7 +92,7 @@ def describe_assignments(
             ).alias("traits")
         )
     )
-    named = with_one_row(named, as_lookup(traits, "cluster", "traits"), "_t")
+    named = named.join(traits, "cluster", "left")
     near = profile.nearest_examples(assigned, training, query_id=query_id)
     examples = near.groupBy(query_id).agg(
         F.array_sort(
@@ -98,8 +100,7 @@ def describe_assignments(
         ).alias("nearest_examples")
     )
 
-    def label(cluster: str) -> Column:
-        known = F.try_element_at("_l.lookup", F.col(cluster))
+    def label(cluster: str, known: str = "_label") -> Column:
         return F.when(
             F.col(cluster).isNotNull(),
             F.coalesce(known, F.concat(F.lit("Cluster "), F.col(cluster))),
@@ -116,11 +117,11 @@ def describe_assignments(
         F.lit(method).alias("assignment_method"),
         F.bround("confidence", 4).alias("confidence"),
         "alternative",
-        label("alternative").alias("alternative_label"),
+        label("alternative", "_other").alias("alternative_label"),
         text.alias("summary"),
         F.slice("x", 1, 3).alias("reduced_coords"),
         F.coalesce(
-            F.try_element_at("_t.lookup", F.col("cluster")),
+            F.col("traits"),
             F.array().cast(traits.schema["traits"].dataType),
         ).alias("top_characteristics"),
     )

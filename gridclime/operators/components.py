@@ -69,40 +69,3 @@ def _renamed(members: DataFrame, roots: DataFrame) -> DataFrame:
             "node", F.coalesce("next", "root").alias("root")
         )
     )
-
-
-def spanning_forest(edges: DataFrame) -> DataFrame:
-    """(u, v, w): a minimum spanning forest; equal weights are ordered by the nodes.
-
-    Each round every component takes its lightest edge, components are merged,
-    and only the lightest edge between two components is kept.
-    """
-    live = materialize(
-        edges.filter("u <> v")
-        .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), "w")
-        .groupBy("u", "v")
-        .agg(F.min("w").alias("w"))
-        .select("u", "v", F.struct("w", "u", "v").alias("e"))
-    )
-    chosen = None
-    while not live.isEmpty():
-        ends = live.select(F.explode(F.array("u", "v")).alias("node"), "e")
-        picked = ends.groupBy("node").agg(F.min("e").alias("e")).select("e").distinct()
-        picked = materialize(picked.join(live, "e").select("u", "v", "e"))
-        one = picked.select("e.u", "e.v", "e.w")
-        chosen = one if chosen is None else chosen.unionByName(one)
-        found = connected_components(picked.select("u", "v"))
-        a, b = (
-            found.select(F.col("node").alias(x), F.col("component").alias(f"r{x}"))
-            for x in ("u", "v")
-        )
-        merged = (
-            live.join(a, "u")
-            .join(b, "v")
-            .filter("ru <> rv")
-            .select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v"), "e")
-        )
-        live = materialize(merged.groupBy("u", "v").agg(F.min("e").alias("e")))
-    if chosen is None:
-        return edges.select("u", "v", "w").limit(0)
-    return materialize(chosen)

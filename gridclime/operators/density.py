@@ -1,22 +1,18 @@
-"""Density clustering: fixed radius, and a hierarchy of radii."""
+"""Density clustering by a fixed radius."""
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclime.functions.lineage import materialize
-from gridclime.functions.quantiles import quantiles
 from gridclime.operators import pairs
-from gridclime.operators.components import connected_components, spanning_forest
+from gridclime.operators.components import connected_components
 from gridclime.operators.pairs import BLOCK_ROWS
 
 NOISE_WARNING_PCT = 30
-MAX_TREE_ROWS = 500_000
 
 
 def renumber(labels: DataFrame, component: str = "component") -> DataFrame:
@@ -65,8 +61,9 @@ def dbscan(
 
     A row is core with at least ``min_samples`` rows within eps, itself counted.
     Core rows within eps share a cluster; other rows near a core row join the
-    first such cluster. A block pair reports at most one link per point, to its
-    local component, never its pairs.
+    such cluster whose first vector is smallest. A block pair reports at most
+    one link per core point, to its local component, never its pairs; a row that
+    is not core has fewer than ``min_samples`` neighbours to report.
     """
     points = pairs.blocked(pairs.distinct_points(df, x), block_rows)
     near = materialize(pairs.near_pairs(points, points, eps))
@@ -92,244 +89,21 @@ def dbscan(
 
     def adopt(rows, others, _):
         touch = pairs.distances(pairs.matrix(rows), pairs.matrix(others)) <= eps
-        component = others["component"].to_numpy()
-        last = np.iinfo(np.int64).max
-        first = np.where(touch, component[None, :], last).min(axis=1)
-        reached = touch.any(axis=1)
-        return pd.DataFrame(
-            {"pid": rows["pid"].to_numpy()[reached], "component": first[reached]}
-        )
+        i, j = np.nonzero(touch)
+        found = {"pid": rows["pid"].to_numpy()[i], "component": others["component"].to_numpy()[j]}
+        return pd.DataFrame(found).drop_duplicates()
 
     edge = marked.filter("NOT is_core")
     adopted = pairs.over_pairs(edge, cores, near, adopt, "pid long, component long")
-    adopted = adopted.groupBy("pid").agg(F.min("component").alias("component"))
+    firsts = cores.groupBy("component").agg(F.min("x").alias("first"))
+    adopted = adopted.join(firsts, "component").groupBy("pid").agg(
+        F.min_by("component", "first").alias("component")
+    )
     labels = marked.join(owned.unionByName(adopted), "pid", "left")
     numbered = renumber(labels).select(F.col("x").alias(x), "cluster", "is_core")
     return df.drop("cluster", "is_core").join(numbered, x)
 
 
-def _local_tree(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Minimum spanning tree of a dense weight matrix, one vertex at a time."""
-    n = len(weights)
-    best, source = weights[0].copy(), np.zeros(n, dtype=int)
-    outside = np.ones(n, dtype=bool)
-    outside[0] = False
-    u, v, w = [], [], []
-    for _ in range(n - 1):
-        at = int(np.where(outside, best, np.inf).argmin())
-        u.append(int(source[at]))
-        v.append(at)
-        w.append(float(best[at]))
-        outside[at] = False
-        closer = outside & (weights[at] < best)
-        best[closer], source[closer] = weights[at][closer], at
-    return np.array(u, dtype=int), np.array(v, dtype=int), np.array(w)
-
-
-def reachability_tree(points: DataFrame) -> DataFrame:
-    """(u, v, w): minimum spanning tree under mutual reachability.
-
-    A tree edge is also an edge of the tree of any block pair that holds both
-    ends, so each pair reports only its own tree and the final tree is found in
-    their union.
-    """
-
-    def tree(rows, others, same):
-        both = rows if same else pd.concat([rows, others], ignore_index=True)
-        if len(both) < 2:
-            return pd.DataFrame({"u": [], "v": [], "w": []})
-        x, reach = pairs.matrix(both), both["reach"].to_numpy()
-        d = pairs.distances(x, x)
-        d = np.maximum(d, np.maximum(reach[:, None], reach[None, :]))
-        u, v, w = _local_tree(d)
-        ids = both["pid"].to_numpy()
-        return pd.DataFrame({"u": ids[u], "v": ids[v], "w": w})
-
-    schema = "u long, v long, w double"
-    return spanning_forest(
-        pairs.over_pairs(points, points, pairs.all_pairs(points), tree, schema)
-    )
-
-
-def hdbscan(
-    df: DataFrame,
-    min_cluster_size: int = 10,
-    min_samples: int | None = None,
-    levels: int = 32,
-    x: str = "x",
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Rows with ``cluster`` (-1 for noise), ``probability`` and ``outlier_score``.
-
-    The tree of mutual reachability is exact; its hierarchy is read at
-    ``levels`` quantiles of the edge lengths instead of at every edge. Clusters
-    are those of greatest excess of mass. Only components of at least
-    ``min_cluster_size`` rows come to the driver, one row per level.
-    """
-    points = pairs.blocked(pairs.distinct_points(df, x), block_rows)
-    reach = pairs.k_distances(points, min_samples or min_cluster_size)
-    infinite = F.lit(float("inf"))
-    points = materialize(
-        points.join(
-            reach.select("pid", F.coalesce("k_distance", infinite).alias("reach")), "pid"
-        )
-    )
-    edges = reachability_tree(points)
-    cuts = [(i + 1) / levels for i in range(levels)]
-    heights = quantiles(edges.filter("w < double('inf')"), ["w"], cuts).first()["w"]
-    heights = sorted({h for h in heights if h is not None})
-    if not heights:
-        return (
-            df.withColumn("cluster", F.lit(-1))
-            .withColumn("probability", F.lit(0.0))
-            .withColumn("outlier_score", F.lit(0.0))
-        )
-    member = materialize(_members_by_level(points, edges, heights))
-    nodes = (
-        member.groupBy("level", "component")
-        .agg(F.sum("w").alias("size"), F.min("pid").alias("inner"))
-        .filter(F.col("size") >= min_cluster_size)
-    )
-    above = member.select((F.col("level") - 1).alias("level"), F.col("pid").alias("inner"),
-                          F.col("component").alias("parent"))
-    rows = nodes.join(above, ["level", "inner"], "left").limit(MAX_TREE_ROWS + 1).collect()
-    if len(rows) > MAX_TREE_ROWS:
-        raise ValueError("cluster tree too large; raise min_cluster_size")
-    return _read_tree(df, x, points, member, rows, heights)
-
-
-def _members_by_level(points: DataFrame, edges: DataFrame, heights: list[float]) -> DataFrame:
-    """(level, pid, w, component) at every height; all levels in one run.
-
-    Levels are separate graphs: nodes are (level, point) pairs. A point whose
-    own reach exceeds the height is not part of any component there.
-    """
-    steps = F.array(*[F.struct(F.lit(i).alias("level"), F.lit(h).alias("height"))
-                      for i, h in enumerate(heights)])
-    present = points.select("pid", "w", "reach", F.inline(steps)).filter("reach <= height")
-    linked = edges.select("u", "v", F.col("w").alias("length"), F.inline(steps))
-    key = lambda c: F.struct("level", F.col(c).alias("pid"))
-    found = connected_components(
-        linked.filter("length <= height").select(key("u").alias("u"), key("v").alias("v"))
-    )
-    flat = found.select(
-        "node.level", "node.pid", F.col("component.pid").alias("component")
-    )
-    return present.select("level", "pid", "w").join(flat, ["level", "pid"], "left").withColumn(
-        "component", F.coalesce("component", "pid")
-    )
-
-
-def _read_tree(df, x, points, member, rows, heights) -> DataFrame:
-    """Choose clusters of greatest excess of mass and label the rows."""
-    density = [1.0 / max(h, 1e-12) for h in heights]
-    top = len(heights) - 1
-    parts = {(r["level"], r["component"]): r for r in rows}
-    below = defaultdict(list)
-    for level, component in parts:
-        parent = parts[level, component]["parent"]
-        if level < top and parent is not None:
-            below[level + 1, parent].append((level, component))
-
-    # A cluster is a run of levels in which one large component goes on alone.
-    runs: list[dict] = []
-    run_of: dict[tuple, int] = {}
-    for key in sorted(parts, key=lambda k: (-k[0], k[1])):
-        level, component = key
-        parent = (level + 1, parts[key]["parent"]) if level < top else None
-        only = parent in parts and len(below[parent]) == 1
-        if only:
-            run = run_of[parent]
-            runs[run]["keys"].append(key)
-        else:
-            run = len(runs)
-            runs.append({"keys": [key], "up": run_of.get(parent), "children": []})
-            if parent in run_of:
-                runs[run_of[parent]]["children"].append(run)
-        run_of[key] = run
-
-    for run in runs:
-        start = run["keys"][0][0]
-        birth = density[start + 1] if start < top else 0.0
-        mass, last = 0.0, birth
-        for level, component in run["keys"]:
-            mass += parts[level, component]["size"] * (density[level] - last)
-            last = density[level]
-        run["mass"] = mass
-    selected: set[int] = set()
-    value = {}
-    for i in reversed(range(len(runs))):  # children come after their parents
-        run = runs[i]
-        inner = sum(value[c] for c in run["children"])
-        if run["up"] is None or (run["children"] and inner > run["mass"]):
-            value[i] = inner  # a root is never a cluster of its own
-            continue
-        value[i] = run["mass"]
-        stack = list(run["children"])
-        while stack:
-            c = stack.pop()
-            selected.discard(c)
-            stack.extend(runs[c]["children"])
-        selected.add(i)
-
-    spark = df.sparkSession
-    owner = {}
-    for i in selected:
-        stack = [i]
-        while stack:
-            c = stack.pop()
-            owner[c] = i
-            stack.extend(runs[c]["children"])
-    table = [
-        (level, component, owner[run_of[level, component]], density[level])
-        for level, component in parts
-        if run_of[level, component] in owner
-    ]
-    schema = "level int, component long, run int, density double"
-    inside = spark.createDataFrame(table, schema)
-    # A point belongs to the cluster it was in at the densest level it lasted.
-    lasting = member.join(inside, ["level", "component"]).groupBy("pid").agg(
-        F.max(F.struct("density", "run")).alias("best")
-    )
-    placed = points.join(lasting, "pid", "left").select(
-        "pid", "x", "w", F.col("best.run").alias("run"), F.col("best.density").alias("density")
-    )
-    peak = Window.partitionBy("run")
-    share = F.col("density") / F.max("density").over(peak)
-    scored = renumber(placed.withColumn("probability", F.coalesce(share, F.lit(0.0))), "run")
-    # Outlier score: how far the point's last density is below its component's peak.
-    out = _outlier_scores(member, points, density)
-    answer = scored.join(out, "pid", "left").select(
-        F.col("x").alias(x),
-        "cluster",
-        F.when(F.col("cluster") >= 0, F.col("probability")).otherwise(0.0).alias("probability"),
-        F.coalesce("outlier_score", F.lit(1.0)).alias("outlier_score"),
-    )
-    return df.drop(*answer.columns[1:]).join(answer, x)
-
-
-def _outlier_scores(member: DataFrame, points: DataFrame, density: list[float]) -> DataFrame:
-    """(pid, outlier_score): 1 − own density / densest level inside the same component.
-
-    A point's own density is that of the first level at which it is not alone.
-    """
-    sizes = member.groupBy("level", "component").agg(F.count(F.lit(1)).alias("n"))
-    joined = member.join(sizes, ["level", "component"])
-    first = joined.filter("n > 1").groupBy("pid").agg(
-        F.min(F.struct("level", "component")).alias("at")
-    )
-    densities = F.array(*[F.lit(d) for d in density])
-    own = first.select("pid", "at.level", "at.component", densities[F.col("at.level")].alias("own"))
-    best = (
-        member.join(own.select("pid", F.col("own").alias("theirs")), "pid")
-        .groupBy("level", "component")
-        .agg(F.max("theirs").alias("peak"))
-    )
-    return own.join(best, ["level", "component"]).select(
-        "pid", (1 - F.col("own") / F.col("peak")).alias("outlier_score")
-    )
-
-
 def noise_share(df: DataFrame) -> DataFrame:
     """One row: noise percent and whether it is high."""
     pct = F.count_if(F.col("cluster") < 0) / F.count(F.lit(1)) * 100

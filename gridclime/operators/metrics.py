@@ -14,7 +14,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridclime.functions.columns import as_lookup, euclidean, with_one_row
+from gridclime.functions.columns import euclidean
 from gridclime.operators.pairs import (
     BLOCK_ROWS,
     blocked,
@@ -158,20 +158,16 @@ def calinski_harabasz(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFra
 
 def davies_bouldin(df: DataFrame, models: Mapping[str, str] = ONE) -> DataFrame:
     """(algorithm, score): mean over clusters of the worst spread-to-separation ratio."""
-    key = F.struct("algorithm", "cluster")
-    middle = centroids(df, models).withColumn("key", key)
+    middle = centroids(df, models)
     rows = long_labels(df, models).filter("cluster >= 0")
-    located = with_one_row(rows, as_lookup(middle, "key", "centroid"), "_c")
-    gap = euclidean(F.col("x"), F.col("_c.lookup")[key])
-    spread = located.groupBy("algorithm", "cluster").agg(F.avg(gap).alias("spread"))
+    located = rows.join(middle, ["algorithm", "cluster"])
+    spread = located.groupBy("algorithm", "cluster").agg(F.avg(euclidean(F.col("x"), F.col("centroid"))).alias("spread"))
     table = middle.join(spread, ["algorithm", "cluster"])
     others = table.groupBy("algorithm").agg(
         F.collect_list(F.struct("cluster", "spread", "centroid")).alias("others")
     )
-    paired = with_one_row(table, as_lookup(others, "algorithm", "others"), "_all")
-    rest = F.filter(
-        F.col("_all.lookup")[F.col("algorithm")], lambda o: o["cluster"] != F.col("cluster")
-    )
+    paired = table.join(others, "algorithm")
+    rest = F.filter("others", lambda o: o["cluster"] != F.col("cluster"))
 
     def ratio(other):
         apart = euclidean(F.col("centroid"), other["centroid"])

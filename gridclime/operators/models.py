@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.clustering import GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,14 +139,6 @@ def fit_mixture(
         return Fitted(best, _ordered(best, rows), -summary.logLikelihood, summary.numIter)
 
 
-def fit_bisecting(df: DataFrame, k: int, max_iter: int = 20, seed: int = SEED) -> Fitted:
-    """Top-down K-Means."""
-    with _rows(df) as rows:
-        best = BisectingKMeans(k=k, maxIter=max_iter, seed=seed).fit(rows)
-        summary = best.summary
-        return Fitted(best, _ordered(best, rows), summary.trainingCost, summary.numIter)
-
-
 def memberships(df: DataFrame, mixture: Fitted) -> DataFrame:
     """Rows with membership probabilities by cluster and 1 − (first − second) of them."""
     raw = vector_to_array("probability")

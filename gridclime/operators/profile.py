@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridclime.functions.columns import as_lookup, first_available, with_one_row
+from gridclime.functions.columns import first_available, with_one_row
 from gridclime.functions.lineage import materialize
 from gridclime.functions.quantiles import quantiles
 from gridclime.operators import pairs
@@ -239,11 +239,10 @@ def cluster_labels(df: DataFrame) -> DataFrame:
 
 def attach_labels(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows with the label of their cluster; clusters without one are unassigned."""
-    found = with_one_row(df, as_lookup(labels, "cluster", "cluster_label"), "_labels")
-    label = F.try_element_at("_labels.lookup", F.col("cluster"))
-    return found.withColumn(
-        "cluster_label", F.coalesce(label, F.lit(UNASSIGNED_LABEL))
-    ).drop("_labels")
+    kept = df.drop("cluster_label")
+    found = kept.join(labels.select("cluster", "cluster_label"), "cluster", "left")
+    label = F.coalesce("cluster_label", F.lit(UNASSIGNED_LABEL)).alias("cluster_label")
+    return found.select(*kept.columns, label)
 
 
 def nearest_examples(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclime.functions.lineage import materialize
-from gridclime.operators import agglomerative, density, metrics, models, profile, sweeps
+from gridclime.operators import density, metrics, models, profile, sweeps
 from gridclime.operators.reduce import (
     Projection,
     Scaling,
@@ -19,7 +19,6 @@ from gridclime.operators.reduce import (
 )
 
 MIN_PLACES = 3
-MIN_DENSITY_SIZE = 10
 
 
 @dataclass
@@ -71,16 +70,9 @@ def label_all(
     columns, fitted = {}, {}
     points = rows.select("x")
 
-    def names(title: str, key: str, i: int, k: int, inner: str = "") -> tuple[str, str]:
-        if i == 0:
-            return f"{title}({inner})" if inner else title, f"cluster_{key}"
-        arguments = f"{inner}, k={k}" if inner else f"k={k}"
-        return f"{title}({arguments})", f"cluster_{key}_k{k}"
+    def names(title: str, key: str, i: int, k: int) -> tuple[str, str]:
+        return (title, f"cluster_{key}") if i == 0 else (f"{title}(k={k})", f"cluster_{key}_k{k}")
 
-    trees = {
-        "ward": ("Ward", agglomerative.agglomerate(points, "ward")),
-        "avg": ("Average", agglomerative.agglomerate(points, "average")),
-    }
     means = models.fit_each(models.fit_kmeans, points, ks, restarts)
     mixtures = models.fit_each(models.fit_mixture, points, ks, mixture_restarts)
     out = rows
@@ -88,21 +80,14 @@ def label_all(
         name, column = names("K-Means", "kmeans", i, k)
         fitted[name] = means[k]
         out, columns[name] = fitted[name].labels(out, column), column
-        for key, (word, tree) in trees.items():
-            name, column = names("Hierarchical", f"hierarchical_{key}", i, k, word)
-            out, columns[name] = tree.labels(out, k, column), column
         name, column = names("GMM", "gmm", i, k)
         fitted[name] = mixtures[k]
         out, columns[name] = fitted[name].labels(out, column), column
     out = materialize(out)
     noisy = density.dbscan(points, eps, min_samples)
-    layered = density.hdbscan(points, max(MIN_DENSITY_SIZE, n // 50))
-    for name, column, table in (
-        ("DBSCAN", "cluster_dbscan", noisy),
-        ("HDBSCAN", "cluster_hdbscan", layered),
-    ):
-        found = table.groupBy("x").agg(F.first("cluster").alias(column))
-        out, columns[name] = out.join(found, "x"), column
+    columns["DBSCAN"] = "cluster_dbscan"
+    found = noisy.groupBy("x").agg(F.first("cluster").alias("cluster_dbscan"))
+    out = out.join(found, "x")
     return materialize(out), columns, fitted
 
 

@@ -9,7 +9,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-_LAT = "8.0E0 + 0.5E0*({0} % 59)"
+# 3,540 places repeat half a degree apart; further ones lie a little north of them.
+_LAT = "8.0E0 + 0.5E0*({0} % 59) + 0.005E0*FLOOR({0}/3540)"
 _LON = "68.0E0 + 0.5E0*(({0}*7) % 60)"
 
 # One place per supplier, one row per ship date.
@@ -64,7 +65,7 @@ FROM ({HOURLY}) h
 
 # A second daily source: shifted coordinates, fewer places, a shorter range.
 SECOND_SOURCE = """
-SELECT 8.02E0 + 0.5E0*(l_suppkey % 59) AS latitude, 68.02E0 + 0.5E0*((l_suppkey*7) % 60) AS longitude,
+SELECT 8.02E0 + 0.5E0*(l_suppkey % 59) + 0.005E0*FLOOR(l_suppkey/3540) AS latitude, 68.02E0 + 0.5E0*((l_suppkey*7) % 60) AS longitude,
   CAST(l_shipdate AS DATE) AS date, AVG(l_quantity) - 4.5E0 AS temperature_2m_mean,
   AVG(l_extendedprice)/790.0E0 AS precipitation_sum, AVG(100.0E0*l_tax) AS wind_speed_10m_mean
 FROM lineitem

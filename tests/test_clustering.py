@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridclime.operators import (
-    agglomerative,
     components,
     density,
     metrics,
@@ -130,28 +129,6 @@ def test_dbscan(points, blobs, block_rows):
     assert (np.diff(sizes) <= 0).all()
 
 
-def test_spanning_forest_is_minimal(spark):
-    rng = np.random.default_rng(3)
-    edges = [(int(a), int(b), float(w)) for a, b, w in zip(
-        rng.integers(0, 60, 400), rng.integers(0, 60, 400), rng.random(400).round(2))]
-    parent = list(range(60))
-
-    def root(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    total = count = 0
-    for w, a, b in sorted((w, a, b) for a, b, w in edges):
-        if root(a) != root(b):
-            parent[root(a)] = root(b)
-            total, count = total + w, count + 1
-    df = spark.createDataFrame(edges, "u long, v long, w double")
-    got = components.spanning_forest(df).collect()
-    assert len(got) == count
-    assert sum(r["w"] for r in got) == pytest.approx(total)
-
-
 def test_components_of_a_long_chain(spark):
     chain = spark.range(1, 200).select((F.col("id") * 7 % 199).alias("u"), ((F.col("id") + 1) * 7 % 199).alias("v"))
     apart = spark.createDataFrame([(1000, 1001)], "u long, v long")
@@ -160,61 +137,6 @@ def test_components_of_a_long_chain(spark):
     assert len(got) == 199 + 2
 
 
-def test_hdbscan_finds_blobs(points, blobs):
-    _, truth = blobs
-    once = points.filter("id < 180")
-    runs = [
-        {r["id"]: r for r in density.hdbscan(once, 10, block_rows=b).collect()} for b in (2048, 50)
-    ]
-    assert [runs[0][i]["cluster"] for i in range(180)] == [runs[1][i]["cluster"] for i in range(180)]
-    got = np.array([runs[0][i]["cluster"] for i in range(180)])
-    for c in range(4):
-        mine = got[truth[:180] == c]
-        assert (mine == np.bincount(mine[mine >= 0]).argmax()).mean() > 0.9
-    assert len(set(got[got >= 0])) == 4
-    assert all(0 <= r["probability"] <= 1 and 0 <= r["outlier_score"] <= 1 for r in runs[0].values())
-
-
-def lance_williams(x, w, linkage):
-    """Merge heights by repeated search for the closest pair."""
-    d = between(x)
-    if linkage == "ward":
-        d = d * np.sqrt(2 * w[:, None] * w[None] / (w[:, None] + w[None]))
-    groups = {i: [i] for i in range(len(x))}
-    heights = []
-
-    def gap(a, b):
-        if linkage == "average":
-            wa, wb = w[a], w[b]
-            return (between(x)[np.ix_(a, b)] * wa[:, None] * wb[None]).sum() / (wa.sum() * wb.sum())
-        na, nb = w[a].sum(), w[b].sum()
-        ca, cb = (np.average(x[g], axis=0, weights=w[g]) for g in (a, b))
-        return np.sqrt(2 * na * nb / (na + nb)) * np.linalg.norm(ca - cb)
-
-    while len(groups) > 1:
-        keys = sorted(groups)
-        best = min((gap(groups[i], groups[j]), i, j) for i in keys for j in keys if i < j)
-        heights.append(best[0])
-        groups[best[1]] += groups.pop(best[2])
-    return heights
-
-
-@pytest.mark.parametrize("linkage", ["ward", "average"])
-def test_merge_heights(linkage):
-    rng = np.random.default_rng(1)
-    x, w = rng.normal(size=(18, 2)), rng.integers(1, 4, 18).astype(float)
-    got = [m[2] for m in agglomerative.merge_order(x, w, linkage)]
-    assert got == pytest.approx(lance_williams(x, w, linkage))
-
-
-def test_agglomerate(points, blobs):
-    for micro in (2000, 60):
-        tree = agglomerative.agglomerate(points, "ward", micro)
-        got = np.array([r["g"] for r in tree.labels(points, 4, "g").orderBy("id").collect()])
-        for c in range(4):
-            assert np.bincount(got[blobs[1] == c]).max() >= 0.95 * (blobs[1] == c).sum()
-
-
 def test_kmeans_and_mixture(spark, points, blobs, tmp_path):
     core = points.filter("cluster >= 0")
     fitted = models.fit_kmeans(core, 4, restarts=3)
