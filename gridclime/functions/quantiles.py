@@ -25,19 +25,18 @@ def quantiles(
     Each column becomes ``array<double>`` in the order of ``probs``. The values
     equal ``percentile(column, p)``, but that aggregate keeps every distinct
     value of a group in one buffer. Here a sketch first brackets each quantile;
-    values below a bracket are counted in place, and only those inside, about
-    ``8 / accuracy`` of the rows, become rows of their own. A bracket is ranked
-    in ``PARTS`` parts, so a task sorts a part of a bracket. The bracket of a
+    values below a bracket are only counted, on the map side, values above are
+    left out, and those inside, about ``8 / accuracy`` of a group, are ranked in
+    ``PARTS`` parts, so that a task sorts a part of a bracket. The bracket of a
     group of up to ``accuracy`` values is all of them.
 
-    Reads ``df`` three times: materialize it first if it is costly.
+    Reads ``df`` twice: materialize it first if it is costly.
     """
     by, probs = list(by), [float(p) for p in probs]
-    if not columns:
+    if not columns or not probs:
         return df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).select(*by)
     slack = 4.0 / accuracy
     edges = [max(0.0, p - slack) for p in probs] + [min(1.0, p + slack) for p in probs]
-    slots = [(i, j) for i in range(len(columns)) for j in range(len(probs))]
     names = [f"_v{i}" for i in range(len(columns))]
 
     values = df.select(*by, *[F.col(c).cast("double").alias(v) for c, v in zip(columns, names)])
@@ -47,56 +46,56 @@ def quantiles(
     )
     below, above = F.lit(float("-inf")), F.lit(float("inf"))
 
-    def bracket(i: int, j: int):
+    def bracket(i: int):
         few, found = F.col(f"n{i}") <= accuracy, F.col(f"e{i}")
-        low, high = F.when(few, below).otherwise(found[j]), F.when(few, above).otherwise(found[j + len(probs)])
-        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"n{i}").alias("n"), low.alias("low"), high.alias("high"))
+        low = [F.when(few, below).otherwise(found[j]) for j in range(len(probs))]
+        high = [F.when(few, above).otherwise(found[j + len(probs)]) for j in range(len(probs))]
+        return F.struct(F.col(f"n{i}").alias("n"), F.array(*low).alias("low"), F.array(*high).alias("high"))
 
-    bounds = sketch.select(*by, F.array(*[bracket(i, j) for i, j in slots]).alias("_b"))
+    bounds = sketch.select(*by, F.array(*[bracket(i) for i in range(len(columns))]).alias("_b"))
+    packed = values.select(*by, F.array(*names).alias("_values"))
     if by:
-        bracketed = values.join(bounds, on=by)
+        bracketed = packed.join(bounds, on=by)
     else:
-        bracketed = with_one_row(values, bounds, "_row").select(*names, F.col("_row._b").alias("_b"))
-
-    def smaller(s: int):
-        return F.count_if(F.col(names[slots[s][0]]) < F.col("_b")[s]["low"])
-
-    def inside(s: int):
-        v, b = F.col(names[slots[s][0]]), F.col("_b")[s]
-        whole = b["low"] == below
-        part = F.when(whole | (b["high"] <= b["low"]), 0).otherwise(
-            F.floor((v - b["low"]) / (b["high"] - b["low"]) * PARTS)
-        )
-        found = F.struct(b["i"].alias("i"), b["j"].alias("j"), part.cast("int").alias("part"), v.alias("v"))
-        # NaN is greater than any number and lies in a bracket that has no end.
-        return F.when(v.isNotNull() & (whole | v.between(b["low"], b["high"])), found)
-
-    counts = bracketed.groupBy(*by).agg(F.array(*[smaller(s) for s in range(len(slots))]).alias("_less"))
-    info = bounds.join(counts, on=by) if by else with_one_row(bounds, counts, "_c").select("_b", F.col("_c._less").alias("_less"))
-    info = info.select(*by, F.explode(F.arrays_zip("_b", "_less")).alias("s")).select(
-        *by, F.col("s._b.i").alias("i"), F.col("s._b.j").alias("j"), F.col("s._b.n").alias("n"), F.col("s._less").alias("less")
+        bracketed = with_one_row(packed, bounds, "_row").withColumn("_b", F.col("_row._b"))
+    bracketed = bracketed.select(*by, "_b", F.posexplode("_values").alias("i", "v")).filter("v IS NOT NULL")
+    bracketed = bracketed.withColumn("_e", F.col("_b")[F.col("i")]).drop("_b")
+
+    # NaN is greater than any number and lies in a bracket that has no end.
+    def placed(j: int):
+        low, high = F.col("_e.low")[j], F.col("_e.high")[j]
+        inside = (low == below) | F.col("v").between(low, high)
+        return F.when(inside, F.col("v")).when(F.col("v") < low, below)
+
+    cells = bracketed.select(*by, "i", "_e", F.posexplode(F.array(*[placed(j) for j in range(len(probs))])).alias("j", "v"))
+    low, high = F.col("_e.low")[F.col("j")], F.col("_e.high")[F.col("j")]
+    part = (
+        F.when((low != below) & (F.col("v") == below), -1)
+        .when((low == below) | (high <= low), 0)
+        .otherwise(F.floor((F.col("v") - low) / (high - low) * PARTS))
+    )
+    counted = cells.filter("v IS NOT NULL").groupBy(*by, "i", "j", part.cast("int").alias("part"), "v").agg(
+        F.count(F.lit(1)).alias("m"), F.max("_e.n").alias("n")
     )
-    cells = bracketed.select(*by, F.explode(F.array_compact(F.array(*[inside(s) for s in range(len(slots))]))).alias("s"))
-    counted = cells.groupBy(*by, "s.i", "s.j", "s.part", "s.v").agg(F.count(F.lit(1)).alias("m"))
 
     cell = [*by, "i", "j"]
     parts = counted.groupBy(*cell, "part").agg(F.sum("m").alias("in_part"))
     earlier = Window.partitionBy(*cell).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)))
+    parts = parts.select(*cell, "part", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)).alias("before"))
     prob = F.array(*[F.lit(p) for p in probs])[F.col("j")]
-    starts = parts.join(info, cell).withColumn("at", prob * (F.col("n") - 1))
     upto = Window.partitionBy(*cell, "part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.join(starts.drop("in_part", "n"), [*cell, "part"]).withColumn(
-        "upto", F.col("less") + F.col("before") + F.sum("m").over(upto)
+    ranked = counted.join(parts, [*cell, "part"]).select(
+        *cell, "part", "v", (F.col("before") + F.sum("m").over(upto)).alias("upto"), (prob * (F.col("n") - 1)).alias("at")
     )
+    lower, upper = F.col("upto") > F.floor("at"), F.col("upto") > F.ceil("at")
     found = ranked.groupBy(*cell).agg(
-        F.min(F.when(F.col("upto") > F.floor("at"), F.col("v"))).alias("x"),
-        F.min(F.when(F.col("upto") > F.ceil("at"), F.col("v"))).alias("y"),
+        F.min(F.when(lower, F.col("v"))).alias("x"),
+        F.min(F.when(upper, F.col("v"))).alias("y"),
+        F.min(F.when(lower, F.col("part"))).alias("part"),
         F.max("at").alias("at"),
-        F.max("less").alias("less"),
     )
     # A rank outside its bracket would give a wrong value: stop instead.
-    missed = (F.col("less") > F.floor("at")) | F.col("y").isNull()
+    missed = (F.col("part") < 0) | F.col("y").isNull()
     q = F.col("x") + (F.col("y") - F.col("x")) * (F.col("at") - F.floor("at"))
     q = F.when(missed, F.raise_error(F.lit("quantile bracket missed"))).otherwise(q)
     slot = F.col("i") * len(probs) + F.col("j")
