@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.clusters import LABELLED_CTES, labelled
-from catalog.common import KEYS, NORMALIZED_CTES, big, normalized, query, r, raw, rounded, with_
+from catalog.common import (
+    DAILY_COLUMNS,
+    KEYS,
+    NORMALIZED_CTES,
+    big,
+    normalized,
+    query,
+    r,
+    raw,
+    rounded,
+    with_,
+)
 from catalog.daily import CLEAN_CTES, cleaned
 from catalog.rollups import MONTH, PLACE, SEASON_SQL, SEASON_YEAR, YEAR
 from gridclime.operators import explore, profile
@@ -38,10 +49,12 @@ def describe_sql(source: str, columns, extra: str = "") -> str:
 
 @query(
     "describe",
-    rounded(with_(NORMALIZED_CTES, describe_sql("norm", MAIN)), '"column"', DESCRIBED, ["count"]),
+    rounded(
+        with_(NORMALIZED_CTES, describe_sql("norm", DAILY_COLUMNS)), '"column"', DESCRIBED, ["count"]
+    ),
 )
 def _(spark, sf_dir):
-    return explore.describe(normalized(spark, sf_dir), MAIN)
+    return explore.describe(normalized(spark, sf_dir), DAILY_COLUMNS)
 
 
 BINS = 30
@@ -179,7 +192,24 @@ def _(spark, sf_dir):
     return explore.means_by_region(normalized(spark, sf_dir), MAIN)
 
 
-@query("sample_per_region")
+DRAW = (
+    "MD5('42|' || CAST(latitude AS VARCHAR) || '|' || CAST(longitude AS VARCHAR) || '|' || "
+    f"CAST(date AS VARCHAR)), {KEYS}"
+)
+
+
+@query(
+    "sample_per_region",
+    rounded(
+        with_(
+            {"raw": P.NASA_RAW},
+            f"SELECT {KEYS}, {REGION} AS region, T2M FROM raw QUALIFY ROW_NUMBER() OVER "
+            f"(PARTITION BY {REGION} ORDER BY {DRAW}) <= 5000",
+        ),
+        f"{KEYS}, region",
+        ["T2M"],
+    ),
+)
 def _(spark, sf_dir):
     rows = raw(spark, sf_dir).withColumn(
         "region", explore.compass_region(F.col("latitude"), F.col("longitude"))
@@ -206,7 +236,14 @@ def _(spark, sf_dir):
     return picked.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sample_rows")
+@query(
+    "sample_rows",
+    rounded(
+        with_({"raw": P.NASA_RAW}, f"SELECT {KEYS}, T2M FROM raw ORDER BY {DRAW} LIMIT 500"),
+        KEYS,
+        ["T2M"],
+    ),
+)
 def _(spark, sf_dir):
     rows = raw(spark, sf_dir).select("latitude", "longitude", "date", "T2M")
     return explore.sample(rows, 500, ["latitude", "longitude", "date"])

@@ -6,10 +6,10 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from catalog.common import big, query, r, raw, rounded, with_
+from catalog.common import DAILY_COLUMNS, NORMALIZED_CTES, big, normalized, query, r, raw, rounded, with_
 from gridclime.functions.columns import great_circle_km
 from gridclime.functions.lineage import stage_folder
-from gridclime.registry import FEATURES
+from gridclime.registry import FEATURES, RAW_CODES
 from gridclime.operators import features
 from gridclime.sources import grid, payloads, tables
 from gridclime.sources import projections as P
@@ -169,7 +169,7 @@ def _(spark, sf_dir):
 
 # ------------------------------------------------------------------ payloads
 
-PAYLOAD_CODES = ["T2M", "PRECTOTCORR", "WS10M"]
+PAYLOAD_CODES = list(RAW_CODES)
 
 
 def payload_rows(spark, sf_dir):
@@ -250,7 +250,9 @@ def _(spark, sf_dir):
     return payloads.pending_places(places(spark, sf_dir), P.view(spark, sf_dir, SPOTS))
 
 
-FILE_COLUMNS = "latitude double, longitude double, date date, T2M double, WS10M double"
+FILE_COLUMNS = "latitude double, longitude double, date date, " + ", ".join(
+    f"{c} double" for c in PAYLOAD_CODES
+)
 
 
 @query(
@@ -258,12 +260,12 @@ FILE_COLUMNS = "latitude double, longitude double, date date, T2M double, WS10M
     rounded(
         with_({"raw": P.NASA_RAW}, "SELECT * FROM raw WHERE latitude < 20"),
         "latitude, longitude, date",
-        ["T2M", "WS10M"],
+        PAYLOAD_CODES,
     ),
 )
 def _(spark, sf_dir):
     folder = f"{stage_folder(spark)}/{uuid.uuid4().hex}"
-    rows = raw(spark, sf_dir).select("latitude", "longitude", "date", "T2M", "WS10M")
+    rows = raw(spark, sf_dir).select("latitude", "longitude", "date", *PAYLOAD_CODES)
     # One folder per half of the places, read back together by place id.
     north = F.col("latitude") >= 20
     for point_id, part in (("PT_00001", rows.filter(north)), ("PT_00002", rows.filter(~north))):
@@ -277,15 +279,13 @@ def _(spark, sf_dir):
     rounded(
         with_({"raw": P.NASA_RAW}, "SELECT *, EXTRACT(YEAR FROM date) AS year FROM raw"),
         "latitude, longitude, date",
-        ["T2M", "WS10M"],
+        PAYLOAD_CODES,
         ["year"],
     ),
 )
 def _(spark, sf_dir):
     folder = f"{stage_folder(spark)}/{uuid.uuid4().hex}"
-    tables.write_daily(
-        raw(spark, sf_dir).select("latitude", "longitude", "date", "T2M", "WS10M"), folder
-    )
+    tables.write_daily(raw(spark, sf_dir), folder)
     return tables.read_table(spark, folder)
 
 
@@ -305,29 +305,31 @@ def _(spark, sf_dir):
     return tables.preview(rows, ["latitude", "longitude", "date"])
 
 
+COUNTED = [c for c in FEATURES if c in DAILY_COLUMNS]
+
+
 @query(
     "catalogued_columns",
     with_(
         {
+            **NORMALIZED_CTES,
             "registry": " UNION ALL ".join(
                 f"SELECT '{name}' AS feature, '{unit}' AS unit, {tier} AS tier, "
                 f"'{source}' AS source, '{domain}' AS domain"
                 for name, (unit, tier, source, domain) in FEATURES.items()
             ),
-            "raw": P.NASA_RAW,
-            "filled": "SELECT 'nasa_uv_index' AS feature, COUNT(ALLSKY_SFC_UV_INDEX) AS n FROM raw "
-            "UNION ALL SELECT 'nasa_cloud_amount', COUNT(CLOUD_AMT) FROM raw "
-            "UNION ALL SELECT 'nasa_earth_skin_temperature', COUNT(TS) FROM raw",
+            "filled": " UNION ALL ".join(
+                f"SELECT '{c}' AS feature, COUNT({c}) AS n FROM norm" for c in COUNTED
+            ),
         },
         f"SELECT feature, unit, {big('tier')}, source, domain, {big('n')} "
-        "FROM registry JOIN filled USING (feature)",
+        "FROM registry LEFT JOIN filled USING (feature)",
     ),
 )
 def _(spark, sf_dir):
-    counts = raw(spark, sf_dir).agg(
-        F.count("ALLSKY_SFC_UV_INDEX").alias("nasa_uv_index"),
-        F.count("CLOUD_AMT").alias("nasa_cloud_amount"),
-        F.count("TS").alias("nasa_earth_skin_temperature"),
-    )
-    long = counts.unpivot([], counts.columns, "feature", "n")
-    return features.feature_registry(spark).join(long, "feature")
+    """Every feature of the registry, and its values in the table, NULL where it has no such column."""
+    rows = normalized(spark, sf_dir)
+    present = [c for c in FEATURES if c in rows.columns]
+    counts = rows.agg(*[F.count(c).alias(c) for c in present])
+    long = counts.unpivot([], present, "feature", "n")
+    return features.feature_registry(spark).join(long, "feature", "left")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclime.functions.columns import numeric_columns, with_one_row
+from gridclime.functions.lineage import materialize
 from gridclime.functions.quantiles import quantiles
 from gridclime.operators.rollup import season_of, to_monthly, to_seasonal, to_yearly
 from gridclime.registry import NOISE_LABEL, PLACE, SEASONS, UNASSIGNED_LABEL
@@ -70,8 +71,12 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: Sequence[str], pairs_per_pass: int = 120) -> DataFrame:
-    """(a, b, r) of every two columns; NULLs are dropped pair by pair."""
+    """(a, b, r) of every two columns; NULLs are dropped pair by pair.
+
+    The columns are stored once; each further pass reads only those.
+    """
     pairs = list(combinations(columns, 2))
+    df = materialize(df.select(*columns))
     parts = []
     for start in range(0, len(pairs), pairs_per_pass):
         chunk = pairs[start : start + pairs_per_pass]
@@ -125,17 +130,23 @@ def means_by_region(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def draw(key: Sequence[str], seed: int) -> Column:
+    """A digest that puts keys into an arbitrary but reproducible order."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+
+
 def sample_per_group(
     df: DataFrame, group: str, n: int, key: Sequence[str], seed: int = 42, spread: int = 64
 ) -> DataFrame:
-    """At most n rows per group, chosen by a seeded hash of the key.
+    """At most n rows per group, chosen by a seeded digest of the key.
 
     A group is first limited inside ``spread`` salted parts, so the final
     ranking sees at most ``spread * n`` rows of it.
     """
-    drawn = df.withColumn("_h", F.xxhash64(F.lit(seed), *key))
+    drawn = df.withColumn("_h", draw(key, seed))
     order = ["_h", *key]
-    part = Window.partitionBy(group, F.pmod("_h", F.lit(spread))).orderBy(*order)
+    salt = F.pmod(F.xxhash64("_h"), F.lit(spread))
+    part = Window.partitionBy(group, salt).orderBy(*order)
     whole = Window.partitionBy(group).orderBy(*order)
     few = drawn.withColumn("_r", F.row_number().over(part)).filter(F.col("_r") <= n)
     kept = few.withColumn("_r", F.row_number().over(whole)).filter(F.col("_r") <= n)
@@ -143,8 +154,8 @@ def sample_per_group(
 
 
 def sample(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
-    """n rows, chosen by a seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(n)
+    """n rows, chosen by a seeded digest of the key."""
+    return df.orderBy(draw(key, seed), *key).limit(n)
 
 
 def yearly_trend(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -279,16 +290,18 @@ def compare_stages(
 def place_series(daily: DataFrame, latitude: float, longitude: float, column: str) -> DataFrame:
     """One place's values at every resolution in time order; the first place if it is absent.
 
-    (latitude, longitude, resolution, start, value).
+    (latitude, longitude, resolution, start, value). The place is looked up
+    first, so that its filter is on literals; its rows are stored and read for
+    every resolution.
     """
     asked = (F.col("latitude") == latitude) & (F.col("longitude") == longitude)
     first = F.min(F.struct(*PLACE))
     chosen = F.coalesce(F.min(F.when(asked, F.struct(*PLACE))), first)
-    spot = daily.agg(chosen.alias("spot"))
-    here = (F.col("latitude") == F.col("_at.spot.latitude")) & (
-        F.col("longitude") == F.col("_at.spot.longitude")
-    )
-    one = with_one_row(daily.select(*PLACE, "date", column), spot, "_at").filter(here).drop("_at")
+    spot = daily.agg(chosen.alias("spot")).first()["spot"]
+    here = F.lit(False)
+    if spot is not None:
+        here = (F.col("latitude") == spot["latitude"]) & (F.col("longitude") == spot["longitude"])
+    one = materialize(daily.filter(here).select(*PLACE, "date", column))
 
     def part(df: DataFrame, name: str, start: Column) -> DataFrame:
         return df.select(

@@ -37,6 +37,20 @@ FLAGS = {
     "storm_wind_flag": ("wind_gusts_10m_max", ">", 90),
     "pressure_instability": ("pressure_msl_std", ">", 5),
 }
+RANGES = (
+    "temp_range_daily",
+    "apparent_temp_range",
+    "humidity_range",
+    "pressure_range",
+    "cloud_stratification",
+)
+HAZARD_FLAGS = (
+    "heavy_rain_flag",
+    "extreme_rain_flag",
+    "extreme_wind_flag",
+    "storm_wind_flag",
+    "pressure_instability",
+)
 # Score -> hour counts summed and divided by 72.
 HOUR_SCORES = {
     "outdoor_comfort_score": ("comfortable_hours", "dry_hours", "calm_hours"),
@@ -59,11 +73,10 @@ def core_features(df: DataFrame) -> DataFrame:
     if "temperature_2m_mean" not in df.columns:
         middle = (F.col(ends[0]) + F.col(ends[1])) / 2
         df = _where_present(df, {"temperature_2m_mean": (ends, middle)})
-    ranges = list(DIFFERENCES)[:5]
     wanted = {
         name: (pair, F.col(pair[0]) - F.col(pair[1]))
         for name, pair in DIFFERENCES.items()
-        if name in ranges
+        if name in RANGES
     }
     wanted["sunshine_fraction"] = (["low_cloud_hours"], F.col("low_cloud_hours") / 24.0)
     wanted["precipitation_intensity"] = (
@@ -156,8 +169,7 @@ def agriculture_features(df: DataFrame) -> DataFrame:
 
 
 def hazard_features(df: DataFrame) -> DataFrame:
-    names = list(FLAGS)[2:]
-    df = _where_present(df, _flags(names))
+    df = _where_present(df, _flags(HAZARD_FLAGS))
     product = F.col("heavy_rain_flag") * F.col("precipitation_hours")
     needs = ["heavy_rain_flag", "precipitation_hours"]
     return _where_present(df, {"flood_risk_indicator": (needs, product)})

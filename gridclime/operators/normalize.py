@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridclime.functions.columns import with_one_row
 from gridclime.registry import ALIASES, PLACE, RAW_CODES, SET_FROM_MEAN
 
 AGREEMENT_PAIRS = (
@@ -53,7 +52,11 @@ def normalize(df: DataFrame, keep_existing: bool = False) -> DataFrame:
 
 
 def common_dates(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sources limited to the date range they share."""
+    """Both sources limited to the date range they share.
+
+    The two bounds are fetched, so that the filters are on literals and reach
+    the scans.
+    """
     span = lambda df: df.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     bounds = (
         span(left)
@@ -61,13 +64,9 @@ def common_dates(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFram
         .agg(F.max("lo").alias("start"), F.min("hi").alias("end"))
     )
 
-    def limited(df: DataFrame) -> DataFrame:
-        ranged = with_one_row(df, bounds, "_range")
-        return ranged.filter(F.col("date").between(F.col("_range.start"), F.col("_range.end"))).drop(
-            "_range"
-        )
-
-    return limited(left), limited(right)
+    start, end = bounds.first()
+    shared = F.col("date").between(F.lit(start), F.lit(end))
+    return left.filter(shared), right.filter(shared)
 
 
 def _matched(left: DataFrame, right: DataFrame, how: str, place: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridclime.functions.lineage import materialize
 from gridclime.registry import PLACE, VALID_RANGES
 
 MISSING_ISSUE_PCT = 10
@@ -77,6 +78,10 @@ def coverage(
 ) -> DataFrame:
     """Places, rows per place, and the share of the expected places."""
     per_place = df.groupBy(*place).agg(F.count(F.lit(1)).alias("n"))
+    return _coverage(per_place, expected_places)
+
+
+def _coverage(per_place: DataFrame, expected_places: int | None) -> DataFrame:
     columns = [
         F.count(F.lit(1)).alias("total_places"),
         F.min("n").alias("min_records"),
@@ -95,32 +100,59 @@ def coverage(
 def report(
     df: DataFrame, expected_places: int | None = None, place: Sequence[str] = PLACE
 ) -> DataFrame:
-    """All checks as one long table: check, subject, value, is_issue."""
+    """All checks as one long table: check, subject, value, is_issue.
+
+    The input is read twice: once for the counts per column, once for the rows
+    and days per place, which are stored.
+    """
+    ranges = {c: r for c, r in VALID_RANGES.items() if c in df.columns}
+    outside = lambda c: (F.col(c) < ranges[c][0]) | (F.col(c) > ranges[c][1])
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_total"),
+        *[F.count_if(F.col(c).isNull()).alias(f"missing {c}") for c in df.columns],
+        *[F.count_if(outside(c)).alias(f"outside {c}") for c in ranges],
+    )
+
+    def cell(check: str, c: str, n: Column, value: Column, issue: Column) -> Column:
+        entry = F.struct(
+            F.lit(check).alias("check"),
+            F.lit(c).alias("subject"),
+            value.alias("value"),
+            issue.alias("is_issue"),
+        )
+        return F.when(n > 0, entry)
+
+    cells = []
+    for c in df.columns:
+        n = F.col(f"`missing {c}`")
+        pct = F.bround(n / F.col("_total") * 100, 2)
+        cells.append(cell("missing_values", c, n, pct, pct > MISSING_ISSUE_PCT))
+    for c in ranges:
+        n = F.col(f"`outside {c}`")
+        pct = n / F.col("_total") * 100
+        cells.append(cell("value_ranges", c, n, n.cast("double"), pct > RANGE_ISSUE_PCT))
+    columns = counts.select(F.inline(F.array_compact(F.array(*cells))))
+
+    days = F.datediff(F.max("date"), F.min("date")) + 1
+    per_place = materialize(
+        df.groupBy(*place).agg(
+            F.count(F.lit(1)).alias("n"),
+            (days - F.count_distinct("date")).cast("bigint").alias("gaps"),
+        )
+    )
     spot = F.concat_ws(",", *[F.col(c).cast("string") for c in place])
-    covered = coverage(df, expected_places, place)
-    parts = [
-        missing_values(df).select(
-            F.lit("missing_values").alias("check"),
-            F.col("column").alias("subject"),
-            F.col("missing_pct").alias("value"),
-            (F.col("missing_pct") > MISSING_ISSUE_PCT).alias("is_issue"),
-        ),
-        date_gaps(df, place).select(
-            F.lit("date_continuity").alias("check"),
-            spot.alias("subject"),
-            F.col("missing_dates").cast("double").alias("value"),
-            (F.col("missing_dates") > GAP_ISSUE_DAYS).alias("is_issue"),
-        ),
-        out_of_range(df).select(
-            F.lit("value_ranges").alias("check"),
-            F.col("column").alias("subject"),
-            F.col("outside_count").cast("double").alias("value"),
-            (F.col("outside_pct") > RANGE_ISSUE_PCT).alias("is_issue"),
-        ),
+    gaps = per_place.filter("gaps > 0").select(
+        F.lit("date_continuity").alias("check"),
+        spot.alias("subject"),
+        F.col("gaps").cast("double").alias("value"),
+        (F.col("gaps") > GAP_ISSUE_DAYS).alias("is_issue"),
+    )
+    covered = _coverage(per_place, expected_places)
+    places = (
         covered.select(*[F.col(c).cast("double").alias(c) for c in covered.columns])
         .unpivot([], covered.columns, "subject", "value")
         .select(
             F.lit("coverage").alias("check"), "subject", "value", F.lit(False).alias("is_issue")
-        ),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+        )
+    )
+    return reduce(DataFrame.unionByName, [columns, gaps, places])
