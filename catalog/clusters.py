@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.common import big, query, r, rounded, with_
-from catalog.rollups import NORMALS_CTES, PLACE, featured
+from catalog.rollups import NORMALS_ADDED, NORMALS_CTES, PLACE, VALUES, featured
 from gridclime.functions.lineage import materialize
 from gridclime.operators import insights, metrics, pairs, profile, rollup
-from gridclime.registry import FRIENDLY_NAMES
+from gridclime.registry import FRIENDLY_NAMES, REDUNDANT_RAW
 from gridclime.sources import projections as P
 
 _STORED: dict = {}
@@ -294,24 +294,7 @@ def _(spark, sf_dir):
 
 # ------------------------------------------------------------------ profiles
 
-FEATURES = [
-    "temperature_2m_mean",
-    "temperature_2m_max",
-    "precipitation_sum",
-    "precipitation_sum_interannual_std",
-    "relative_humidity_2m_mean",
-    "wind_speed_10m_mean",
-    "wind_speed_80m_mean",
-    "wind_shear_coefficient",
-    "shortwave_radiation_sum",
-    "solar_utilization_ratio",
-    "solar_wind_complementarity",
-    "wind_power_density_80m",
-    "wind_power_density_120m",
-    "cloud_cover_mean",
-    "nasa_uv_index",
-    "soil_air_temp_diff",
-]
+FEATURES = [c for c in [*VALUES, *NORMALS_ADDED] if c not in REDUNDANT_RAW]
 STATS = {
     "mean": "AVG({0})",
     "std": "STDDEV_SAMP({0})",
@@ -371,8 +354,6 @@ AGRICULTURE_STARTS = [
 
 
 def _domain_columns() -> list[str]:
-    from catalog.rollups import NORMALS_ADDED, VALUES
-
     return [c for c in [*VALUES, *NORMALS_ADDED] if c.startswith(tuple(AGRICULTURE_STARTS))]
 
 
@@ -404,6 +385,8 @@ SENTENCES = {
         "' wind energy potential than average'",
         "wind_power_density_120m": "CASE WHEN z > 0 THEN 'higher' ELSE 'lower' END || "
         "' wind energy potential than average'",
+        "wind_power_density_180m": "CASE WHEN z > 0 THEN 'higher' ELSE 'lower' END || "
+        "' wind energy potential than average'",
     }.get(
         c,
         "CASE WHEN z > 0 THEN 'higher' ELSE 'lower' END || "
@@ -418,12 +401,15 @@ SENTENCES = {
     with_(
         {
             **LABELLED_CTES,
+            "overall": "SELECT "
+            + ", ".join(f"AVG({c}) AS g_{c}, STDDEV_SAMP({c}) AS s_{c}" for c in FEATURES)
+            + " FROM lab",
+            "means_": "SELECT cluster, "
+            + ", ".join(f"AVG({c}) AS {c}" for c in FEATURES)
+            + " FROM lab GROUP BY cluster",
             "long_": " UNION ALL ".join(
-                f"SELECT cluster, '{c}' AS feature, {i} AS pos, AVG({c}) AS cm, g, "
-                f"(AVG({c}) - g)/s AS z FROM lab, "
-                f"(SELECT AVG({c}) AS g, STDDEV_SAMP({c}) AS s FROM lab) o "
-                "WHERE s > 1E-12*ABS(g) "
-                "GROUP BY cluster, g, s"
+                f"SELECT cluster, '{c}' AS feature, {i} AS pos, {c} AS cm, g_{c} AS g, "
+                f"({c} - g_{c})/s_{c} AS z FROM means_, overall WHERE s_{c} > 1E-12*ABS(g_{c})"
                 for i, c in enumerate(FEATURES)
             ),
         },

@@ -421,25 +421,23 @@ def interpolate_sql(source: str, columns, others, limit: int = 7) -> str:
 
 
 # Longer holes than scattered NULLs: three months of every year are missing.
+GAP = "EXTRACT(MONTH FROM date) <= 3 OR EXTRACT(YEAR FROM date) = 1997"
 HOLES = {
     **RAW,
-    "holes": f"SELECT {KEYS}, CASE WHEN EXTRACT(MONTH FROM date) <= 3 "
-    "OR EXTRACT(YEAR FROM date) = 1997 THEN NULL ELSE T2M END AS T2M, PRECTOTCORR FROM raw",
+    "holes": f"SELECT {KEYS}, "
+    + ", ".join(f"CASE WHEN NOT ({GAP}) THEN {c} END AS {c}" for c in CODES)
+    + " FROM raw",
 }
 
 
 def holes(spark, sf_dir):
     gap = (F.month("date") <= 3) | (F.year("date") == 1997)
     return raw(spark, sf_dir).select(
-        "latitude",
-        "longitude",
-        "date",
-        F.when(~gap, F.col("T2M")).alias("T2M"),
-        "PRECTOTCORR",
+        "latitude", "longitude", "date", *[F.when(~gap, F.col(c)).alias(c) for c in CODES]
     )
 
 
-GAPPY = ["T2M", "PRECTOTCORR"]
+GAPPY = CODES
 
 
 @query("interpolate", rounded(with_(HOLES, interpolate_sql("holes", GAPPY, [])), KEYS, GAPPY))
@@ -454,11 +452,12 @@ def _(spark, sf_dir):
             {
                 **HOLES,
                 "medians": f"SELECT {PLACE}, EXTRACT(MONTH FROM date) AS month, "
-                "QUANTILE_CONT(T2M, 0.5) AS t, QUANTILE_CONT(PRECTOTCORR, 0.5) AS p "
-                f"FROM holes GROUP BY {PLACE}, EXTRACT(MONTH FROM date)",
+                + ", ".join(f"QUANTILE_CONT({c}, 0.5) AS m_{c}" for c in GAPPY)
+                + f" FROM holes GROUP BY {PLACE}, EXTRACT(MONTH FROM date)",
             },
-            "SELECT h.latitude, h.longitude, h.date, COALESCE(h.T2M, m.t) AS T2M, "
-            "COALESCE(h.PRECTOTCORR, m.p) AS PRECTOTCORR FROM holes h JOIN medians m "
+            "SELECT h.latitude, h.longitude, h.date, "
+            + ", ".join(f"COALESCE(h.{c}, m_{c}) AS {c}" for c in GAPPY)
+            + " FROM holes h JOIN medians m "
             "ON h.latitude = m.latitude AND h.longitude = m.longitude "
             "AND EXTRACT(MONTH FROM h.date) = m.month",
         ),

@@ -23,16 +23,7 @@ from gridclime.sources import projections as P
 # ------------------------------------------------------------------- scaling
 
 CHOSEN = [c for c in [*VALUES, *NORMALS_ADDED] if c not in REDUNDANT_RAW]
-SCALED = [
-    "temperature_2m_mean",
-    "precipitation_sum",
-    "relative_humidity_2m_mean",
-    "wind_speed_10m_mean",
-    "cloud_cover_mean",
-    "shortwave_radiation_sum",
-    "nasa_uv_index",
-    "rainfall_seasonality_index",
-]
+SCALED = CHOSEN
 
 
 @query(
@@ -52,20 +43,34 @@ def _(spark, sf_dir):
 
 FILLED = {
     **LABELLED_CTES,
+    "medians": "SELECT " + ", ".join(f"QUANTILE_CONT({c}, 0.5) AS m_{c}" for c in SCALED) + " FROM lab",
     "filled": f"SELECT {PLACE}, "
-    + ", ".join(
-        f"COALESCE({c}, (SELECT QUANTILE_CONT({c}, 0.5) FROM lab), 0) AS {c}" for c in SCALED
-    )
-    + " FROM lab",
+    + ", ".join(f"COALESCE({c}, m_{c}, 0) AS {c}" for c in SCALED)
+    + " FROM lab, medians",
 }
+# A spread of zero, or of rounding noise alone, counts as one.
 SCALERS = {
-    "standard": "({0} - AVG({0}) OVER ())/(STDDEV_POP({0}) OVER ())",
-    "minmax": "({0} - MIN({0}) OVER ())/(MAX({0}) OVER () - MIN({0}) OVER ())",
-    # A spread of zero counts as one.
-    "robust": "({0} - (SELECT QUANTILE_CONT({0}, 0.5) FROM filled))/"
-    "COALESCE(NULLIF((SELECT QUANTILE_CONT({0}, 0.75) - QUANTILE_CONT({0}, 0.25) FROM filled), 0), 1)",
+    "standard": ("AVG({0})", "STDDEV_POP({0})"),
+    "minmax": ("MIN({0})", "MAX({0}) - MIN({0})"),
+    "robust": ("QUANTILE_CONT({0}, 0.5)", "QUANTILE_CONT({0}, 0.75) - QUANTILE_CONT({0}, 0.25)"),
 }
-for _method, _formula in SCALERS.items():
+
+
+def scaled_sql(method: str) -> str:
+    center, spread = SCALERS[method]
+    learned_ = ", ".join(
+        f"{center.format(c)} AS c_{c}, {spread.format(c)} AS s_{c}" for c in SCALED
+    )
+    cells = ", ".join(
+        f"({c} - c_{c})/CASE WHEN s_{c} > 1E-12*ABS(c_{c}) THEN s_{c} ELSE 1 END AS {c}" for c in SCALED
+    )
+    return with_(
+        {**FILLED, "learned": f"SELECT {learned_} FROM filled"},
+        f"SELECT {PLACE}, {cells} FROM filled, learned",
+    )
+
+
+for _method in SCALERS:
 
     def _build(spark, sf_dir, method=_method):
         rows = labelled(spark, sf_dir)
@@ -74,19 +79,7 @@ for _method, _formula in SCALERS.items():
         names = [F.col("scaled")[i].alias(c) for i, c in enumerate(scaling.features)]
         return out.select("latitude", "longitude", *names)
 
-    query(
-        f"scale_{_method}",
-        rounded(
-            with_(
-                FILLED,
-                f"SELECT {PLACE}, "
-                + ", ".join(f"{_formula.format(c)} AS {c}" for c in SCALED)
-                + " FROM filled",
-            ),
-            PLACE,
-            SCALED,
-        ),
-    )(_build)
+    query(f"scale_{_method}", rounded(scaled_sql(_method), PLACE, SCALED))(_build)
 
 
 @query("scale_inverse", rounded(with_(FILLED, "SELECT * FROM filled"), PLACE, SCALED))
@@ -153,6 +146,74 @@ def _(spark, sf_dir):
     )
 
 
+# Two features that are not standardized have components of unequal loadings:
+# the eigenvectors of their covariance, in closed form.
+BOX_CTES = {
+    **LABELLED_CTES,
+    "box": f"SELECT {PLACE}, cluster, "
+    + ", ".join(
+        f"({c} - MIN({c}) OVER ())/(MAX({c}) OVER () - MIN({c}) OVER ()) AS {n}"
+        for c, n in zip(PAIR, "ab")
+    )
+    + " FROM lab",
+    "cov": "SELECT VAR_SAMP(a) AS va, VAR_SAMP(b) AS vb, COVAR_SAMP(a, b) AS vab FROM box",
+    "eigen": "SELECT component, (va + vb)/2 + side*SQRT((va - vb)*(va - vb)/4 + vab*vab) AS value, "
+    "va, vb, vab FROM cov, (VALUES (1, 1), (2, -1)) AS t(component, side)",
+    "raw_loadings": "SELECT component, value/(va + vb) AS ratio, vab/SQRT(vab*vab + (value - va)*(value - va)) AS u, "
+    "(value - va)/SQRT(vab*vab + (value - va)*(value - va)) AS v FROM eigen",
+    "signed_": "SELECT component, ratio, u*s AS u, v*s AS v FROM (SELECT *, "
+    "CASE WHEN ABS(u) >= ABS(v) THEN SIGN(u) ELSE SIGN(v) END AS s FROM raw_loadings) q",
+    "loadings": f"SELECT component, ratio, '{PAIR[0]}' AS feature, u AS loading FROM signed_ "
+    f"UNION ALL SELECT component, ratio, '{PAIR[1]}', v FROM signed_",
+    "pcs": f"SELECT {PLACE}, cluster, a*one.u + b*one.v AS pc1, a*two.u + b*two.v AS pc2 FROM box, "
+    "(SELECT * FROM signed_ WHERE component = 1) one, (SELECT * FROM signed_ WHERE component = 2) two",
+}
+
+
+def box_projection(spark, sf_dir):
+    rows = labelled(spark, sf_dir)
+    scaling = reduce.fit_scaling(rows, PAIR, "minmax")
+    return rows, scaling, reduce.fit_projection(scaling.transform(rows), variance=2)
+
+
+@query(
+    "top_loadings_of_a_pair",
+    with_(
+        BOX_CTES,
+        f"SELECT {big('component')}, {r('ratio')}, feature, {r('loading')}, "
+        + big("ROW_NUMBER() OVER (PARTITION BY component ORDER BY ABS(loading) DESC, feature)", "rank")
+        + " FROM loadings",
+    ),
+)
+def _(spark, sf_dir):
+    _, scaling, projection = box_projection(spark, sf_dir)
+    return reduce.top_loadings(reduce.loadings(spark, projection, scaling.features))
+
+
+@query(
+    "feature_importance_of_a_pair",
+    with_(
+        {
+            **BOX_CTES,
+            "weights": "SELECT feature, SUM(ABS(loading)*ratio) AS w FROM loadings GROUP BY feature",
+        },
+        f"SELECT feature, {r('100*w/MAX(w) OVER ()', 'importance')} FROM weights",
+    ),
+)
+def _(spark, sf_dir):
+    _, scaling, projection = box_projection(spark, sf_dir)
+    return reduce.importance(reduce.loadings(spark, projection, scaling.features))
+
+
+@query(
+    "projection_table_of_a_pair",
+    rounded(with_(BOX_CTES, "SELECT * FROM pcs"), PLACE, ["pc1", "pc2"], ["cluster"]),
+)
+def _(spark, sf_dir):
+    out = reduce.projection_table(*box_projection(spark, sf_dir))
+    return out.select("latitude", "longitude", "cluster", "pc1", "pc2")
+
+
 @query("explained_variance")
 def _(spark, sf_dir):
     return reduce.explained_variance(spark, projected(spark, sf_dir)[1])
@@ -225,17 +286,125 @@ def _(spark, sf_dir):
 
 @query("information_by_k")
 def _(spark, sf_dir):
-    return sweeps.information_by_k(points(spark, sf_dir), range(3, 9), 3)
+    return sweeps.information_by_k(points(spark, sf_dir))
 
 
 @query("elbow")
 def _(spark, sf_dir):
-    return sweeps.elbow(points(spark, sf_dir), range(3, 9), 3)
+    return sweeps.elbow(points(spark, sf_dir))
 
 
 @query("silhouette_by_k")
 def _(spark, sf_dir):
-    return sweeps.silhouette_by_k(points(spark, sf_dir), range(3, 9), 3)
+    return sweeps.silhouette_by_k(points(spark, sf_dir))
+
+
+# Points in three groups far apart: every model has one right answer.
+GROUPED = (
+    "SELECT c_custkey, 100.0E0*(c_nationkey % 3) + (c_custkey % 97)/10.0E0 AS x1, "
+    "60.0E0*(c_nationkey % 3) + CAST(c_acctbal AS DOUBLE)/1000.0E0 AS x2, "
+    "CAST(c_nationkey % 3 AS BIGINT) AS part FROM customer"
+)
+GROUPED_CTES = {
+    "grouped": GROUPED,
+    "parts": "SELECT part, COUNT(*) AS n, MIN([x1, x2]) AS first, VAR_POP(x1) AS v1, "
+    "VAR_POP(x2) AS v2, COVAR_POP(x1, x2) AS c12 FROM grouped GROUP BY part",
+    "numbers": "SELECT *, ROW_NUMBER() OVER (ORDER BY n DESC, first) - 1 AS cluster FROM parts",
+}
+
+
+def grouped_points(spark, sf_dir):
+    return P.view(spark, sf_dir, GROUPED).select("c_custkey", F.array("x1", "x2").alias("x"))
+
+
+@query(
+    "kmeans_of_groups",
+    with_(
+        GROUPED_CTES,
+        f"SELECT {big('c_custkey')}, {big('cluster')} FROM grouped JOIN numbers USING (part)",
+    ),
+)
+def _(spark, sf_dir):
+    rows = grouped_points(spark, sf_dir)
+    return models.fit_kmeans(rows, 3).labels(rows).select("c_custkey", "cluster")
+
+
+@query(
+    "inertia_of_groups",
+    with_(GROUPED_CTES, f"SELECT {big('3', 'k')}, {r('SUM(n*(v1 + v2))', 'inertia')} FROM parts"),
+)
+def _(spark, sf_dir):
+    return sweeps.elbow(grouped_points(spark, sf_dir), [3]).select("k", "inertia")
+
+
+@query(
+    "candidates_of_groups",
+    with_(
+        GROUPED_CTES,
+        "SELECT CAST(COUNT(*) AS BIGINT) AS best, CAST(UNNEST([3, 5, 6, 7, 8]) AS BIGINT) AS k FROM parts",
+    ),
+)
+def _(spark, sf_dir):
+    rows = grouped_points(spark, sf_dir)
+    best = sweeps.best_k(sweeps.silhouette_by_k(rows, range(2, 7), 3))
+    ks = sweeps.candidate_ks(best, rows.count())
+    return spark.createDataFrame([(best, k) for k in ks], "best int, k int")
+
+
+@query(
+    "mixture_of_groups",
+    rounded(
+        with_(
+            GROUPED_CTES,
+            "SELECT c_custkey, cluster, 1.0E0 AS confidence, 0.0E0 AS uncertainty "
+            "FROM grouped JOIN numbers USING (part)",
+        ),
+        "",
+        ["confidence", "uncertainty"],
+        ["c_custkey", "cluster"],
+    ),
+)
+def _(spark, sf_dir):
+    rows = grouped_points(spark, sf_dir)
+    fitted = models.fit_mixture(rows, 3)
+    return models.memberships(fitted.labels(rows), fitted).select(
+        "c_custkey", "cluster", F.array_max("membership").alias("confidence"), "uncertainty"
+    )
+
+
+# Each part's points have the likelihood of its own normal distribution; 17 parameters.
+LIKELIHOOD = {
+    **GROUPED_CTES,
+    "total": "SELECT SUM(n) AS n FROM parts",
+    "ll": "SELECT SUM(parts.n*(LN(parts.n*1.0E0/total.n) - LN(2*PI()) - LN(v1*v2 - c12*c12)/2 - 1)) AS ll, "
+    "ANY_VALUE(total.n) AS n FROM parts, total",
+}
+
+
+@query(
+    "information_of_groups",
+    with_(
+        LIKELIHOOD,
+        f"SELECT {big('3', 'k')}, {r('-2*ll + 17*LN(n)', 'bic')}, {r('-2*ll + 34', 'aic')}, "
+        "TRUE AS converged FROM ll",
+    ),
+)
+def _(spark, sf_dir):
+    return sweeps.information_by_k(grouped_points(spark, sf_dir), [3], 5)
+
+
+@query(
+    "assign_groups_by_mixture",
+    with_(
+        GROUPED_CTES,
+        f"SELECT {big('c_custkey')}, {big('cluster')}, {r('1.0E0', 'confidence')} "
+        "FROM grouped JOIN numbers USING (part)",
+    ),
+)
+def _(spark, sf_dir):
+    rows = grouped_points(spark, sf_dir)
+    found = assign.assign_by_mixture(rows, models.fit_mixture(rows, 3))
+    return found.select("c_custkey", "cluster", "confidence")
 
 
 # Points in columns, with copies, gaps and stray rows, from the customers.
@@ -334,6 +503,22 @@ def _(spark, sf_dir):
     return density.noise_share(density.dbscan(rows, sweeps.estimate_eps(rows), 5))
 
 
+@query(
+    "dbscan_noise_of_spread",
+    with_(
+        {k: DBSCAN_CTES[k] for k in ("rows_", "spots", "near", "cores")}
+        | {
+            "reach": "SELECT DISTINCT a FROM near WHERE b IN (SELECT id FROM cores)",
+            "noise": "SELECT 100.0E0*SUM(CASE WHEN id NOT IN (SELECT a FROM reach) THEN w ELSE 0 END)/SUM(w) "
+            "AS pct FROM spots",
+        },
+        f"SELECT {r('pct', 'noise_pct')}, pct > 30 AS is_high FROM noise",
+    ),
+)
+def _(spark, sf_dir):
+    return density.noise_share(density.dbscan(spread_points(spark, sf_dir), EPS, MIN_SAMPLES))
+
+
 @query(
     "k_distance_quantile",
     with_(
@@ -418,7 +603,7 @@ def _(spark, sf_dir):
 @query("assign_by_mixture")
 def _(spark, sf_dir):
     rows = points(spark, sf_dir)
-    fitted = models.fit_mixture(rows, 6, restarts=2)
+    fitted = models.fit_mixture(rows, 6)
     return assign.assign_by_mixture(rows, fitted).select(
         "vec_id", "cluster", "confidence", "alternative"
     )

@@ -84,7 +84,7 @@ def fit_scaling(df: DataFrame, columns: Sequence[str], method: str = "standard")
     if method == "robust":
         row = quantiles(filled, names, [0.25, 0.5, 0.75]).first()
         centers = [row[c][1] for c in names]
-        scales = [row[c][2] - row[c][0] for c in names]
+        spreads = [row[c][2] - row[c][0] for c in names]
     elif method in ("standard", "minmax"):
         low, wide = (
             (F.avg, F.stddev_pop)
@@ -95,13 +95,12 @@ def fit_scaling(df: DataFrame, columns: Sequence[str], method: str = "standard")
             *[low(c).alias(f"c_{c}") for c in names], *[wide(c).alias(f"s_{c}") for c in names]
         ).first()
         centers = [row[f"c_{c}"] for c in names]
-        # Rounding noise of a constant column is no spread.
-        scales = [
-            row[f"s_{c}"] if row[f"s_{c}"] > 1e-12 * abs(row[f"c_{c}"]) else 0.0 for c in names
-        ]
+        spreads = [row[f"s_{c}"] for c in names]
     else:
         raise ValueError(f"unknown scaling {method!r}")
-    return Scaling(method, names, medians, centers, [s or 1.0 for s in scales])
+    # Rounding noise of a constant column is no spread.
+    scales = [s if s > 1e-12 * abs(c) else 1.0 for s, c in zip(spreads, centers)]
+    return Scaling(method, names, medians, centers, scales)
 
 
 @dataclass(frozen=True)
