@@ -18,8 +18,9 @@ from catalog.common import (
     with_,
 )
 from catalog.daily import CLEAN_CTES, cleaned
+from catalog.learning import BOX_CTES, box_projection
 from catalog.rollups import MONTH, PLACE, SEASON_SQL, SEASON_YEAR, YEAR
-from gridclime.operators import explore, profile
+from gridclime.operators import explore, profile, reduce
 from gridclime.sources import projections as P
 
 MAIN = [
@@ -416,6 +417,34 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "component_ellipses_of_a_pair",
+    rounded(
+        with_(
+            {
+                **BOX_CTES,
+                "s": "SELECT cluster, COUNT(*) AS n, AVG(pc1) AS center_x, AVG(pc2) AS center_y, "
+                "VAR_SAMP(pc1) AS var_x, VAR_SAMP(pc2) AS var_y, COVAR_SAMP(pc1, pc2) AS cov_xy "
+                "FROM pcs GROUP BY cluster",
+                "e": "SELECT *, (var_x + var_y)/2 AS half, "
+                "SQRT(POWER((var_x - var_y)/2, 2) + cov_xy*cov_xy) AS root FROM s "
+                "WHERE n >= 3 AND var_x*var_y - cov_xy*cov_xy > 0",
+            },
+            "SELECT *, 1.8E0*SQRT(GREATEST(half + root, 1E-9)) AS radius_major, "
+            "1.8E0*SQRT(GREATEST(half - root, 1E-9)) AS radius_minor, "
+            "ATAN2(2*cov_xy, var_x - var_y)/2 AS angle FROM e",
+        ),
+        "",
+        ELLIPSE,
+        ["cluster", "n"],
+    ),
+)
+def _(spark, sf_dir):
+    return explore.cluster_ellipses(
+        reduce.projection_table(*box_projection(spark, sf_dir)), "pc1", "pc2"
+    )
+
+
 @query(
     "map_scaled",
     rounded(

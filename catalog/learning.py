@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+from functools import reduce as fold
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.clusters import LABELLED_CTES, VEC, labelled, stored, vectors
 from catalog.common import big, query, r, raw, rounded, with_
 from catalog.rollups import NORMALS_ADDED, PLACE, VALUES
+from gridclime.functions.lineage import stage_folder
 from gridclime.operators import (
     assign,
     density,
@@ -545,7 +551,7 @@ def learned(spark, sf_dir) -> regions.Regions:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LEARNED:
         rows = labelled(spark, sf_dir).drop("cluster")
-        _LEARNED[key] = regions.run(rows, range(3, 7), restarts=3, mixture_restarts=2)
+        _LEARNED[key] = regions.run(rows)
     return _LEARNED[key]
 
 
@@ -562,6 +568,44 @@ def _(spark, sf_dir):
     return learned(spark, sf_dir).rows.select("latitude", "longitude", "cluster", "cluster_label")
 
 
+@query(
+    "stored_run",
+    with_(
+        LABELLED_CTES,
+        f"SELECT part, {big('(SELECT COUNT(*) FROM lab)', 'places')}, {big('0', 'moved')} FROM "
+        "(VALUES ('K-Means'), ('GMM'), ('DBSCAN')) AS t(part)",
+    ),
+)
+def _(spark, sf_dir):
+    """A run stored and read again puts its own places where it had them.
+
+    DBSCAN cannot predict: the stored run must send its places to the same
+    nearest centers as a direct search over the rows.
+    """
+    folder = f"{stage_folder(spark)}/{uuid.uuid4().hex}"
+    regions.save(learned(spark, sf_dir), folder)
+    run = regions.load(spark, folder)
+    key = ["latitude", "longitude"]
+    parts = []
+    for name in ("K-Means", "GMM", "DBSCAN"):
+        chosen = replace(run, algorithm=name)
+        before = run.rows.select(*key, F.col(run.columns[name]).alias("was"))
+        if name == "DBSCAN":
+            known = run.rows.select("x", F.col("cluster_dbscan").alias("cluster"))
+            before = assign.assign_by_centroid(run.rows.select(*key, "x"), known).select(
+                *key, F.col("cluster").alias("was")
+            )
+        new = labelled(spark, sf_dir).drop("cluster")
+        found = regions.assign_places(chosen, new).join(before, key)
+        moved = F.count_if(~F.col("cluster").eqNullSafe(F.col("was")))
+        parts.append(
+            found.agg(F.count(F.lit(1)).alias("places"), moved.alias("moved")).select(
+                F.lit(name).alias("part"), "places", "moved"
+            )
+        )
+    return fold(DataFrame.unionByName, parts)
+
+
 # ---------------------------------------------------------------- assignment
 
 
@@ -669,6 +713,17 @@ def _(spark, sf_dir):
 
 
 @query("region_labels_of_new_places")
+def _(spark, sf_dir):
+    """New places in the regions of the chosen model, with the names of those regions."""
+    run = learned(spark, sf_dir)
+    new = flows.place_normals(raw(spark, sf_dir), scope="place")
+    labels = run.rows.select("cluster", "cluster_label").distinct()
+    return regions.assign_places(run, new).join(labels, "cluster", "left").select(
+        "latitude", "longitude", "cluster", "cluster_label", "confidence", "assignment_method"
+    )
+
+
+@query("alternate_labels")
 def _(spark, sf_dir):
     """The chosen model's regions, with plain labels of an alternate model beside them."""
     found = learned(spark, sf_dir)

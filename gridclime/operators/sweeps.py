@@ -15,10 +15,22 @@ K_RANGE = tuple(range(3, 16))
 CLIMATE_KS = (6, 7, 8)
 
 
-def elbow(df: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = 10) -> DataFrame:
-    """(k, inertia, n_iter, inertia_diff, inertia_diff2)."""
+def kmeans_by_k(
+    df: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = 10
+) -> dict[int, models.Fitted]:
+    """Fits that the elbow and the silhouettes can share."""
     n = df.count()
-    fits = models.fit_each(models.fit_kmeans, df, [k for k in ks if 2 <= k < n], restarts)
+    return models.fit_each(models.fit_kmeans, df, [k for k in ks if 2 <= k < n], restarts)
+
+
+def elbow(
+    df: DataFrame,
+    ks: Sequence[int] = K_RANGE,
+    restarts: int = 10,
+    fits: dict[int, models.Fitted] | None = None,
+) -> DataFrame:
+    """(k, inertia, n_iter, inertia_diff, inertia_diff2)."""
+    fits = kmeans_by_k(df, ks, restarts) if fits is None else fits
     rows = [(k, float(f.cost), int(f.iterations)) for k, f in fits.items()]
     return with_differences(
         df.sparkSession.createDataFrame(rows, "k int, inertia double, n_iter int")
@@ -35,11 +47,13 @@ def with_differences(table: DataFrame) -> DataFrame:
 
 
 def silhouette_by_k(
-    df: DataFrame, ks: Sequence[int] = K_RANGE, restarts: int = 10
+    df: DataFrame,
+    ks: Sequence[int] = K_RANGE,
+    restarts: int = 10,
+    fits: dict[int, models.Fitted] | None = None,
 ) -> DataFrame:
     """(k, silhouette); the labels of all k are scored on one set of distances."""
-    n = df.count()
-    fits = models.fit_each(models.fit_kmeans, df, [k for k in ks if 2 <= k < n], restarts)
+    fits = kmeans_by_k(df, ks, restarts) if fits is None else fits
     labelled, columns = df.select("x"), {}
     for k, fitted in fits.items():
         columns[str(k)] = f"k{k}"

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclime.functions.lineage import materialize
-from gridclime.operators import density, metrics, models, profile, sweeps
+from gridclime.operators import assign, density, metrics, models, profile, sweeps
 from gridclime.operators.reduce import (
     Projection,
     Scaling,
@@ -17,6 +18,7 @@ from gridclime.operators.reduce import (
     fit_projection,
     fit_scaling,
 )
+from gridclime.sources import tables
 
 MIN_PLACES = 3
 
@@ -32,6 +34,7 @@ class Regions:
     algorithm: str
     fitted: dict[str, models.Fitted] = field(default_factory=dict)
     columns: dict[str, str] = field(default_factory=dict)
+    by_k: dict[str, DataFrame] = field(default_factory=dict)  # tables of the search for k
 
     def metadata(self) -> dict:
         return {
@@ -49,11 +52,21 @@ def reduced(normals: DataFrame, variance: float = 0.95) -> tuple[Scaling, Projec
     return scaling, projection, materialize(projection.transform(scaled).drop("scaled"))
 
 
-def choose_k(rows: DataFrame, n: int, ks: Sequence[int], restarts: int) -> int:
+def search_k(rows: DataFrame, ks: Sequence[int], restarts: int) -> dict[str, DataFrame]:
+    """Tables per k: ``silhouette``, ``elbow`` and ``information``; the first two share their fits."""
+    fits = sweeps.kmeans_by_k(rows, ks, restarts)
+    return {
+        "silhouette": materialize(sweeps.silhouette_by_k(rows, fits=fits)),
+        "elbow": sweeps.elbow(rows, fits=fits),
+        "information": sweeps.information_by_k(rows, ks),
+    }
+
+
+def choose_k(by_k: dict[str, DataFrame], n: int) -> int:
     """By silhouette; by BIC, or 2 for three places, where that is undefined."""
-    best = sweeps.best_k(sweeps.silhouette_by_k(rows, ks, restarts), "silhouette")
+    best = sweeps.best_k(by_k["silhouette"], "silhouette")
     if best is None and n > MIN_PLACES:
-        best = sweeps.best_k(sweeps.information_by_k(rows, ks), "bic")
+        best = sweeps.best_k(by_k["information"], "bic")
     return sweeps.clamp_k(best or 2, n)
 
 
@@ -102,7 +115,8 @@ def run(
     if n < MIN_PLACES:
         raise ValueError(f"need at least {MIN_PLACES} places, found {n}")
     scaling, projection, rows = reduced(normals)
-    best = choose_k(rows, n, ks, restarts)
+    by_k = search_k(rows, ks, restarts)
+    best = choose_k(by_k, n)
     eps = sweeps.estimate_eps(rows)
     labelled, columns, fitted = label_all(
         rows, n, sweeps.candidate_ks(best, n), eps, restarts, mixture_restarts
@@ -111,4 +125,72 @@ def run(
     algorithm = metrics.choose_model(comparison).first()["algorithm"]
     chosen = labelled.withColumn("cluster", F.col(columns[algorithm]))
     named = profile.attach_labels(chosen, profile.cluster_labels(chosen))
-    return Regions(scaling, projection, named, comparison, algorithm, fitted, columns)
+    return Regions(scaling, projection, named, comparison, algorithm, fitted, columns, by_k)
+
+
+def save(run: Regions, path: str) -> None:
+    """Store a run: its tables, projection and models, and the rest as one JSON record."""
+    spark = run.rows.sparkSession
+    tables.write_table(run.rows, f"{path}/rows")
+    tables.write_table(run.comparison, f"{path}/comparison")
+    for name, table in run.by_k.items():
+        tables.write_table(table, f"{path}/by_k/{name}")
+    run.projection.model.write().overwrite().save(f"{path}/projection")
+    record = {
+        **run.metadata(),
+        "columns": run.columns,
+        "by_k": list(run.by_k),
+        "scaling": run.scaling.to_dict(),
+        "ratios": run.projection.ratios,
+        "components": run.projection.components,
+        "models": {},
+    }
+    for name, fitted in run.fitted.items():
+        tables.save_model(fitted.model, f"{path}/models/{run.columns[name]}")
+        record["models"][name] = {
+            "order": fitted.order, "cost": fitted.cost, "iterations": fitted.iterations
+        }
+    tables.write_metadata(spark, {"record": json.dumps(record)}, f"{path}/metadata")
+
+
+def load(spark: SparkSession, path: str) -> Regions:
+    """A stored run, in any session."""
+    record = json.loads(tables.read_metadata(spark, f"{path}/metadata")["record"])
+    columns = record["columns"]
+    model = lambda name: tables.load_model(f"{path}/models/{columns[name]}").stages[0]
+    fitted = {name: models.Fitted(model(name), **found) for name, found in record["models"].items()}
+    projection = tables.load_model(f"{path}/projection")
+    return Regions(
+        Scaling(**record["scaling"]),
+        Projection(projection, record["ratios"], record["components"]),
+        tables.read_table(spark, f"{path}/rows"),
+        tables.read_table(spark, f"{path}/comparison"),
+        record["best_algorithm"],
+        fitted,
+        columns,
+        {name: tables.read_table(spark, f"{path}/by_k/{name}") for name in record["by_k"]},
+    )
+
+
+def assign_places(run: Regions, new: DataFrame) -> DataFrame:
+    """New places in the regions of a run, by its chosen model.
+
+    ``new`` has normals. Adds ``x``, ``cluster``, ``confidence``, ``alternative``
+    and ``assignment_method``. A mixture gives probabilities; K-Means only the
+    cluster, so confidence and alternative are NULL; a model that cannot
+    predict gives way to the nearest center.
+    """
+    placed = assign.align(new, run.scaling, run.projection).drop("scaled")
+    fitted = run.fitted.get(run.algorithm)
+    column = run.columns[run.algorithm]
+    if fitted is None:
+        known = run.rows.select("x", F.col(column).alias("cluster"))
+        found, method = assign.assign_by_centroid(placed, known), "nearest-centroid"
+    elif hasattr(fitted.model, "gaussians"):
+        found, method = assign.assign_by_mixture(placed, fitted), f"model:{run.algorithm}"
+    else:
+        found, method = fitted.labels(placed), f"model:{run.algorithm}"
+        found = found.withColumns(
+            {"confidence": F.lit(None).cast("double"), "alternative": F.lit(None).cast("int")}
+        )
+    return found.withColumn("assignment_method", F.lit(method))
