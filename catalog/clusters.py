@@ -168,6 +168,23 @@ def _(spark, sf_dir):
     return metrics.silhouette_rows(vectors(spark, sf_dir)).select("vec_id", "cluster", "silhouette")
 
 
+@query(
+    "silhouette_squared",
+    with_(
+        {
+            **ONE_MODEL,
+            "sums": ONE_MODEL["sums"].replace(
+                "SUM(LIST_DISTANCE(i.x, j.x))", "SUM(LIST_DISTANCE(i.x, j.x)*LIST_DISTANCE(i.x, j.x))"
+            ),
+        },
+        f"SELECT {r('AVG(silhouette)', 'silhouette')} FROM sil",
+    ),
+)
+def _(spark, sf_dir):
+    score = metrics.silhouette_squared(vectors(spark, sf_dir))
+    return spark.createDataFrame([(score,)], "silhouette double")
+
+
 @query(
     "silhouette_by_cluster",
     rounded(

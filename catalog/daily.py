@@ -593,6 +593,12 @@ def _(spark, sf_dir):
     return clean.cap_outliers(raw(spark, sf_dir), "zscore", 1.5)
 
 
+@query("cap_outliers_physical", rounded(with_(RAW, "SELECT * FROM raw"), KEYS, CODES))
+def _(spark, sf_dir):
+    """This method caps nothing; the physical limits are a step of their own."""
+    return clean.cap_outliers(raw(spark, sf_dir), "physical")
+
+
 @query(
     "capped_counts",
     with_(
@@ -659,6 +665,7 @@ def _(spark, sf_dir):
             [
                 big("COUNT(*)", "rows"),
                 big("18", "columns"),
+                big("17", "numeric_columns"),
                 big(" + ".join(f"COUNT(*) - COUNT({c})" for c in CODES), "null_values"),
                 r(
                     "ROUND((" + " + ".join(f"COUNT(*) - COUNT({c})" for c in CODES)
@@ -718,6 +725,25 @@ def cleaned(spark, sf_dir):
     return clean.clean(normalized(spark, sf_dir))
 
 
+@query(
+    "clean_report",
+    with_(
+        {
+            **NORMALIZED_CTES,
+            "steps": "SELECT 'removed_rows' AS step, 'rows' AS subject, "
+            f"COUNT(*) - COUNT(DISTINCT ({KEYS})) AS n FROM norm UNION ALL "
+            "SELECT 'removed_column', 'nasa_uv_index', COUNT(*) - COUNT(nasa_uv_index) FROM norm UNION ALL "
+            + " UNION ALL ".join(
+                f"SELECT 'filled', '{c}', COUNT(*) - COUNT({c}) FROM norm" for c in CLEAN_GAPPY
+            ),
+        },
+        f"SELECT step, subject, {big('n')} FROM steps",
+    ),
+)
+def _(spark, sf_dir):
+    return clean.report(normalized(spark, sf_dir))
+
+
 @query("clean", rounded(with_(CLEAN_CTES, "SELECT * FROM cleaned"), KEYS, CLEAN_COLUMNS))
 def _(spark, sf_dir):
     return cleaned(spark, sf_dir)

@@ -343,6 +343,15 @@ def _(spark, sf_dir):
     return sweeps.elbow(grouped_points(spark, sf_dir), [3]).select("k", "inertia")
 
 
+@query(
+    "best_k_of_groups_squared",
+    with_(GROUPED_CTES, f"SELECT {big('COUNT(*)', 'best')} FROM parts"),
+)
+def _(spark, sf_dir):
+    table = sweeps.silhouette_by_k(grouped_points(spark, sf_dir), range(2, 7), 3, distance="squared")
+    return spark.createDataFrame([(sweeps.best_k(table),)], "best int")
+
+
 @query(
     "candidates_of_groups",
     with_(
@@ -539,9 +548,7 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    rows = spread_points(spark, sf_dir)
-    eps = sweeps.estimate_eps(rows, 5)
-    return rows.limit(1).select(F.lit(eps).alias("eps"))
+    return sweeps.k_distance_quantile(spread_points(spark, sf_dir), 5)
 
 
 # ------------------------------------------------------------------- regions

@@ -81,17 +81,16 @@ def interpolate(
     ahead = (
         Window.partitionBy(*place).orderBy(F.desc("date")).rowsBetween(Window.unboundedPreceding, 0)
     )
-    row = lambda c: F.when(F.col(c).isNotNull(), F.col("_rn"))
+    known = lambda c: F.when(
+        F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("value"), "_rn")
+    )
     out = df.withColumn("_rn", F.row_number().over(position))
     for side, window in (("p", behind), ("n", ahead)):
-        out = out.withColumns(
-            {f"_{side}v_{c}": F.last(c, True).over(window) for c in columns}
-            | {f"_{side}r_{c}": F.last(row(c), True).over(window) for c in columns}
-        )
+        out = out.withColumns({f"_{side}_{c}": F.last(known(c), True).over(window) for c in columns})
 
     def filled(c: str):
-        before, after = F.col(f"_pv_{c}").cast("double"), F.col(f"_nv_{c}").cast("double")
-        left, right = F.col(f"_pr_{c}"), F.col(f"_nr_{c}")
+        before, after = F.col(f"_p_{c}.value"), F.col(f"_n_{c}.value")
+        left, right = F.col(f"_p_{c}._rn"), F.col(f"_n_{c}._rn")
         from_left, from_right = F.col("_rn") - left, right - F.col("_rn")
         near = (from_left <= limit) | (from_right <= limit)
         line = before + (after - before) * from_left / (right - left)
@@ -229,13 +228,14 @@ def clipped_counts(df: DataFrame, ranges: Mapping[str, tuple] = CLIP_RANGES) ->
 
 
 def summary(df: DataFrame, place: Sequence[str] = PLACE) -> DataFrame:
-    """One row: rows, columns, NULL cells and their percent, places."""
+    """One row: rows, columns, numeric columns, NULL cells and their percent, places."""
     width = len(df.columns)
     nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
     cells = F.count(F.lit(1)) * width
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.lit(width).cast("bigint").alias("columns"),
+        F.lit(len(numeric_columns(df))).cast("bigint").alias("numeric_columns"),
         nulls.cast("bigint").alias("null_values"),
         F.bround(nulls / F.when(cells > 0, cells) * 100, 2).alias("null_pct"),
         F.count_distinct(F.struct(*place)).alias("places"),
@@ -282,12 +282,41 @@ def clean(
     """
     unique = materialize(drop_duplicates(df, order_by, key))
     nulls = null_counts(unique).first()
+    dense, gaps = _dense(unique, nulls, null_threshold, scope, key, place)
+    filled = fill_missing(dense, scope, place, gaps)
+    capped = cap_outliers(filled, method, factor, scope, place=place)
+    return clip_physical(capped, ranges)
+
+
+def _dense(unique, nulls, null_threshold, scope, key, place) -> tuple[DataFrame, list[str]]:
+    """Rows without sparse columns, and the columns left that have gaps."""
     values = [c for c in unique.columns if c not in key]
     if scope == "place":
         dense = drop_sparse_columns(unique, null_threshold, scope, key, place)
     else:
         dense = unique.drop(*[c for c in values if nulls[c] > null_threshold * nulls["_total"]])
-    numbers = numeric_columns(dense, exclude=key)
-    filled = fill_missing(dense, scope, place, [c for c in numbers if nulls[c] > 0])
-    capped = cap_outliers(filled, method, factor, scope, place=place)
-    return clip_physical(capped, ranges)
+    return dense, [c for c in numeric_columns(dense, exclude=key) if nulls[c] > 0]
+
+
+def report(
+    df: DataFrame,
+    null_threshold: float = NULL_THRESHOLD,
+    order_by: Sequence[str] = (),
+    key: Sequence[str] = DAILY_KEY,
+    place: Sequence[str] = PLACE,
+) -> DataFrame:
+    """(step, subject, n): what cleaning over the whole table removes and fills.
+
+    ``removed_rows`` counts repeated keys, ``removed_column`` the NULLs of a
+    sparse column, ``filled`` the values put into a column's gaps. Values that
+    limits change are in ``capped_counts`` and ``clipped_counts``.
+    """
+    unique = materialize(drop_duplicates(df, order_by, key))
+    nulls = null_counts(unique).first()
+    dense, gaps = _dense(unique, nulls, null_threshold, "table", key, place)
+    filled = fill_missing(dense, "table", place, gaps)
+    left = null_counts(filled.select(*gaps)).first() if gaps else {}
+    rows = [("removed_rows", "rows", df.count() - nulls["_total"])]
+    rows += [("removed_column", c, nulls[c]) for c in unique.columns if c not in dense.columns]
+    rows += [("filled", c, nulls[c] - left[c]) for c in gaps]
+    return df.sparkSession.createDataFrame(rows, "step string, subject string, n long")

@@ -51,9 +51,19 @@ def silhouette_by_k(
     ks: Sequence[int] = K_RANGE,
     restarts: int = 10,
     fits: dict[int, models.Fitted] | None = None,
+    distance: str = "euclidean",
 ) -> DataFrame:
-    """(k, silhouette); the labels of all k are scored on one set of distances."""
+    """(k, silhouette); the labels of all k are scored on one set of distances.
+
+    ``distance='squared'`` scores with squared distances, in time linear in the
+    rows; ``'euclidean'`` meets all pairs of distinct points, in blocks.
+    """
+    if distance not in ("euclidean", "squared"):
+        raise ValueError(f"unknown distance {distance!r}")
     fits = kmeans_by_k(df, ks, restarts) if fits is None else fits
+    if distance == "squared":
+        rows = [(k, metrics.silhouette_squared(f.labels(df.select("x")))) for k, f in fits.items()]
+        return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
     labelled, columns = df.select("x"), {}
     for k, fitted in fits.items():
         columns[str(k)] = f"k{k}"
@@ -105,7 +115,11 @@ def candidate_ks(best: int, n: int) -> list[int]:
     return sorted(k for k in wanted if 2 <= k < n)
 
 
-def estimate_eps(df: DataFrame, k: int = 5, share: float = 0.9) -> float:
-    """A quantile of the distances to the k-th neighbour."""
+def k_distance_quantile(df: DataFrame, k: int = 5, share: float = 0.9) -> DataFrame:
+    """One row, ``eps``: a quantile of the distances to the k-th neighbour."""
     curve = pairs.k_distance_rows(df, max(1, min(k, df.count())))
-    return quantiles(curve, ["k_distance"], [share]).first()["k_distance"][0]
+    return quantiles(curve, ["k_distance"], [share]).select(F.col("k_distance")[0].alias("eps"))
+
+
+def estimate_eps(df: DataFrame, k: int = 5, share: float = 0.9) -> float:
+    return k_distance_quantile(df, k, share).first()["eps"]

@@ -52,11 +52,13 @@ def reduced(normals: DataFrame, variance: float = 0.95) -> tuple[Scaling, Projec
     return scaling, projection, materialize(projection.transform(scaled).drop("scaled"))
 
 
-def search_k(rows: DataFrame, ks: Sequence[int], restarts: int) -> dict[str, DataFrame]:
+def search_k(
+    rows: DataFrame, ks: Sequence[int], restarts: int, distance: str = "euclidean"
+) -> dict[str, DataFrame]:
     """Tables per k: ``silhouette``, ``elbow`` and ``information``; the first two share their fits."""
     fits = sweeps.kmeans_by_k(rows, ks, restarts)
     return {
-        "silhouette": materialize(sweeps.silhouette_by_k(rows, fits=fits)),
+        "silhouette": materialize(sweeps.silhouette_by_k(rows, fits=fits, distance=distance)),
         "elbow": sweeps.elbow(rows, fits=fits),
         "information": sweeps.information_by_k(rows, ks),
     }
@@ -109,13 +111,17 @@ def run(
     ks: Sequence[int] = sweeps.K_RANGE,
     restarts: int = 10,
     mixture_restarts: int = 5,
+    distance: str = "euclidean",
 ) -> Regions:
-    """Scale, reduce, choose k, fit every model, compare, choose, and name the regions."""
+    """Scale, reduce, choose k, fit every model, compare, choose, and name the regions.
+
+    ``distance`` is that of the silhouettes by which k is chosen.
+    """
     n = normals.count()
     if n < MIN_PLACES:
         raise ValueError(f"need at least {MIN_PLACES} places, found {n}")
     scaling, projection, rows = reduced(normals)
-    by_k = search_k(rows, ks, restarts)
+    by_k = search_k(rows, ks, restarts, distance)
     best = choose_k(by_k, n)
     eps = sweeps.estimate_eps(rows)
     labelled, columns, fitted = label_all(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclime.functions.columns import known
@@ -32,25 +32,33 @@ def parse_payloads(
     """Daily rows of payloads: the key, date, and one column per parameter code.
 
     The first parameter of a payload decides its timestamps. Missing values and
-    the sentinel become NULL. The pivot is combined on the map side, where all
-    values of one payload lie together.
+    the sentinel become NULL. The series of a payload are aligned inside its
+    row, so nothing is shuffled; two payloads of one place give rows of their
+    own, which ``drop_duplicates`` reduces. A series that has the timestamps of
+    the first one is taken as it is, another is looked up by timestamp.
     """
-    key = list(key)
-    series = (
-        _parameters(payloads)
+    stamps = F.map_keys(F.map_values("_parameters")[0])
+
+    def aligned(code: str) -> Column:
+        series = F.col(f"_s_{code}")
+        looked_up = F.transform("_stamps", lambda s: F.try_element_at(series, s))
+        return F.when(F.map_keys(series) == F.col("_stamps"), F.map_values(series)).otherwise(
+            looked_up
+        )
+
+    wide = _parameters(payloads).select(
+        *key,
+        stamps.alias("_stamps"),
+        *[F.try_element_at("_parameters", F.lit(code)).alias(f"_s_{code}") for code in codes],
+    )
+    cells = F.arrays_zip("_stamps", *[aligned(code).alias(code) for code in codes])
+    return (
+        wide.select(*key, F.explode(cells).alias("_cell"))
         .select(
             *key,
-            F.map_keys("_parameters")[0].alias("_first"),
-            F.explode("_parameters").alias("_code", "_series"),
+            F.to_date(F.substring("_cell._stamps", 1, 8), "yyyyMMdd").alias("date"),
+            *[known(F.col(f"_cell.{code}")).alias(code) for code in codes],
         )
-        .select(*key, "_first", "_code", F.explode("_series").alias("_stamp", "_value"))
-    )
-    rows = series.groupBy(*key, "_stamp").agg(
-        F.max(F.col("_code") == F.col("_first")).alias("_dated"),
-        *[F.max(F.when(F.col("_code") == code, known(F.col("_value")))).alias(code) for code in codes],
-    )
-    return rows.filter("_dated").select(
-        *key, F.to_date(F.substring("_stamp", 1, 8), "yyyyMMdd").alias("date"), *codes
     )
 
 
