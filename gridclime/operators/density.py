@@ -16,16 +16,22 @@ NOISE_WARNING_PCT = 30
 
 
 def renumber(labels: DataFrame, component: str = "component") -> DataFrame:
-    """(pid, x, w, component, …) with ``cluster``: 0 for the most rows, ties by smallest vector."""
+    """(pid, x, w, component, …) with ``cluster``: 0 for the most rows, ties by smallest vector.
+
+    A component is named by the pid of one of its core points. Points without one
+    are joined by their own pid, which names none, so that noise is spread.
+    """
     sizes = labels.filter(F.col(component).isNotNull()).groupBy(component).agg(
         F.sum("w").alias("n"), F.min("x").alias("first")
     )
     numbers = sizes.select(
-        component, (F.row_number().over(Window.orderBy(F.desc("n"), "first")) - 1).alias("cluster")
+        F.col(component).alias("_name"),
+        (F.row_number().over(Window.orderBy(F.desc("n"), "first")) - 1).alias("cluster"),
     )
-    return labels.join(numbers, component, "left").withColumn(
+    named = labels.withColumn("_name", F.coalesce(component, "pid"))
+    return named.join(numbers, "_name", "left").withColumn(
         "cluster", F.coalesce("cluster", F.lit(-1)).cast("int")
-    )
+    ).drop("_name")
 
 
 def neighbour_weight(points: DataFrame, near: DataFrame, eps: float) -> DataFrame:

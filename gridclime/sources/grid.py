@@ -69,12 +69,16 @@ def ring_edges(spark: SparkSession, ring) -> DataFrame:
     return spark.createDataFrame(rows, "x1 double, y1 double, x2 double, y2 double")
 
 
-def inside(places: DataFrame, edges: DataFrame, band: float = 1.0) -> DataFrame:
+def inside(
+    places: DataFrame, edges: DataFrame, band: float = 1.0, spread: int = 32
+) -> DataFrame:
     """Places inside the boundary: an odd number of edges lies to their east.
 
     Edges meet places by latitude band, an equi-join that needs no bound on the
-    size of either side.
+    size of either side. The places of a band are spread over ``spread`` parts
+    by longitude, each with a copy of the band's edges.
     """
+    parts = F.sequence(F.lit(0), F.lit(spread - 1))
     banded = edges.withColumn(
         "_band",
         F.explode(
@@ -82,7 +86,7 @@ def inside(places: DataFrame, edges: DataFrame, band: float = 1.0) -> DataFrame:
                 F.floor(F.least("y1", "y2") / band), F.floor(F.greatest("y1", "y2") / band)
             )
         ),
-    )
+    ).withColumn("_part", F.explode(parts))
     x_cross = F.col("x1") + (F.col("latitude") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (
         F.col("y2") - F.col("y1")
     )
@@ -90,7 +94,8 @@ def inside(places: DataFrame, edges: DataFrame, band: float = 1.0) -> DataFrame:
     spots = places.select("latitude", "longitude").distinct()
     crossed = (
         spots.withColumn("_band", F.floor(F.col("latitude") / band))
-        .join(banded, "_band")
+        .withColumn("_part", F.pmod(F.hash("longitude"), F.lit(spread)))
+        .join(banded, ["_band", "_part"])
         .filter(F.when(straddles, F.col("longitude") < x_cross))
         .groupBy("latitude", "longitude")
         .agg(F.count(F.lit(1)).alias("_crossings"))

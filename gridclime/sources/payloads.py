@@ -37,7 +37,7 @@ def parse_payloads(
     own, which ``drop_duplicates`` reduces. A series that has the timestamps of
     the first one is taken as it is, another is looked up by timestamp.
     """
-    stamps = F.map_keys(F.map_values("_parameters")[0])
+    stamps = F.map_keys(F.get(F.map_values("_parameters"), F.lit(0)))
 
     def aligned(code: str) -> Column:
         series = F.col(f"_s_{code}")
