@@ -100,8 +100,8 @@ def quantiles(
     q = F.when(missed, F.raise_error(F.lit("quantile bracket missed"))).otherwise(q)
     slot = F.col("i") * len(probs) + F.col("j")
     answers = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(slot, q))).alias("m"))
-    pick = lambda s: F.try_element_at("m", F.lit(s))
-    return answers.select(
-        *by,
-        *[F.array(*[pick(k * len(probs) + j) for j in range(len(probs))]).alias(c) for k, c in enumerate(columns)],
+    slots = F.sequence(F.lit(0), F.lit(len(columns) * len(probs) - 1))
+    flat = answers.select(*by, F.transform(slots, lambda s: F.try_element_at("m", s)).alias("_flat"))
+    return flat.select(
+        *by, *[F.slice("_flat", k * len(probs) + 1, len(probs)).alias(c) for k, c in enumerate(columns)]
     )
