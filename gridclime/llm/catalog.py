@@ -12,6 +12,7 @@ from gridclime.llm import (
     exact_mph,
     fair_mix,
     line_chunks,
+    line_runs,
     pieces,
     quality,
     quartile_digest,
@@ -91,6 +92,35 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *counts, F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+# Lines in a pair of neighbours that stands at an earlier place go.
+OP3_REPEATED_SQL = """
+WITH lined AS (
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
+), each_line AS (
+  SELECT doc_id, i, lines[i] AS line, CASE WHEN i < len(lines) THEN lines[i] || chr(10) || lines[i + 1] END AS pair
+  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM lined)
+), judged AS (
+  SELECT *, pair IS NOT NULL AND row_number() OVER (PARTITION BY pair ORDER BY doc_id, i) > 1 AS again FROM each_line
+), marked AS (
+  SELECT *, again OR coalesce(lag(again) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS gone FROM judged
+), kept AS (
+  SELECT doc_id, count(*) AS n_lines, sum(CASE WHEN gone THEN 1 ELSE 0 END) AS lines_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '') AS kept_text
+  FROM marked GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(lines_removed, 0) AS BIGINT) AS lines_removed,
+       CASE WHEN d.text IS NOT NULL THEN sha256(k.kept_text) END AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op3_repeated_lines", OP3_REPEATED_SQL)
+def op3_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.dedup_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col(c).cast("long").alias(c) for c in ("n_lines", "lines_removed")]
+    return found.select("row.doc_id", *counts, F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 WORDS_SQL = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 OP4_SQL = f"""
 WITH lists AS (

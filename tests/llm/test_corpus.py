@@ -23,6 +23,7 @@ from gridclime.llm import (
     exact_mph,
     fair_mix,
     line_chunks,
+    line_runs,
     pieces,
     quality,
     quartile_digest,
@@ -195,6 +196,34 @@ def test_line_dedup(docs, rows, empty):
     assert line_chunks.dedup_lines(empty).count() == 0
 
 
+def test_repeated_lines(docs, rows, empty):
+    got = Counter((r.row.doc_id, r.row.text, r.n_lines, r.lines_removed, r.kept_text) for r in line_runs.dedup_runs(docs).collect())
+    seen, kept = set(), {}
+    documents = {(key(r[0]), xxhash.xxh64_intdigest(r[1].encode(), 42), r[1]) for r in rows if r[1] is not None}
+    for d in sorted(documents, key=lambda d: (d[0], d[1] - (d[1] >> 63 << 64))):
+        lines, gone = d[2].split("\n"), set()
+        for i, pair in enumerate(zip(lines, lines[1:])):
+            gone |= {i, i + 1} if pair in seen else set()
+            seen.add(pair)
+        kept[d[0], d[2]] = (len(lines), len(gone), "\n".join(x for i, x in enumerate(lines) if i not in gone))
+    want = Counter((r[0], r[1], *((0, 0, None) if r[1] is None else kept[key(r[0]), r[1]])) for r in rows)
+    assert got == want and any(k[3] for k in want)
+    assert line_runs.dedup_runs(empty).count() == 0
+
+
+def test_repeated_lines_of_planted_passages(spark):
+    rng = random.Random(8)
+    line = lambda: f"line {rng.getrandbits(64)}"
+    texts, want = [], []
+    for length in (2, 3, 4, 6, 10, 40):
+        passage, first, head, tail = ([line() for _ in range(n)] for n in (length, 3, 4, 5))
+        texts += [first + passage + [line()], head + passage + tail, passage, passage + [line()]]
+        want += [texts[-4], head + tail, [], texts[-1][-1:]]
+    rows = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    got = line_runs.dedup_runs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.row.doc_id: r.kept_text for r in got} == {i: "\n".join(t) for i, t in enumerate(want)}
+
+
 # ------------------------------------------------------------------ 4
 
 
