@@ -521,6 +521,22 @@ def test_pipeline_against_its_parts(spark, docs, rows, tmp_path):
     assert len(last) == before.count() and all(r.n_pieces == len(r.piece_ids or []) for r in last)
 
 
+def test_pipeline_leaves_one_of_exact_copies(spark, tmp_path):
+    rng = random.Random(12)
+    rows = []
+    for length in (2, 3, 5, 10, 40):
+        for _ in range(4):
+            text = "\n".join(" ".join(f"{rng.getrandbits(32):x}" for _ in range(8)) for _ in range(length))
+            rows += [(len(rows) + i, text, "en", "a", len(text)) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic").write.parquet(str(tmp_path / "labels.parquet"))
+    for name, work in corpus_pipeline.STAGES[:3]:
+        docs = work(spark, docs, str(tmp_path))
+    left = {r.doc_id: (r.text, r.n_chars) for r in docs.where("text <> ''").collect()}
+    assert left == {r[0]: (r[1], r[4]) for r in rows[::3]}
+    assert {r.doc_id for r in corpus_pipeline.mixing(spark, docs, str(tmp_path)).collect()} <= set(left)
+
+
 def test_pipeline_of_nothing(spark, empty, tmp_path):
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     rows = empty
