@@ -258,11 +258,11 @@ def _(spark, sf_dir):
 
 
 def points(spark, sf_dir):
-    """Embeddings in their leading components."""
+    """Embeddings in the components that hold 95 percent of their variance."""
 
     def build():
         rows = vectors(spark, sf_dir).drop("cluster").withColumnRenamed("x", "scaled")
-        return reduce.fit_projection(rows, variance=6).transform(rows).drop("scaled")
+        return reduce.fit_projection(rows).transform(rows).drop("scaled")
 
     return stored(spark, sf_dir, "points", build)
 

@@ -215,3 +215,15 @@ def test_nearest_examples(spark):
     for i, a, o, c in asked:
         want = sorted(np.hypot(p[0] - a, p[1] - o) for p in places if p[2] == c)[:3]
         assert [found[i][k + 1] for k in range(len(want))] == pytest.approx(want, abs=1e-4)
+
+
+def test_points_hold_most_of_the_variance(spark):
+    from catalog import clusters, learning
+
+    def spread(rows, column):
+        x = np.array([r[0] for r in rows.select(column).collect()])
+        return x.var(axis=0).sum()
+
+    sf_dir = "/root/testdata/sf0.001"
+    share = spread(learning.points(spark, sf_dir), "x") / spread(clusters.vectors(spark, sf_dir), "x")
+    assert 0.95 <= share < 1
