@@ -11,15 +11,18 @@ from gridclime.functions.lineage import stage_folder
 from gridclime.llm import (
     exact_mph,
     fair_mix,
+    fp_search,
     line_chunks,
     line_runs,
     pieces,
+    prefix_trie,
     quality,
     quartile_digest,
     relative_lz,
     shuffle_shards,
     simhash,
     training_order,
+    url_rules,
 )
 
 QUERIES: dict = {}
@@ -242,3 +245,108 @@ FROM queued LEFT JOIN copies USING (doc_id)
 @query("op10_source_mixing", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# CRC-32 by its bits: each byte is taken in, then eight steps.
+CRC_SQL = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+  lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+OP11_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, CASE WHEN conv_id % 5 = 0 THEN 0 ELSE {CRC_SQL} % 9 END AS h FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, 0 AS half, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND place <= h
+  UNION ALL SELECT c.conv_id, 1, place, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND place > h
+), steps AS (
+  SELECT conv_id, strlen(text) AS bytes, sha256(strlen(role) || ':' || role || text) AS digest,
+         row_number() OVER (PARTITION BY conv_id ORDER BY half, place) AS depth FROM rebuilt
+), paths AS (
+  SELECT conv_id, depth, bytes, md5(string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY depth)) AS key FROM steps
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs
+), placed AS (
+  SELECT *, lag(key) OVER c AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM paths WINDOW c AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+  SELECT key, min(conv_id) AS conv_id, min(depth) AS depth, min(above) AS above, count(*) AS n_convs, min(bytes) AS bytes,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends) AS list
+  FROM placed GROUP BY key
+), families AS (
+  SELECT above AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY above
+), subtrees AS (
+  SELECT p.key, sum((n.n_convs - 1) * n.bytes) AS saved, count(*) FILTER (WHERE f.key IS NULL) AS leaves
+  FROM nodes n LEFT JOIN families f USING (key) JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.key
+)
+SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs,
+       CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(n.list, '')) AS ends_sha256
+FROM nodes n JOIN subtrees s USING (key) LEFT JOIN families f USING (key) LEFT JOIN nodes u ON u.key = n.above
+"""
+
+
+@query("op11_conversation_prefix_trie", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+#: The rules of the query.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
+OP12_SQL = f"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), sites AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_rules.UPPER}', '{url_rules.LOWER}') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+), rules AS (
+  SELECT * FROM (VALUES {", ".join(str(r) for r in URL_RULES)}) AS t(verdict, r_host, r_path)
+)
+SELECT page_id, host, path,
+       (SELECT arg_max(r_host || r_path, (length(r_host || r_path), length(r_host), verdict)) FROM rules
+        WHERE (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)) AS rule,
+       coalesce((SELECT arg_max(verdict, (length(r_host || r_path), length(r_host), verdict)) FROM rules
+        WHERE (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)), '{url_rules.DEFAULT}') AS verdict
+FROM sites
+"""
+
+
+@query("op12_url_filters", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    return url_rules.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+TERMS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP13_SQL = f"""
+WITH lists AS (
+  SELECT row_number() OVER () AS d, doc_id, terms, len(terms) AS n FROM (SELECT doc_id, {TERMS_SQL} AS terms FROM documents)
+), sums AS (
+  SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lists WHERE n > 0
+), wanted AS (
+  SELECT i, item_id, unnest(list_distinct(terms)) AS term FROM (SELECT row_number() OVER () AS i, item_id, {TERMS_SQL} AS terms FROM benchmark)
+), counts AS (
+  SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM lists) GROUP BY d, term
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0E0 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, sums WHERE term IN (SELECT term FROM wanted) GROUP BY term
+), parts AS (
+  SELECT d, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * s.docs) // s.terms))) AS part
+  FROM counts JOIN weights USING (term) JOIN lists USING (d), sums s
+), scores AS (
+  SELECT i, item_id, d, CAST(sum(part) AS BIGINT) AS score FROM wanted JOIN parts USING (term) GROUP BY i, item_id, d HAVING sum(part) > 0
+)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM scores JOIN lists USING (d)
+WINDOW best AS (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER best <= {fp_search.TOP}
+"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fp_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
