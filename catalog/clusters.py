@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.common import big, query, r, rounded, with_
+from catalog.common import OFFSET, big, query, r, rounded, with_
 from catalog.rollups import NORMALS_ADDED, NORMALS_CTES, PLACE, VALUES, featured
 from gridclime.functions.lineage import materialize
 from gridclime.operators import insights, metrics, pairs, profile, rollup
@@ -439,8 +439,8 @@ SENTENCES = {
                     "rank",
                 ),
                 "feature",
-                r("ROUND(cm, 2)", "cluster_mean"),
-                r("ROUND(g, 2)", "global_mean"),
+                r(f"ROUND(cm + {OFFSET:.8f}E0, 2)", "cluster_mean"),
+                r(f"ROUND(g + {OFFSET:.8f}E0, 2)", "global_mean"),
                 r("ROUND(z, 2)", "z_score"),
                 "CASE WHEN ABS(z) > 1.5 THEN 'very ' ELSE '' END || "
                 "CASE WHEN z > 0 THEN 'HIGH' ELSE 'LOW' END AS description",
@@ -453,7 +453,8 @@ SENTENCES = {
     ),
 )
 def _(spark, sf_dir):
-    return profile.characteristics(labelled(spark, sf_dir), FEATURES)
+    found = profile.characteristics(labelled(spark, sf_dir), FEATURES)
+    return found.withColumns({c: F.round(F.col(c) + OFFSET, 2) for c in ("cluster_mean", "global_mean")})
 
 
 def class_case(column: str, edges, labels) -> str:

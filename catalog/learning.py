@@ -17,10 +17,12 @@ from gridclime.operators import (
     assign,
     density,
     explore,
+    hdbscan,
     models,
     profile,
     reduce,
     sweeps,
+    ward,
 )
 from gridclime.plans import flows, regions
 from gridclime.registry import KNOWN_PLACES, REDUNDANT_RAW
@@ -551,6 +553,287 @@ def _(spark, sf_dir):
     return sweeps.k_distance_quantile(spread_points(spark, sf_dir), 5)
 
 
+# ------------------------------------------- hierarchies and given mixtures
+
+# Patches of customers, one per nation, of unlike density.
+PATCH_SIZE, PATCH_SAMPLES = 10, 5
+PATCHES = (
+    "SELECT c_custkey, 20.0E0*(c_nationkey % 5) + CAST(c_acctbal AS DOUBLE)*(1 + c_nationkey % 3)/4000.0E0 AS x1, "
+    "20.0E0*FLOOR(c_nationkey/5) + CAST((c_custkey*37) % 101 AS DOUBLE)/20.0E0 AS x2 FROM customer"
+)
+
+HDB = {
+    "rows_": PATCHES,
+    "spots": "SELECT x1, x2, COUNT(*) AS w, ROW_NUMBER() OVER (ORDER BY x1, x2) AS id FROM rows_ GROUP BY x1, x2",
+    "gaps": "SELECT a.id AS a, b.id AS b, b.w, SQRT((a.x1 - b.x1)*(a.x1 - b.x1) + (a.x2 - b.x2)*(a.x2 - b.x2)) AS d FROM spots a, spots b",
+    "cores": "SELECT a AS id, MIN(d) AS core FROM (SELECT a, d, SUM(w) OVER (PARTITION BY a ORDER BY d, b) AS n FROM gaps) q "
+    f"WHERE n > {PATCH_SAMPLES} GROUP BY a",
+    "reach": "SELECT a, b, GREATEST(d, p.core, q.core) AS r FROM gaps JOIN cores p ON p.id = a JOIN cores q ON q.id = b WHERE a <> b",
+    # Prim's order: points by the reach at which they join those before.
+    "prim": "SELECT CAST(2 AS BIGINT) AS pos, b AS id, r FROM reach WHERE a = 1 UNION ALL "
+    "SELECT p.pos + 1, p.id, LEAST(p.r, e.r) FROM (SELECT *, FIRST_VALUE(id) OVER (ORDER BY r, id) AS m FROM prim) p "
+    "JOIN reach e ON e.a = p.m AND e.b = p.id WHERE p.id <> p.m",
+    "picks": "SELECT pos, id, r FROM prim QUALIFY ROW_NUMBER() OVER (PARTITION BY pos ORDER BY r, id) = 1 "
+    "UNION ALL SELECT 1, 1, 'infinity'::DOUBLE",
+    "line": "SELECT pos, p.id, r, w, core, LEAST(r, LEAD(r, 1, 'infinity'::DOUBLE) OVER (ORDER BY pos)) AS joins "
+    "FROM picks p JOIN spots USING (id) JOIN cores USING (id)",
+    # A component at a reach is a run of that order between larger reaches.
+    "runs": "SELECT DISTINCT i.r AS d, (SELECT MAX(j.pos) FROM line j WHERE j.pos < i.pos AND j.r > i.r) AS lo, "
+    "COALESCE((SELECT MIN(j.pos) FROM line j WHERE j.pos > i.pos AND j.r > i.r), (SELECT MAX(pos) + 1 FROM line)) AS hi "
+    "FROM line i WHERE i.pos > 1 UNION ALL SELECT core, pos, pos + 1 FROM line WHERE w > 1 AND core < joins",
+    "large": "SELECT d, lo, hi, SUM(w) AS n FROM runs JOIN line ON pos >= lo AND pos < hi GROUP BY d, lo, hi "
+    f"HAVING SUM(w) >= {PATCH_SIZE}",
+    "ups": "SELECT c.d, c.lo, c.hi, c.n, ARG_MIN({'d': p.d, 'lo': p.lo, 'hi': p.hi}, p.d) AS up FROM large c "
+    "LEFT JOIN large p ON p.d > c.d AND p.lo <= c.lo AND p.hi >= c.hi GROUP BY c.d, c.lo, c.hi, c.n",
+    "tops": "SELECT *, ROW_NUMBER() OVER (ORDER BY d DESC, lo) AS top FROM (SELECT *, COUNT(*) OVER (PARTITION BY up) AS kin FROM ups) q "
+    "WHERE up IS NULL OR kin > 1",
+    "least": "SELECT MIN(r) AS least FROM reach WHERE r > 0",
+    "owned": "SELECT c.d, c.lo, c.hi, ARG_MIN(t.top, t.d) AS top FROM large c JOIN tops t ON t.d >= c.d AND t.lo <= c.lo AND t.hi >= c.hi "
+    "GROUP BY c.d, c.lo, c.hi",
+    "clusters": "SELECT t.top, t.n, o.top AS above, CASE WHEN up IS NULL THEN 0 ELSE 1/GREATEST(t.up.d, least) END AS birth "
+    "FROM tops t CROSS JOIN least LEFT JOIN owned o ON o.d = t.up.d AND o.lo = t.up.lo AND o.hi = t.up.hi",
+    "leaves": "SELECT l.id, l.w, o.top, 1/GREATEST(o.d, least) AS fall FROM line l CROSS JOIN least JOIN owned o "
+    "ON l.pos >= o.lo AND l.pos < o.hi QUALIFY ROW_NUMBER() OVER (PARTITION BY l.id ORDER BY o.d) = 1",
+    "losses": "SELECT top, w, fall FROM leaves UNION ALL SELECT above, n, birth FROM clusters WHERE above IS NOT NULL",
+    "masses": "SELECT c.top, c.above, SUM(w*(fall - birth)) AS mass, MAX(fall) AS death FROM clusters c JOIN losses l USING (top) "
+    "GROUP BY c.top, c.above",
+    "kids": "SELECT above AS top, COUNT(*) AS kids FROM clusters WHERE above IS NOT NULL GROUP BY above",
+    "rising": "SELECT 0 AS round, m.top, above, mass, death, COALESCE(kids, 0) AS kids, CAST(NULL AS DOUBLE) AS best, "
+    "CAST(NULL AS DOUBLE) AS below, death AS deepest FROM masses m LEFT JOIN kids USING (top) UNION ALL "
+    "SELECT round + 1, u.top, u.above, u.mass, u.death, u.kids, "
+    "COALESCE(u.best, CASE WHEN u.kids = COALESCE(k.n, 0) THEN GREATEST(u.mass, COALESCE(k.s, 0)) END), "
+    "COALESCE(k.s, 0), GREATEST(u.deepest, COALESCE(k.deep, 0)) FROM rising u LEFT JOIN "
+    "(SELECT above AS top, SUM(best) AS s, COUNT(best) AS n, MAX(deepest) AS deep FROM rising WHERE above IS NOT NULL GROUP BY above) k "
+    "ON k.top = u.top WHERE round < 40",
+    "settled": "SELECT r.*, mass >= below AND above IS NOT NULL AS stable FROM rising r WHERE round = 40",
+    "chosen": "SELECT t.top, ARG_MAX(s.top, u.d) FILTER (WHERE s.stable) AS chosen FROM tops t JOIN tops u "
+    "ON u.d >= t.d AND u.lo <= t.lo AND u.hi >= t.hi JOIN settled s ON s.top = u.top GROUP BY t.top",
+    "marked": "SELECT l.id, l.w, c.chosen, CASE WHEN c.chosen IS NULL THEN 0 ELSE LEAST(fall, s.death)/s.death END AS probability, "
+    "1 - fall/o.deepest AS outlier_score FROM leaves l JOIN chosen c USING (top) JOIN settled o ON o.top = l.top "
+    "LEFT JOIN settled s ON s.top = c.chosen",
+    "numbers": "SELECT chosen, ROW_NUMBER() OVER (ORDER BY SUM(w) DESC, MIN(id)) - 1 AS number FROM marked WHERE chosen IS NOT NULL GROUP BY chosen",
+}
+STORED_CTES = ("gaps", "reach", "line", "large", "leaves", "owned", "tops", "settled")
+
+
+@query(
+    "hdbscan",
+    "WITH RECURSIVE "
+    + ", ".join(f"{k} AS {'MATERIALIZED ' if k in STORED_CTES else ''}({v})" for k, v in HDB.items())
+    + f" SELECT {big('c_custkey')}, {big('COALESCE(number, -1)', 'cluster')}, {r('probability')}, {r('outlier_score')} "
+    "FROM rows_ JOIN spots USING (x1, x2) JOIN marked USING (id) LEFT JOIN numbers USING (chosen)",
+)
+def _(spark, sf_dir):
+    rows = P.view(spark, sf_dir, PATCHES).select("c_custkey", F.array("x1", "x2").alias("x"))
+    return hdbscan.hdbscan(rows, PATCH_SIZE, PATCH_SAMPLES).select("c_custkey", "cluster", "probability", "outlier_score")
+
+
+@query("hdbscan_of_vectors")
+def _(spark, sf_dir):
+    """All embeddings; sizes of clusters and of noise, with the mean probability."""
+    rows = points(spark, sf_dir)
+    found = hdbscan.hdbscan(rows, max(10, rows.count() // 50), 5)
+    return found.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.avg("probability").alias("probability"))
+
+
+# Suppliers on a plane; no two pairs of clusters are equally far apart.
+SITES = (
+    "SELECT s_suppkey, CAST(s_acctbal AS DOUBLE)/1000.0E0 AS x1, "
+    "CAST((s_suppkey*37) % 101 AS DOUBLE)/9.0E0 + 8.0E0*(s_nationkey % 3) AS x2 FROM supplier"
+)
+WARD = {
+    "sites": SITES,
+    "spots": "SELECT x1, x2, COUNT(*) AS w, ROW_NUMBER() OVER (ORDER BY x1, x2) AS id FROM sites GROUP BY x1, x2",
+    # The nearest two of all clusters merge, one pair a step; the smaller id names the new cluster.
+    "state": "SELECT 0 AS step, id, x1, x2, w*1.0E0 AS n, 0.0E0 AS height, CAST(0 AS BIGINT) AS other FROM spots UNION ALL "
+    "SELECT p.step + 1, p.id, CASE WHEN p.id = m.a THEN m.x1 ELSE p.x1 END, CASE WHEN p.id = m.a THEN m.x2 ELSE p.x2 END, "
+    "CASE WHEN p.id = m.a THEN m.n ELSE p.n END, CASE WHEN p.id = m.a THEN m.d ELSE 0 END, CASE WHEN p.id = m.a THEN m.b ELSE 0 END FROM state p, "
+    "(SELECT a.id AS a, b.id AS b, a.n + b.n AS n, (a.n*a.x1 + b.n*b.x1)/(a.n + b.n) AS x1, (a.n*a.x2 + b.n*b.x2)/(a.n + b.n) AS x2, "
+    "SQRT(2*a.n*b.n/(a.n + b.n)*((a.x1 - b.x1)*(a.x1 - b.x1) + (a.x2 - b.x2)*(a.x2 - b.x2))) AS d FROM state a JOIN state b ON a.id < b.id "
+    "ORDER BY d, a.id, b.id LIMIT 1) m WHERE p.id <> m.b",
+}
+# Each spot's cluster after each step: the id that names it, followed from merge to merge.
+WARD_CUT = {
+    **WARD,
+    "merges": "SELECT step, id AS a, other AS b FROM state WHERE other > 0",
+    "last_step": "SELECT MAX(step) AS last FROM state",
+    "named": "SELECT 0 AS step, id, id AS name FROM spots UNION ALL "
+    "SELECT n.step + 1, n.id, COALESCE(m.a, n.name) FROM named n JOIN last_step ON n.step < last "
+    "LEFT JOIN merges m ON m.step = n.step + 1 AND m.b = n.name",
+    "cut": "SELECT k, id, name FROM named, last_step, (VALUES (3), (6), (8)) AS t(k) WHERE step = GREATEST(last + 1 - k, 0)",
+    "numbers": "SELECT k, name, ROW_NUMBER() OVER (PARTITION BY k ORDER BY SUM(w) DESC, MIN(id)) - 1 AS cluster "
+    "FROM cut JOIN spots USING (id) GROUP BY k, name",
+}
+
+
+def sites(spark, sf_dir):
+    return P.view(spark, sf_dir, SITES).select("s_suppkey", F.array("x1", "x2").alias("x"))
+
+
+def recursive(ctes: dict[str, str], final: str) -> str:
+    return "WITH RECURSIVE " + ", ".join(f"{k} AS ({v})" for k, v in ctes.items()) + " " + final
+
+
+@query(
+    "ward_merges",
+    recursive(WARD, f"SELECT {r('height')}, {big('n', 'size')} FROM state WHERE other > 0"),
+)
+def _(spark, sf_dir):
+    return ward.fit_ward(sites(spark, sf_dir))[1].select("height", "size")
+
+
+@query(
+    "ward_clusters",
+    recursive(
+        WARD_CUT,
+        f"SELECT {big('s_suppkey')}, {big('k')}, {big('cluster')} FROM sites JOIN spots USING (x1, x2) "
+        "JOIN cut USING (id) JOIN numbers USING (k, name)",
+    ),
+)
+def _(spark, sf_dir):
+    rows = sites(spark, sf_dir)
+    fit = ward.fit_ward(rows)
+    cuts = [ward.ward(rows, k, fit=fit).select("s_suppkey", F.lit(k).alias("k"), "cluster") for k in (3, 6, 8)]
+    return fold(DataFrame.unionByName, cuts)
+
+
+@query("ward_of_vectors")
+def _(spark, sf_dir):
+    """All embeddings in eight clusters: their sizes."""
+    return ward.ward(points(spark, sf_dir), 8).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+
+
+# Three parts that overlap; the mixture with their shares, means and covariances.
+OVERLAP = (
+    "SELECT c_custkey, c_nationkey % 3 AS part, 2.0E0*(c_nationkey % 3) + CAST(c_acctbal AS DOUBLE)/3000.0E0 AS x1, "
+    "CAST((c_custkey*37) % 101 AS DOUBLE)/25.0E0 + (c_nationkey % 3) AS x2 FROM customer"
+)
+GIVEN = {
+    "rows_": OVERLAP,
+    "parts": f"SELECT part, COUNT(*) AS n, AVG(x1) AS m1, AVG(x2) AS m2, VAR_POP(x1) + {models.FLOOR} AS v1, "
+    f"VAR_POP(x2) + {models.FLOOR} AS v2, COVAR_POP(x1, x2) AS c FROM rows_ GROUP BY part",
+    "total": "SELECT SUM(n)*1.0E0 AS total FROM parts",
+    "logs": "SELECT c_custkey, x1, x2, p.part, LN(n/total) - LN(2*PI()) - LN(v1*v2 - c*c)/2 "
+    "- (v2*(x1 - m1)*(x1 - m1) - 2*c*(x1 - m1)*(x2 - m2) + v1*(x2 - m2)*(x2 - m2))/(2*(v1*v2 - c*c)) AS l "
+    "FROM rows_, parts p, total",
+    "tops": "SELECT c_custkey, MAX(l) AS top FROM logs GROUP BY c_custkey",
+    "sums": "SELECT c_custkey, top + LN(SUM(EXP(l - top))) AS ll FROM logs JOIN tops USING (c_custkey) GROUP BY c_custkey, top",
+    "near": "SELECT c_custkey, x1, x2, part, EXP(l - ll) AS p FROM logs JOIN sums USING (c_custkey)",
+}
+
+
+def overlapping(spark, sf_dir):
+    rows = P.view(spark, sf_dir, OVERLAP).select("c_custkey", F.col("part").alias("cluster"), F.array("x1", "x2").alias("x"))
+    return rows, models.mixture_of_labels(rows)
+
+
+@query(
+    "memberships_of_parts",
+    with_(
+        GIVEN
+        | {
+            "ranked": "SELECT c_custkey, part, p, LEAD(p) OVER w AS second, ROW_NUMBER() OVER w AS rn FROM near "
+            "WINDOW w AS (PARTITION BY c_custkey ORDER BY p DESC)"
+        },
+        f"SELECT {big('c_custkey')}, {big('part', 'cluster')}, {r('p', 'confidence')}, {r('1 - (p - second)', 'uncertainty')} "
+        "FROM ranked WHERE rn = 1",
+    ),
+)
+def _(spark, sf_dir):
+    rows, mixture = overlapping(spark, sf_dir)
+    return models.memberships(mixture.labels(rows), mixture).select(
+        "c_custkey", "cluster", F.array_max("membership").alias("confidence"), "uncertainty"
+    )
+
+
+@query(
+    "information_of_parts",
+    with_(
+        GIVEN | {"whole": "SELECT SUM(ll) AS ll, COUNT(*) AS n FROM sums"},
+        f"SELECT {r('-2*ll + 17*LN(n)', 'bic')}, {r('-2*ll + 34', 'aic')}, {r('ll/n', 'mean_log_likelihood')} FROM whole",
+    ),
+)
+def _(spark, sf_dir):
+    rows, mixture = overlapping(spark, sf_dir)
+    found = models.information(replace(mixture, cost=-models.log_likelihood(rows, mixture)), rows.count())
+    kept = ["bic", "aic", "mean_log_likelihood"]
+    return spark.createDataFrame([tuple(found[c] for c in kept)], ", ".join(f"{c} double" for c in kept))
+
+
+@query(
+    "mixture_step_of_parts",
+    with_(
+        GIVEN | {"moved": "SELECT part, SUM(p) AS w, SUM(p*x1)/SUM(p) AS m1, SUM(p*x2)/SUM(p) AS m2 FROM near GROUP BY part"},
+        f"SELECT {big('part', 'cluster')}, {r('MIN(w)/MIN(total)', 'share')}, {r('MIN(m.m1)', 'm1')}, {r('MIN(m.m2)', 'm2')}, "
+        f"{r(f'SUM(p*(x1 - m.m1)*(x1 - m.m1))/SUM(p) + {models.FLOOR}', 'v1')}, "
+        f"{r(f'SUM(p*(x2 - m.m2)*(x2 - m.m2))/SUM(p) + {models.FLOOR}', 'v2')}, "
+        f"{r('SUM(p*(x1 - m.m1)*(x2 - m.m2))/SUM(p)', 'c')} FROM near JOIN moved m USING (part), total GROUP BY part",
+    ),
+)
+def _(spark, sf_dir):
+    """One step of the fit from given parameters."""
+    rows, mixture = overlapping(spark, sf_dir)
+    step = models.next_mixture(rows, mixture)
+    found = [
+        (i, step.shares[i], *step.means[i], step.covariances[i][0][0], step.covariances[i][1][1], step.covariances[i][0][1])
+        for i in range(len(step.shares))
+    ]
+    return spark.createDataFrame(found, "cluster int, share double, m1 double, m2 double, v1 double, v2 double, c double")
+
+
+@query(
+    "kmeans_step_by_k",
+    with_(
+        {
+            "rows_": OVERLAP,
+            "starts": "SELECT k, c_custkey % k AS c, AVG(x1) AS m1, AVG(x2) AS m2 FROM rows_, (VALUES (2), (3), (5)) AS t(k) GROUP BY k, c_custkey % k",
+            "near": "SELECT k, c, x1, x2, (x1 - m1)*(x1 - m1) + (x2 - m2)*(x2 - m2) AS d FROM rows_, starts "
+            "QUALIFY ROW_NUMBER() OVER (PARTITION BY k, c_custkey ORDER BY (x1 - m1)*(x1 - m1) + (x2 - m2)*(x2 - m2), c) = 1",
+        },
+        f"SELECT {big('k')}, {big('c', 'cluster')}, {big('COUNT(*)', 'size')}, {r('AVG(x1)', 'm1')}, {r('AVG(x2)', 'm2')}, "
+        f"{r('SUM(SUM(d)) OVER (PARTITION BY k)', 'inertia')} FROM near GROUP BY k, c",
+    ),
+)
+def _(spark, sf_dir):
+    """Nearest centers, next centers and inertia of several k, from given centers, in one scan."""
+    rows = P.view(spark, sf_dir, OVERLAP).select("c_custkey", F.array("x1", "x2").alias("x"))
+    starts = {}
+    for k in (2, 3, 5):
+        grouped = rows.groupBy((F.col("c_custkey") % k).alias("c")).agg(F.avg(F.col("x")[0]).alias("a"), F.avg(F.col("x")[1]).alias("b"))
+        starts[k] = [[r["a"], r["b"]] for r in grouped.orderBy("c").collect()]
+    found = [
+        (k, c, size, *center, inertia)
+        for k, (inertia, sizes, centers) in models.next_centers(rows, starts).items()
+        for c, (size, center) in enumerate(zip(sizes, centers, strict=True))
+        if size
+    ]
+    return spark.createDataFrame(found, "k int, cluster int, size long, m1 double, m2 double, inertia double")
+
+
+# Four parts at distances that grow by a factor: for every k the best clusters are known.
+SCALES = (
+    "SELECT c_custkey, c_nationkey % 4 AS part, CASE c_nationkey % 4 WHEN 0 THEN 0.0E0 WHEN 1 THEN 10.0E0 WHEN 2 THEN 200.0E0 "
+    "ELSE 4000.0E0 END + CAST((c_custkey*37) % 101 AS DOUBLE)/101.0E0 AS x1 FROM customer"
+)
+
+
+@query(
+    "elbow_of_scales",
+    with_(
+        {
+            "rows_": SCALES,
+            "best": "SELECT k, SUM(ss) AS inertia FROM (SELECT k, GREATEST(part, 4 - k) AS part, VAR_POP(x1)*COUNT(*) AS ss "
+            "FROM rows_, (VALUES (2), (3), (4)) AS t(k) GROUP BY k, GREATEST(part, 4 - k)) q GROUP BY k",
+            "one": "SELECT *, inertia - LAG(inertia) OVER (ORDER BY k) AS inertia_diff FROM best",
+        },
+        f"SELECT {big('k')}, {r('inertia')}, {r('inertia_diff')}, {r('inertia_diff - LAG(inertia_diff) OVER (ORDER BY k)', 'inertia_diff2')} FROM one",
+    ),
+)
+def _(spark, sf_dir):
+    rows = P.view(spark, sf_dir, SCALES).select("c_custkey", F.array("x1").alias("x"))
+    return sweeps.elbow(rows, [2, 3, 4]).drop("n_iter")
+
+
 # ------------------------------------------------------------------- regions
 
 

@@ -71,8 +71,8 @@ def dbscan(
     one link per core point, to its local component, never its pairs; a row that
     is not core has fewer than ``min_samples`` neighbours to report.
     """
-    points = pairs.blocked(pairs.distinct_points(df, x), block_rows)
-    near = materialize(pairs.near_pairs(points, points, eps))
+    blocks = pairs.blocked(pairs.distinct_points(df, x), block_rows)
+    points, near = blocks.points, pairs.near_pairs(blocks, blocks, eps)
     degrees = neighbour_weight(points, near, eps)
     core = F.col("degree") >= min_samples
     marked = materialize(points.join(degrees, "pid").withColumn("is_core", core))

@@ -52,14 +52,14 @@ def silhouette_samples(
     """
     names = F.array(*[F.lit(name) for name in models])
     labels = F.array(*[F.coalesce(F.col(c).cast("int"), F.lit(-1)) for c in models.values()])
-    points = blocked(
+    blocks = blocked(
         distinct_points(df.select("x", labels.alias("labels")), by=["labels"]), block_rows
     )
-    own = points.select(
+    own = blocks.points.select(
         "pid", "x", "w", F.posexplode("labels").alias("model", "cluster")
     ).filter("cluster >= 0")
     sizes = own.groupBy("model", F.col("cluster").alias("other")).agg(F.sum("w").alias("size"))
-    sums = cluster_distance_sums(points).join(sizes, ["model", "other"])
+    sums = cluster_distance_sums(blocks).join(sizes, ["model", "other"])
     scored = sums.join(own.select("pid", "model", "cluster"), ["pid", "model"])
     mine = F.col("other") == F.col("cluster")
     sides = scored.groupBy("pid", "model").agg(

@@ -1,80 +1,143 @@
-"""Built-in cluster models with restarts and stable cluster numbers."""
+"""K-Means and Gaussian mixtures, all numbers of clusters and all seeds fitted side by side.
+
+An iteration is one scan of the rows, however many models are live: each task
+adds up what every model needs (counts, sums and, for mixtures, outer products
+per cluster), Spark adds the tasks' sums, and the driver, which holds nothing
+but the models, makes the next ones. Models that have settled leave the scan.
+
+Seeds come from the rows in a few scans as well: candidates are drawn by their
+distance to those drawn before, weighted by the rows that are nearest to them,
+and thinned to k centers. Draws go by a hash of the row, so a fit is repeatable.
+Covariances have ``FLOOR`` added to their diagonal, so a component whose rows lie
+in fewer dimensions than there are stays a distribution.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 
 import numpy as np
-from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+import pandas as pd
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEED = 42
+#: Iteration of a mixture ends when the mean log-likelihood of a row gains less.
 MIXTURE_TOLERANCE = 1e-3
+#: Iteration of K-Means ends when no center moves farther.
+MEANS_TOLERANCE = 1e-4
+FLOOR = 1e-6
+#: Rounds of drawing candidates, and candidates per round and largest k.
+DRAWS, DRAWN = 2, 4
+_CHUNK = 4096
 
 
 @dataclass(frozen=True)
 class Fitted:
-    """A model and the order of its clusters: largest first, then by smallest member."""
+    """A model; its clusters are in order: largest first, then by smallest member.
+
+    ``shares`` and ``covariances`` are empty for K-Means. ``cost`` is the inertia,
+    or the negative total log-likelihood.
+    """
 
-    model: object
-    order: list[int]
+    means: list[list[float]]
     cost: float
     iterations: int
+    seed: int = SEED
+    shares: list[float] = field(default_factory=list)
+    covariances: list[list[list[float]]] = field(default_factory=list)
+
+    @property
+    def is_mixture(self) -> bool:
+        return bool(self.shares)
 
     def labels(self, df: DataFrame, name: str = "cluster") -> DataFrame:
         """Rows with their cluster."""
-        placed = self.model.transform(with_vector(df))
-        position = F.array_position(F.array(*[F.lit(c) for c in self.order]), F.col("prediction"))
-        cluster = F.when(position > 0, position - 1).otherwise(F.col("prediction"))
-        extra = [c for c in ("features", "prediction", "probability") if c not in df.columns]
-        return placed.withColumn(name, cluster.cast("int")).drop(*extra)
+        return df.withColumn(name, label_column(self))
 
     def centers(self) -> list[list[float]]:
-        """Cluster centers in the order of the labels."""
-        if hasattr(self.model, "clusterCenters"):
-            centers = [c.tolist() for c in self.model.clusterCenters()]
-        else:
-            centers = [g.mean.toArray().tolist() for g in self.model.gaussians]
-        rest = [i for i in range(len(centers)) if i not in self.order]
-        return [centers[i] for i in [*self.order, *rest]]
-
-
-def with_vector(df: DataFrame, x: str = "x") -> DataFrame:
-    return df if "features" in df.columns else df.withColumn("features", array_to_vector(x))
-
-
-def _ordered(model, df: DataFrame) -> list[int]:
-    """Predictions by size, then smallest vector; one row per cluster is fetched."""
-    sizes = (
-        model.transform(df)
-        .groupBy("prediction")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("first"))
-        .collect()
-    )
-    return [r["prediction"] for r in sorted(sizes, key=lambda r: (-r["n"], r["first"]))]
+        return self.means
+
+    def to_dict(self) -> dict:
+        return asdict(self)
+
+
+def label_column(fitted: Fitted, x: str = "x") -> Column:
+    """The cluster of ``x``: the nearest center, or the likeliest component."""
+    means = np.array(fitted.means)
+    mixture = Mixture.of(fitted) if fitted.is_mixture else None
+
+    @F.pandas_udf("int")
+    def label(rows: pd.Series) -> pd.Series:
+        if rows.empty:
+            return pd.Series([], dtype="int32")
+        at = np.stack(rows.to_numpy()).astype(float)
+        if mixture is None:
+            return pd.Series(_gaps(at, means).argmin(axis=1).astype("int32"))
+        return pd.Series(mixture.parts(at).argmax(axis=1).astype("int32"))
+
+    return label(F.col(x))
 
 
-def _best(fit: Callable[[int], object], seeds: Sequence[int], cost, parallelism: int):
-    """The fit of least cost; several run side by side, ties go to the first seed."""
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        fits = list(pool.map(fit, seeds))
-    return min(fits, key=cost)
+def _gaps(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distances, summed without cancellation."""
+    out = np.zeros((len(x), len(centers)))
+    for j in range(x.shape[1]):
+        gap = x[:, j, None] - centers[None, :, j]
+        out += gap * gap
+    return out
+
+
+class Mixture:
+    """Densities of a mixture, from shares, means and covariances."""
+
+    def __init__(self, shares: np.ndarray, means: np.ndarray, covariances: np.ndarray):
+        self.shares, self.means, self.covariances = shares, means, covariances
+        size = means.shape[1]
+        lower = np.linalg.cholesky(covariances)
+        self.roots = np.stack([np.linalg.solve(c, np.eye(size)).T for c in lower])
+        half = np.log(np.diagonal(lower, axis1=1, axis2=2)).sum(axis=1)
+        with np.errstate(divide="ignore"):
+            self.base = np.log(shares) - half - 0.5 * size * np.log(2 * np.pi)
+
+    @staticmethod
+    def of(fitted: Fitted) -> Mixture:
+        return Mixture(np.array(fitted.shares), np.array(fitted.means), np.array(fitted.covariances))
+
+    def parts(self, x: np.ndarray) -> np.ndarray:
+        """Logarithms of share times density, per row and component."""
+        out = np.empty((len(x), len(self.means)))
+        for c, (mean, root) in enumerate(zip(self.means, self.roots, strict=True)):
+            z = (x - mean) @ root
+            out[:, c] = self.base[c] - 0.5 * np.einsum("ij,ij->i", z, z)
+        return out
+
+    def memberships(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of the components in each row, and the log-likelihood of each row."""
+        parts = self.parts(x)
+        top = parts.max(axis=1, keepdims=True)
+        scaled = np.exp(parts - top)
+        total = scaled.sum(axis=1, keepdims=True)
+        return scaled / total, (top + np.log(total))[:, 0]
+
+
+# ------------------------------------------------------------------- scans
 
 
 def prepared(df: DataFrame) -> DataFrame:
-    """The columns a fit reads, kept in memory; pass it to several fits and unpersist it."""
-    return with_vector(df).select("x", "features").persist()
+    """The rows that a fit reads, kept in memory; pass them to several fits and unpersist them."""
+    return df.select(F.col("x").cast("array<double>").alias("x"), F.xxhash64("x").alias("h")).persist()
 
 
 @contextmanager
 def _rows(df: DataFrame):
     """Prepared rows; those prepared here are released afterwards."""
-    if df.columns == ["x", "features"]:
+    if df.columns == ["x", "h"]:
         yield df
         return
     rows = prepared(df)
@@ -84,88 +147,311 @@ def _rows(df: DataFrame):
         rows.unpersist()
 
 
-def fit_each(
-    fit: Callable, df: DataFrame, ks: Sequence[int], restarts: int, parallelism: int = 8
-) -> dict[int, Fitted]:
-    """Fits for several k side by side, over one prepared copy of the rows."""
-    with _rows(df) as rows, ThreadPoolExecutor(max_workers=parallelism) as pool:
-        found = pool.map(lambda k: fit(rows, k, restarts, parallelism=1), ks)
-        return dict(zip(ks, found))
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for batch in batches:
+        if batch.num_rows:
+            x = batch.column("x").flatten().to_numpy().reshape(batch.num_rows, -1)
+            h = batch.column("h").to_numpy().view(np.uint64)
+            for at in range(0, len(x), _CHUNK):
+                yield x[at : at + _CHUNK], h[at : at + _CHUNK]
+
+
+def add_up(rows: DataFrame, models: dict[int, object], work: Callable[[object, np.ndarray], np.ndarray]) -> dict[int, np.ndarray]:
+    """The sum over all rows of ``work(model, x)``, a flat array, for each model; one scan."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for x, _ in _chunks(batches):
+            for name, model in models.items():
+                part = work(model, x)
+                sums[name] = sums[name] + part if name in sums else part
+        yield pa.RecordBatch.from_pydict({"model": pa.array(list(sums), pa.int32()), "part": pa.array(list(sums.values()), pa.list_(pa.float64()))})
+
+    parts = rows.mapInArrow(run, "model int, part array<double>")
+    summed = parts.groupBy("model").agg(Summarizer.sum(array_to_vector("part")).alias("s"))
+    return {r["model"]: r["s"].toArray() for r in summed.collect()}  # one row per model
+
+
+# ----------------------------------------------------------------- K-Means
+
+
+def _lloyd(centers: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Inertia, then counts, then sums, of the rows nearest to each center."""
+    k, size = centers.shape
+    rough = (centers * centers).sum(axis=1) - 2 * (x @ centers.T)
+    own = rough.argmin(axis=1)
+    gap = x - centers[own]
+    sums = np.zeros((k, size))
+    mark = np.zeros((k, len(x)))
+    mark[own, np.arange(len(x))] = 1
+    np.matmul(mark, x, out=sums)
+    return np.concatenate([[(gap * gap).sum()], mark.sum(axis=1), sums.ravel()])
+
+
+def _spread(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to the nearest of some points."""
+    return np.maximum(((x * x).sum(axis=1)[:, None] + (at * at).sum(axis=1)[None, :] - 2 * (x @ at.T)).min(axis=1), 0)
+
+
+def _mixed(h: np.ndarray, salt: int) -> np.ndarray:
+    """Even numbers in [0, 1) from row hashes."""
+    z = h ^ np.uint64((salt * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2**53
+
+
+def candidates(rows: DataFrame, seeds: Sequence[int], most: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per seed distinct candidate centers and the rows nearest to each; some ``DRAWS`` x ``DRAWN`` x ``most`` of them."""
+    first = rows.agg(*[F.min(F.struct(F.xxhash64("h", F.lit(s)).alias("o"), "x")).alias(f"s{s}") for s in seeds]).first()
+    held = {s: np.array([first[f"s{s}"]["x"]]) for s in seeds}
+    for draw in range(DRAWS):
+        total = add_up(rows, held, lambda at, x: np.array([_spread(x, at).sum()]))
+
+        def pick(batches: Iterator[pa.RecordBatch], held=held, total=total, draw=draw) -> Iterator[pa.RecordBatch]:
+            for x, h in _chunks(batches):
+                for s, at in held.items():
+                    if total[s][0] > 0:
+                        chance = DRAWN * most * _spread(x, at) / total[s][0]
+                        take = np.flatnonzero(_mixed(h, s * 1000 + draw) < chance)
+                        yield pa.RecordBatch.from_pydict({"seed": pa.array(np.full(len(take), s), pa.int32()), "x": pa.array(list(x[take]), pa.list_(pa.float64()))})
+
+        for row in rows.mapInArrow(pick, "seed int, x array<double>").distinct().collect():  # DRAWN x most per seed, by chance
+            held[row["seed"]] = np.vstack([held[row["seed"]], row["x"]])
+        held = {s: np.unique(at, axis=0) for s, at in held.items()}
+    near = add_up(rows, held, lambda at, x: np.bincount(_gaps(x, at).argmin(axis=1), minlength=len(at)).astype(float))
+    return {s: (at, near[s]) for s, at in held.items()}
+
+
+def thinned(at: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k centers of weighted candidates: drawn by distance, then moved to the means of those nearest; fewer if there are fewer."""
+    rng = np.random.default_rng(seed)
+    chosen = [int(rng.choice(len(at), p=weight / weight.sum()))]
+    gap = _gaps(at, at[chosen]).min(axis=1)
+    while len(chosen) < min(k, len(at)):
+        mass = weight * gap
+        if mass.sum() <= 0:
+            break
+        chosen.append(int(rng.choice(len(at), p=mass / mass.sum())))
+        gap = np.minimum(gap, _gaps(at, at[chosen[-1:]])[:, 0])
+    centers = at[chosen].astype(float)
+    for _ in range(30):
+        own = _gaps(at, centers).argmin(axis=1)
+        size = np.bincount(own, weight, len(centers))
+        moved = np.stack([np.bincount(own, weight * at[:, j], len(centers)) for j in range(at.shape[1])], axis=1)
+        new = np.where(size[:, None] > 0, moved / np.maximum(size, 1e-300)[:, None], centers)
+        if np.array_equal(new, centers):
+            break
+        centers = new
+    return centers
+
+
+def _settled_means(rows: DataFrame, starts: dict[int, np.ndarray], max_iter: int) -> tuple[dict[int, np.ndarray], dict[int, float], dict[int, int]]:
+    """Centers, inertia and iterations of every start."""
+    live, done = dict(starts), {}
+    used = dict.fromkeys(starts, 0)
+    while live:
+        sums = add_up(rows, live, _lloyd)
+        for name, centers in list(live.items()):
+            k, size = centers.shape
+            counts, total = sums[name][1 : 1 + k], sums[name][1 + k :].reshape(k, size)
+            moved = np.where(counts[:, None] > 0, total / np.maximum(counts, 1)[:, None], centers)
+            used[name] += 1
+            live[name] = moved
+            if np.sqrt(((moved - centers) ** 2).sum(axis=1)).max() <= MEANS_TOLERANCE or used[name] >= max_iter:
+                done[name] = live.pop(name)
+    cost = {name: float(s[0]) for name, s in add_up(rows, done, _lloyd).items()}
+    return done, cost, used
+
+
+def _in_order(rows: DataFrame, models: dict[int, Fitted]) -> dict[int, list[int]]:
+    """Clusters of each model by size, then smallest vector; one row per cluster is fetched."""
+    placed = rows.select("x", F.array(*[F.struct(F.lit(n).alias("model"), label_column(m).alias("c")) for n, m in models.items()]).alias("all"))
+    sizes = placed.select("x", F.explode("all").alias("e")).groupBy("e.model", "e.c").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("first")).collect()
+    order = {}
+    for name, model in models.items():
+        found = sorted((r for r in sizes if r["model"] == name), key=lambda r: (-r["n"], r["first"]))
+        known = [r["c"] for r in found]
+        order[name] = known + [c for c in range(len(model.means)) if c not in known]
+    return order
+
+
+def _ordered(rows: DataFrame, models: dict[int, Fitted]) -> dict[int, Fitted]:
+    order = _in_order(rows, models)
+    out = {}
+    for name, m in models.items():
+        by = lambda values, name=name: [values[c] for c in order[name]] if values else []
+        out[name] = Fitted(by(m.means), m.cost, m.iterations, m.seed, by(m.shares), by(m.covariances))
+    return out
+
+
+def fit_kmeans_each(df: DataFrame, ks: Sequence[int], restarts: int = 10, max_iter: int = 300, seed: int = SEED) -> dict[int, Fitted]:
+    """For each k, K-Means with the least inertia of several seeds; ties go to the first seed.
+
+    All k and seeds share every scan. No rows, no models.
+    """
+    with _rows(df) as rows:
+        if not ks or rows.isEmpty():
+            return {}
+        seeds = range(seed, seed + restarts)
+        drawn = candidates(rows, seeds, max(ks))
+        names = [(k, s) for k in ks for s in seeds]
+        centers, cost, used = _settled_means(rows, {i: thinned(*drawn[s], k, s) for i, (k, s) in enumerate(names)}, max_iter)
+        best = {k: min((i for i, (own, _) in enumerate(names) if own == k), key=lambda i: (cost[i], i)) for k in ks}
+        return _ordered(rows, {k: Fitted(centers[i].tolist(), cost[i], used[i], names[i][1]) for k, i in best.items()})
 
 
-def fit_kmeans(
-    df: DataFrame,
-    k: int,
-    restarts: int = 10,
-    max_iter: int = 300,
-    seed: int = SEED,
-    parallelism: int = 8,
-) -> Fitted:
+def fit_kmeans(df: DataFrame, k: int, restarts: int = 10, max_iter: int = 300, seed: int = SEED) -> Fitted:
     """K-Means with the least inertia of several seeds."""
-    with _rows(df) as rows:
+    return fit_kmeans_each(df, [k], restarts, max_iter, seed)[k]
 
-        def fit(s: int):
-            return KMeans(k=k, initMode="k-means||", maxIter=max_iter, seed=s, tol=1e-4).fit(rows)
 
-        seeds = range(seed, seed + restarts)
-        best = _best(fit, seeds, lambda m: m.summary.trainingCost, parallelism)
-        summary = best.summary
-        return Fitted(best, _ordered(best, rows), summary.trainingCost, summary.numIter)
-
-
-def fit_mixture(
-    df: DataFrame,
-    k: int,
-    restarts: int = 5,
-    max_iter: int = 200,
-    seed: int = SEED,
-    parallelism: int = 8,
-) -> Fitted:
-    """Gaussian mixture, full covariance, with the best likelihood of several seeds.
-
-    ``cost`` is the negative total log-likelihood. Iteration ends when the mean
-    log-likelihood of a row gains less than ``MIXTURE_TOLERANCE``; MLlib's own
-    tolerance is on the total.
+# ---------------------------------------------------------------- mixtures
+
+
+def _moments(near: np.ndarray, x: np.ndarray, means: np.ndarray) -> np.ndarray:
+    """Weights, sums and outer products per component, measured from ``means``."""
+    parts = [near.sum(axis=0)]
+    for c, mean in enumerate(means):
+        gap = x - mean
+        weighed = gap * near[:, c, None]
+        parts += [weighed.sum(axis=0), (weighed.T @ gap).ravel()]
+    return np.concatenate(parts)
+
+
+def _expect(mixture: Mixture, x: np.ndarray) -> np.ndarray:
+    """Log-likelihood, then the moments by membership."""
+    near, likelihood = mixture.memberships(x)
+    return np.concatenate([[likelihood.sum()], _moments(near, x, mixture.means)])
+
+
+def _expect_hard(centers: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The moments of the rows nearest to each center."""
+    near = np.zeros((len(x), len(centers)))
+    near[np.arange(len(x)), _gaps(x, centers).argmin(axis=1)] = 1
+    return np.concatenate([[0.0], _moments(near, x, centers)])
+
+
+def maximize(sums: np.ndarray, means: np.ndarray, n: int) -> Mixture:
+    """The mixture of these sums, covariances with ``FLOOR`` added to the diagonal; a component without weight stays where it is."""
+    k, size = means.shape
+    weight = sums[1 : 1 + k]
+    rest = sums[1 + k :].reshape(k, size + size * size)
+    held = np.maximum(weight, 10 * np.finfo(float).eps)[:, None]
+    shift = rest[:, :size] / held
+    spread = (rest[:, size:] / held).reshape(k, size, size) - shift[:, :, None] * shift[:, None, :]
+    spread = (spread + spread.transpose(0, 2, 1)) / 2 + FLOOR * np.eye(size)
+    return Mixture(weight / n, means + shift, spread)
+
+
+def fit_mixture_each(df: DataFrame, ks: Sequence[int], restarts: int = 5, max_iter: int = 200, seed: int = SEED) -> dict[int, Fitted]:
+    """For each k, the Gaussian mixture, full covariance, of the best likelihood of several seeds.
+
+    Each starts from K-Means of its seed. All k and seeds share every scan.
+    Iteration ends when the mean log-likelihood of a row gains less than
+    ``MIXTURE_TOLERANCE``. No rows, no models.
     """
     with _rows(df) as rows:
-        tol = MIXTURE_TOLERANCE * rows.count()
+        if not ks or rows.isEmpty():
+            return {}
+        n = rows.count()
+        seeds = range(seed, seed + restarts)
+        drawn = candidates(rows, seeds, max(ks))
+        names = [(k, s) for k in ks for s in seeds]
+        centers, _, _ = _settled_means(rows, {i: thinned(*drawn[s], k, s) for i, (k, s) in enumerate(names)}, max_iter)
+        begun = add_up(rows, centers, _expect_hard)
+        live = {i: maximize(begun[i], centers[i], n) for i in centers}
+        done: dict[int, Mixture] = {}
+        used, reached, likelihood = dict.fromkeys(live, 0), {}, {}
+        while live:
+            sums = add_up(rows, live, _expect)
+            for i, mixture in list(live.items()):
+                mean = sums[i][0] / n
+                likelihood[i] = float(sums[i][0])
+                if abs(mean - reached.get(i, -np.inf)) < MIXTURE_TOLERANCE or used[i] >= max_iter:
+                    done[i] = live.pop(i)
+                    continue
+                reached[i] = mean
+                used[i] += 1
+                live[i] = maximize(sums[i], mixture.means, n)
+        best = {k: min((i for i, (own, _) in enumerate(names) if own == k), key=lambda i: (-likelihood[i], i)) for k in ks}
+        found = {
+            k: Fitted(done[i].means.tolist(), -likelihood[i], used[i], names[i][1], done[i].shares.tolist(), done[i].covariances.tolist())
+            for k, i in best.items()
+        }
+        return _ordered(rows, found)
+
+
+def fit_mixture(df: DataFrame, k: int, restarts: int = 5, max_iter: int = 200, seed: int = SEED) -> Fitted:
+    """Gaussian mixture with the best likelihood of several seeds; ``cost`` is the negative total log-likelihood."""
+    return fit_mixture_each(df, [k], restarts, max_iter, seed)[k]
+
+
+def mixture_of_labels(df: DataFrame, label: str = "cluster") -> Fitted:
+    """The mixture whose components have the shares, means and covariances of given labels 0, 1, …; one scan."""
+    size = df.select(F.size("x").alias("n")).first()["n"]
+    sums = df.groupBy(label).agg(
+        F.count(F.lit(1)).alias("n"),
+        Summarizer.mean(array_to_vector("x")).alias("mean"),
+        F.array(*[F.covar_pop(F.col("x")[i], F.col("x")[j]) for i in range(size) for j in range(size)]).alias("s"),
+    )
+    rows = sums.orderBy(label).collect()  # one row per label
+    n = sum(r["n"] for r in rows)
+    spread = [(np.array(r["s"]).reshape(size, size) + FLOOR * np.eye(size)).tolist() for r in rows]
+    return Fitted([r["mean"].toArray().tolist() for r in rows], 0.0, 0, SEED, [r["n"] / n for r in rows], spread)
 
-        def fit(s: int):
-            return GaussianMixture(k=k, maxIter=max_iter, seed=s, tol=tol).fit(rows)
 
-        seeds = range(seed, seed + restarts)
-        best = _best(fit, seeds, lambda m: -m.summary.logLikelihood, parallelism)
-        summary = best.summary
-        return Fitted(best, _ordered(best, rows), -summary.logLikelihood, summary.numIter)
+def next_mixture(df: DataFrame, fitted: Fitted) -> Fitted:
+    """The mixture after one more step; its ``cost`` is that of ``fitted``."""
+    with _rows(df) as rows:
+        sums = add_up(rows, {0: Mixture.of(fitted)}, _expect)[0]
+        step = maximize(sums, np.array(fitted.means), rows.count())
+        return Fitted(step.means.tolist(), -float(sums[0]), fitted.iterations + 1, fitted.seed, step.shares.tolist(), step.covariances.tolist())
 
 
-def memberships(df: DataFrame, mixture: Fitted) -> DataFrame:
-    """Rows with membership probabilities by cluster and 1 − (first − second) of them."""
-    raw = vector_to_array("probability")
-    ordered = F.array(*[raw[i] for i in _all_positions(mixture)])
-    placed = mixture.model.transform(with_vector(df))
+def next_centers(df: DataFrame, starts: dict[int, list[list[float]]]) -> dict[int, tuple[float, list[int], list[list[float]]]]:
+    """For each set of centers its inertia, the rows nearest to each center, and their means; one scan."""
+    with _rows(df) as rows:
+        out = {}
+        for name, sums in add_up(rows, {n: np.array(c, dtype=float) for n, c in starts.items()}, _lloyd).items():
+            k = len(starts[name])
+            counts, total = sums[1 : 1 + k], sums[1 + k :].reshape(k, -1)
+            moved = np.where(counts[:, None] > 0, total / np.maximum(counts, 1)[:, None], np.array(starts[name]))
+            out[name] = (float(sums[0]), counts.astype(int).tolist(), moved.tolist())
+        return out
+
+
+def memberships(df: DataFrame, fitted: Fitted) -> DataFrame:
+    """Rows with ``membership``, probabilities by cluster, and ``uncertainty``: 1 − (first − second) of them."""
+    mixture = Mixture.of(fitted)
+
+    @F.pandas_udf("array<double>")
+    def shares(rows: pd.Series) -> pd.Series:
+        if rows.empty:
+            return pd.Series([], dtype=object)
+        return pd.Series(list(mixture.memberships(np.stack(rows.to_numpy()).astype(float))[0]))
+
+    placed = df.withColumn("membership", shares("x"))
     ranked = F.sort_array("membership", asc=False)
-    gap = ranked[0] - (ranked[1] if len(_all_positions(mixture)) > 1 else F.lit(0.0))
-    extra = [c for c in ("features", "prediction", "probability") if c not in df.columns]
-    return (
-        placed.withColumn("membership", ordered).withColumn("uncertainty", 1 - gap).drop(*extra)
-    )
+    second = F.coalesce(F.try_element_at(ranked, F.lit(2)), F.lit(0.0))
+    return placed.withColumn("uncertainty", 1 - (ranked[0] - second))
 
 
-def _all_positions(fitted: Fitted) -> list[int]:
-    k = len(fitted.model.weights)
-    return [*fitted.order, *[i for i in range(k) if i not in fitted.order]]
+def log_likelihood(df: DataFrame, fitted: Fitted) -> float:
+    """Total log-likelihood of the rows; one scan."""
+    with _rows(df) as rows:
+        sums = add_up(rows, {0: Mixture.of(fitted)}, lambda m, x: np.array([m.memberships(x)[1].sum()]))
+        return float(sums[0][0]) if sums else 0.0
 
 
-def information(mixture: Fitted, n: int, max_iter: int = 200) -> dict:
+def information(fitted: Fitted, n: int, max_iter: int = 200) -> dict:
     """BIC, AIC, mean log-likelihood and convergence of a mixture over n rows."""
-    k = len(mixture.model.weights)
-    d = len(mixture.model.gaussians[0].mean)
+    k, d = len(fitted.shares), len(fitted.means[0])
     parameters = (k - 1) + k * d + k * d * (d + 1) / 2
-    likelihood = -mixture.cost
+    likelihood = -fitted.cost
     return {
         "bic": float(-2 * likelihood + parameters * np.log(n)),
         "aic": float(-2 * likelihood + 2 * parameters),
         "mean_log_likelihood": likelihood / n,
-        "converged": mixture.iterations < max_iter,
+        "converged": fitted.iterations < max_iter,
     }

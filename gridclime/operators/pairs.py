@@ -1,126 +1,195 @@
 """Distances between many points, block against block.
 
-Points (``pid``, ``x``, ``w``, group ``g``) are put into blocks of bounded size
-and only block pairs that can matter meet. A pair of blocks is one small numpy
-computation that returns aggregates per point, so pairs of points are never
-rows of a table.
+Points (``pid``, ``x``, ``w``, group ``g``) are cut into blocks of bounded size by
+several coordinates in turn; the cells of the cuts are a table with their
+bounding boxes, and block pairs that can matter are found by joins down that
+table. A pair of blocks is one small numpy computation that returns aggregates
+per point, so pairs of points are never rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridclime.functions.columns import as_lookup, with_one_row
 from gridclime.functions.lineage import materialize
 
 BLOCK_ROWS = 2048
+#: Parts that a cell is cut into at once.
+FAN = 16
+#: Bounds are widened by this share, so that rounding never hides a point.
+SLACK = 1 + 1e-9
+
+
+@dataclass(frozen=True)
+class Blocks:
+    """Points with their ``block``, and the cells that lead to the blocks; both stored.
+
+    ``margin`` of a point is its distance to the nearest cut around its block.
+    ``cells``: cell, g, parent (NULL for the root of a group), leaf, n, lo, hi, and
+    for those that were cut dim and cuts. ``depth`` counts the rounds of cuts.
+    """
+
+    points: DataFrame
+    cells: DataFrame
+    depth: int
 
 
 def distinct_points(df: DataFrame, x: str = "x", by: Sequence[str] = ()) -> DataFrame:
-    """One row per vector (and labels), with its weight in rows.
+    """One row per vector (and labels), with its weight in rows and a number of its own; stored.
 
     Copies of a vector share every distance, so a group of copies of any size
     is one point from here on.
     """
     weighed = df.groupBy(F.col(x).alias("x"), *by).agg(F.count(F.lit(1)).alias("w"))
-    return weighed.withColumn("pid", F.xxhash64("x", *by))
-
-
-def strip_edges(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row: per group, cuts of the first coordinate into strips of about a block."""
-    raw = max(1, -(-points.count() // block_rows))
-    cuts = [i / raw for i in range(1, raw)]
-    first = F.col("x")[0]
-    if not cuts:
-        found = points.groupBy("g").agg(F.array().cast("array<double>").alias("cuts"))
-    else:
-        found = points.groupBy("g").agg(
-            F.percentile_approx(first, cuts, 100 * raw).alias("cuts"),
-            F.ceil(F.lit(block_rows * raw) / F.count(F.lit(1))).alias("every"),
-        )
-        # A small group keeps only every so many cuts.
-        kept = F.filter("cuts", lambda _, i: (i + 1) % F.col("every") == 0)
-        found = found.withColumn("cuts", F.array_distinct(kept))
-    return as_lookup(found, "g", "cuts")
+    return materialize(weighed.withColumn("pid", F.monotonically_increasing_id()))
 
 
-def with_blocks(points: DataFrame, edges: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``strip`` and ``block`` and store the result.
+def _boxes(placed: DataFrame, size: int) -> DataFrame:
+    """(cell, g, parent, n, lo, hi) of the points' present cells."""
+    ends = lambda f: F.array(*[f(F.col("x")[i]) for i in range(size)]).cast("array<double>")
+    return placed.groupBy(F.col("block").alias("cell"), "g", "parent").agg(
+        F.count(F.lit(1)).alias("n"), ends(F.min).alias("lo"), ends(F.max).alias("hi")
+    )
 
-    A strip that is still too large, because many points share a first
-    coordinate, is split by hash, so no block outgrows ``block_rows`` by more
-    than chance.
-    """
-    placed = with_one_row(points, edges, "_edges")
-    below = F.filter(F.col("_edges.lookup")[F.col("g")], lambda cut: cut < F.col("x")[0])
-    placed = placed.withColumn("strip", F.coalesce(F.size(below), F.lit(0))).drop("_edges")
-    placed = materialize(placed)
-    sizes = placed.groupBy("g", "strip").agg(F.count(F.lit(1)).alias("n"))
-    crowded = F.map_from_entries(F.collect_list(F.struct(F.struct("g", "strip"), "n")))
-    lookup = sizes.filter(F.col("n") > block_rows).agg(crowded.alias("n"))
-    placed = with_one_row(placed, lookup, "_sizes")
-    rows = F.coalesce(F.try_element_at("_sizes.n", F.struct("g", "strip")), F.lit(1))
-    part = F.pmod(F.xxhash64("pid"), F.ceil(rows / block_rows))
-    return placed.withColumn("block", F.concat_ws("|", "g", "strip", part)).drop("_sizes")
-
-
-def blocked(points: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Points of one group in blocks, stored."""
-    stored = materialize(points.withColumn("g", F.lit(0)))
-    return materialize(with_blocks(stored, strip_edges(stored, block_rows), block_rows))
-
-
-def all_pairs(points: DataFrame) -> DataFrame:
-    """(a, b) for every two blocks, each unordered pair once."""
-    blocks = points.select("block").distinct()
-    names = blocks.agg(F.array_sort(F.collect_list("block")).alias("names"))
-    listed = with_one_row(blocks.withColumnRenamed("block", "a"), names, "_all")
-    later = F.filter("_all.names", lambda b: b >= F.col("a"))
-    return listed.select("a", F.explode(later).alias("b"))
+
+def _cuts(placed: DataFrame, crowded: DataFrame, block_rows: int) -> DataFrame:
+    """Crowded cells with ``dim``, their widest coordinate, and ``cuts`` of it into even parts."""
+    wide = F.zip_with("hi", "lo", lambda h, l: h - l)
+    crowded = crowded.withColumn("dim", F.array_position(wide, F.array_max(wide)).cast("int") - 1)
+    value = F.col("x")[F.col("dim")]
+    shares = [i / FAN for i in range(1, FAN)]
+    found = (
+        placed.join(crowded.select(F.col("cell").alias("block"), "dim"), "block")
+        .groupBy("block")
+        .agg(F.percentile_approx(value, shares, 1000).alias("q"))
+        .withColumnRenamed("block", "cell")
+    )
+    parts = F.least(F.lit(FAN), F.ceil(F.col("n") / block_rows)).cast("int")
+    every = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.col("q")[F.ceil(i * FAN / parts).cast("int") - 1])
+    low, high = (F.col(c)[F.col("dim")] for c in ("lo", "hi"))
+    # A cut at the largest value would cut nothing off; the middle always does.
+    kept = F.array_distinct(F.filter(every, lambda c: c < high))
+    cuts = F.when(F.size(kept) > 0, kept).otherwise(F.array(low + (high - low) / 2))
+    return crowded.join(found, "cell").withColumn("cuts", cuts).drop("q")
+
+
+def _child(cuts: Column, value: Column) -> Column:
+    return F.size(F.filter(cuts, lambda c: c < value))
+
+
+def blocked(points: DataFrame, block_rows: int = BLOCK_ROWS) -> Blocks:
+    """Points (pid, x, w and a group ``g``, one group if there is none) in blocks of at most ``block_rows``."""
+    if "g" not in points.columns:
+        points = points.withColumn("g", F.lit(0))
+    first = points.select(F.size("x").alias("n")).first()
+    size = first["n"] if first else 0
+    root = F.concat(F.lit("g"), F.coalesce(F.col("g").cast("string"), F.lit("")))
+    start = {"block": root, "parent": F.lit(None).cast("string"), "margin": F.lit(float("inf"))}
+    live = materialize(points.withColumns(start))
+    done, tables, depth = [], [], 0
+    while True:
+        boxes = materialize(_boxes(live, size))
+        # Points of one cell that all lie on one spot cannot be cut; distinct points never do.
+        crowded = F.col("n") > block_rows
+        if boxes.filter(crowded).isEmpty():
+            tables.append(boxes.withColumns({"leaf": F.lit(True), "dim": F.lit(None).cast("int"), "cuts": F.lit(None).cast("array<double>")}))
+            done.append(live)
+            break
+        cut = materialize(_cuts(live, boxes.filter(crowded), block_rows))
+        whole = boxes.filter(~crowded)
+        tables.append(cut.withColumn("leaf", F.lit(False)).select(*boxes.columns, "leaf", "dim", "cuts"))
+        tables.append(whole.withColumns({"leaf": F.lit(True), "dim": F.lit(None).cast("int"), "cuts": F.lit(None).cast("array<double>")}))
+        done.append(live.join(whole.select(F.col("cell").alias("block")), "block").select(*live.columns))
+        live = materialize(_down(live.join(cut.select(F.col("cell").alias("block"), "dim", "cuts"), "block")).select(*live.columns))
+        depth += 1
+    return Blocks(_union([d.drop("parent") for d in done]), materialize(_union(tables)), depth)
+
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _down(rows: DataFrame) -> DataFrame:
+    """Rows one cut deeper: ``block`` is the child's, ``parent`` the one before."""
+    value = F.col("x")[F.col("dim")]
+    gaps = F.transform("cuts", lambda c: F.abs(value - c))
+    return rows.withColumns(
+        {
+            "margin": F.least("margin", F.array_min(gaps)),
+            "parent": F.col("block"),
+            "block": F.concat_ws("/", "block", _child(F.col("cuts"), value)),
+        }
+    )
 
 
-def same_strip_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    one = left.select("g", "strip", F.col("block").alias("a")).distinct()
-    two = right.select("g", "strip", F.col("block").alias("b")).distinct()
-    return one.join(two, ["g", "strip"]).select("a", "b")
+def placed_in(points: DataFrame, blocks: Blocks, block_rows: int = BLOCK_ROWS) -> Blocks:
+    """Other points, by the cuts of ``blocks``, as leaves of their own; crowded ones are split by number."""
+    root = F.concat(F.lit("g"), F.coalesce(F.col("g").cast("string"), F.lit("")))
+    first = points.select(F.size("x").alias("n")).first()
+    size = first["n"] if first else 0
+    rows = points.withColumn("home", root)
+    for _ in range(blocks.depth):
+        cut = blocks.cells.filter("NOT leaf").select(F.col("cell").alias("home"), "dim", "cuts")
+        child = F.concat_ws("/", "home", _child(F.col("cuts"), F.col("x")[F.col("dim")]))
+        rows = rows.join(cut, "home", "left").withColumn("home", F.when(F.col("cuts").isNull(), F.col("home")).otherwise(child)).drop("dim", "cuts")
+    rows = materialize(rows)
+    sizes = rows.groupBy("home").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("parts"))
+    split = rows.join(sizes, "home").withColumn("block", F.concat_ws("#", "home", F.pmod(F.xxhash64("pid"), F.col("parts")))).drop("parts")
+    split = materialize(split.withColumn("parent", F.lit(None).cast("string")))
+    cells = _boxes(split, size).withColumns({"leaf": F.lit(True), "dim": F.lit(None).cast("int"), "cuts": F.lit(None).cast("array<double>")})
+    return Blocks(split.drop("parent"), materialize(cells), 0)
 
 
-def near_pairs(left: DataFrame, right: DataFrame, radius: DataFrame | float) -> DataFrame:
-    """(a, b): right blocks of the same group that may hold points in a left block's radius.
+def _gap(lo1: str, hi1: str, lo2: str, hi2: str) -> Column:
+    """Distance of two boxes."""
+    one = F.zip_with(lo1, hi2, lambda l, h: F.greatest(l - h, F.lit(0.0)))
+    two = F.zip_with(lo2, hi1, lambda l, h: F.greatest(l - h, F.lit(0.0)))
+    return F.sqrt(F.aggregate(F.zip_with(one, two, lambda u, v: F.greatest(u, v)), F.lit(0.0), lambda t, d: t + d * d))
 
-    The gap between first coordinates is a lower bound of the distance; the
-    strips in reach are found per block and joined on equality.
+
+def block_pairs(asked: DataFrame, blocks: Blocks) -> DataFrame:
+    """(a, b): blocks b whose box lies within ``radius`` of the box of ``asked`` (a, g, lo, hi, radius); stored.
+
+    The search goes down the cells, one join on the parent for each round of cuts.
     """
-    low, high = F.min(F.col("x")[0]).alias("lo"), F.max(F.col("x")[0]).alias("hi")
-    spans = right.groupBy("g", "strip").agg(low, high).groupBy("g")
-    spans = spans.agg(F.collect_list(F.struct("strip", "lo", "hi")).alias("spans"))
-    reach = left.groupBy("g", "block").agg(low, high)
-    if isinstance(radius, DataFrame):
-        reach = reach.join(radius, "block", "left")
-    else:
-        reach = reach.withColumn("radius", F.lit(float(radius)))
-    reach = reach.withColumn("radius", F.coalesce("radius", F.lit(float("inf"))))
-    reach = with_one_row(reach, as_lookup(spans, "g", "spans"), "_all")
-    in_reach = F.filter(
-        F.col("_all.lookup")[F.col("g")],
-        lambda s: (s["lo"] <= F.col("hi") + F.col("radius"))
-        & (s["hi"] >= F.col("lo") - F.col("radius")),
-    )
-    reached = reach.select("g", F.col("block").alias("a"), F.explode(in_reach["strip"]).alias("strip"))
-    targets = right.select("g", "strip", F.col("block").alias("b")).distinct()
-    return reached.join(targets, ["g", "strip"]).select("a", "b")
+    boxes = blocks.cells.select("g", "parent", F.col("cell").alias("b"), "leaf", F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
+    near = _gap("lo", "hi", "lo2", "hi2") <= F.col("radius") * SLACK
+    front = asked.join(boxes.filter("parent IS NULL").drop("parent"), "g").filter(near)
+    found = []
+    for _ in range(blocks.depth):
+        front = materialize(front)
+        found.append(front.filter("leaf").select("a", "b"))
+        above = front.filter("NOT leaf").select("a", "lo", "hi", "radius", F.col("b").alias("parent"))
+        front = above.join(boxes.drop("g").filter("parent IS NOT NULL"), "parent").filter(near)
+    found.append(front.filter("leaf").select("a", "b"))
+    return materialize(_union(found))
+
+
+def near_pairs(left: Blocks, right: Blocks, radius: float) -> DataFrame:
+    """(a, b): right blocks that may hold points within ``radius`` of points of a left block."""
+    boxes = left.cells.filter("leaf").select(F.col("cell").alias("a"), "g", "lo", "hi", F.lit(float(radius)).alias("radius"))
+    return block_pairs(boxes, right)
+
+
+def all_pairs(blocks: Blocks) -> DataFrame:
+    """(a, b) for every two blocks, each unordered pair once."""
+    return near_pairs(blocks, blocks, float("inf")).filter("a <= b")
 
 
 def over_pairs(
     left: DataFrame, right: DataFrame, pairs: DataFrame, work: Callable, schema: str
 ) -> DataFrame:
-    """Apply ``work(rows, others, same_block)`` to each pair of blocks."""
+    """Apply ``work(rows, others, same_block)`` to each pair (a, b) of a left and a right ``block``."""
     one = left.withColumnRenamed("block", "a").join(pairs, "a")
     two = right.withColumnRenamed("block", "b").join(pairs, "b")
     # Both sides may be one table: fresh columns keep them apart.
@@ -136,6 +205,27 @@ def over_pairs(
     return one.groupBy("a", "b").cogroup(two.groupBy("a", "b")).applyInPandas(run, schema)
 
 
+def by_radius(left: Blocks, reaching: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Points of ``left`` with their ``radius`` from ``reaching`` (pid, radius), in blocks of like radius, and the boxes to ask for.
+
+    Points of one block whose radii differ by more than a factor of two are asked
+    apart, so a point far from all others opens blocks for itself only. Points
+    without a row in ``reaching`` are not asked.
+    """
+    step = F.when(F.col("radius") <= 0, F.lit("0")).when(F.col("radius") == float("inf"), F.lit("inf")).otherwise(F.floor(F.log2("radius")).cast("string"))
+    asked = materialize(left.points.join(reaching, "pid").withColumn("home", F.col("block")).withColumn("block", F.concat_ws("~", "block", step)))
+    widest = asked.groupBy(F.col("home").alias("cell"), F.col("block").alias("a")).agg(F.max("radius").alias("radius"))
+    boxes = widest.join(left.cells.filter("leaf").select("cell", "g", "lo", "hi"), "cell")
+    return asked, boxes.select("a", "cell", "g", "lo", "hi", "radius")
+
+
+def within_reach(rows: pd.DataFrame, others: np.ndarray) -> np.ndarray:
+    """Which rows have the box of the other points within their own radius."""
+    at = matrix(rows)
+    gaps = np.maximum(np.maximum(others.min(axis=0) - at, at - others.max(axis=0)), 0)
+    return np.sqrt((gaps * gaps).sum(axis=1)) <= rows["radius"].to_numpy() * SLACK
+
+
 def matrix(rows: pd.DataFrame) -> np.ndarray:
     return np.stack(rows["x"].to_numpy()).astype(float)
 
@@ -156,27 +246,32 @@ def smallest(d: np.ndarray, k: int) -> np.ndarray:
     return np.take_along_axis(near, np.take_along_axis(d, near, 1).argsort(1, kind="stable"), 1)
 
 
-def neighbours(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
-    """(pid, near): the nearest right points of each left point, as (d, w, id) ascending.
+NEAR = "near array<struct<d: double, id: long, w: long>>"
+
+
+def nearest_of(rows: pd.DataFrame, others: pd.DataFrame, k: int) -> pd.DataFrame:
+    """(pid, near): the k nearest others of each row, with all ties of the last distance."""
+    d = distances(matrix(rows), matrix(others))
+    found = np.take_along_axis(d, smallest(d, k), 1)
+    # Ties are kept, so that the order of rows never decides.
+    tied = [np.flatnonzero(d[i] <= found[i, -1]) for i in range(len(d))]
+    ids, weights = others["pid"].to_numpy(), others["w"].to_numpy()
+    near = [
+        [{"d": float(d[i, j]), "id": int(ids[j]), "w": int(weights[j])} for j in js]
+        for i, js in enumerate(tied)
+    ]
+    return pd.DataFrame({"pid": rows["pid"].to_numpy(), "near": near})
+
+
+def neighbours(left: Blocks, right: Blocks, k: int) -> DataFrame:
+    """(pid, near): the nearest right points of each left point, as (d, w, id) ascending; stored.
 
     Exact; as many as needed for a total weight of k, ties by id. Every point
-    first gets a bound from the blocks of its own strip; other blocks are
-    visited only within the largest bound of the left block.
+    first gets a bound from the block that it lies in; other blocks are visited
+    only by the points whose own bound reaches them. ``left`` is ``right``, or
+    was placed by its cuts (``placed_in``).
     """
-    schema = "pid long, near array<struct<d: double, id: long, w: long>>"
-
-    def nearest(rows, others, _):
-        d = distances(matrix(rows), matrix(others))
-        at = smallest(d, k)
-        found = np.take_along_axis(d, at, 1)
-        # Keep ties of the last distance, so that the order of rows never decides.
-        tied = [np.flatnonzero(d[i] <= found[i, -1]) for i in range(len(d))]
-        ids, weights = others["pid"].to_numpy(), others["w"].to_numpy()
-        near = [
-            [{"d": float(d[i, j]), "id": int(ids[j]), "w": int(weights[j])} for j in js]
-            for i, js in enumerate(tied)
-        ]
-        return pd.DataFrame({"pid": rows["pid"].to_numpy(), "near": near})
+    schema = f"pid long, {NEAR}"
 
     def merged(parts: DataFrame) -> DataFrame:
         """Per point the nearest of all parts, cut where the weight reaches k."""
@@ -198,22 +293,29 @@ def neighbours(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
             ),
             lambda at: at["kept"],
         )
-        return ranked.select("pid", walked.alias("near"))
+        return materialize(ranked.select("pid", walked.alias("near")))
+
+    def home(cell: Column) -> Column:
+        return F.element_at(F.split(cell, "#"), 1)
 
-    first = merged(over_pairs(left, right, same_strip_pairs(left, right), nearest, schema))
+    leaves = lambda b, name: b.cells.filter("leaf").select(F.col("cell").alias(name), home(F.col("cell")).alias("home"))
+    own = materialize(leaves(left, "a").join(leaves(right, "b"), "home").select("a", "b"))
+    first = merged(over_pairs(left.points, right.points, own, lambda rows, others, _: nearest_of(rows, others, k), schema))
     total = F.aggregate("near", F.lit(0).cast("long"), lambda n, e: n + e["w"])
-    bound = F.when(total >= k, F.element_at("near", -1)["d"]).otherwise(F.lit(float("inf")))
-    radius = (
-        left.select("pid", "block")
-        .join(first, "pid", "left")
-        .groupBy("block")
-        .agg(F.max(F.coalesce(bound, F.lit(float("inf")))).alias("radius"))
-    )
-    pairs = near_pairs(left, right, materialize(radius))
-    return merged(over_pairs(left, right, pairs, nearest, schema))
+    bound = F.when(total >= k, F.element_at("near", -1)["d"])
+    reaching = left.points.select("pid").join(first.select("pid", bound.alias("radius")), "pid", "left")
+    asked, boxes = by_radius(left, reaching.select("pid", F.coalesce("radius", F.lit(float("inf"))).alias("radius")))
+    opened = block_pairs(boxes, right).join(boxes.select("a", "cell"), "a")
+    opened = opened.join(own.select(F.col("a").alias("cell"), "b"), ["cell", "b"], "left_anti").select("a", "b")
+
+    def wider(rows, others, _):
+        reached = rows[within_reach(rows, matrix(others))]
+        return nearest_of(reached, others, k) if len(reached) else pd.DataFrame(columns=["pid", "near"])
+
+    return merged(first.unionByName(over_pairs(asked, right.points, materialize(opened), wider, schema)))
 
 
-def k_distances(points: DataFrame, k: int) -> DataFrame:
+def k_distances(points: Blocks, k: int) -> DataFrame:
     """(pid, k_distance): distance to the k-th nearest row, the row itself counted first."""
     near = neighbours(points, points, k)
     enough = F.aggregate("near", F.lit(0).cast("long"), lambda n, e: n + e["w"]) >= k
@@ -224,12 +326,12 @@ def k_distance_rows(
     df: DataFrame, k: int = 5, x: str = "x", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Input rows with ``k_distance``; sorted by it they draw the curve."""
-    points = blocked(distinct_points(df, x), block_rows)
-    reached = k_distances(points, k).join(points.select("pid", "x"), "pid")
+    blocks = blocked(distinct_points(df, x), block_rows)
+    reached = k_distances(blocks, k).join(blocks.points.select("pid", "x"), "pid")
     return df.join(reached.select(F.col("x").alias(x), "k_distance"), x)
 
 
-def cluster_distance_sums(points: DataFrame) -> DataFrame:
+def cluster_distance_sums(blocks: Blocks) -> DataFrame:
     """(pid, model, other, total): summed distances of a point to each cluster's rows.
 
     ``labels`` holds a point's cluster under every model; all models share one
@@ -262,5 +364,5 @@ def cluster_distance_sums(points: DataFrame) -> DataFrame:
         return pd.concat(parts) if parts else pd.DataFrame(columns=["pid", "model", "other", "total"])
 
     schema = "pid long, model int, other int, total double"
-    summed = over_pairs(points, points, all_pairs(points), sums, schema)
+    summed = over_pairs(blocks.points, blocks.points, all_pairs(blocks), sums, schema)
     return summed.groupBy("pid", "model", "other").agg(F.sum("total").alias("total"))

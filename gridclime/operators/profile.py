@@ -101,7 +101,8 @@ def characteristics(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Features in which a cluster departs from all rows, most distinctive first.
 
     One row per cluster and feature, with ``rank`` in the cluster. Rows are
-    aggregated before they are unpivoted.
+    aggregated before they are unpivoted. Means are not rounded: averages of a few
+    decimals lie on ties.
     """
     features = list(features)
     one = df.agg(
@@ -126,8 +127,8 @@ def characteristics(df: DataFrame, features: Sequence[str]) -> DataFrame:
         "cluster",
         F.row_number().over(rank).alias("rank"),
         "feature",
-        F.bround("cluster_mean", 2).alias("cluster_mean"),
-        F.bround("all.mean", 2).alias("global_mean"),
+        "cluster_mean",
+        F.col("all.mean").alias("global_mean"),
         "z_score",
         F.concat(level, side).alias("description"),
         characteristic_text(F.col("feature"), F.col("z")).alias("summary"),
@@ -259,26 +260,18 @@ def nearest_examples(
     """
     spot = lambda df: F.array(*[F.col(c).cast("double") for c in PLACE]).alias("x")
     cluster = F.col("cluster").alias("g")
-    targets = materialize(
-        places.filter("cluster IS NOT NULL")
-        .select(spot(places), cluster)
-        .distinct()
-        .select("x", "g", F.xxhash64("x", "g").alias("pid"), F.lit(1).cast("long").alias("w"))
-    )
-    asked = (
-        queries.filter("cluster IS NOT NULL")
-        .select(spot(queries), cluster)
-        .distinct()
-        .select("x", "g", F.xxhash64("x", "g").alias("pid"), F.lit(1).cast("long").alias("w"))
-    )
-    edges = materialize(pairs.strip_edges(targets, block_rows))
-    left = materialize(pairs.with_blocks(asked, edges, block_rows))
-    right = materialize(pairs.with_blocks(targets, edges, block_rows))
+    def spots(df: DataFrame) -> DataFrame:
+        known = df.filter("cluster IS NOT NULL").select(spot(df), cluster).distinct()
+        return materialize(known.withColumns({"pid": F.monotonically_increasing_id(), "w": F.lit(1).cast("long")}))
+
+    targets, asked = spots(places), spots(queries)
+    right = pairs.blocked(targets, block_rows)
+    left = pairs.placed_in(asked, right, block_rows)
     near = pairs.neighbours(left, right, n).select("pid", F.explode("near").alias("e"))
     found = near.select("pid", F.col("e.id").alias("id"), F.col("e.d").alias("d")).join(
         targets.select(F.col("pid").alias("id"), F.col("x").alias("at")), "id"
     )
-    asked_at = left.select("pid", "x", "g")
+    asked_at = asked.select("pid", "x", "g")
     rank = Window.partitionBy("pid").orderBy("d", F.col("at")[0], F.col("at")[1])
     ranked = found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= n)
     answer = ranked.join(asked_at, "pid")

@@ -20,7 +20,7 @@ def kmeans_by_k(
 ) -> dict[int, models.Fitted]:
     """Fits that the elbow and the silhouettes can share."""
     n = df.count()
-    return models.fit_each(models.fit_kmeans, df, [k for k in ks if 2 <= k < n], restarts)
+    return models.fit_kmeans_each(df, [k for k in ks if 2 <= k < n], restarts)
 
 
 def elbow(
@@ -77,7 +77,7 @@ def information_by_k(
 ) -> DataFrame:
     """(k, bic, aic, converged) of mixtures."""
     n = df.count()
-    fits = models.fit_each(models.fit_mixture, df, [k for k in ks if 1 <= k <= n], restarts)
+    fits = models.fit_mixture_each(df, [k for k in ks if 1 <= k <= n], restarts)
     rows = []
     for k, fitted in fits.items():
         found = models.information(fitted, n)

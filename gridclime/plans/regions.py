@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclime.functions.lineage import materialize
-from gridclime.operators import assign, density, metrics, models, profile, sweeps
+from gridclime.operators import assign, density, hdbscan, metrics, models, profile, sweeps, ward
 from gridclime.operators.reduce import (
     Projection,
     Scaling,
@@ -21,6 +21,8 @@ from gridclime.operators.reduce import (
 from gridclime.sources import tables
 
 MIN_PLACES = 3
+#: A cluster of HDBSCAN has one in so many rows at least.
+HDBSCAN_SHARE = 50
 
 
 @dataclass
@@ -86,10 +88,12 @@ def label_all(
     points = rows.select("x")
 
     def names(title: str, key: str, i: int, k: int) -> tuple[str, str]:
+        if title == "Hierarchical":
+            return f"{title}(Ward, k={k})", f"cluster_{key}_k{k}"
         return (title, f"cluster_{key}") if i == 0 else (f"{title}(k={k})", f"cluster_{key}_k{k}")
 
-    means = models.fit_each(models.fit_kmeans, points, ks, restarts)
-    mixtures = models.fit_each(models.fit_mixture, points, ks, mixture_restarts)
+    means = models.fit_kmeans_each(points, ks, restarts)
+    mixtures = models.fit_mixture_each(points, ks, mixture_restarts)
     out = rows
     for i, k in enumerate(ks):
         name, column = names("K-Means", "kmeans", i, k)
@@ -99,10 +103,20 @@ def label_all(
         fitted[name] = mixtures[k]
         out, columns[name] = fitted[name].labels(out, column), column
     out = materialize(out)
-    noisy = density.dbscan(points, eps, min_samples)
-    columns["DBSCAN"] = "cluster_dbscan"
-    found = noisy.groupBy("x").agg(F.first("cluster").alias("cluster_dbscan"))
-    out = out.join(found, "x")
+    # The others label distinct vectors; each joins the rows once.
+    merged = ward.fit_ward(points)
+    for i, k in enumerate(ks):
+        name, column = names("Hierarchical", "ward", i, k)
+        columns[name] = column
+        found = ward.cut_points(merged[1], merged[0], k).select("x", F.col("cluster").alias(column))
+        out = out.join(found, "x")
+    dense = {
+        "DBSCAN": density.dbscan(points, eps, min_samples),
+        "HDBSCAN": hdbscan.hdbscan(points, max(hdbscan.MIN_CLUSTER_SIZE, n // HDBSCAN_SHARE)),
+    }
+    for name, noisy in dense.items():
+        columns[name] = f"cluster_{name.lower()}"
+        out = out.join(noisy.groupBy("x").agg(F.first("cluster").alias(columns[name])), "x")
     return materialize(out), columns, fitted
 
 
@@ -141,7 +155,7 @@ def save(run: Regions, path: str) -> None:
     tables.write_table(run.comparison, f"{path}/comparison")
     for name, table in run.by_k.items():
         tables.write_table(table, f"{path}/by_k/{name}")
-    run.projection.model.write().overwrite().save(f"{path}/projection")
+    tables.save_model(run.projection.model, f"{path}/projection")
     record = {
         **run.metadata(),
         "columns": run.columns,
@@ -152,10 +166,7 @@ def save(run: Regions, path: str) -> None:
         "models": {},
     }
     for name, fitted in run.fitted.items():
-        tables.save_model(fitted.model, f"{path}/models/{run.columns[name]}")
-        record["models"][name] = {
-            "order": fitted.order, "cost": fitted.cost, "iterations": fitted.iterations
-        }
+        record["models"][name] = fitted.to_dict()
     tables.write_metadata(spark, {"record": json.dumps(record)}, f"{path}/metadata")
 
 
@@ -163,8 +174,7 @@ def load(spark: SparkSession, path: str) -> Regions:
     """A stored run, in any session."""
     record = json.loads(tables.read_metadata(spark, f"{path}/metadata")["record"])
     columns = record["columns"]
-    model = lambda name: tables.load_model(f"{path}/models/{columns[name]}").stages[0]
-    fitted = {name: models.Fitted(model(name), **found) for name, found in record["models"].items()}
+    fitted = {name: models.Fitted(**found) for name, found in record["models"].items()}
     projection = tables.load_model(f"{path}/projection")
     return Regions(
         Scaling(**record["scaling"]),
@@ -192,7 +202,7 @@ def assign_places(run: Regions, new: DataFrame) -> DataFrame:
     if fitted is None:
         known = run.rows.select("x", F.col(column).alias("cluster"))
         found, method = assign.assign_by_centroid(placed, known), "nearest-centroid"
-    elif hasattr(fitted.model, "gaussians"):
+    elif fitted.is_mixture:
         found, method = assign.assign_by_mixture(placed, fitted), f"model:{run.algorithm}"
     else:
         found, method = fitted.labels(placed), f"model:{run.algorithm}"

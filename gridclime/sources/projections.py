@@ -9,8 +9,8 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# 3,540 places repeat half a degree apart; further ones lie a little north of them.
-_LAT = "8.0E0 + 0.5E0*({0} % 59) + 0.005E0*FLOOR({0}/3540)"
+# 3,540 places half a degree apart; each further round lies north of the one before and never reaches the next step.
+_LAT = "8.0E0 + 0.5E0*({0} % 59) + 0.49E0*FLOOR({0}/3540)/(FLOOR({0}/3540) + 1)"
 _LON = "68.0E0 + 0.5E0*(({0}*7) % 60)"
 
 # One place per supplier, one row per ship date.
@@ -63,14 +63,13 @@ SELECT h.*, temperature_2m + relative_humidity_2m/10.0E0 - 4.0E0 AS apparent_tem
 FROM ({HOURLY}) h
 """
 
-# A second daily source: shifted coordinates, fewer places, a shorter range.
-SECOND_SOURCE = """
-SELECT 8.02E0 + 0.5E0*(l_suppkey % 59) + 0.005E0*FLOOR(l_suppkey/3540) AS latitude, 68.02E0 + 0.5E0*((l_suppkey*7) % 60) AS longitude,
-  CAST(l_shipdate AS DATE) AS date, AVG(l_quantity) - 4.5E0 AS temperature_2m_mean,
-  AVG(l_extendedprice)/790.0E0 AS precipitation_sum, AVG(100.0E0*l_tax) AS wind_speed_10m_mean
-FROM lineitem
-WHERE l_suppkey % 4 <> 0 AND l_shipdate >= DATE '1996-01-01'
-GROUP BY l_suppkey, CAST(l_shipdate AS DATE)
+# A second daily source, of another kind: orders by customer and day. Most of its places and days are its own.
+SECOND_SOURCE = f"""
+SELECT {_LAT.format("o_custkey")} + 0.02E0 AS latitude, {_LON.format("o_custkey")} + 0.02E0 AS longitude,
+  CAST(o_orderdate AS DATE) AS date, AVG(CAST(o_totalprice AS DOUBLE))/20000.0E0 AS temperature_2m_mean,
+  CAST(COUNT(*) AS DOUBLE)*2.5E0 AS precipitation_sum, CAST(MAX(o_orderkey) % 17 AS DOUBLE)/2.0E0 AS wind_speed_10m_mean
+FROM orders
+GROUP BY o_custkey, CAST(o_orderdate AS DATE)
 """
 
 # Every line item as an observation, so (place, date) repeats.

@@ -148,9 +148,13 @@ def test_kmeans_and_mixture(spark, points, blobs, tmp_path):
     cost = sum(((x[got == c] - x[got == c].mean(0)) ** 2).sum() for c in range(4))
     assert fitted.cost == pytest.approx(cost)
     assert np.array(fitted.centers())[0] == pytest.approx(x[got == 0].mean(0))
-    tables.save_model(fitted.model, str(tmp_path / "m"))
-    again = tables.load_model(str(tmp_path / "m")).transform(models.with_vector(core))
-    assert again.select("prediction").distinct().count() == 4
+    again = models.Fitted(**fitted.to_dict()).labels(core, "again").select("again").distinct()
+    assert again.count() == 4
+    scaled = core.withColumnRenamed("x", "scaled")
+    projection = reduce.fit_projection(scaled, variance=2)
+    tables.save_model(projection.model, str(tmp_path / "m"))
+    loaded = reduce.Projection(tables.load_model(str(tmp_path / "m")), projection.ratios, projection.components)
+    assert loaded.transform(scaled).orderBy("id").collect() == projection.transform(scaled).orderBy("id").collect()
 
     loose = core.filter("id < 160")
     mixture = models.fit_mixture(loose, 4, restarts=2)
