@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DEFAULT = "allow"
+#: Parts that a site's pages are dealt into where they meet its verdict.
+SALTS = 32
 #: Rules up to which their table is broadcast: at most some 20 MB.
 BROADCAST = 100_000
 _MARK = "\x00"  # between host and path in what is hashed; no URL host has it
@@ -109,10 +111,10 @@ def judge(pages: DataFrame, rules: DataFrame, broadcast_limit: int = BROADCAST)
     ).first()  # four numbers
     host, path = host_and_path(F.col("url"))
     taken = {"host", "path", "rule", "verdict"}
-    others = [F.col(f"`{c}`") for c in pages.columns if c not in taken]
-    read = pages.select(*others, host.alias("host"), path.alias("path"))
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in taken]).alias("row")
+    read = pages.select(row, host.alias("host"), path.alias("path"))
     if not sizes["n"]:
-        return read.select("*", F.lit(None).cast("string").alias("rule"), F.lit(DEFAULT).alias("verdict"))
+        return read.select("row.*", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(DEFAULT).alias("verdict"))
     head = F.substring("path", 1, max(1, sizes["chars"]))
     sites = read.select("host", head.alias("head")).distinct()
     held = F.broadcast(held) if sizes["n"] <= broadcast_limit else held.hint("merge")
@@ -126,7 +128,10 @@ def judge(pages: DataFrame, rules: DataFrame, broadcast_limit: int = BROADCAST)
         F.concat("r_host", "r_path").alias("rule"),
     )
     best = fits.groupBy("host", "head").agg(F.max(rank).alias("best"))
-    found = read.withColumn("head", head).join(best.hint("merge"), ["host", "head"], "left")
+    # A site may hold any share of the pages: its pages are dealt over salts, and each salt has the verdict.
+    salts = F.array(*[F.lit(i) for i in range(SALTS)])
+    dealt = read.withColumns({"head": head, "salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")})
+    found = dealt.join(best.withColumn("salt", F.explode(salts)).hint("merge"), ["host", "head", "salt"], "left")
     return found.select(
-        *others, "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(DEFAULT)).alias("verdict")
+        "row.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(DEFAULT)).alias("verdict")
     )
