@@ -8,17 +8,15 @@ documents give the weights.
 
 A task then takes its vectors in groups of at most ``GROUP`` documents and builds
 a tree of each group: terms of a vector are ordered by document frequency, the
-rarest first, so that vectors with equal beginnings share a path. Documents in
-that order are sorted, every node of the tree is a range of them, and a node
-keeps, over its range, the largest tf of each term on its edge, the largest tf
-of any term below, and the smallest m. For an item they bound the score of every
-document in the range: terms before the last one on the path that are not on it
-stand in none of them. A depth-first search takes the children of a node by
-descending bound and leaves a range whose bound is below the score of the item's
-last hit so far; documents that are left are scored in whole numbers. Bounds
-equal to that score are followed, because ties go to the smaller id. Of rows
-equal in vector and m only the first ``top`` ids are searched: the others cannot
-be hits. A task gives ``top`` rows per item at most; ranking those is exact.
+rarest first, so that vectors with equal beginnings share a path. A subtree is a
+range of the sorted documents; it has the largest tf of every term in it and the
+smallest m, which bound the score of each of its documents for any item. A
+depth-first search takes the children of a node by descending bound and leaves
+those whose bound is below the score of the item's last hit so far; documents
+that are left are scored in whole numbers, a few side by side. Bounds equal to
+that score are followed, because ties go to the smaller id. Of rows equal in
+vector and m only the first ``top`` ids are searched: the others cannot be hits.
+A task gives ``top`` rows per item at most; ranking those is exact.
 
 Each row of the documents is a document. NULL and empty texts have no term and
 do not count in N. Repeated ids and rows are ranked side by side; a NULL id
@@ -46,6 +44,8 @@ TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 ITEMS, TERMS = 1024, 50_000
 #: Documents and terms of a tree.
 GROUP, ENTRIES = 16_384, 4_000_000
+#: Documents of a range that are scored together.
+BUNCH = 64
 TOP = 10
 NO_ID = 2**63 - 1
 
@@ -145,22 +145,31 @@ def document_frequencies(vectors: DataFrame, size: int) -> DataFrame:
 
 
 class Tree:
-    """The tree of a group of vectors, in arrays.
-
-    ``terms`` are places in the order of frequency, ascending in each document.
+    """The tree of a group of vectors.
+
+    ``terms`` are places in the order of frequency, ascending in each document;
+    documents are sorted by them, so a subtree is a range [low, high). Subtrees of
+    over ``BUNCH`` documents are nodes of their own; smaller ones that lie side by
+    side under a node are bunched, up to so many documents. ``tops`` has for every
+    range and term what the term brings at most: its part at the largest tf and the
+    smallest m of the range.
     """
 
-    def __init__(self, ids: np.ndarray, m: np.ndarray, offsets: np.ndarray, terms: np.ndarray, tfs: np.ndarray):
+    def __init__(self, ids: np.ndarray, m: np.ndarray, offsets: np.ndarray, terms: np.ndarray, tfs: np.ndarray, size: int, bunch: int = BUNCH):
         self.ids, self.m, self.offsets, self.terms, self.tfs = ids, m, offsets, terms, tfs
-        lengths = np.diff(offsets)
-        self.part = (1_000_000_000 * tfs) // (1000 * tfs + 8 * np.repeat(m, lengths))
-        # The largest tf of a document from each entry on.
-        shift = np.repeat(np.arange(len(ids), dtype=np.int64)[::-1] * (1 << 32), lengths)
-        self.below = (np.maximum.accumulate((tfs + shift)[::-1])[::-1] - shift) if len(tfs) else tfs
-        self._nodes(self._shared(lengths), lengths)
-
-    def _shared(self, lengths: np.ndarray) -> np.ndarray:
+        self.part = (1_000_000_000 * tfs) // (1000 * tfs + 8 * np.repeat(m, np.diff(offsets)))
+        self.low, self.high, self.kids = [0], [len(ids)], [[]]
+        self._grow(self._shared(), bunch)
+        self.tops = np.zeros((len(self.low), size), dtype=np.int32)
+        for v, (a, b) in enumerate(zip(self.low, self.high, strict=True)):
+            if b > a:
+                tf = np.zeros(size, dtype=np.int64)
+                np.maximum.at(tf, terms[offsets[a] : offsets[b]], tfs[offsets[a] : offsets[b]])
+                self.tops[v] = (1_000_000_000 * tf) // (1000 * tf + 8 * int(m[a:b].min()))
+
+    def _shared(self) -> np.ndarray:
         """Terms that each document shares, from the start on, with the one before it."""
+        lengths = np.diff(self.offsets)
         least = np.minimum(lengths[1:], lengths[:-1])
         out = np.zeros(len(lengths), dtype=np.int64)
         if least.sum():
@@ -171,113 +180,66 @@ class Tree:
             out[1:][some] = np.minimum(np.minimum.reduceat(at, (np.cumsum(least) - least)[some]), least[some])
         return out
 
-    def _nodes(self, shared: np.ndarray, lengths: np.ndarray) -> None:
-        """Ranges of documents with a common path, each with its parent; leaves are documents."""
-        depth, low, high, parent, leaf_parent = [0], [0], [len(lengths)], [-1], np.zeros(len(lengths), dtype=np.int64)
-        open_ = [0]
-        cut = shared.tolist()
-        for i in range(len(cut)):
-            left = None
-            while depth[open_[-1]] > cut[i]:
-                left = open_.pop()
-                high[left] = i
-                if depth[open_[-1]] < cut[i]:  # a node between the two
-                    depth.append(cut[i])
-                    low.append(low[left])
-                    high.append(-1)
-                    parent.append(open_[-1])
-                    parent[left] = len(depth) - 1
-                    open_.append(len(depth) - 1)
-            following = cut[i + 1] if i + 1 < len(cut) else 0
-            if following > depth[open_[-1]]:  # this document begins a deeper node
-                depth.append(following)
-                low.append(i)
-                high.append(-1)
-                parent.append(open_[-1])
-                open_.append(len(depth) - 1)
-            leaf_parent[i] = open_[-1]
-        for node in open_:
-            high[node] = len(lengths)
-        self.depth, self.low, self.high = np.array(depth), np.array(low), np.array(high)
-        above = np.array(parent)
-        n = len(depth)
-        self.m_least = np.zeros(n, dtype=np.int64)
-        self.rest = np.zeros(n, dtype=np.int64)
-        self.last = np.full(n, -1, dtype=np.int64)
-        edges, tops = [], []
-        for v in range(n):
-            a, b, d = low[v], high[v], depth[v]
-            self.m_least[v] = self.m[a:b].min() if b > a else 0
-            deeper = self.offsets[a:b][lengths[a:b] > d] + d
-            self.rest[v] = self.below[deeper].max() if len(deeper) else 0
-            first = depth[parent[v]] if v else 0
-            at = self.offsets[a:b, None] + np.arange(first, d)
-            edges.append(self.terms[at[0]] if d > first else np.zeros(0, np.int64))
-            tops.append(self.tfs[at].max(axis=0) if d > first else np.zeros(0, np.int64))
-            if d:
-                self.last[v] = self.terms[self.offsets[a] + d - 1]
-        # Children and leaves of a node lie side by side; so do the edges of its children.
-        self.kids = np.argsort(above[1:], kind="stable") + 1
-        self.kid_from = np.searchsorted(above[self.kids], np.arange(n + 1))
-        self.edge_from = np.concatenate([[0], np.cumsum([len(edges[v]) for v in self.kids])]).astype(np.int64)
-        self.edge_terms = np.concatenate([edges[v] for v in self.kids]) if n > 1 else np.zeros(0, np.int64)
-        self.edge_tops = np.concatenate([tops[v] for v in self.kids]) if n > 1 else np.zeros(0, np.int64)
-        kid_m = np.repeat(self.m_least[self.kids], np.diff(self.edge_from))
-        self.edge_part = (1_000_000_000 * self.edge_tops) // (1000 * self.edge_tops + 8 * kid_m)
-        self.leaves = np.argsort(leaf_parent, kind="stable")
-        self.leaf_from = np.searchsorted(leaf_parent[self.leaves], np.arange(n + 1))
-
-    def search(self, weights: np.ndarray, tail: np.ndarray, best: list[tuple[int, int]], top: int) -> None:
+    def _grow(self, shared: np.ndarray, bunch: int) -> None:
+        """Split each large node where its documents part: behind the path that all of them share."""
+
+        def add(a: int, b: int, parent: int) -> None:
+            self.kids[parent].append(len(self.low))
+            self.low.append(a)
+            self.high.append(b)
+            self.kids.append([])
+
+        waiting = [0] if len(self.ids) else []
+        while waiting:
+            v = waiting.pop()
+            a, b = self.low[v], self.high[v]
+            depth = shared[a + 1 : b].min(initial=np.iinfo(np.int64).max)
+            cuts = [a, *(np.flatnonzero(shared[a + 1 : b] <= depth) + a + 1).tolist(), b]
+            start = a  # of the bunch that is being filled
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                if high - start > bunch:
+                    if low > start:
+                        add(start, low, v)
+                    start = low
+                if high - low > bunch:
+                    add(low, high, v)
+                    waiting.append(len(self.low) - 1)
+                    start = high
+            if b > start:
+                add(start, b, v)
+
+    def search(self, at: np.ndarray, w: np.ndarray, weights: np.ndarray, best: list[tuple[int, int]], top: int) -> None:
         """Put the hits of an item into ``best``, a heap of (score, -id) of ``top`` entries at most.
 
-        ``weights`` has a number for every term, 0 where the item lacks it;
-        ``tail`` at t the sum of the weights from t on.
+        ``at`` are the item's terms and ``w`` their weights; ``weights`` has a
+        number for every term, 0 where the item lacks it.
         """
-        stack = [(np.iinfo(np.int64).max, 0, 0)]  # bound, what the path brings at most, node
+        stack = [(np.iinfo(np.int64).max, 0)] if len(at) and len(self.ids) else []  # the bound of a node, and it
         while stack:
-            bound, path, v = stack.pop()
+            bound, v = stack.pop()
             if len(best) == top and bound < best[0][0]:
                 continue
-            held = self.leaves[self.leaf_from[v] : self.leaf_from[v + 1]]
-            if len(held):
-                self._score(held, int(self.depth[v]), path, weights, tail, best, top)
-            a, b = int(self.kid_from[v]), int(self.kid_from[v + 1])
-            if a == b:
+            if not self.kids[v]:
+                self._score(self.low[v], self.high[v], weights, best, top)
                 continue
-            kids = self.kids[a:b]
-            e = self.edge_from[a : b + 1]
-            brought = np.add.reduceat(weights[self.edge_terms[e[0] : e[-1]]] * self.edge_part[e[0] : e[-1]], e[:-1] - e[0]) + path
-            rest, least = self.rest[kids], self.m_least[kids]
-            bounds = brought + tail[self.last[kids] + 1] * ((1_000_000_000 * rest) // (1000 * rest + 8 * least))
-            good = np.flatnonzero((bounds > 0) & (bounds >= (best[0][0] if len(best) == top else 1)))
-            for k in good[np.argsort(bounds[good], kind="stable")].tolist():
-                stack.append((int(bounds[k]), int(brought[k]), int(kids[k])))
-
-    def _score(self, held: np.ndarray, depth: int, path: int, weights, tail, best, top) -> None:
-        """Scores of the documents that end their path here, those whose bound is high enough."""
-        first = self.offsets[held]
-        rest = first + depth
-        more = rest < self.offsets[held + 1]
-        bounds = np.full(len(held), path, dtype=np.int64)
-        at = rest[more]
-        tf = self.below[at]
-        bounds[more] += tail[self.terms[at]] * ((1_000_000_000 * tf) // (1000 * tf + 8 * self.m[held[more]]))
-        held = held[(bounds > 0) & (bounds >= (best[0][0] if len(best) == top else 1))]
-        if not len(held):
-            return
-        first, sizes = self.offsets[held], self.offsets[held + 1] - self.offsets[held]
-        starts = np.cumsum(sizes) - sizes
-        flat = np.arange(sizes.sum()) - np.repeat(starts, sizes) + np.repeat(first, sizes)
-        scores = np.add.reduceat(weights[self.terms[flat]] * self.part[flat], starts)
-        for k in np.flatnonzero(scores > 0).tolist():
-            entry = (int(scores[k]), -int(self.ids[held[k]]))
+            kids = np.array(self.kids[v])
+            bounds = self.tops[np.ix_(kids, at)].astype(np.int64) @ w
+            good = np.flatnonzero(bounds >= (best[0][0] if len(best) == top else 1))
+            stack += [(int(bounds[k]), int(kids[k])) for k in good[np.argsort(bounds[good], kind="stable")]]
+
+    def _score(self, a: int, b: int, weights: np.ndarray, best: list[tuple[int, int]], top: int) -> None:
+        """Scores of all documents of a range."""
+        first, last = self.offsets[a], self.offsets[b]
+        scores = np.add.reduceat(weights[self.terms[first:last]] * self.part[first:last], self.offsets[a:b] - first)
+        for k in np.flatnonzero(scores >= (best[0][0] if len(best) == top else 1)).tolist():
+            entry = (int(scores[k]), -int(self.ids[a + k]))
             if len(best) < top:
                 heapq.heappush(best, entry)
             elif entry > best[0]:
                 heapq.heapreplace(best, entry)
 
 
-def grown(ids: np.ndarray, m: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], top: int) -> Tree:
+def grown(ids: np.ndarray, m: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], size: int, top: int) -> Tree:
     """The tree of documents given by id, m and (terms, tfs), terms ascending and none empty.
 
     Of documents equal in vector and m the ``top`` smallest ids are kept.
@@ -292,7 +254,7 @@ def grown(ids: np.ndarray, m: np.ndarray, vectors: list[tuple[np.ndarray, np.nda
     offsets = np.concatenate([[0], np.cumsum([len(vectors[i][0]) for i in kept])]).astype(np.int64)
     terms = np.concatenate([vectors[i][0] for i in kept]).astype(np.int64)
     tfs = np.concatenate([vectors[i][1] for i in kept]).astype(np.int64)
-    return Tree(ids[kept], m[kept], offsets, terms, tfs)
+    return Tree(ids[kept], m[kept], offsets, terms, tfs, size)
 
 
 def hits(vectors: DataFrame, queries: list[tuple[np.ndarray, np.ndarray]], place: np.ndarray, total: int, terms_total: int, top: int) -> DataFrame:
@@ -311,12 +273,11 @@ def hits(vectors: DataFrame, queries: list[tuple[np.ndarray, np.ndarray]], place
         def close() -> None:
             nonlocal ids, m, held, entries
             if held:
-                tree = grown(np.array(ids, dtype=np.int64), np.array(m, dtype=np.int64), held, top)
-                weights, tail = np.zeros(size, dtype=np.int64), np.zeros(size + 1, dtype=np.int64)
+                tree = grown(np.array(ids, dtype=np.int64), np.array(m, dtype=np.int64), held, size, top)
+                weights = np.zeros(size, dtype=np.int64)
                 for (at, w), found in zip(queries, best, strict=True):
                     weights[at] = w
-                    tail[:-1] = np.cumsum(weights[::-1])[::-1]
-                    tree.search(weights, tail, found, top)
+                    tree.search(at, w, weights, found, top)
                     weights[at] = 0
             ids, m, held, entries = [], [], [], 0
 

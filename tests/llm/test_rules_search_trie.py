@@ -129,10 +129,10 @@ def test_verdicts_against_brute_force(spark, limit):
         f"http://{'.'.join(rng.choices(['a', 'b', 'net', 'example', 'com', 'org'], k=rng.randrange(1, 5)))}{rng.choice(['', '/'])}{'/'.join(rng.choices(['x', 'yy', 'en', 'de', 'fr', 'e'], k=rng.randrange(4)))}{rng.choice(['', '/', '?q'])}"
         for _ in range(400)
     ]
-    pages = spark.createDataFrame([(i // 2 if i % 9 else None, u, "old", 1) for i, u in enumerate(urls)], "page_id long, url string, host string, short int")
+    pages = spark.createDataFrame([(i // 2 if i % 9 else None, u, "old", 1) for i, u in enumerate(urls)], "page_id long, url string, host string, head int")
     for chosen in (catalog.URL_RULES, MANY):
         rules = spark.createDataFrame([(v, h.upper(), p) for v, h, p in chosen], "verdict string, host string, path string")
-        found = url_rules.judge(pages, rules, limit).select("page_id", "short", "url", "host", "path", "rule", "verdict").collect()
+        found = url_rules.judge(pages, rules, limit).select("page_id", "head", "url", "host", "path", "rule", "verdict").collect()
         want = Counter((i // 2 if i % 9 else None, 1, u, *verdict_by_hand(u, chosen)) for i, u in enumerate(urls))
         assert Counter(tuple(r) for r in found) == want
 
@@ -212,16 +212,24 @@ def test_terms_of_texts_that_lie_end_to_end():
 
 
 def test_tree_ranges_and_bounds():
-    """Every node's documents share its path, no other document has it, and its figures bound theirs."""
+    """Children part their node; every node's documents share its path, and its figures bound theirs."""
     rng = np.random.default_rng(3)
     vectors = [np.unique(rng.integers(0, 12, rng.integers(1, 7))) for _ in range(300)]
-    tree = fp_search.grown(np.arange(300), rng.integers(10, 400, 300), [(t, rng.integers(1, 5, len(t))) for t in vectors], 3)
+    rows = [(t, rng.integers(1, 5, len(t))) for t in vectors] * 2
+    held = fp_search.grown(np.arange(600), np.repeat(rng.integers(10, 400, 300), 2), rows, 12, 3)
+    tree = fp_search.Tree(held.ids, held.m, held.offsets, held.terms, held.tfs, 12, bunch=5)
     paths = [tuple(tree.terms[a:b]) for a, b in zip(tree.offsets[:-1], tree.offsets[1:], strict=True)]
     assert paths == sorted(paths)
-    for v in range(len(tree.depth)):
-        a, b, d = tree.low[v], tree.high[v], tree.depth[v]
-        own = paths[a][:d]
-        assert [i for i, p in enumerate(paths) if len(p) >= d and p[:d] == own] == list(range(a, b))
-        assert tree.m_least[v] == tree.m[a:b].min()
-        assert tree.rest[v] == max((f for i in range(a, b) for f in tree.tfs[tree.offsets[i] + d : tree.offsets[i + 1]]), default=0)
-    assert sorted(tree.leaves.tolist()) == list(range(len(paths)))
+    for v, kids in enumerate(tree.kids):
+        a, b = tree.low[v], tree.high[v]
+        assert (b - a <= 5) == (not kids)
+        if kids:
+            spans = [(tree.low[k], tree.high[k]) for k in kids]
+            assert [x for x, _ in spans] == [a, *[y for _, y in spans[:-1]]] and spans[-1][1] == b
+            own = [p for p in zip(*[paths[i] for i in range(a, b)])]
+            shared = next((d for d, p in enumerate(own) if len(set(p)) > 1), len(own))
+            outside = [i for i, p in enumerate(paths) if p[:shared] == paths[a][:shared] and not a <= i < b]
+            assert not outside
+        for i in range(a, b):
+            at = slice(tree.offsets[i], tree.offsets[i + 1])
+            assert (tree.tops[v][tree.terms[at]] >= tree.part[at]).all()
