@@ -57,34 +57,45 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Lines, their 32-bit hashes and chunks, as content-defined cuts make them.
+# Lines, their 32-bit hashes and chunks of two or three lines, as minima of rolling hashes make them.
 OP3_SQL = f"""
 WITH lined AS (
-  SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text IS NOT NULL
 ), each_line AS (
-  SELECT doc_id, i, lines[i] AS line, CAST('0x' || substr(md5(lines[i]), 1, 8) AS BIGINT) AS h
-  FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM lined WHERE text IS NOT NULL)
+  SELECT doc_id, i, len(lines) AS n, CAST('0x' || substr(md5(lines[i + 1]), 1, 8) AS BIGINT) AS h
+  FROM (SELECT doc_id, lines, unnest(range(0, len(lines))) AS i FROM lined)
+), rolled AS (
+  SELECT doc_id, s, i, n, CASE WHEN i + 1 < n THEN (h * a + lead(h) OVER d * b) % {line_chunks.PRIME} ELSE {line_chunks.PRIME} END AS r
+  FROM each_line, (VALUES {", ".join(f"({s}, {a}, {b})" for s, (a, b) in enumerate(line_chunks.FACTORS))}) AS t(s, a, b)
+  WHERE n > 1 WINDOW d AS (PARTITION BY doc_id, s ORDER BY i)
 ), cut AS (
-  SELECT *, CASE WHEN i > 1 AND (coalesce(lag(h, 2) OVER d, 0) * {line_chunks.FACTOR} + lag(h, 1) OVER d)
-                 % {line_chunks.PRIME} % {line_chunks.DIVISOR} = 0 THEN 1 ELSE 0 END AS start
-  FROM each_line WINDOW d AS (PARTITION BY doc_id ORDER BY i)
+  SELECT *, CASE WHEN i BETWEEN 2 AND n - 2 AND r < lag(r) OVER d AND r <= lead(r) OVER d THEN 1 ELSE 0 END AS start
+  FROM rolled WINDOW d AS (PARTITION BY doc_id, s ORDER BY i)
 ), numbered AS (
-  SELECT *, sum(start) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM cut
+  SELECT *, sum(start) OVER (PARTITION BY doc_id, s ORDER BY i) AS stretch FROM cut
+), parted AS (
+  SELECT *, least((i - min(i) OVER g) // 2, count(*) OVER g // 2 - 1) AS part FROM numbered WINDOW g AS (PARTITION BY doc_id, s, stretch)
 ), chunks AS (
-  SELECT doc_id, chunk, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY doc_id, chunk
-), judged AS (
-  SELECT *, n >= {line_chunks.LEAST_LINES}
-            AND row_number() OVER (PARTITION BY body, n >= {line_chunks.LEAST_LINES} ORDER BY doc_id, chunk) > 1 AS gone
-  FROM chunks
-), kept AS (
-  SELECT doc_id, count(*) AS n_chunks, sum(n) AS n_lines, sum(CASE WHEN gone THEN n ELSE 0 END) AS lines_removed,
-         coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone), '') AS kept_text
-  FROM judged GROUP BY doc_id
+  SELECT DISTINCT doc_id, first, size, lines, array_to_string(lines[first + 1 : first + size], chr(10)) AS body
+  FROM (SELECT doc_id, min(i) AS first, count(*) AS size FROM parted GROUP BY doc_id, s, stretch, part) JOIN lined USING (doc_id)
+), firsts AS (
+  SELECT body, doc_id AS low_id, first AS low, lines AS low_lines FROM chunks
+  QUALIFY row_number() OVER (PARTITION BY body ORDER BY doc_id, first) = 1
+), met AS (
+  SELECT *, first + size AS stop, low + size AS low_stop FROM chunks JOIN firsts USING (body) WHERE (doc_id, first) > (low_id, low)
+), grown AS (
+  SELECT doc_id, first - coalesce(list_position([first >= k AND low >= k AND lines[first - k + 1] = low_lines[low - k + 1] FOR k IN {list(range(1, line_chunks.REACH + 1))}], FALSE) - 1, {line_chunks.REACH}) AS start,
+         stop + coalesce(list_position([coalesce(lines[stop + k] = low_lines[low_stop + k], FALSE) FOR k IN {list(range(1, line_chunks.REACH + 1))}], FALSE) - 1, {line_chunks.REACH}) AS stop
+  FROM met
+), gone AS (
+  SELECT doc_id, list(DISTINCT i) AS gone FROM (SELECT doc_id, unnest(range(start, stop)) AS i FROM grown) GROUP BY doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n_chunks FROM chunks GROUP BY doc_id
 )
-SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks,
-       CAST(coalesce(lines_removed, 0) AS BIGINT) AS lines_removed,
-       CASE WHEN d.text IS NOT NULL THEN sha256(k.kept_text) END AS kept_sha256
-FROM documents d LEFT JOIN kept k USING (doc_id)
+SELECT d.doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks,
+       CAST(coalesce(len(gone), 0) AS BIGINT) AS lines_removed,
+       sha256(array_to_string(list_filter(lines, (x, i) -> NOT list_contains(coalesce(gone, []), i - 1)), chr(10))) AS kept_sha256
+FROM documents d LEFT JOIN lined USING (doc_id) LEFT JOIN gone USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
 
 

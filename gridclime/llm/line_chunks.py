@@ -1,15 +1,26 @@
 """Line dedup by content-defined chunks of lines.
 
-A text is cut at line feeds. Each line has a hash; a rolling hash over the
-hashes of a line and the line before it decides whether a chunk ends there, so
-the cuts move with the content and a passage is cut alike wherever it stands.
-Chunks of two lines or more that occur anywhere else in the corpus are removed,
-but for their first occurrence (smallest id, then position). Hashes only find
-the candidates; a chunk is removed after its text was compared.
-
-NULL texts stay NULL and have no lines; an empty text is one empty line. Rows
-that share id and text are one document and share their fate; a NULL id comes
-first. A text whose lines all go becomes empty. Only built-in functions.
+A text is cut at line feeds and each line hashed. A rolling hash over two line
+hashes stands at every line, and a line begins a chunk where it is a local
+minimum, so cuts move with the content and a passage is cut alike wherever it
+stands. Two minima are never neighbours, and the first and last line never stand
+alone; longer stretches are cut into twos, the last being a three, so every
+chunk has two or three lines. This is done with each of ``FACTORS``: a short
+passage that one cutting misses is met by another.
+
+A chunk that stands at an earlier place anywhere in the corpus is removed (places go by
+id, then line; the first place stays), after its text was compared: hashes only
+find the candidates. Around a removed chunk the match grows, line by line and
+compared as text, over up to ``REACH`` lines on either side that equal those
+around the first place; a longer passage has further chunks there. A removed
+line therefore always has its equal at an earlier place.
+
+NULL texts stay NULL and have no lines; an empty text is one empty line. A text
+of one line is never removed. Rows that share id and text are one document and share
+their fate; a NULL id comes first; of rows that share an id only, the smaller
+hash of the text does. A text whose lines all go becomes empty. Texts of any length are
+cut whole. Other columns, of whatever names, stay in `row`. An empty table
+gives no rows. Only built-in functions.
 """
 
 from __future__ import annotations
@@ -19,11 +30,11 @@ from pyspark.sql import functions as F
 
 from gridclime.llm.common import id_key, stage, text_key
 
-#: One line end in so many is a cut.
-DIVISOR = 3
-#: A prime and a multiplier of the rolling hash; line hashes have 32 bits.
-PRIME, FACTOR = 2_147_483_647, 31
-LEAST_LINES = 2
+#: A prime, and per cutting the multipliers of the two line hashes in the rolling hash; line hashes have 32 bits.
+PRIME = 2_147_483_647
+FACTORS = ((31, 1), (1009, 77), (65_537, 12_345))
+#: Lines on either side of a chunk that a match can grow over.
+REACH = 3
 
 
 def lines_of(text: str = "text") -> Column:
@@ -34,90 +45,120 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def chunks_of(lines: Column, divisor: int = DIVISOR) -> Column:
-    """array<struct<chunk, first, lines>>: number, first line (from 0) and length of each chunk.
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once; named in place, an array would be computed again for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    Arrays are bound to names by a transform over one element; named in place,
-    they would be computed again for every line.
-    """
 
-    def bound(value: Column, body) -> Column:
-        return F.element_at(F.transform(F.array(value), body), 1)
+def starts_of(hashes: Column, one: int, two: int) -> Column:
+    """First lines (from 0) of the chunks of one cutting, from line hashes."""
+    n = F.size(hashes)
+    value = lambda i: F.when(i + 1 < n, (hashes[i] * one + hashes[i + 1] * two) % PRIME).otherwise(F.lit(PRIME))
 
-    def starts(a: Column) -> Column:
-        hashes = a.getField("hashes")
-        before = lambda i: F.when(i >= 2, hashes[i - 2]).otherwise(F.lit(0))
-        rolling = lambda i: (before(i) * FACTOR + hashes[i - 1]) % PRIME
-        is_start = lambda i: (i == 0) | F.when(i > 0, rolling(i) % divisor == 0).otherwise(False)
-        return F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), is_start)
+    def cuts(rolling: Column) -> Column:
+        least = lambda i: (rolling[i] < rolling[i - 1]) & (rolling[i] <= rolling[i + 1])
+        return F.when(n >= 4, F.filter(F.sequence(F.lit(2), n - 2), least)).otherwise(F.array().cast("array<int>"))
 
-    def spans(b: Column) -> Column:
-        at, n = b.getField("starts"), b.getField("n")
-        end = lambda k: F.when(k + 1 < F.size(at), at[k + 1]).otherwise(n)
-        return F.transform(at, lambda s, k: F.struct(k.alias("chunk"), s.alias("first"), (end(k) - s).alias("lines")))
+    def chunks(bounds: Column) -> Column:
+        def parts(k: Column) -> Column:
+            size = bounds[k + 1] - bounds[k]
+            return F.transform(F.sequence(F.lit(0), F.floor(size / 2).cast("int") - 1), lambda j: bounds[k] + 2 * j)
 
-    return bound(
-        F.struct(F.transform(lines, line_hash).alias("hashes")),
-        lambda a: bound(F.struct(starts(a).alias("starts"), F.size(a.getField("hashes")).alias("n")), spans),
-    )
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(bounds) - 2), parts))
 
+    rolling = F.transform(F.sequence(F.lit(0), n - 1), value)
+    bounds = F.concat(F.array(F.lit(0)), bound(rolling, cuts), F.array(n))
+    return F.when(n >= 2, bound(bounds, chunks)).otherwise(F.array().cast("array<int>"))
+
+
+def spans_of(lines: Column) -> Column:
+    """array<struct<first, size>>: the chunks of all cuttings, each span once."""
+
+    def of(hashes: Column) -> Column:
+        n = F.size(hashes)
+
+        def spans(starts: Column) -> Column:
+            end = lambda k: F.when(k + 1 < F.size(starts), starts[k + 1]).otherwise(n)
+            return F.transform(starts, lambda s, k: F.struct(s.alias("first"), (end(k) - s).alias("size")))
+
+        return F.array_distinct(F.concat(*[bound(starts_of(hashes, a, b), spans) for a, b in FACTORS]))
+
+    return bound(F.transform(lines, line_hash), of)
 
-def _chunk_rows(docs: DataFrame, divisor: int) -> DataFrame:
-    """(id, text_key, chunk, text, hash) of all chunks that have the least number of lines."""
-    lined = docs.where("text IS NOT NULL").select(id_key().alias("id"), text_key().alias("text_key"), lines_of().alias("all_lines"))
-    bound = F.transform(
-        F.array(F.struct("all_lines")),
-        lambda a: F.transform(
-            F.filter(chunks_of(a.getField("all_lines"), divisor), lambda c: c.getField("lines") >= LEAST_LINES),
-            lambda c: F.struct(
-                c.getField("chunk").alias("chunk"),
-                F.array_join(F.slice(a.getField("all_lines"), c.getField("first") + 1, c.getField("lines")), "\n").alias("text"),
-            ),
-        ),
-    )
-    rows = lined.select("id", "text_key", F.explode(F.element_at(bound, 1)).alias("c"))
-    return rows.select("id", "text_key", F.col("c.chunk").alias("chunk"), F.col("c.text").alias("text")).withColumn("hash", F.xxhash64("text"))
 
+def _chunk_rows(docs: DataFrame) -> DataFrame:
+    """(id, text_key, first, size, text, before, after, hash) of all chunks; lines before a chunk are listed from it backwards."""
+    lined = docs.where("text IS NOT NULL").select(id_key().alias("id"), text_key().alias("text_key"), lines_of().alias("all_lines")).where("size(all_lines) > 1")
+
+    def chunk(lines: Column, span: Column) -> Column:
+        first, size = span.getField("first"), span.getField("size")
+        near = F.least(first, F.lit(REACH))
+        return F.struct(
+            first.alias("first"),
+            size.alias("size"),
+            F.array_join(F.slice(lines, first + 1, size), "\n").alias("text"),
+            F.reverse(F.slice(lines, first - near + 1, near)).alias("before"),
+            F.slice(lines, first + size + 1, F.lit(REACH)).alias("after"),
+        )
+
+    made = bound(F.struct("all_lines"), lambda a: F.transform(spans_of(a.getField("all_lines")), lambda c: chunk(a.getField("all_lines"), c)))
+    rows = lined.select("id", "text_key", F.explode(made).alias("c"))
+    return rows.select("id", "text_key", "c.*").withColumn("hash", F.xxhash64("text"))
+
+
+def _grown(mine: str, theirs: str) -> Column:
+    """How many lines are equal from the chunk on."""
+    same = [F.coalesce(F.get(mine, F.lit(i)) == F.get(theirs, F.lit(i)), F.lit(False)) for i in range(REACH)]
+    out = F.lit(0)
+    for own in reversed(same):
+        out = F.when(own, out + 1).otherwise(F.lit(0))
+    return out
 
-def removed_chunks(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """(id, text_key, chunk) of every chunk that repeats an earlier one.
+
+def removed_spans(docs: DataFrame) -> DataFrame:
+    """(id, text_key, start, stop) of every run of lines that stands at an earlier place.
 
     Hashes that occur at two places or more are few; only chunks with such a
     hash are compared. Counting combines before the shuffle, and the joins are
     sorted merges at every size, whose hot keys Spark splits.
     """
-    rows = _chunk_rows(docs, divisor)
-    place = F.struct("id", "text_key", "chunk")
+    place = F.struct("id", "text_key", "first")
+    rows = _chunk_rows(docs)
     found = rows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash")
     suspects = stage(rows.join(stage(found).hint("merge"), "hash"))
-    firsts = stage(suspects.groupBy("hash", "text").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high"))
-    return suspects.join(firsts.hint("merge"), ["hash", "text"]).where(place > F.col("low")).select("id", "text_key", "chunk").distinct()
-
-
-def dedup_lines(docs: DataFrame, divisor: int = DIVISOR) -> DataFrame:
-    """All columns of ``docs`` in `row`, and n_lines, n_chunks, removed (chunk numbers), lines_removed, kept_text."""
-    gone = stage(removed_chunks(docs, divisor).groupBy("id", "text_key").agg(F.sort_array(F.collect_set("chunk")).alias("removed")))
+    chunk = ["hash", "text"]
+    # The first place, then what stands around it: of one row a text, so that long lines are not carried along.
+    lows = suspects.groupBy(*chunk).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select(*chunk, "low")
+    around = suspects.select(*chunk, place.alias("low"), F.col("before").alias("low_before"), F.col("after").alias("low_after"))
+    lows = stage(lows.join(around, [*chunk, "low"]).dropDuplicates([*chunk, "low"]))
+    met = suspects.join(lows.hint("merge"), chunk).where(place > F.col("low"))
+    start = F.col("first") - _grown("before", "low_before")
+    stop = F.col("first") + F.col("size") + _grown("after", "low_after")
+    return met.select("id", "text_key", start.alias("start"), stop.alias("stop"))
+
+
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` in `row`, and n_lines, n_chunks, removed (numbers of lines from 0), lines_removed, kept_text."""
+    spans = removed_spans(docs).groupBy("id", "text_key").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    gone = F.flatten(F.transform("spans", lambda s: F.sequence(s.getField("start"), s.getField("stop") - 1)))
+    gone = stage(spans.select("id", "text_key", F.array_sort(F.array_distinct(gone)).alias("removed")))
     rows = docs.select(F.struct("*").alias("row"), id_key().alias("id"), text_key().alias("text_key"))
     joined = rows.join(gone.hint("merge"), ["id", "text_key"], "left").select("row", "id", "removed")
 
     def kept(a: Column) -> Column:
         lines, removed = a.getField("lines"), a.getField("removed")
-        stay = F.filter(chunks_of(lines, divisor), lambda c: ~F.array_contains(removed, c.getField("chunk")))
-        text = F.array_join(F.flatten(F.transform(stay, lambda c: F.slice(lines, c.getField("first") + 1, c.getField("lines")))), "\n")
-        count = F.aggregate(stay, F.lit(0), lambda n, c: n + c.getField("lines"))
-        return F.struct(F.size(lines).alias("n_lines"), (F.size(stay) + F.size(removed)).alias("n_chunks"), count.alias("n_kept"), text.alias("text"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+        text = F.array_join(F.transform(stay, lambda i: lines[i]), "\n")
+        return F.struct(F.size(lines).alias("n_lines"), F.size(spans_of(lines)).alias("n_chunks"), text.alias("text"))
 
     none = F.array().cast("array<int>")
     inputs = F.struct(lines_of("row.text").alias("lines"), F.coalesce("removed", none).alias("removed"))
-    result = F.when(F.col("row.text").isNotNull(), F.element_at(F.transform(F.array(inputs), kept), 1))
-    return (
-        joined.withColumn("result", result)
-        .select(
-            "row",
-            F.coalesce("result.n_lines", F.lit(0)).alias("n_lines"),
-            F.coalesce("result.n_chunks", F.lit(0)).alias("n_chunks"),
-            F.coalesce("removed", none).alias("removed"),
-            F.coalesce(F.col("result.n_lines") - F.col("result.n_kept"), F.lit(0)).alias("lines_removed"),
-            F.col("result.text").alias("kept_text"),
-        )
+    result = F.when(F.col("row.text").isNotNull(), bound(inputs, kept))
+    return joined.withColumn("result", result).select(
+        "row",
+        F.coalesce("result.n_lines", F.lit(0)).alias("n_lines"),
+        F.coalesce("result.n_chunks", F.lit(0)).alias("n_chunks"),
+        F.coalesce("removed", none).alias("removed"),
+        F.coalesce(F.size("removed"), F.lit(0)).alias("lines_removed"),
+        F.col("result.text").alias("kept_text"),
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from gridclime.llm import (
+    catalog,
     components,
     exact_mph,
     fair_mix,
@@ -163,39 +164,77 @@ def test_quality_without_labels(spark, docs, empty):
 # ------------------------------------------------------------------ 3
 
 
-def chunked(text):
-    lines = text.split("\n")
+def spans_by_hand(lines):
+    """(first, size) of the chunks of every cutting."""
     hashes = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in lines]
-    out = []
-    for i, line in enumerate(lines):
-        back = hashes[i - 2] if i >= 2 else 0
-        if i == 0 or (back * line_chunks.FACTOR + hashes[i - 1]) % line_chunks.PRIME % line_chunks.DIVISOR == 0:
-            out.append([])
-        out[-1].append(line)
+    n, out = len(lines), set()
+    for one, two in line_chunks.FACTORS if n > 1 else ():
+        rolling = [(hashes[i] * one + hashes[i + 1] * two) % line_chunks.PRIME for i in range(n - 1)] + [line_chunks.PRIME]
+        bounds = [0, *[i for i in range(2, n - 1) if rolling[i - 1] > rolling[i] <= rolling[i + 1]], n]
+        for a, b in zip(bounds, bounds[1:]):
+            starts = list(range(a, b - 1, 2))
+            out |= {(s, t - s) for s, t in zip(starts, [*starts[1:], b])}
     return out
 
 
+def kept_by_hand(documents):
+    """For each (id, text) the number of chunks and the lines that stay; documents are in order."""
+    first, gone = {}, defaultdict(set)
+    split = [d[-1].split("\n") for d in documents]
+    places = sorted((d, s, n) for d, lines in enumerate(split) for s, n in spans_by_hand(lines))
+    for d, s, n in places:
+        first.setdefault("\n".join(split[d][s : s + n]), (d, s))
+    for d, s, n in places:
+        e, t = first["\n".join(split[d][s : s + n])]
+        if (e, t) == (d, s):
+            continue
+        mine, theirs = split[d], split[e]
+        left = next((k for k in range(line_chunks.REACH) if s - k < 1 or t - k < 1 or mine[s - k - 1] != theirs[t - k - 1]), line_chunks.REACH)
+        right = next((k for k in range(line_chunks.REACH) if mine[s + n + k : s + n + k + 1] != theirs[t + n + k : t + n + k + 1] or s + n + k >= len(mine)), line_chunks.REACH)
+        gone[d] |= set(range(s - left, s + n + right))
+    return [(len(spans_by_hand(lines)), [x for i, x in enumerate(lines) if i not in gone[d]]) for d, lines in enumerate(split)]
+
+
 def test_line_dedup(docs, rows, empty):
     got = Counter((r.row.doc_id, r.row.text, r.n_lines, r.n_chunks, r.lines_removed, r.kept_text) for r in line_chunks.dedup_lines(docs).collect())
-    seen, first = set(), {}
     documents = sorted({(key(r[0]), xxhash.xxh64_intdigest(r[1].encode(), 42), r[1]) for r in rows if r[1] is not None}, key=lambda d: (d[0], d[1] - (d[1] >> 63 << 64)))
-    for d in documents:
-        for k, c in enumerate(chunked(d[2])):
-            first.setdefault("\n".join(c), (d, k))
+    kept = {(d[0], d[2]): k for d, k in zip(documents, kept_by_hand(documents), strict=True)}
     want = Counter()
     for r in rows:
         if r[1] is None:
             want[(r[0], None, 0, 0, 0, None)] += 1
             continue
-        d = next(d for d in documents if d[0] == key(r[0]) and d[2] == r[1])
-        chunks = chunked(r[1])
-        stay = [c for k, c in enumerate(chunks) if len(c) < 2 or first["\n".join(c)] == (d, k)]
-        lines = sum(map(len, chunks))
-        want[(r[0], r[1], lines, len(chunks), lines - sum(map(len, stay)), "\n".join(x for c in stay for x in c))] += 1
+        chunks, stay = kept[key(r[0]), r[1]]
+        lines = r[1].count("\n") + 1
+        want[(r[0], r[1], lines, chunks, lines - len(stay), "\n".join(stay))] += 1
     assert got == want and any(k[4] for k in want)
     assert line_chunks.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_removes_planted_passages(spark):
+    """Of passages of four lines and more, at least 0.9 of the lines go, and no line beside them; copies become empty."""
+    rng = random.Random(9)
+    line = lambda: f"line {rng.getrandbits(64)}"
+    rows, planted, alone = [], {}, {}
+    for length in (4, 5, 6, 8, 10, 40):
+        for _ in range(30):
+            passage = [line() for _ in range(length)]
+            for _ in range(2):
+                head, tail = ([line() for _ in range(rng.randrange(1, 12))] for _ in range(2))
+                alone[len(rows)] = head + tail
+                rows.append((len(rows), "\n".join(head + passage + tail)))
+            planted[len(rows) - 1] = passage
+    copies = {len(rows) + i: text for i, (_, text) in enumerate(rows[:40])}
+    rows += list(copies.items())
+    rows.append((len(rows), "a text\nof lines that\nstand nowhere else\n" + line()))
+    got = {r.row.doc_id: r.kept_text.split("\n") for r in line_chunks.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    left = sum(len(set(got[d]) & set(p)) for d, p in planted.items())
+    assert left <= 0.1 * sum(map(len, planted.values()))
+    assert all(set(lines) <= set(got[d]) for d, lines in alone.items())
+    assert all(got[d] == [""] for d in copies)
+    assert got[len(rows) - 1] == rows[-1][1].split("\n")
+
+
 def test_repeated_lines(docs, rows, empty):
     got = Counter((r.row.doc_id, r.row.text, r.n_lines, r.lines_removed, r.kept_text) for r in line_runs.dedup_runs(docs).collect())
     seen, kept = set(), {}
@@ -258,27 +297,60 @@ def test_windows_that_straddle_factors(spark):
 def test_tokens_equal_the_library():
     coder = training_order.Tokens(open(training_order.RANKS, "rb").read())
     rng = random.Random(3)
+    odd = "\x1c\x1f\x85\xa0\u1680\u2000\u200a\u2028\u2029\u202f\u205f\u3000«“→ㅤ"
     texts = ["".join(rng.choice("ab cd  \n\t.,'s\xa0é中😀01|# \x1c\r") for _ in range(rng.randrange(50))) for _ in range(500)] + ["", " "]
+    texts += ["".join(rng.choice("ab  c" + c) for _ in range(20)) for c in odd for _ in range(8)] + [c for c in odd]
     data, ends = text_bytes(pa.array(texts))
     ids, bounds = coder.encode(data, ends)
-    assert [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(texts))] == [coder.coder.encode_ordinary(t) for t in texts]
+    want = [coder.coder.encode_ordinary(t) for t in texts]
+    assert [ids[bounds[i] : bounds[i + 1]].tolist() for i in range(len(texts))] == want
+    coder.memory.most = 300  # drops what it holds again and again
+    for at in range(0, len(texts), 25):
+        data, ends = text_bytes(pa.array(texts[at : at + 25]))
+        ids, bounds = coder.encode(data, ends)
+        assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want[at : at + 25]
 
 
 def test_shards_hold_every_token_once(spark, docs, rows, empty, tmp_path):
     path = str(tmp_path / "shards")
     index = {r.slot: r for r in training_order.write_shards(docs, path, length=64, records=16).collect()}
-    stored = {r.slot: r for r in training_order.read_shards(spark, path, length=64, records=16).collect()}
+    stored = {r.slot: r for r in training_order.read_shards(spark, path).collect()}
     assert sorted(index) == sorted(stored) == list(range(len(index)))
     coder = training_order.Tokens(open(training_order.RANKS, "rb").read())
     want = Counter(t for r in rows for t in [*coder.coder.encode_ordinary(r[1] or ""), coder.end])
     got = Counter(t for s, r in stored.items() for t in np.frombuffer(r.tokens, "<u2")[: index[s].n_tokens].tolist())
     assert got == want
     for r in index.values():
-        name = next((tmp_path / "shards").glob(f"*/shard={r.shard}/part-*"))
+        name = next((tmp_path / "shards").glob(f"shards/*/shard={r.shard}/part-*"))
         assert name.read_bytes()[r.byte_offset :][:128] == bytes(stored[r.slot].tokens) and r.byte_offset == r.record * 129
     again = {r.slot: r.doc_ids for r in training_order.write_shards(docs.repartition(3), str(tmp_path / "b"), length=64, records=16).collect()}
     assert again == {s: r.doc_ids for s, r in index.items()}
+    for slot in (0, 5, 16, len(index) - 1):
+        read = list(training_order.read_from(spark, path, slot, ahead=3))
+        assert [s for s, _ in read] == list(range(slot, len(index)))
+        assert all(t.tobytes() == bytes(stored[s].tokens) for s, t in read)
     assert training_order.write_shards(empty, str(tmp_path / "none")).count() == 0
+    assert training_order.read_shards(spark, str(tmp_path / "none")).count() == 0
+    assert list(training_order.read_from(spark, str(tmp_path / "none"))) == []
+
+
+def test_shards_of_other_sequences_are_refused(spark, docs, tmp_path):
+    path = str(tmp_path / "shards")
+    write = lambda rows, **how: training_order.write_shards(rows, path, **({"length": 64, "records": 16} | how)).count()
+    n = write(docs, key=1)
+    files = sorted((f, f.stat().st_mtime_ns) for f in (tmp_path / "shards").rglob("part-*"))
+    assert write(docs.repartition(2), key=1) == n  # the same: nothing is written again
+    assert sorted((f, f.stat().st_mtime_ns) for f in (tmp_path / "shards").rglob("part-*")) == files
+    for rows, how in ((docs, {"key": 2}), (docs, {"key": 1, "records": 8}), (docs.where("doc_id > 9"), {"key": 1})):
+        with pytest.raises(ValueError, match="other shards"):
+            write(rows, **how)
+
+
+def test_queries_of_empty_tables(spark, empty, tmp_path):
+    empty.select("doc_id", "text", "lang", "source", "n_chars").write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("op3_line_dedup", "op5_training_order", "op13_lexical_search"):
+        spark.createDataFrame([(1, "a b")], "item_id long, text string").write.mode("overwrite").parquet(str(tmp_path / "benchmark.parquet"))
+        assert catalog.QUERIES[name](spark, str(tmp_path)).count() == 0
 
 
 # ------------------------------------------------------------------ 6
