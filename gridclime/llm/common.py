@@ -153,38 +153,63 @@ def gram_hashes(words: np.ndarray, n: int, salt: int = 0) -> np.ndarray:
 
 
 class Memory:
-    """Codes of byte strings seen before, bounded; it saves work and has no influence on results."""
-
-    def __init__(self, most: int = 300_000, longest: int = 24):
-        self.most, self.longest, self.known = most, longest, {}
-
-    def codes(self, strings: list[bytes], missing) -> list[bytes]:
-        """``missing`` gives the codes of a list of strings that are not known."""
-        out = [self.known.get(s) for s in strings]
-        new = [k for k, c in enumerate(out) if c is None]
-        if new:
-            if len(self.known) + len(new) > self.most:
-                self.known.clear()
-            for k, code in zip(new, missing([strings[k] for k in new]), strict=True):
-                out[k] = code
-                if len(strings[k]) <= self.longest:
-                    self.known[strings[k]] = code
-        return out
-
-
-def encode_segments(joined: bytes, starts: np.ndarray, memory: Memory, missing, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of segments seen before, by their 64-bit hashes, in packed arrays; bounded, and without influence on results.
+
+    Hashes are sorted, and next to each lies where its codes begin in one pool and
+    how many they are. Only segments of at most ``longest`` bytes are kept. When
+    ``most`` segments are held, or their codes fill the pool, all are dropped.
+    """
+
+    def __init__(self, kind: type, most: int = 1_000_000, longest: int = 24):
+        self.kind, self.most, self.longest = np.dtype(kind), most, longest
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes, self.begins, self.widths = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, -1 if it is not held."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def add(self, hashes: np.ndarray, codes: np.ndarray, widths: np.ndarray, keep: np.ndarray) -> np.ndarray:
+        """Put codes that lie end to end into the pool, and say where each begins; those to ``keep`` are found later (hashes ascend)."""
+        if self.used + len(codes) > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(len(self.pool), len(codes)), self.kind)])
+        begins = self.used + np.cumsum(widths) - widths
+        self.pool[self.used : self.used + len(codes)] = codes
+        self.used += len(codes)
+        at = np.searchsorted(self.hashes, hashes[keep])
+        self.hashes = np.insert(self.hashes, at, hashes[keep])
+        self.begins = np.insert(self.begins, at, begins[keep])
+        self.widths = np.insert(self.widths, at, widths[keep])
+        return begins
+
+
+def encode_segments(joined: bytes, starts: np.ndarray, memory: Memory, missing) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the segments of a byte string that begin at ``starts``, end to end, and the running number of codes.
 
-    Each distinct segment is coded once.
+    Each distinct segment is coded once; ``missing`` gives the packed codes of a
+    list of segments that are not in memory.
     """
     flat = np.frombuffer(joined, dtype=np.uint8)
     stops = np.append(starts[1:], len(flat))
-    _, first, which = np.unique(span_hashes(flat, starts, stops), return_index=True, return_inverse=True)
-    coded = memory.codes([joined[a:b] for a, b in zip(starts[first].tolist(), stops[first].tolist(), strict=True)], missing)
-    size = np.dtype(kind).itemsize
-    widths = np.array([len(c) // size for c in coded], dtype=np.int64)
-    pool = np.frombuffer(b"".join(coded), dtype=kind)
-    offset = np.cumsum(widths) - widths
+    hashes, first, which = np.unique(span_hashes(flat, starts, stops), return_index=True, return_inverse=True)
+    if len(memory.hashes) + len(hashes) > memory.most or memory.used > 16 * memory.most:
+        memory.clear()
+    at = memory.find(hashes)
+    new = np.flatnonzero(at < 0)
+    begins, widths = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+    old = np.flatnonzero(at >= 0)
+    begins[old], widths[old] = memory.begins[at[old]], memory.widths[at[old]]
+    if len(new):
+        a, b = starts[first[new]], stops[first[new]]
+        coded = missing([joined[i:j] for i, j in zip(a.tolist(), b.tolist(), strict=True)])
+        widths[new] = np.fromiter(map(len, coded), np.int64, len(coded)) // memory.kind.itemsize
+        begins[new] = memory.add(hashes[new], np.frombuffer(b"".join(coded), dtype=memory.kind), widths[new], b - a <= memory.longest)
     count = widths[which]
     running = np.concatenate([[0], np.cumsum(count)])
-    return pool[np.arange(running[-1]) + np.repeat(offset[which] - running[:-1], count)], running
+    return memory.pool[np.arange(running[-1]) + np.repeat(begins[which] - running[:-1], count)], running

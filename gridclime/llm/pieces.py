@@ -67,7 +67,7 @@ class Pieces:
             self.bytes_of[i] = p.replace(MARK, " ").encode()
         for b, i in enumerate(self.byte_ids.tolist()):
             self.bytes_of[i] = bytes([b])
-        self.memory = Memory(MEMORY)
+        self.memory = Memory(np.int32, MEMORY)
 
     # Matching
 
@@ -205,7 +205,7 @@ class Pieces:
         head[1:] &= ~is_blank[:-1]
         head[text_starts[filled]] = True
         starts = np.flatnonzero(head)
-        ids, running = encode_segments(joined, starts, self.memory, self.encode_bytes, np.int32)
+        ids, running = encode_segments(joined, starts, self.memory, self.encode_bytes)
         return ids, running[np.searchsorted(starts, np.append(text_starts, len(flat)))]
 
     def encode_bytes(self, segments: list[bytes]) -> list[bytes]:

@@ -15,13 +15,14 @@ A record is the little-endian ids and one line feed, as Spark's text writer
 puts it; its committer makes files appear whole or not at all.
 
 NULL and empty texts give an end token alone. Rows that share an id follow each
-other by the hash of their texts. An empty table gives no shards.
+other by the hash of their texts. Long texts are coded whole, some at a time
+with other short ones, and go over as many sequences as they need. Other columns
+are ignored. An empty table gives a manifest, no shards, and no rows when read.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -35,16 +36,35 @@ from pyspark.sql import functions as F
 from gridclime.llm.common import Memory, encode_segments, id_key, slices, stage, text_bytes, text_key
 from gridclime.llm.feistel import Feistel
 from gridclime.llm.pieces import load
+from gridclime.sources import tables
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that splits text before the merges of the rank files.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 BUCKETS = 16_384
 LENGTH, RECORDS, PASSES = 1024, 2048, 4
-#: White space beyond ASCII; a text that has it is split as a whole.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+#: Segments whose ids a worker keeps, at some 40 bytes each.
+MEMORY = 1_500_000
 _ASCII_SPACE = np.zeros(256, dtype=bool)
 _ASCII_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_LEAD = np.zeros(256, dtype=bool)
+_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def _odd_spaces(data: np.ndarray) -> np.ndarray:
+    """Where white space begins that is none of the six usual bytes; a text that has it is split as a whole.
+
+    In UTF-8 that is 1C to 1F, C2 85, C2 A0, E1 9A 80, E2 80 80 to 8A, E2 80 A8, A9 and AF, E2 81 9F, E3 80 80.
+    """
+    low = np.flatnonzero((data >= 0x1C) & (data <= 0x1F))
+    lead = np.flatnonzero(_LEAD[data])
+    padded = np.append(data, [0, 0])
+    one, two, three = data[lead], padded[lead + 1], padded[lead + 2]
+    found = ((one == 0xC2) & ((two == 0x85) | (two == 0xA0))) | ((one == 0xE1) & (two == 0x9A) & (three == 0x80))
+    general = (two == 0x80) & ((three <= 0x8A) | (three == 0xA8) | (three == 0xA9) | (three == 0xAF))
+    found |= (one == 0xE2) & (general | ((two == 0x81) & (three == 0x9F)))
+    found |= (one == 0xE3) & (two == 0x80) & (three == 0x80)
+    return np.concatenate([low, lead[found]])
 
 
 class Tokens:
@@ -57,7 +77,7 @@ class Tokens:
         self.widths = np.zeros(self.end, dtype=np.int64)
         self.widths[list(table.values())] = [len(k) for k in table]
         self.kind = np.dtype("<u2") if self.end < 2**16 else np.dtype("<u4")
-        self.memory = Memory(100_000)
+        self.memory = Memory(self.kind, MEMORY)
 
     def _missing(self, segments: list[bytes]) -> list[bytes]:
         """Ids of segments. Those of one blank and a word are coded together: the pattern cuts before each blank."""
@@ -86,11 +106,11 @@ class Tokens:
         space = _ASCII_SPACE[data]
         head = space.copy()
         head[1:] &= ~space[:-1]
-        for k in np.flatnonzero([_ODD_SPACE.search(joined[a:b].decode("utf-8", "replace")) is not None for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]):
+        for k in np.unique(np.searchsorted(ends, _odd_spaces(data), side="right") - 1).tolist():
             head[ends[k] : ends[k + 1]] = False
         head[ends[:-1][np.diff(ends) > 0]] = True
         starts = np.flatnonzero(head)
-        ids, running = encode_segments(joined, starts, self.memory, self._missing, self.kind)
+        ids, running = encode_segments(joined, starts, self.memory, self._missing)
         return ids, running[np.searchsorted(starts, ends)]
 
 
@@ -161,40 +181,67 @@ def sequences(docs: DataFrame, ranks: str = RANKS, length: int = LENGTH, buckets
     return dealt.mapInArrow(work, schema)
 
 
-def slotted(cut: DataFrame, key: int) -> tuple[DataFrame, int]:
-    """The sequences with their global ``slot``, and how many there are."""
+def slotted(cut: DataFrame, total: int, key: int) -> DataFrame:
+    """The sequences, of which there are ``total``, with their global ``slot``."""
     counts = cut.groupBy("bucket").agg(F.count("*").alias("n"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    total = cut.count()
 
     @F.pandas_udf("long")
     def slot(number: pd.Series) -> pd.Series:
         return pd.Series(Feistel(total, key).permute(number.to_numpy(np.int64)))
 
     numbered = cut.join(F.broadcast(offsets), "bucket")  # as many rows as buckets, which is a parameter
-    return numbered.withColumn("slot", slot(F.col("before") + F.col("at"))).drop("before"), total
+    return numbered.withColumn("slot", slot(F.col("before") + F.col("at"))).drop("before")
+
+
+def _manifest(cut: DataFrame, key: int, length: int, records: int, ranks: bytes) -> dict:
+    """What the shards of these sequences depend on."""
+    row = F.xxhash64("bucket", "at", "n_tokens", "tokens", F.array_join(F.transform("doc_ids", lambda d: F.coalesce(d.cast("string"), F.lit("null"))), ","))
+    found = cut.agg(F.count("*").alias("sequences"), F.coalesce(F.bit_xor(row), F.lit(0)).alias("checksum")).first()
+    coder = held(ranks)
+    return {
+        "key": key, "length": length, "records": records, "sequences": found["sequences"], "checksum": found["checksum"],
+        "width": coder.kind.itemsize, "end": coder.end, "ranks": zlib.crc32(ranks),
+    }
+
+
+def _exists(spark, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def manifest(spark, path: str) -> dict:
+    return tables.read_metadata(spark, f"{path}/manifest")
 
 
 def write_shards(
     docs: DataFrame, path: str, key: int = 20261, ranks: str = RANKS, length: int = LENGTH, records: int = RECORDS, passes: int = PASSES
 ) -> DataFrame:
-    """Write the shards under ``path`` as shard=<number>/part-*.txt and return the index of their records.
+    """Write the shards under ``path`` and return the index of their records.
 
-    The index: slot, shard, record, byte_offset, doc_ids, n_tokens.
+    The index: slot, shard, record, byte_offset, doc_ids, n_tokens. A folder that
+    holds shards of other sequences, or under another key or layout, is refused.
     """
     spark = docs.sparkSession
-    cut, total = slotted(stage(sequences(docs, ranks, length)), key)
+    coded = stage(sequences(docs, ranks, length))
     shipped = load(spark, ranks)
-    size = held(shipped).kind.itemsize
-    fill = F.lit(np.array([held(shipped).end], dtype=held(shipped).kind).tobytes())
-    cut = cut.withColumn("shard", F.floor(F.col("slot") / records).cast("int"))
+    wanted = _manifest(coded, key, length, records, shipped)
+    if _exists(spark, f"{path}/manifest/_SUCCESS"):
+        there = manifest(spark, path)
+        if there != wanted:
+            raise ValueError(f"{path} holds other shards: " + ", ".join(f"{k} {there.get(k)} there, {v} now" for k, v in wanted.items() if there.get(k) != v))
+    else:
+        tables.write_metadata(spark, wanted, f"{path}/manifest")
+    total, size = wanted["sequences"], wanted["width"]
+    cut = slotted(coded, total, key).withColumn("shard", F.floor(F.col("slot") / records).cast("int"))
+    fill = F.lit(np.array([wanted["end"]], dtype=held(shipped).kind).tobytes())
     shards = -(-total // records)
     step = max(1, -(-shards // passes))
     for first in range(0, shards, step):
         last = min(shards, first + step)
-        target = f"{path}/from={first}"
-        if _written(spark, target):
+        target = f"{path}/shards/from={first}"
+        if _exists(spark, f"{target}/_SUCCESS"):
             continue
         padded = F.concat("tokens", F.unhex(F.repeat(F.hex(fill), F.lit(length) - F.col("n_tokens"))))
         (
@@ -211,15 +258,14 @@ def write_shards(
     return cut.select("slot", "shard", record.alias("record"), (record * (length * size + 1)).cast("long").alias("byte_offset"), "doc_ids", "n_tokens")
 
 
-def _written(spark, path: str) -> bool:
-    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
-
-
-def read_shards(spark, path: str, length: int = LENGTH, records: int = RECORDS, kind: str = "<u2", tokens: bool = True) -> DataFrame:
+def read_shards(spark, path: str, tokens: bool = True) -> DataFrame:
     """(slot, tokens_crc32 and, if wanted, tokens) of the records in all shards, in order within a shard."""
-    width = length * np.dtype(kind).itemsize
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
+    layout = manifest(spark, path)
+    width, records = layout["length"] * layout["width"], layout["records"]
+    schema = "slot long, tokens_crc32 long" + ", tokens binary" * tokens
+    if not layout["sequences"]:
+        return spark.createDataFrame([], schema)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(f"{path}/shards")
     shard = F.regexp_extract("path", r"shard=(\d+)/", 1).cast("int")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,4 +280,30 @@ def read_shards(spark, path: str, length: int = LENGTH, records: int = RECORDS,
                 yield pa.RecordBatch.from_pydict(columns)
 
     # A file, of `records` records, is one row; it is cut up in the task that reads it.
-    return files.select(shard.alias("shard"), "content").mapInArrow(work, "slot long, tokens_crc32 long" + ", tokens binary" * tokens)
+    return files.select(shard.alias("shard"), "content").mapInArrow(work, schema)
+
+
+def read_from(spark, path: str, slot: int = 0, ahead: int = 64) -> Iterator[tuple[int, np.ndarray]]:
+    """(slot, ids) of all records from a slot on, one after the other; ``ahead`` records are held at a time.
+
+    The reader opens the slot's shard and seeks to the record, so a stopped
+    training goes on where it was without reading what came before.
+    """
+    layout = manifest(spark, path)
+    stride = layout["length"] * layout["width"] + 1
+    kind = "<u2" if layout["width"] == 2 else "<u4"
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    while slot < layout["sequences"]:
+        shard, record = divmod(slot, layout["records"])
+        (found,) = files.globStatus(context._jvm.org.apache.hadoop.fs.Path(f"{path}/shards/from=*/shard={shard}/part-*"))
+        stream = files.open(found.getPath())
+        try:
+            stream.seek(record * stride)
+            while data := bytes(stream.readNBytes(ahead * stride)):
+                for at in range(0, len(data), stride):
+                    yield slot, np.frombuffer(data[at : at + stride - 1], dtype=kind)
+                    slot += 1
+        finally:
+            stream.close()
