@@ -3,9 +3,11 @@
 Each stage takes all rows that the one before it kept and returns the columns
 of ``documents``; the last one returns the pieces of each text.
 
-Repeated runs of lines go at the end of the first stage. The line dedup after it
-judges chunks and would leave stray lines of a copy, which no later stage can
-link to the original.
+NULL and empty texts are scored like others; a text whose lines all went is
+empty, and of the empty ones, which are near copies of each other, one row
+stays. Rows that share an id are rows of their own. Long texts go through whole.
+An empty table gives no rows. Of columns beyond those of ``documents``, all but
+the last stage keep them.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclime.llm import fair_mix, line_chunks, line_runs, pieces, quality, simhash
+from gridclime.llm import fair_mix, line_chunks, pieces, quality, simhash
 from gridclime.llm.common import stage
 
 #: A classifier and a model tokeniser have no SQL; the stages are held against brute force in the tests.
@@ -27,15 +29,14 @@ def replaced(found: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated probability of good quality is under the threshold go; of the others, repeated runs of lines."""
+    """Documents whose calibrated probability of good quality is under the threshold go."""
     vectors, network = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     packed = docs.select(F.struct("*").alias("row"), "text")
-    good = stage(quality.score(packed, vectors, network).where(F.col("score") >= quality.THRESHOLD).select("row.*"))
-    return replaced(line_runs.dedup_runs(good), docs.columns)
+    return quality.score(packed, vectors, network).where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated chunks of lines go; the text and its length are what is left."""
+    """Repeated chunks of lines go, with the lines around them that repeat too; the text and its length are what is left."""
     return replaced(line_chunks.dedup_lines(docs), docs.columns)
 
 
