@@ -94,7 +94,7 @@ WITH lined AS (
 )
 SELECT d.doc_id, CAST(coalesce(len(lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks,
        CAST(coalesce(len(gone), 0) AS BIGINT) AS lines_removed,
-       sha256(array_to_string(list_filter(lines, (x, i) -> NOT list_contains(coalesce(gone, []), i - 1)), chr(10))) AS kept_sha256
+       sha256(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(gone, []), i - 1)), chr(10))) AS kept_sha256
 FROM documents d LEFT JOIN lined USING (doc_id) LEFT JOIN gone USING (doc_id) LEFT JOIN counts USING (doc_id)
 """
 
