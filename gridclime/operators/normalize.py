@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclime.registry import ALIASES, PLACE, RAW_CODES, SET_FROM_MEAN
@@ -115,9 +115,16 @@ def merge_quality(merged: DataFrame, place: Sequence[str] = PLACE) -> DataFrame:
 def agreement(
     left: DataFrame, right: DataFrame, pairs=AGREEMENT_PAIRS, place: Sequence[str] = PLACE
 ) -> DataFrame:
-    """Pearson correlation of variable pairs over all matching place-days."""
+    """Pearson correlation of variable pairs over all matching place-days; NULL if one of the two never varies."""
     both = _matched(left, rename_codes(right), "inner", place)
+
+    def correlation(a: str, b: str) -> Column:
+        known = F.col(a).isNotNull() & F.col(b).isNotNull()
+        one, two = F.when(known, F.col(a)), F.when(known, F.col(b))
+        spread = F.stddev_pop(one) * F.stddev_pop(two)
+        return F.covar_pop(one, two) / F.when(spread > 0, spread)
+
     wide = both.agg(
-        F.count(F.lit(1)).alias("pairs"), *[F.corr(a, b).alias(a) for a, b in pairs]
+        F.count(F.lit(1)).alias("pairs"), *[correlation(a, b).alias(a) for a, b in pairs]
     )
     return wide.unpivot(["pairs"], [a for a, _ in pairs], "variable", "pearson_r")

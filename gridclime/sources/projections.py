@@ -67,7 +67,7 @@ FROM ({HOURLY}) h
 SECOND_SOURCE = f"""
 SELECT {_LAT.format("o_custkey")} + 0.02E0 AS latitude, {_LON.format("o_custkey")} + 0.02E0 AS longitude,
   CAST(o_orderdate AS DATE) AS date, AVG(CAST(o_totalprice AS DOUBLE))/20000.0E0 AS temperature_2m_mean,
-  CAST(COUNT(*) AS DOUBLE)*2.5E0 AS precipitation_sum, CAST(MAX(o_orderkey) % 17 AS DOUBLE)/2.0E0 AS wind_speed_10m_mean
+  CAST(MAX(o_orderkey) % 29 AS DOUBLE)*1.5E0 AS precipitation_sum, CAST(MAX(o_orderkey) % 17 AS DOUBLE)/2.0E0 AS wind_speed_10m_mean
 FROM orders
 GROUP BY o_custkey, CAST(o_orderdate AS DATE)
 """
