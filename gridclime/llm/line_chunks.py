@@ -8,12 +8,13 @@ alone; longer stretches are cut into twos, the last being a three, so every
 chunk has two or three lines. This is done with each of ``FACTORS``: a short
 passage that one cutting misses is met by another.
 
-A chunk that stands at an earlier place anywhere in the corpus is removed (places go by
-id, then line; the first place stays), after its text was compared: hashes only
-find the candidates. Around a removed chunk the match grows, line by line and
-compared as text, over up to ``REACH`` lines on either side that equal those
-around the first place; a longer passage has further chunks there. A removed
-line therefore always has its equal at an earlier place.
+A chunk that stands at an earlier place anywhere in the corpus is removed (places
+go by id, then line; the first place stays). Hashes only find the candidates:
+chunks that follow each other here and at the first place make a run, and the
+text of a run is compared with that at the first place before it goes. Around it
+the match grows, line by line and compared as text, over up to ``REACH`` lines on
+either side; a longer passage has further chunks there. A removed line therefore
+always has its equal at an earlier place.
 
 NULL texts stay NULL and have no lines; an empty text is one empty line. A text
 of one line is never removed. Rows that share id and text are one document and share
@@ -25,7 +26,7 @@ gives no rows. Only built-in functions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclime.llm.common import id_key, stage, text_key
@@ -87,23 +88,76 @@ def spans_of(lines: Column) -> Column:
 
 
 def _chunk_rows(docs: DataFrame) -> DataFrame:
-    """(id, text_key, first, size, text, before, after, hash) of all chunks; lines before a chunk are listed from it backwards."""
+    """(id, text_key, first, size, hash) of all chunks, without their text."""
     lined = docs.where("text IS NOT NULL").select(id_key().alias("id"), text_key().alias("text_key"), lines_of().alias("all_lines")).where("size(all_lines) > 1")
 
-    def chunk(lines: Column, span: Column) -> Column:
+    def hashed(lines: Column, span: Column) -> Column:
         first, size = span.getField("first"), span.getField("size")
-        near = F.least(first, F.lit(REACH))
+        return F.struct(first.alias("first"), size.alias("size"), F.xxhash64(F.array_join(F.slice(lines, first + 1, size), "\n")).alias("hash"))
+
+    made = bound(F.struct("all_lines"), lambda a: F.transform(spans_of(a.getField("all_lines")), lambda c: hashed(a.getField("all_lines"), c)))
+    return lined.select("id", "text_key", F.explode(made).alias("c")).select("id", "text_key", "c.*")
+
+
+def _runs(docs: DataFrame) -> DataFrame:
+    """(id, text_key, low_id, low_key, offset, start, stop): runs of chunks whose hashes stand, in one piece, at an earlier place.
+
+    Counting combines before the shuffle, and the join is a sorted merge at
+    every size, whose hot keys Spark splits. No text is shuffled here.
+    """
+    place = F.struct("id", "text_key", "first")
+    rows = _chunk_rows(docs)
+    lows = rows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash", "low")
+    met = rows.join(stage(lows).hint("merge"), "hash").where(place > F.col("low"))
+    source = {"low_id": F.col("low.id"), "low_key": F.col("low.text_key"), "offset": F.col("first") - F.col("low.first")}
+    met = met.select("id", "text_key", "first", (F.col("first") + F.col("size")).alias("stop"), *[c.alias(n) for n, c in source.items()])
+    one = ["id", "text_key", *source]
+    along = Window.partitionBy(*one).orderBy("first")  # the chunks of one document
+    reached = F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    begins = met.withColumn("begins", F.when(F.coalesce(F.col("first") <= reached, F.lit(False)), 0).otherwise(1))
+    numbered = begins.withColumn("run", F.sum("begins").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*one, "run").agg(F.min("first").alias("start"), F.max("stop").alias("stop")).drop("run")
+
+
+def _cuttings(docs: DataFrame, runs: DataFrame) -> DataFrame:
+    """For every run its own text and that of its first place, with up to ``REACH`` lines before (backwards) and after; stored.
+
+    A document's text is read once for all runs in it and all that begin there,
+    however many those are.
+    """
+    own = F.struct(*[F.col(c) for c in ("start", "stop", "low_id", "low_key", "offset")])
+    first = F.struct((F.col("start") - F.col("offset")).alias("start"), (F.col("stop") - F.col("offset")).alias("stop"))
+    none = lambda c: F.lit(None).cast(runs.select(c.alias("c")).schema["c"].dataType)
+    asked = runs.select("id", "text_key", own.alias("own"), none(first).alias("first"))
+    asked = asked.unionByName(runs.select(F.col("low_id").alias("id"), F.col("low_key").alias("text_key"), none(own).alias("own"), first.alias("first")))
+    wanted = asked.groupBy("id", "text_key").agg(F.collect_set("own").alias("own"), F.collect_set("first").alias("first"))
+    whole = docs.where("text IS NOT NULL").select(id_key().alias("id"), text_key().alias("text_key"), "text")
+    whole = whole.groupBy("id", "text_key").agg(F.min("text").alias("text"))  # rows that are equal in both are one
+    held = whole.join(wanted.hint("merge"), ["id", "text_key"]).select("id", "text_key", "own", "first", lines_of().alias("lines"))
+
+    def cut(lines: Column, span: Column, is_own: bool) -> Column:
+        start, stop = span.getField("start"), span.getField("stop")
+        near = F.least(start, F.lit(REACH))
+        missing = {"low_id": "long", "low_key": "long", "offset": "int"}
+        more = [(span.getField(c) if is_own else F.lit(None)).cast(kind).alias(c) for c, kind in missing.items()]
         return F.struct(
-            first.alias("first"),
-            size.alias("size"),
-            F.array_join(F.slice(lines, first + 1, size), "\n").alias("text"),
-            F.reverse(F.slice(lines, first - near + 1, near)).alias("before"),
-            F.slice(lines, first + size + 1, F.lit(REACH)).alias("after"),
+            F.lit(is_own).alias("own"),
+            start.alias("start"),
+            stop.alias("stop"),
+            *more,
+            F.array_join(F.slice(lines, start + 1, stop - start), "\n").alias("text"),
+            F.reverse(F.slice(lines, start - near + 1, near)).alias("before"),
+            F.slice(lines, stop + 1, F.lit(REACH)).alias("after"),
         )
 
-    made = bound(F.struct("all_lines"), lambda a: F.transform(spans_of(a.getField("all_lines")), lambda c: chunk(a.getField("all_lines"), c)))
-    rows = lined.select("id", "text_key", F.explode(made).alias("c"))
-    return rows.select("id", "text_key", "c.*").withColumn("hash", F.xxhash64("text"))
+    made = bound(
+        F.struct("lines", "own", "first"),
+        lambda a: F.concat(
+            F.transform(a.getField("own"), lambda s: cut(a.getField("lines"), s, True)),
+            F.transform(a.getField("first"), lambda s: cut(a.getField("lines"), s, False)),
+        ),
+    )
+    return stage(held.select("id", "text_key", F.explode(made).alias("c")).select("id", "text_key", "c.*"))
 
 
 def _grown(mine: str, theirs: str) -> Column:
@@ -116,25 +170,15 @@ def _grown(mine: str, theirs: str) -> Column:
 
 
 def removed_spans(docs: DataFrame) -> DataFrame:
-    """(id, text_key, start, stop) of every run of lines that stands at an earlier place.
-
-    Hashes that occur at two places or more are few; only chunks with such a
-    hash are compared. Counting combines before the shuffle, and the joins are
-    sorted merges at every size, whose hot keys Spark splits.
-    """
-    place = F.struct("id", "text_key", "first")
-    rows = _chunk_rows(docs)
-    found = rows.groupBy("hash").agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select("hash")
-    suspects = stage(rows.join(stage(found).hint("merge"), "hash"))
-    chunk = ["hash", "text"]
-    # The first place, then what stands around it: of one row a text, so that long lines are not carried along.
-    lows = suspects.groupBy(*chunk).agg(F.min(place).alias("low"), F.max(place).alias("high")).where("low < high").select(*chunk, "low")
-    around = suspects.select(*chunk, place.alias("low"), F.col("before").alias("low_before"), F.col("after").alias("low_after"))
-    lows = stage(lows.join(around, [*chunk, "low"]).dropDuplicates([*chunk, "low"]))
-    met = suspects.join(lows.hint("merge"), chunk).where(place > F.col("low"))
-    start = F.col("first") - _grown("before", "low_before")
-    stop = F.col("first") + F.col("size") + _grown("after", "low_after")
-    return met.select("id", "text_key", start.alias("start"), stop.alias("stop"))
+    """(id, text_key, start, stop) of every run of lines that stands at an earlier place."""
+    cuttings = _cuttings(docs, stage(_runs(docs)))
+    low = {"id": "low_id", "text_key": "low_key", "start": "low_start", "stop": "low_stop", "text": "low_text", "before": "low_before", "after": "low_after"}
+    firsts = cuttings.where("NOT own").select(*[F.col(c).alias(n) for c, n in low.items()])
+    own = cuttings.where("own").withColumns({"low_start": F.col("start") - F.col("offset"), "low_stop": F.col("stop") - F.col("offset")})
+    same = own.join(firsts.hint("merge"), ["low_id", "low_key", "low_start", "low_stop"]).where("text = low_text")
+    start = F.col("start") - _grown("before", "low_before")
+    stop = F.col("stop") + _grown("after", "low_after")
+    return same.select("id", "text_key", start.alias("start"), stop.alias("stop"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
