@@ -691,10 +691,9 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    rows = sites(spark, sf_dir)
-    fit = ward.fit_ward(rows)
-    cuts = [ward.ward(rows, k, fit=fit).select("s_suppkey", F.lit(k).alias("k"), "cluster") for k in (3, 6, 8)]
-    return fold(DataFrame.unionByName, cuts)
+    found = ward.ward_each(sites(spark, sf_dir), (3, 6, 8), ("k3", "k6", "k8"))
+    cells = [F.struct(F.lit(k).alias("k"), F.col(f"k{k}").alias("cluster")) for k in (3, 6, 8)]
+    return found.select("s_suppkey", F.inline(F.array(*cells)))
 
 
 @query("ward_of_vectors")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridclime.functions.columns import with_one_row
-
 #: Parts of equal width that a bracket is ranked in.
 PARTS = 256
 
@@ -44,39 +44,7 @@ def quantiles(
         *[F.count(v).alias(f"n{i}") for i, v in enumerate(names)],
         *[F.percentile_approx(v, edges, accuracy).alias(f"e{i}") for i, v in enumerate(names)],
     )
-    below, above = F.lit(float("-inf")), F.lit(float("inf"))
-
-    def bracket(i: int):
-        few, found = F.col(f"n{i}") <= accuracy, F.col(f"e{i}")
-        low = [F.when(few, below).otherwise(found[j]) for j in range(len(probs))]
-        high = [F.when(few, above).otherwise(found[j + len(probs)]) for j in range(len(probs))]
-        return F.struct(F.col(f"n{i}").alias("n"), F.array(*low).alias("low"), F.array(*high).alias("high"))
-
-    bounds = sketch.select(*by, F.array(*[bracket(i) for i in range(len(columns))]).alias("_b"))
-    packed = values.select(*by, F.array(*names).alias("_values"))
-    if by:
-        bracketed = packed.join(bounds, on=by)
-    else:
-        bracketed = with_one_row(packed, bounds, "_row").withColumn("_b", F.col("_row._b"))
-    bracketed = bracketed.select(*by, "_b", F.posexplode("_values").alias("i", "v")).filter("v IS NOT NULL")
-    bracketed = bracketed.withColumn("_e", F.col("_b")[F.col("i")]).drop("_b")
-
-    # NaN is greater than any number and lies in a bracket that has no end.
-    def placed(j: int):
-        low, high = F.col("_e.low")[j], F.col("_e.high")[j]
-        inside = (low == below) | F.col("v").between(low, high)
-        return F.when(inside, F.col("v")).when(F.col("v") < low, below)
-
-    cells = bracketed.select(*by, "i", "_e", F.posexplode(F.array(*[placed(j) for j in range(len(probs))])).alias("j", "v"))
-    low, high = F.col("_e.low")[F.col("j")], F.col("_e.high")[F.col("j")]
-    part = (
-        F.when((low != below) & (F.col("v") == below), -1)
-        .when((low == below) | (high <= low), 0)
-        .otherwise(F.floor((F.col("v") - low) / (high - low) * PARTS))
-    )
-    counted = cells.filter("v IS NOT NULL").groupBy(*by, "i", "j", part.cast("int").alias("part"), "v").agg(
-        F.count(F.lit(1)).alias("m"), F.max("_e.n").alias("n")
-    )
+    counted = _counted_by(values, sketch, by, names, probs, accuracy) if by else _counted(values, sketch, names, probs, accuracy)
 
     cell = [*by, "i", "j"]
     parts = counted.groupBy(*cell, "part").agg(F.sum("m").alias("in_part"))
@@ -105,3 +73,76 @@ def quantiles(
     return flat.select(
         *by, *[F.slice("_flat", k * len(probs) + 1, len(probs)).alias(c) for k, c in enumerate(columns)]
     )
+
+
+def _counted(values: DataFrame, sketch: DataFrame, names: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """(i, j, part, v, m, n): how often each value inside a bracket occurs, and as part -1 how many lie below it.
+
+    The brackets, two numbers per column and quantile, pass through the driver.
+    Columns are compared with them a batch at a time, and only values inside one
+    become rows. NaN is greater than any number and lies in a bracket without end.
+    """
+    row = sketch.first()
+    brackets = []
+    for i in range(len(names)):
+        n = row[f"n{i}"]
+        for j in range(len(probs) if n else 0):
+            ends = (-np.inf, np.inf) if n <= accuracy else (row[f"e{i}"][j], row[f"e{i}"][j + len(probs)])
+            brackets.append((i, j, n, *ends))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lesser = np.zeros(len(brackets), dtype=np.int64)
+        kinds = ("i", np.int32), ("j", np.int32), ("part", np.int32), ("v", np.float64), ("m", np.int64), ("n", np.int64)
+
+        def rows(parts: list[tuple]) -> pa.RecordBatch:
+            columns = [np.concatenate([np.atleast_1d(p[k]) for p in parts] or [np.zeros(0)]).astype(kind) for k, (_, kind) in enumerate(kinds)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[name for name, _ in kinds])
+
+        for batch in batches:
+            known = [c.drop_null().to_numpy() for c in batch.columns]
+            parts = []
+            for b, (i, j, n, low, high) in enumerate(brackets):
+                v = known[i]
+                whole = np.isinf(low) and np.isinf(high)
+                found, m = np.unique(v if whole else v[(v >= low) & (v <= high)], return_counts=True)
+                lesser[b] += 0 if whole else np.count_nonzero(v < low)
+                part = np.zeros(len(found)) if whole or high <= low else np.floor((found - low) / (high - low) * PARTS)
+                parts.append((np.full(len(found), i), np.full(len(found), j), part, found, m, np.full(len(found), n)))
+            yield rows(parts)
+        yield rows([(i, j, -1, -np.inf, m, n) for (i, j, n, _, _), m in zip(brackets, lesser.tolist(), strict=True) if m])
+
+    found = values.mapInArrow(count, "i int, j int, part int, v double, m long, n long")
+    return found.groupBy("i", "j", "part", "v").agg(F.sum("m").alias("m"), F.max("n").alias("n"))
+
+
+def _counted_by(values: DataFrame, sketch: DataFrame, by: list[str], names: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """The same per group, whose brackets are joined to the rows."""
+    below, above = F.lit(float("-inf")), F.lit(float("inf"))
+
+    def bracket(i: int):
+        few, found = F.col(f"n{i}") <= accuracy, F.col(f"e{i}")
+        low = [F.when(few, below).otherwise(found[j]) for j in range(len(probs))]
+        high = [F.when(few, above).otherwise(found[j + len(probs)]) for j in range(len(probs))]
+        return F.struct(F.col(f"n{i}").alias("n"), F.array(*low).alias("low"), F.array(*high).alias("high"))
+
+    bounds = sketch.select(*by, F.array(*[bracket(i) for i in range(len(names))]).alias("_b"))
+    packed = values.select(*by, F.array(*names).alias("_values"))
+    bracketed = packed.join(bounds, on=by).select(*by, "_b", F.posexplode("_values").alias("i", "v")).filter("v IS NOT NULL")
+    bracketed = bracketed.withColumn("_e", F.col("_b")[F.col("i")]).drop("_b")
+
+    # NaN is greater than any number and lies in a bracket that has no end.
+    def placed(j: int):
+        low, high = F.col("_e.low")[j], F.col("_e.high")[j]
+        inside = (low == below) | F.col("v").between(low, high)
+        return F.when(inside, F.col("v")).when(F.col("v") < low, below)
+
+    cells = bracketed.select(*by, "i", "_e", F.posexplode(F.array(*[placed(j) for j in range(len(probs))])).alias("j", "v"))
+    low, high = F.col("_e.low")[F.col("j")], F.col("_e.high")[F.col("j")]
+    part = (
+        F.when((low != below) & (F.col("v") == below), -1)
+        .when((low == below) | (high <= low), 0)
+        .otherwise(F.floor((F.col("v") - low) / (high - low) * PARTS))
+    )
+    return cells.filter("v IS NOT NULL").groupBy(*by, "i", "j", part.cast("int").alias("part"), "v").agg(
+        F.count(F.lit(1)).alias("m"), F.max("_e.n").alias("n")
+    )

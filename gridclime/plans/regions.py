@@ -104,12 +104,10 @@ def label_all(
         out, columns[name] = fitted[name].labels(out, column), column
     out = materialize(out)
     # The others label distinct vectors; each joins the rows once.
-    merged = ward.fit_ward(points)
     for i, k in enumerate(ks):
         name, column = names("Hierarchical", "ward", i, k)
         columns[name] = column
-        found = ward.cut_points(merged[1], merged[0], k).select("x", F.col("cluster").alias(column))
-        out = out.join(found, "x")
+    out = ward.ward_each(out, ks, [c for c in columns.values() if c.startswith("cluster_ward")])
     dense = {
         "DBSCAN": density.dbscan(points, eps, min_samples),
         "HDBSCAN": hdbscan.hdbscan(points, max(hdbscan.MIN_CLUSTER_SIZE, n // HDBSCAN_SHARE)),
