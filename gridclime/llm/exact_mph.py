@@ -11,7 +11,9 @@ whose bytes differ after all, group among themselves by digest and text.
 
 Texts are equal when identical after lower-casing A-Z; NULL counts as empty.
 The row with the largest id stays. Rows that share an id and a text are one
-document and share their fate; a NULL id is smaller than all others.
+document and share their fate; a NULL id is smaller than all others. Texts of any length are compared whole; other columns
+are ignored. An empty history, an empty batch or both are allowed; nothing gives
+no rows.
 """
 
 from __future__ import annotations
@@ -30,8 +32,6 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BUCKET_KEYS = 4096
 #: Places in a level's bit array for each digest that reaches it.
 SPACE = 2
-#: Copies of a winner's text, so that its repeats are checked in as many tasks.
-SALTS = 16
 
 
 def normalized(text: str = "text") -> Column:

@@ -10,7 +10,10 @@ when the budget is spent, up to a document.
 
 Sources come by code point, NULL last, and weigh 3, 1, 2, repeating. An empty
 or NULL text has no words and is never taken. Rows that share an id are told
-apart by size; a source without words has target zero. Only built-in functions.
+apart by size and by a hash of the text; rows equal in all are dealt with each. A
+source without words has target zero. Texts of any length are counted whole;
+other columns are ignored, or kept by ``mixed``. An empty table gives no rows.
+Only built-in functions.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ is removed after its text was compared.
 
 NULL texts stay NULL and have no lines; an empty text is one empty line. Rows
 that share id and text are one document and share their fate; a NULL id comes
-first. A text whose lines all go becomes empty. Only built-in functions.
+first. A text whose lines all go becomes empty. Texts of any
+length are cut whole; other columns, of whatever names, stay in `row`. An empty
+table gives no rows. Only built-in functions.
 """
 
 from __future__ import annotations

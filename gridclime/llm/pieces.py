@@ -16,7 +16,9 @@ step and in all segments at once, the pair with the best edge.
 Segments seen before are taken from a bounded memory, which has no influence on
 the result. NULL texts have NULL ids, empty texts have no ids. Decoding restores
 every text, but for the space mark itself, which becomes a blank as in the
-library.
+library. Texts of any length are encoded whole, repeated rows each. All other
+columns stay, but one named like the result, which is replaced. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ documents that the network has not seen, turns into a calibrated probability.
 A text without words (NULL, empty or blank) has zero vectors and gets the score
 of those. Labels that are NULL, or for ids that are not in the table, are not
 used; an id with several labels is used once. Without labels of both kinds the
-score is their share, or 0.5 without any.
+score is their share, or 0.5 without any. Of several labels of an id the least counts. Texts of
+any length are read whole, repeated rows are scored each, other columns stay. An
+empty table gives no rows.
 """
 
 from __future__ import annotations

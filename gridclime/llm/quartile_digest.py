@@ -9,7 +9,8 @@ bound; the likeness is what is left of the bound.
 NULL counts as an empty text. A text of under five bytes has no triplets; its
 buckets hold a hash of its bytes, so that very short texts are alike only if
 they are equal. Equal texts have equal digests. Rows that share an id follow
-each other in the order of their texts.
+each other in the order of their texts. Texts of any length are read whole; other
+columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ window that covers it also starts in a document with a smaller id.
 
 NULL and empty texts have no words. Rows that share an id never remove each
 other's words; a NULL id is smaller than all others. Rows equal in id and text
-get the same result.
+get the same result. Texts of any length are factored whole; other columns are
+ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ the key alone. Counts of the shards differ by at most one, slots have no gaps.
 
 Rows are numbered by hash buckets of their ids, so the numbers and with them
 the shards are the same in every run. Rows that share an id are told apart by
-checksum and size; full copies are interchangeable. A NULL text has no bytes.
+checksum and size; full copies are interchangeable. A NULL text has no
+bytes, texts of any length count whole, other columns are ignored. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -3,7 +3,9 @@
 A-Z are lower-cased; the shingles are runs of words, repeats included, and a
 text of fewer words is one shingle. NULL, empty and blank texts have
 fingerprint zero and link like any other. Rows that share an id are documents
-of their own with that id; a NULL id is smaller than all others.
+of their own with that id; a NULL id is smaller than all others. Texts of any length are
+hashed whole; other columns are ignored, or kept by ``keep_one``. An empty table
+gives no rows.
 """
 
 from __future__ import annotations

@@ -44,7 +44,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 BUCKETS = 16_384
 LENGTH, RECORDS, PASSES = 1024, 2048, 4
 #: Segments whose ids a worker keeps, at some 40 bytes each.
-MEMORY = 1_500_000
+MEMORY = 800_000
 _ASCII_SPACE = np.zeros(256, dtype=bool)
 _ASCII_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LEAD = np.zeros(256, dtype=bool)
