@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,23 +72,62 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame, columns: Sequence[str], pairs_per_pass: int = 120) -> DataFrame:
-    """(a, b, r) of every two columns; NULLs are dropped pair by pair.
+def _pair_moments(batch: pa.RecordBatch) -> np.ndarray:
+    """[n, mean of a, squares of a about it, products about the means], each for all (a, b), over rows that know both."""
+    x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+    known = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(float)
+    middle = np.where(known, x, 0).sum(axis=0) / np.maximum(known.sum(axis=0), 1)
+    gap = np.where(known > 0, x - middle, 0)
+    n = known.T @ known
+    held = np.maximum(n, 1)
+    shift = gap.T @ known
+    return np.stack([n, middle[:, None] + shift / held, (gap * gap).T @ known - shift * shift / held, gap.T @ gap - shift * shift.T / held])
 
-    The columns are stored once; each further pass reads only those.
+
+def _together(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The moments of both parts."""
+    n = one[0] + two[0]
+    step = two[1] - one[1]
+    share = one[0] * two[0] / np.maximum(n, 1)
+    return np.stack([n, one[1] + step * two[0] / np.maximum(n, 1), one[2] + two[2] + step * step * share, one[3] + two[3] + step * step.T * share])
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(a, b, r) of every two columns; NULLs are dropped pair by pair. NULL if one of the two never varies.
+
+    One read of the rows, however many columns: a task gives the moments of all
+    pairs, which are then put together about the means of all tasks.
     """
-    pairs = list(combinations(columns, 2))
-    df = materialize(df.select(*columns))
-    parts = []
-    for start in range(0, len(pairs), pairs_per_pass):
-        chunk = pairs[start : start + pairs_per_pass]
-        cells = []
-        for a, b in chunk:
-            both = F.col(a).isNotNull() & F.col(b).isNotNull()
-            r = F.corr(F.when(both, F.col(a)), F.when(both, F.col(b)))
-            cells.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")))
-        parts.append(df.agg(F.array(*cells).alias("cells")).select(F.inline("cells")))
-    return reduce(DataFrame.unionByName, parts)
+    pairs = list(combinations(range(len(columns)), 2))
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "a string, b string, r double")
+    a, b = np.array(pairs).T
+    names = ["pair", "n", "ma", "mb", "qa", "qb", "c"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows:
+                found = _pair_moments(batch)
+                held = found if held is None else _together(held, found)
+        if held is not None:
+            n, mean, square, product = held
+            cells = [np.arange(len(a)), n[a, b], mean[a, b], mean[b, a], square[a, b], square[b, a], product[a, b]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], names=names)
+
+    values = df.select(*[F.col(c).cast("double").alias(f"_{i}") for i, c in enumerate(columns)])
+    parts = materialize(values.mapInArrow(work, "pair long, " + ", ".join(f"{c} double" for c in names[1:])))
+    known = F.when(F.sum("n") > 0, F.sum("n"))
+    whole = parts.groupBy("pair").agg((F.sum(F.col("n") * F.col("ma")) / known).alias("A"), (F.sum(F.col("n") * F.col("mb")) / known).alias("B"))
+    off = {c: F.col(m) - F.col(w) for c, m, w in (("x", "ma", "A"), ("y", "mb", "B"))}
+    sums = parts.join(whole, "pair").withColumns(off).groupBy("pair").agg(
+        F.sum(F.col("qa") + F.col("n") * F.col("x") * F.col("x")).alias("qa"),
+        F.sum(F.col("qb") + F.col("n") * F.col("y") * F.col("y")).alias("qb"),
+        F.sum(F.col("c") + F.col("n") * F.col("x") * F.col("y")).alias("c"),
+    )
+    spread = F.sqrt(F.greatest("qa", F.lit(0.0))) * F.sqrt(F.greatest("qb", F.lit(0.0)))
+    title = lambda at: F.array(*[F.lit(columns[i]) for i in at])[F.col("pair").cast("int")]
+    return sums.select(title(a.tolist()).alias("a"), title(b.tolist()).alias("b"), (F.col("c") / F.when(spread > 0, spread)).alias("r"))
 
 
 def strong_pairs(df: DataFrame, columns: Sequence[str], above: float = 0.7) -> DataFrame:

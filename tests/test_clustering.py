@@ -231,3 +231,25 @@ def test_points_hold_most_of_the_variance(spark):
     sf_dir = "/root/testdata/sf0.001"
     share = spread(learning.points(spark, sf_dir), "x") / spread(clusters.vectors(spark, sf_dir), "x")
     assert 0.95 <= share < 1
+
+
+def test_correlations_in_one_scan(spark):
+    from gridclime.operators import explore
+
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4)) + [1e6, 0, -50, 3]
+    x[:, 3] = 7.0
+    known = rng.random((300, 4)) > [0, 0.2, 0.5, 0]
+    rows = [tuple(float(v) if k else None for v, k in zip(*r)) for r in zip(x, known)]
+    names = ["a", "b", "c", "d"]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names)).repartition(5)
+    got = {(r["a"], r["b"]): r["r"] for r in explore.correlations(df, names).collect()}
+    assert len(got) == 6
+    for (a, b), value in got.items():
+        i, j = names.index(a), names.index(b)
+        both = known[:, i] & known[:, j]
+        if "d" in (a, b):
+            assert value is None
+        else:
+            assert value == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
+    assert {r["r"] for r in explore.correlations(df.limit(0), names).collect()} <= {None}
