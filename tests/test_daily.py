@@ -6,6 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from gridclime.functions import lineage
 from gridclime.operators import clean, features, normalize, rollup, validate
 from gridclime.plans import flows
 
@@ -146,6 +147,20 @@ def test_normals_of_wettest_month(spark):
     assert row["peak_month_rainfall_share"] == pytest.approx(124 / (31 + 116 + 124))
 
 
+def test_normals_shuffle_narrow_rows_once(spark):
+    place = ["latitude", "longitude"]
+    days = "explode(sequence(date'2020-01-01', date'2021-12-31', interval 1 day)) AS date"
+    df = spark.range(3).selectExpr("8.0 + id AS latitude", "70.0 AS longitude", days)
+    df = df.withColumns({"precipitation_sum": F.day("date") / 7, "temperature_2m_mean": F.dayofyear("date") * 0.1})
+    wide = features.add_features(lineage.together(df, place))
+    parts = rollup.place_parts(rollup.month_parts(wide))
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert parts.select(F.size("months")).distinct().collect() == [(24,)]
+    whole = rollup.place_means(rollup.month_parts(wide)).orderBy(*place).toPandas()
+    pd.testing.assert_frame_equal(parts.drop("months").orderBy(*place).toPandas()[list(whole)], whole)
+
+
 def test_mode_takes_the_smallest(spark):
     df = series(spark, [3.0, 1.0, 3.0, 1.0]).withColumnRenamed("v", "weather_code_mode")
     assert rollup.to_monthly(df).first()["weather_code_mode"] == 1.0
