@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -253,3 +254,23 @@ def test_correlations_in_one_scan(spark):
         else:
             assert value == pytest.approx(np.corrcoef(x[both, i], x[both, j])[0, 1])
     assert {r["r"] for r in explore.correlations(df.limit(0), names).collect()} <= {None}
+
+
+def test_matrix_products_change_no_digit():
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (300, 20)) + 1000
+    x[150:] = x[:150]  # copies
+    x[140:150] += 1e-7  # and points next to others
+    want = pairs.distances(x, x)
+    assert np.allclose(pairs.many_distances(x, x), want, rtol=1e-8, atol=0)
+    i, j = np.nonzero(want >= 0)
+    assert np.array_equal(pairs.distances_at(x, x, i, j), want.ravel())
+    rows = pd.DataFrame({"pid": np.arange(300), "x": list(x), "w": 1})
+    for radius in (None, 4.0):
+        asked = rows if radius is None else rows.assign(radius=radius)
+        found = pairs.nearest_of(asked, rows, 7).groupby("pid").agg(d=("d", sorted), id=("id", set))
+        for pid in range(300):
+            d = np.sort(want[pid])[6]
+            near = np.flatnonzero(want[pid] <= (d if radius is None else min(d, radius)))
+            assert found["id"][pid] == set(near)
+            assert found["d"][pid] == sorted(want[pid][near])

@@ -150,7 +150,7 @@ def test_normals_of_wettest_month(spark):
 def test_normals_shuffle_narrow_rows_once(spark):
     place = ["latitude", "longitude"]
     days = "explode(sequence(date'2020-01-01', date'2021-12-31', interval 1 day)) AS date"
-    df = spark.range(3).selectExpr("8.0 + id AS latitude", "70.0 AS longitude", days)
+    df = spark.range(3).selectExpr("8.0 + id AS latitude", "70.0 + id AS longitude", days)
     df = df.withColumns({"precipitation_sum": F.day("date") / 7, "temperature_2m_mean": F.dayofyear("date") * 0.1})
     wide = features.add_features(lineage.together(df, place))
     parts = rollup.place_parts(rollup.month_parts(wide))
