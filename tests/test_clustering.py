@@ -274,3 +274,28 @@ def test_matrix_products_change_no_digit():
             near = np.flatnonzero(want[pid] <= (d if radius is None else min(d, radius)))
             assert found["id"][pid] == set(near)
             assert found["d"][pid] == sorted(want[pid][near])
+
+
+def test_density_by_matrix_products_changes_nothing(spark, monkeypatch):
+    """Points on the radius itself, copies and far offsets, in many dimensions: no pair is measured twice by coordinate."""
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.integers(0, 3, (300, 12)), rng.integers(0, 3, (100, 12)) + 1e6]).astype(float)
+    for radius in (np.sqrt(5.0), 2.0, 0.0):
+        assert np.array_equal(pairs.within(x, x, radius), pairs.distances(x, x) <= radius)
+    y = rng.normal(0, 1, (400, 12)) + 1e3 * rng.integers(0, 2, (400, 1))
+    monkeypatch.setattr(pairs, "distances", None)
+    assert pairs.within(y, y, 2.0).sum() > 400
+
+
+@pytest.mark.parametrize("block_rows", [None, 64])
+def test_dbscan_in_many_dimensions(spark, block_rows):
+    rng = np.random.default_rng(8)
+    x = np.vstack([c + rng.normal(0, 0.5, (150, 12)) for c in (0, 3, 9)] + [rng.uniform(-5, 15, (20, 12))]).round(3)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id int, x array<double>")
+    found = {r["id"]: r for r in density.dbscan(df, 2.2, 5, block_rows=block_rows).collect()}
+    touch = between(x) <= 2.2
+    core = touch.sum(axis=1) >= 5
+    assert [found[i]["is_core"] for i in range(len(x))] == core.tolist()
+    assert [found[i]["cluster"] < 0 for i in range(len(x))] == (~(touch & core[None, :]).any(axis=1)).tolist()
+    same = np.array([found[i]["cluster"] for i in range(len(x))])
+    assert len({c for c in same if c >= 0}) == len(set(brute_components(core, touch)[core]))
