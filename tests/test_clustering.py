@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gridclime.operators import (
     components,
     density,
+    hdbscan,
     metrics,
     models,
     pairs,
@@ -283,7 +284,13 @@ def test_density_by_matrix_products_changes_nothing(spark, monkeypatch):
     for radius in (np.sqrt(5.0), 2.0, 0.0):
         assert np.array_equal(pairs.within(x, x, radius), pairs.distances(x, x) <= radius)
     y = rng.normal(0, 1, (400, 12)) + 1e3 * rng.integers(0, 2, (400, 1))
+    side = pd.DataFrame({"pid": range(400), "x": list(y), "core": rng.uniform(0.5, 3, 400), "comp": rng.integers(0, 4, 400)})
+    own = side["comp"].to_numpy()
+    d = hdbscan._reaches(side, side)
+    d[own[:, None] == own[None, :]] = np.inf
     monkeypatch.setattr(pairs, "distances", None)
+    at, best = hdbscan._least_out(side, side, own, own)
+    assert np.array_equal(at, d.argmin(axis=1)) and np.array_equal(best, d.min(axis=1))
     assert pairs.within(y, y, 2.0).sum() > 400
 
 
