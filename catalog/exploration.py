@@ -17,10 +17,12 @@ from catalog.common import (
     rounded,
     with_,
 )
-from catalog.daily import CLEAN_CTES, cleaned
+from catalog.daily import CLEAN_CTES
 from catalog.learning import BOX_CTES, box_projection
 from catalog.rollups import MONTH, PLACE, SEASON_SQL, SEASON_YEAR, YEAR
-from gridclime.operators import explore, profile, reduce
+from gridclime.functions.lineage import materialize
+from gridclime.operators import explore, normalize, profile, reduce
+from gridclime.plans import flows
 from gridclime.sources import projections as P
 
 MAIN = [
@@ -517,7 +519,8 @@ def _(spark, sf_dir):
     ),
 )
 def _(spark, sf_dir):
-    return explore.compare_stages(normalized(spark, sf_dir), cleaned(spark, sf_dir), MAIN)
+    rows = materialize(raw(spark, sf_dir))  # aggregated once for both stages
+    return explore.compare_stages(normalize.normalize(rows), flows.cleaned(rows), MAIN)
 
 
 SERIES = {

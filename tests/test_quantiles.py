@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridclime.functions.quantiles import quantiles
+from gridclime.operators import clean, explore, normalize
+from gridclime.plans import flows
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 1.0]
 
@@ -50,3 +52,45 @@ def test_interpolates(spark):
     assert quantiles(df, ["v"], [0.33]).first()["v"][0] == pytest.approx(
         np.quantile([1, 2, 3, 10], 0.33)
     )
+
+
+def counted_reads(spark, n: int):
+    """A table of n rows, and a counter of the rows that were read from it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(n).selectExpr("CAST(id AS DOUBLE) AS v", "CAST(id % 7 AS DOUBLE) AS w")
+    return rows.mapInArrow(seen, "v double, w double"), read
+
+
+def test_a_table_is_read_twice(spark):
+    rows, read = counted_reads(spark, 30_000)
+    assert quantiles(rows, ["v", "w"], [0.5]).first()["v"] == [14999.5]
+    assert read.value == 2 * 30_000
+
+
+def test_a_description_reads_its_input_once(spark):
+    rows, read = counted_reads(spark, 30_000)
+    found = {r["column"]: r for r in explore.describe(rows, ["v", "w"]).collect()}
+    assert read.value == 30_000
+    assert found["v"]["median"] == 14999.5 and found["v"]["count"] == 30_000
+    assert found["w"]["min"] == 0 and found["w"]["max"] == 6
+
+
+def test_stages_compared_as_cleaned_after_normalizing(spark):
+    """Raw columns cleaned once and copied are the copies cleaned."""
+    days = spark.range(600).selectExpr(
+        "CAST(id % 3 AS DOUBLE) AS latitude",
+        "0.0D AS longitude",
+        "DATE_ADD(DATE'2020-01-01', CAST(id / 3 AS INT)) AS date",
+        "CASE WHEN id % 11 > 0 THEN CAST(id * 7919 % 101 AS DOUBLE) END AS T2M",
+        "CAST(id * 31 % 400 AS DOUBLE) + 500 AS PS",
+    )
+    key = ["latitude", "longitude", "date"]
+    one = flows.cleaned(days).orderBy(key)
+    two = clean.clean(normalize.normalize(days)).select(one.columns).orderBy(key)
+    assert one.collect() == two.collect()
