@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclime.functions.columns import as_lookup, euclidean, with_one_row
+from gridclime.functions.lineage import materialize
 from gridclime.operators import metrics, profile
 from gridclime.operators.models import Fitted, memberships
 from gridclime.operators.reduce import Projection, Scaling
@@ -78,6 +79,8 @@ def describe_assignments(
     ``assigned`` has ``cluster``, ``alternative``, ``confidence`` and ``x``;
     ``training`` has the features, coordinates and ``cluster``.
     """
+    # Examples and texts read the new places three times; what they need is stored once.
+    assigned = materialize(assigned.select(query_id, *PLACE, "cluster", "alternative", "confidence", "x"))
     labels = profile.cluster_labels(training)
     own = labels.select("cluster", F.col("cluster_label").alias("_label"))
     other = labels.select(F.col("cluster").alias("alternative"), F.col("cluster_label").alias("_other"))
