@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
-from gridclime.operators import hdbscan, pairs
+from gridclime.operators import hdbscan, pairs, ward
 
 
 def patches(n: int, seed: int) -> np.ndarray:
@@ -50,3 +50,28 @@ def test_spanning_edges_over_few_wide_gaps(spark):
         want.append(best[at])
         joined[at], best = True, np.minimum(best, reach[at])
     assert np.array_equal(np.sort(found["d"]), np.sort(want))
+
+
+def test_nearest_clusters_by_matrix_products():
+    rng = np.random.default_rng(3)
+    x, w, ids = rng.random((300, 20)), rng.integers(1, 9, 300).astype(float), rng.permutation(300)
+    x[7], w[7] = x[100], w[100]
+    d = ward.ward_distances(x, w, x, w)
+    np.fill_diagonal(d, np.inf)
+    called = []
+    exact, ward.ward_distances = ward.ward_distances, lambda *a: called.append(1) or exact(*a)
+    try:
+        near, gap = ward.nearest_clusters(x, w, ids, x, w, ids)
+    finally:
+        ward.ward_distances = exact
+    order = ids.argsort()
+    assert np.array_equal(near, order[d[:, order].argmin(axis=1)]) and np.array_equal(gap, d.min(axis=1))
+    assert not called
+
+
+def test_ward_in_many_dimensions_over_blocks(spark):
+    x = np.random.default_rng(4).random((150, 12))
+    points = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "pid long, x array<double>, w long")
+    one = ward.merges_of(points, 2048).toPandas().sort_values("height")
+    some = ward.merges_of(points, 64).toPandas().sort_values("height")
+    assert np.allclose(one["height"], some["height"], rtol=1e-12) and list(one["size"]) == list(some["size"])
