@@ -75,3 +75,29 @@ def test_ward_in_many_dimensions_over_blocks(spark):
     one = ward.merges_of(points, 2048).toPandas().sort_values("height")
     some = ward.merges_of(points, 64).toPandas().sort_values("height")
     assert np.allclose(one["height"], some["height"], rtol=1e-12) and list(one["size"]) == list(some["size"])
+
+
+def test_distances_of_a_high_rank(spark):
+    rng = np.random.default_rng(5)
+    x, w = rng.random((300, 10)), rng.integers(1, 4, 300)
+    points = spark.createDataFrame([(i, v.tolist(), int(n)) for i, (v, n) in enumerate(zip(x, w))], "pid long, x array<double>, w long")
+    points = pairs.materialize(points)
+    found = pairs.rank_distances(points, 150, 64, 40).toPandas().set_index("pid")["d"]
+    d = pairs.distances(x, x)
+    order = d.argsort(axis=1)
+    at = (np.cumsum(w[order], axis=1) < 150).sum(axis=1)
+    assert [found[i] for i in range(300)] == [d[i, order[i, at[i]]] for i in range(300)]
+
+
+def test_hdbscan_without_long_lists(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(240, 10)) + 8.0 * (np.arange(240) % 2)[:, None]
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, x array<double>")
+
+    def found():
+        out = hdbscan.hdbscan(rows, 70, block_rows=128).toPandas().sort_values("id")
+        return out[["cluster", "probability", "outlier_score"]].to_numpy()
+
+    short = found()
+    monkeypatch.setattr(hdbscan, "LISTED", 10**9)
+    assert np.allclose(short, found(), atol=1e-12) and set(short[:, 0]) >= {0, 1}
