@@ -33,8 +33,7 @@ def test_contraction_takes_all_safe_edges_at_once():
     assert out.dropna(subset="node").set_index("node")["root"].nunique() == 56
 
 
-def test_spanning_edges_over_few_wide_gaps(spark):
-    x = patches(500, 2)
+def spans(spark, x):
     rows = spark.createDataFrame([(v.tolist(),) for v in x], "x array<double>")
     blocks = pairs.blocked(pairs.distinct_points(rows), 64)
     near = pairs.neighbours(blocks, blocks, 6)
@@ -43,15 +42,23 @@ def test_spanning_edges_over_few_wide_gaps(spark):
     d = pairs.distances(x, x)
     core = np.sort(d, axis=1)[:, 5]
     reach = np.maximum(np.maximum(d, core[:, None]), core[None, :])
-    joined, best, want = np.zeros(500, dtype=bool), reach[0].copy(), []
+    joined, best, want = np.zeros(len(x), dtype=bool), reach[0].copy(), []
     joined[0] = True
-    for _ in range(499):
+    for _ in range(len(x) - 1):
         at = np.where(joined, np.inf, best).argmin()
         want.append(best[at])
         joined[at], best = True, np.minimum(best, reach[at])
     assert np.array_equal(np.sort(found["d"]), np.sort(want))
 
 
+def test_spanning_edges_over_few_wide_gaps(spark):
+    spans(spark, patches(500, 2))
+
+
+def test_spanning_edges_in_many_dimensions(spark):
+    spans(spark, np.random.default_rng(7).normal(size=(200, 10)))
+
+
 def test_nearest_clusters_by_matrix_products():
     rng = np.random.default_rng(3)
     x, w, ids = rng.random((300, 20)), rng.integers(1, 9, 300).astype(float), rng.permutation(300)
